@@ -1,2 +1,534 @@
-def render_all():
-    return {}
+"""Plain SQL for the registered queries, one text per query.
+
+Each text starts with the adapter tables it needs as CTEs, then the texts of
+the queries it builds on, then its own SELECT.
+"""
+
+from __future__ import annotations
+
+from ..functions import fixed as K
+from ..sources.adapter import INPUTS, TABLES, duck_ctes
+
+ORACLES: dict[str, tuple[list[str], str]] = {}
+HELPERS: dict[str, tuple[list[str], str]] = {}
+
+
+def oracle(name: str, needs: str, sql: str) -> None:
+    ORACLES[name] = (needs.split(), sql.strip())
+
+
+def helper(name: str, needs: str, sql: str) -> None:
+    HELPERS[name] = (needs.split(), sql.strip())
+
+
+def render(name: str) -> str:
+    ctes: dict[str, str] = {}
+
+    def add(part: str) -> None:
+        if part in ctes or part in INPUTS:
+            return
+        if part in TABLES:
+            for n, sql in duck_ctes([part]):
+                ctes.setdefault(n, sql)
+            return
+        needs, sql = ORACLES.get(part) or HELPERS[part]
+        for n in needs:
+            add(n)
+        ctes[part] = sql
+
+    add(name)
+    body = ctes.pop(name)
+    head = ",\n".join(f"{n} AS (\n{sql}\n)" for n, sql in ctes.items())
+    return f"WITH {head}\n{body}" if head and not body.startswith("WITH") else (f"{body}" if not head else f"WITH {head}, {body[5:]}")
+
+
+def render_all() -> dict[str, str]:
+    return {name: render(name) for name in ORACLES}
+
+
+# -- text helpers ------------------------------------------------------------------
+
+def q(*names: str) -> str:
+    lst = ", ".join(f"'{n}'" for n in names)
+    return f"(coalesce(qa, '') IN ({lst}) OR coalesce(qb, '') IN ({lst}))"
+
+
+def n(cond: str) -> str:
+    return f"count(*) FILTER (WHERE {cond})"
+
+
+def cnt(**conds: str) -> str:
+    return ",\n  ".join(f"{n(c)} AS {name}" for name, c in conds.items())
+
+
+def rd(x: str, d: int) -> str:
+    return f"CAST(round(CAST({x} AS DECIMAL(28,12)), {d}) AS DOUBLE)"
+
+
+def div(a: str, b: str, d: int | None = None, scale: int = 1) -> str:
+    x = f"CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0)" + (f" * {scale}" if scale != 1 else "")
+    return x if d is None else rd(x, d)
+
+
+def pc(a: str, b: str, d: int = 2) -> str:
+    return div(a, b, d, 100)
+
+
+def xs(expr: str, cond: str = "true") -> str:
+    return f"CAST(sum(CASE WHEN {cond} THEN CAST({expr} AS DECIMAL(28,9)) END) AS DOUBLE)"
+
+
+def i(expr: str) -> str:
+    return f"CAST({expr} AS BIGINT)"
+
+
+def third(x: str = "x") -> str:
+    return f"CASE WHEN {x} <= 33.3 THEN 'own_third' WHEN {x} <= 66.6 THEN 'middle_third' ELSE 'final_third' END"
+
+
+ZONES = ["own_third", "middle_third", "final_third"]
+BASE = f"(etype = 'Pass' AND NOT {q('Cross', 'ThrowIn', 'KeeperThrow')})"
+DEAD = q("FreekickTaken", "CornerTaken", "Penalty", "ThrowIn", "KeeperThrow", "GoalKick", "IndirectFreekickTaken")
+DEAD_STATE = q("FreekickTaken", "CornerTaken", "ThrowIn", "KeeperThrow", "GoalKick", "IndirectFreekickTaken")
+ENTRY = f"(etype = 'Pass' AND NOT {q('KeeperThrow')} AND end_x <> 0 AND x < 66.6 AND end_x >= 66.6)"
+IN_THIRD = f"({BASE} AND end_x >= 66.6)"
+KEY = f"(etype IN ('Pass', 'BallTouch') AND {q('KeyPass')})"
+CROSS = f"(etype = 'Pass' AND {q('Cross')})"
+BIG = f"(etype = 'Pass' AND {q('BigChanceCreated')})"
+
+
+def xt(x: str, y: str) -> str:
+    cells = "[" + ", ".join(str(v) for line in K.XT_GRID for v in line) + "]"
+    row = f"greatest(least(CAST(floor({x} / 100 * 12) AS INT), 11), 0)"
+    col = f"greatest(least(CAST(floor({y} / 100 * 8) AS INT), 7), 0)"
+    return f"CAST(({cells})[{row} * 8 + {col} + 1] AS DOUBLE)"
+
+
+# -- passing -----------------------------------------------------------------------
+
+# Assisted goals with the last event (in feed order) that has the linked id.
+helper("assist_links", "feed_base", f"""
+SELECT combo_id, goal_team, goal_pos, team_id AS a_team, player_id AS a_player, dead FROM (
+  SELECT g.combo_id, g.team_id AS goal_team, g.pos AS goal_pos, e.team_id, e.player_id,
+    (coalesce(e.qa, '') IN ('FreekickTaken','CornerTaken','Penalty','ThrowIn','KeeperThrow','GoalKick','IndirectFreekickTaken')
+     OR coalesce(e.qb, '') IN ('FreekickTaken','CornerTaken','Penalty','ThrowIn','KeeperThrow','GoalKick','IndirectFreekickTaken')) AS dead,
+    row_number() OVER (PARTITION BY g.combo_id, g.pos ORDER BY e.pos DESC) AS rn
+  FROM feed_base g JOIN feed_base e ON e.combo_id = g.combo_id AND e.event_id = g.rel_event_id
+  WHERE g.etype = 'Goal' AND g.qa = 'Assisted') z WHERE rn = 1
+""")
+helper("assist_ids", "feed_base", """
+SELECT DISTINCT combo_id, rel_event_id AS event_id FROM feed_base WHERE etype = 'Goal' AND qa = 'Assisted' AND rel_event_id IS NOT NULL
+""")
+
+_CORE = f"""
+  {cnt(passes_total=BASE, passes_accurate=f"{BASE} AND ok", passes_inaccurate=f"{BASE} AND NOT ok")},
+  coalesce({pc(n(f"{BASE} AND ok"), n(BASE))}, 0) AS pass_accuracy_pct,
+  {cnt(longballs_attempted=f"{BASE} AND {q('Longball')}", longballs_accurate=f"{BASE} AND {q('Longball')} AND ok",
+       throughballs=f"{BASE} AND {q('Throughball')}", head_passes=f"{BASE} AND {q('HeadPass')}", layoffs=f"{BASE} AND {q('LayOff')}",
+       crosses_attempted=CROSS, crosses_accurate=f"{CROSS} AND ok", key_passes=KEY, big_chances_created=BIG,
+       passes_entering_final_third=ENTRY, passes_in_final_third=IN_THIRD, passes_in_final_third_accurate=f"{IN_THIRD} AND ok")},
+  {pc(n(f"{BASE} AND {q('Longball')} AND ok"), n(f"{BASE} AND {q('Longball')}"))} AS longball_accuracy_pct
+"""
+
+oracle("a01_team_passing", "feed_base assist_links", f"""
+SELECT f.*, coalesce(a.assists, 0) AS assists FROM (
+  SELECT combo_id, team_id, {_CORE},
+  {cnt(passes_short=f"{BASE} AND length < 10", passes_medium=f"{BASE} AND length >= 10 AND length <= 32", passes_long_band=f"{BASE} AND length > 32",
+       freekick_passes=f"{BASE} AND {q('FreekickTaken')}", indirect_fk_passes=f"{BASE} AND {q('IndirectFreekickTaken')}",
+       goalkick_passes=f"{BASE} AND {q('GoalKick')}",
+       corner_deliveries=f"etype = 'Pass' AND {q('CornerTaken')}", corner_deliveries_accurate=f"etype = 'Pass' AND {q('CornerTaken')} AND ok",
+       throwins_attempted=f"etype = 'Pass' AND {q('ThrowIn')}", throwins_accurate=f"etype = 'Pass' AND {q('ThrowIn')} AND ok",
+       keeper_throws_attempted=f"etype = 'Pass' AND {q('KeeperThrow')}", keeper_throws_accurate=f"etype = 'Pass' AND {q('KeeperThrow')} AND ok",
+       blocked_passes="etype = 'BlockedPass'")},
+  {pc(n(f"{CROSS} AND ok"), n(CROSS))} AS cross_accuracy_pct
+  FROM feed_base GROUP BY combo_id, team_id) f
+LEFT JOIN (SELECT combo_id, goal_team, count(*) AS assists FROM assist_links WHERE a_team = goal_team GROUP BY 1, 2) a
+  ON a.combo_id = f.combo_id AND a.goal_team = f.team_id
+""")
+
+oracle("a02_player_passing", "feed_base assist_links", f"""
+SELECT f.*, coalesce(a.assists, 0) AS assists FROM (
+  SELECT combo_id, team_id, player_id, {_CORE}
+  FROM feed_base GROUP BY combo_id, team_id, player_id HAVING {n("etype = 'Pass'")} > 0) f
+LEFT JOIN (SELECT combo_id, goal_team, a_player, count(*) AS assists FROM assist_links GROUP BY 1, 2, 3) a
+  ON a.combo_id = f.combo_id AND a.goal_team = f.team_id AND a.a_player = f.player_id
+""")
+
+# Runs as islands: difference of two row numbers, then ranked by their first event.
+helper("in_runs", "feed_base", """
+SELECT *, dense_rank() OVER (PARTITION BY combo_id ORDER BY first_o) AS run_id FROM (
+  SELECT *, min(o) OVER (PARTITION BY combo_id, team_id, o - ot) AS first_o FROM (
+    SELECT *, row_number() OVER (PARTITION BY combo_id ORDER BY t_s, pos) AS o,
+      row_number() OVER (PARTITION BY combo_id, team_id ORDER BY t_s, pos) AS ot
+    FROM feed_base WHERE etype NOT IN ('Start','End','FormationSet','FormationChange','SubstitutionOn','SubstitutionOff')) a) b
+""")
+oracle("w02_runs", "in_runs", "SELECT combo_id, pos, team_id, run_id FROM in_runs")
+oracle("w03_receivers", "in_runs", """
+SELECT p.combo_id, p.pos, p.player_id, r.receiver_id
+FROM in_runs p LEFT JOIN (
+  SELECT a.combo_id, a.pos, arg_min(b.player_id, b.o) AS receiver_id
+  FROM in_runs a JOIN in_runs b ON b.combo_id = a.combo_id AND b.run_id = a.run_id AND b.t_s > a.t_s AND b.player_id <> a.player_id
+  WHERE a.etype = 'Pass' GROUP BY 1, 2) r ON r.combo_id = p.combo_id AND r.pos = p.pos
+WHERE p.etype = 'Pass'
+""")
+
+helper("pass_rows", "feed_base", f"""
+SELECT *, (end_x - x) * 1.05 AS v_gain,
+  sqrt((100 - x) * (100 - x) + (50 - y) * (50 - y)) AS d0, sqrt((100 - end_x) * (100 - end_x) + (50 - end_y) * (50 - end_y)) AS d1,
+  {xt('x', 'y')} AS xt0, {xt('end_x', 'end_y')} AS xt1, NOT {DEAD} AS open_play
+FROM feed_base WHERE {BASE}
+""")
+_PROGRESSIVE = "(ok AND x > 33.3 AND d1 < d0 * 0.75)"
+_SWITCH = "(length > 32 AND abs(y - end_y) > 25)"
+_INTO_BOX = "(ok AND end_x >= 83 AND end_y BETWEEN 21 AND 79)"
+
+oracle("a03_pass_map", "pass_rows w03_receivers", f"""
+SELECT p.combo_id, p.team_id, p.pos, p.event_id, p.player_id, minute, second, expanded_minute, period, x, y, end_x, end_y, length,
+  ok AS accurate, v_gain, {rd('d0', 2)} AS dist_to_goal_start, {rd('d1', 2)} AS dist_to_goal_end,
+  {_PROGRESSIVE} AS is_progressive, (x < 66.6 AND end_x >= 66.6) AS is_final_third, {_INTO_BOX} AS is_penalty_area,
+  {_SWITCH} AS is_switch, open_play AS is_open_play, {rd('xt0', 6)} AS xt_start, {rd('xt1', 6)} AS xt_end, {rd('xt1 - xt0', 6)} AS xt_added,
+  r.receiver_id
+FROM pass_rows p JOIN w03_receivers r ON r.combo_id = p.combo_id AND r.pos = p.pos
+""")
+
+_PROFILE = f"""
+  {cnt(progressive_passes=_PROGRESSIVE, penalty_area_passes=_INTO_BOX)},
+  {div(xs('length', 'length <> 0'), n('length <> 0'), 2)} AS avg_pass_length,
+  {div(xs('v_gain'), 'count(*)', 2)} AS avg_vertical_gain,
+  {pc(n('v_gain > 0'), 'count(*)')} AS forward_pass_pct, {pc(n('v_gain < 0'), 'count(*)')} AS backward_pass_pct,
+  {rd(xs('xt1 - xt0'), 4)} AS xt_total, coalesce({rd(xs('xt1 - xt0', 'xt1 > xt0'), 4)}, 0) AS xt_positive,
+  {div(xs('xt1 - xt0'), 'count(*)', 6)} AS xt_per_pass
+"""
+helper("key_events", "feed_base assist_ids", f"""
+SELECT f.combo_id, f.team_id, f.player_id, NOT {DEAD} AS open_play FROM feed_base f
+WHERE {KEY} AND NOT EXISTS (SELECT 1 FROM assist_ids a WHERE a.combo_id = f.combo_id AND a.event_id = f.event_id)
+""")
+
+oracle("w04_tempo", "in_runs", f"""
+SELECT combo_id, team_id, {div('sum(gap)', 'count(*)', 2)} AS avg_release_seconds,
+  {pc(n('gap <= 2'), 'count(*)')} AS quick_pass_pct, {pc(n('gap > 5'), 'count(*)')} AS slow_pass_pct
+FROM (SELECT combo_id, team_id, player_id, t_s - lag(t_s) OVER w AS gap, lag(player_id) OVER w AS before
+      FROM in_runs WHERE {BASE} WINDOW w AS (PARTITION BY combo_id, run_id ORDER BY t_s, pos)) z
+WHERE before <> player_id AND gap > 0 AND gap <= 10 GROUP BY 1, 2
+""")
+
+oracle("w05_hold", "feed_base", f"""
+SELECT combo_id, team_id, player_id, {div('sum(gap)', 'count(*)', 2)} AS avg_hold_seconds FROM (
+  SELECT p.combo_id, p.team_id, p.player_id, p.pos, max(p.t_s) - max(t.t_s) AS gap
+  FROM feed_base p JOIN feed_base t ON t.combo_id = p.combo_id AND t.team_id = p.team_id AND t.player_id = p.player_id AND t.is_touch AND t.t_s < p.t_s
+  WHERE p.etype = 'Pass' AND NOT (coalesce(p.qa, '') IN ('Cross', 'ThrowIn', 'KeeperThrow') OR coalesce(p.qb, '') IN ('Cross', 'ThrowIn', 'KeeperThrow'))
+  GROUP BY 1, 2, 3, 4) z
+WHERE gap > 0 AND gap <= 15 GROUP BY 1, 2, 3
+""")
+
+_FAR_ACTION = "etype IN ('Tackle', 'Interception', 'Foul', 'Challenge', 'BlockedPass') AND x > 33.3"
+oracle("a05_ppda", "feed_base", f"""
+WITH c AS (SELECT combo_id, team_id, opp_id, {n("etype = 'Pass' AND x > 33.3")} AS passes, {n(_FAR_ACTION)} AS acts FROM feed_base GROUP BY 1, 2, 3)
+SELECT c.combo_id, c.team_id, o.passes AS opp_passes, c.acts AS def_actions, {div('o.passes', 'c.acts', 2)} AS ppda
+FROM c JOIN c o ON o.combo_id = c.combo_id AND o.team_id = c.opp_id
+""")
+oracle("a06_ppda_poss", "feed_base", f"""
+WITH c AS (SELECT combo_id, team_id, opp_id, {n("etype = 'Pass' AND x <= 66.6")} AS passes,
+    {n("etype IN ('Tackle', 'Interception', 'Foul', 'Challenge', 'BlockedPass') AND x >= 33.4")} AS acts FROM feed_base GROUP BY 1, 2, 3)
+SELECT c.combo_id, c.team_id, o.passes AS opp_passes, c.acts AS def_actions, {div('o.passes', 'c.acts', 2)} AS ppda
+FROM c JOIN c o ON o.combo_id = c.combo_id AND o.team_id = c.opp_id
+""")
+oracle("a07_field_tilt", "feed_base", f"""
+WITH c AS (SELECT combo_id, team_id, opp_id, {n("is_touch AND x >= 66.6")} AS k FROM feed_base GROUP BY 1, 2, 3)
+SELECT c.combo_id, c.team_id, c.k AS final_third_touches, {pc('c.k', 'c.k + o.k')} AS field_tilt_pct
+FROM c JOIN c o ON o.combo_id = c.combo_id AND o.team_id = c.opp_id
+""")
+oracle("a08_field_tilt_poss", "feed_base", f"""
+WITH c AS (SELECT combo_id, team_id, opp_id, {n("is_touch AND x > 66.6")} AS k, {n("etype = 'Pass' AND ok AND x > 66.6")} AS p FROM feed_base GROUP BY 1, 2, 3)
+SELECT c.combo_id, c.team_id, c.k AS final_third_touches, coalesce({pc('c.k', 'c.k + o.k', 1)}, 50) AS field_tilt_pct,
+  coalesce({pc('c.p', 'c.p + o.p', 1)}, 50) AS field_tilt_passes_pct
+FROM c JOIN c o ON o.combo_id = c.combo_id AND o.team_id = c.opp_id
+""")
+
+oracle("a04_team_passing_adv", "feed_base pass_rows assist_links key_events w04_tempo a05_ppda a07_field_tilt", f"""
+SELECT p.*, f.* EXCLUDE (combo_id, team_id),
+  coalesce(l.op, 0) AS assists_open_play, coalesce(k.key_passes, 0) AS key_passes, coalesce(k.key_op, 0) AS key_passes_open_play,
+  coalesce(k.key_passes, 0) + f.assists AS chances_created, coalesce(k.key_op, 0) + coalesce(l.op, 0) AS chances_created_open_play,
+  d.ppda, t.field_tilt_pct, w.avg_release_seconds, w.quick_pass_pct, w.slow_pass_pct
+FROM (
+  SELECT combo_id, team_id, {_PROFILE}, {cnt(switches_of_play=_SWITCH)},
+    {div(xs('sqrt((end_x - x) * (end_x - x) + (end_y - y) * (end_y - y))', 'ok'), n('ok'), 2)} AS avg_pass_length_euclid,
+    {pc(n('v_gain = 0'), 'count(*)')} AS lateral_pass_pct, {div(n(_PROGRESSIVE), 'count(*)', 4)} AS directness_index
+  FROM pass_rows GROUP BY 1, 2) p
+JOIN (
+  SELECT combo_id, team_id, {cnt(passes_entering_final_third=ENTRY, passes_in_final_third=IN_THIRD,
+    passes_in_final_third_accurate=f"{IN_THIRD} AND ok", passes_in_final_third_open_play=f"{IN_THIRD} AND NOT {DEAD}",
+    passes_in_final_third_op_accurate=f"{IN_THIRD} AND NOT {DEAD} AND ok", assists="etype = 'Goal' AND qa = 'Assisted'",
+    big_chances_created=BIG, big_chances_created_open_play=f"{BIG} AND NOT {DEAD}",
+    crosses_open_play_attempted=f"{CROSS} AND NOT {DEAD}", crosses_open_play_accurate=f"{CROSS} AND NOT {DEAD} AND ok",
+    corner_deliveries_open_play=f"etype = 'Pass' AND {q('CornerTaken')} AND NOT {DEAD}")}
+  FROM feed_base GROUP BY 1, 2) f ON f.combo_id = p.combo_id AND f.team_id = p.team_id
+LEFT JOIN (SELECT g.combo_id, g.team_id, count(*) FILTER (WHERE l.dead IS NOT TRUE) AS op
+      FROM feed_base g LEFT JOIN assist_links l ON l.combo_id = g.combo_id AND l.goal_pos = g.pos
+      WHERE g.etype = 'Goal' AND g.qa = 'Assisted' AND g.rel_event_id IS NOT NULL GROUP BY 1, 2) l ON l.combo_id = p.combo_id AND l.team_id = p.team_id
+LEFT JOIN (SELECT combo_id, team_id, count(*) AS key_passes, {n('open_play')} AS key_op FROM key_events GROUP BY 1, 2) k
+  ON k.combo_id = p.combo_id AND k.team_id = p.team_id
+LEFT JOIN a05_ppda d ON d.combo_id = p.combo_id AND d.team_id = p.team_id
+LEFT JOIN a07_field_tilt t ON t.combo_id = p.combo_id AND t.team_id = p.team_id
+LEFT JOIN w04_tempo w ON w.combo_id = p.combo_id AND w.team_id = p.team_id
+""")
+
+oracle("a09_player_passing_adv", "pass_rows assist_links key_events w05_hold", f"""
+SELECT p.*, coalesce(k.k, 0) AS key_passes, coalesce(a.a, 0) AS assists, coalesce(k.k, 0) + coalesce(a.a, 0) AS chances_created, h.avg_hold_seconds
+FROM (SELECT combo_id, team_id, player_id, {_PROFILE}, {n('x < 66.6 AND end_x >= 66.6')} AS passes_entering_final_third
+      FROM pass_rows GROUP BY 1, 2, 3) p
+LEFT JOIN (SELECT combo_id, team_id, player_id, count(*) AS k FROM key_events GROUP BY 1, 2, 3) k
+  ON k.combo_id = p.combo_id AND k.team_id = p.team_id AND k.player_id = p.player_id
+LEFT JOIN (SELECT combo_id, goal_team, a_player, count(*) AS a FROM assist_links GROUP BY 1, 2, 3) a
+  ON a.combo_id = p.combo_id AND a.goal_team = p.team_id AND a.a_player = p.player_id
+LEFT JOIN w05_hold h ON h.combo_id = p.combo_id AND h.team_id = p.team_id AND h.player_id = p.player_id
+""")
+oracle("a10_avg_position", "feed_base", f"""
+SELECT combo_id, team_id, player_id, {div(xs('x'), 'count(*)', 2)} AS avg_x, {div(xs('y'), 'count(*)', 2)} AS avg_y, count(*) AS touch_count
+FROM feed_base WHERE is_touch GROUP BY 1, 2, 3
+""")
+oracle("a11_pass_network", "w03_receivers feed_base", """
+SELECT f.combo_id, f.team_id, f.player_id AS passer_id, r.receiver_id, count(*) AS pass_count
+FROM feed_base f JOIN w03_receivers r ON r.combo_id = f.combo_id AND r.pos = f.pos
+WHERE f.ok AND r.receiver_id IS NOT NULL GROUP BY 1, 2, 3, 4
+""")
+
+# -- shooting ----------------------------------------------------------------------
+
+_DIST = rd("sqrt(((100 - x) * 1.05) * ((100 - x) * 1.05) + ((50 - y) * 0.68) * ((50 - y) * 0.68))", 2)
+oracle("a12_shots", "feed_base", f"""
+SELECT *, CASE WHEN distance_m = 0 THEN 90 ELSE {rd('degrees(2 * atan(3.66 / distance_m))', 2)} END AS angle_deg FROM (
+SELECT combo_id, row_number() OVER (PARTITION BY combo_id ORDER BY pos) - 1 AS row_id, pos, event_id, team_id, player_id, minute, second, expanded_minute,
+  period, x, y, etype = 'Goal' AS is_goal, (etype = 'Goal' OR (etype = 'SavedShot' AND NOT {q('Blocked')})) AS is_on_target,
+  (etype = 'SavedShot' AND {q('Blocked')}) AS is_blocked, etype IN ('MissedShots', 'ShotOnPost') AS is_off_target,
+  NOT {q('FreekickTaken')} AS is_open_play, 'Unknown' AS location, false AS in_box, false AS six_yard_box, false AS small_box,
+  {_DIST} AS distance_m, CASE WHEN qb IN ('RightFoot', 'LeftFoot', 'Head') THEN qb ELSE 'Unknown' END AS body_part,
+  {q('Head')} AS is_header, {q('RightFoot')} AS is_right_foot, {q('LeftFoot')} AS is_left_foot, false AS is_volley, false AS is_first_touch,
+  CASE WHEN {q('FreekickTaken')} THEN 'FreekickTaken' ELSE 'RegularPlay' END AS pattern, false AS is_from_corner,
+  {q('FreekickTaken')} AS is_from_freekick, false AS is_fast_break, {q('Assisted')} AS is_assisted, false AS is_individual_play,
+  {q('BigChance')} AS is_big_chance, false AS is_one_on_one, CAST(NULL AS DOUBLE) AS goal_mouth_y, CAST(NULL AS DOUBLE) AS goal_mouth_z,
+  CAST(NULL AS VARCHAR) AS placement, rel_event_id AS related_event_id
+FROM feed_base WHERE is_shot) s
+""")
+_SHOOTING = f"""
+  count(*) AS total_shots, {cnt(goals='is_goal', shots_on_target='is_on_target', shots_blocked='is_blocked', shots_off_target='is_off_target',
+    big_chances='is_big_chance', big_chances_scored='is_big_chance AND is_goal', one_on_ones='is_one_on_one', shots_in_box='in_box',
+    shots_out_of_box='NOT in_box', shots_six_yard_box='six_yard_box', shots_right_foot='is_right_foot', shots_left_foot='is_left_foot',
+    shots_header='is_header', shots_volley='is_volley', shots_first_touch='is_first_touch', shots_from_corner='is_from_corner',
+    shots_from_freekick='is_from_freekick', shots_fast_break='is_fast_break', shots_assisted='is_assisted',
+    shots_individual_play='is_individual_play', shots_open_play='is_open_play', goals_open_play='is_open_play AND is_goal',
+    shots_on_target_open_play='is_open_play AND is_on_target', placement_top_corner="is_on_target AND placement = 'TopCorner'",
+    placement_low_corner="is_on_target AND placement = 'LowCorner'", placement_centre_frame="is_on_target AND placement = 'CentreFrame'")},
+  {pc(n('is_on_target'), 'count(*)')} AS shots_on_target_pct, {pc(n('is_goal'), 'count(*)')} AS conversion_rate_pct,
+  coalesce({pc(n('is_goal'), n('is_on_target'))}, 0) AS goals_per_shot_on_target_pct,
+  {pc(n('is_big_chance AND is_goal'), n('is_big_chance'))} AS big_chance_conversion_pct,
+  {pc(n('in_box AND is_goal'), n('in_box'))} AS in_box_conversion_pct, {div(xs('distance_m'), 'count(*)', 2)} AS avg_shot_distance_m
+"""
+oracle("a13_team_shooting", "a12_shots", f"SELECT combo_id, team_id, {_SHOOTING} FROM a12_shots GROUP BY 1, 2")
+oracle("a13_player_shooting", "a12_shots", f"SELECT combo_id, team_id, player_id, {_SHOOTING} FROM a12_shots GROUP BY 1, 2, 3")
+
+_KIND = """CASE WHEN {a}etype = 'Pass' AND {a}ok AND (coalesce({a}qa, '') IN ('ThrowIn','CornerTaken','FreekickTaken','GoalKick','KickOff','IndirectFreekickTaken')
+  OR coalesce({a}qb, '') IN ('ThrowIn','CornerTaken','FreekickTaken','GoalKick','KickOff','IndirectFreekickTaken')) THEN 'Pass (Dead)'
+  WHEN {a}etype = 'Pass' AND {a}ok THEN 'Pass (Live)' WHEN {a}etype = 'TakeOn' AND {a}ok THEN 'Take-On' WHEN {a}is_shot THEN 'Shot'
+  WHEN {a}etype IN ('Interception', 'Tackle') THEN {a}etype END"""
+oracle("w01_sca", "feed_base", f"""
+WITH ev AS (SELECT *, {_KIND.format(a='')} AS kind FROM feed_base),
+near AS (
+  SELECT s.combo_id, s.pos AS shot_pos, s.team_id AS st, s.pos - e.pos AS d, e.*
+  EXCLUDE (combo_id) FROM ev s JOIN ev e ON e.combo_id = s.combo_id AND e.pos BETWEEN s.pos - 12 AND s.pos - 1 WHERE s.is_shot),
+judged AS (
+  SELECT *, (etype <> 'Foul' AND team_id <> st AND ((etype IN ('Pass', 'TakeOn') AND ok) OR is_shot OR etype = 'Interception'))
+      OR (etype <> 'Foul' AND team_id = st AND kind IS NULL AND etype IN ('BallRecovery','KeeperPickup','Save','Clearance','BlockedPass')) AS stops,
+    CASE WHEN etype = 'Foul' AND team_id = st AND ok THEN 'Fouled' WHEN etype <> 'Foul' AND team_id = st THEN kind END AS credit
+  FROM near),
+limits AS (SELECT combo_id, shot_pos, min(d) FILTER (WHERE stops) AS stop_d FROM judged GROUP BY 1, 2),
+hits AS (
+  SELECT j.combo_id, j.shot_pos, j.st, j.d, j.player_id, j.credit AS kind FROM judged j JOIN limits l USING (combo_id, shot_pos)
+  WHERE j.credit IS NOT NULL AND (l.stop_d IS NULL OR j.d < l.stop_d)
+  UNION ALL
+  -- every event has a team, so the peek is the event right before the recovery
+  SELECT j.combo_id, j.shot_pos, j.st, j.d, p.player_id, p.kind FROM judged j JOIN limits l ON l.combo_id = j.combo_id AND l.shot_pos = j.shot_pos AND l.stop_d = j.d
+  JOIN ev p ON p.combo_id = j.combo_id AND p.pos = j.pos - 1
+  WHERE j.etype = 'BallRecovery' AND j.team_id = j.st AND p.team_id = j.st AND p.kind IN ('Tackle', 'Interception')),
+ranked AS (SELECT *, row_number() OVER w AS slot, first_value(kind) OVER w AS k1 FROM hits WINDOW w AS (PARTITION BY combo_id, shot_pos ORDER BY d))
+SELECT combo_id, shot_pos, st AS team_id, slot, player_id, kind FROM ranked WHERE slot = 1 OR (slot = 2 AND k1 <> 'Shot')
+""")
+_CREDITS = cnt(sca_pass_live="kind = 'Pass (Live)'", sca_pass_dead="kind = 'Pass (Dead)'", sca_take_on="kind = 'Take-On'", sca_shot="kind = 'Shot'",
+               sca_fouled="kind = 'Fouled'", sca_defense="kind IN ('Interception', 'Tackle')")
+oracle("a14_sca_totals", "w01_sca", f"""
+SELECT combo_id, team_id, CAST(NULL AS BIGINT) AS player_id, count(*) AS sca, {_CREDITS}, {n('slot = 1')} AS shots_with_sca FROM w01_sca GROUP BY 1, 2
+UNION ALL SELECT combo_id, team_id, player_id, count(*), {", ".join(c.split(" AS ")[0] for c in _CREDITS.split(",\n  "))}, NULL FROM w01_sca GROUP BY 1, 2, 3
+""")
+oracle("a14_player_shooting_full", "a13_player_shooting a14_sca_totals", """
+SELECT coalesce(s.combo_id, c.combo_id) AS combo_id, coalesce(s.team_id, c.team_id) AS team_id, coalesce(s.player_id, c.player_id) AS player_id,
+  s.* EXCLUDE (combo_id, team_id, player_id), coalesce(c.sca, 0) AS sca, coalesce(sca_pass_live, 0) AS sca_pass_live,
+  coalesce(sca_pass_dead, 0) AS sca_pass_dead, coalesce(sca_take_on, 0) AS sca_take_on, coalesce(sca_shot, 0) AS sca_shot,
+  coalesce(sca_fouled, 0) AS sca_fouled, coalesce(sca_defense, 0) AS sca_defense
+FROM a13_player_shooting s
+FULL JOIN (SELECT * FROM a14_sca_totals WHERE player_id IS NOT NULL) c
+  ON c.combo_id = s.combo_id AND c.team_id = s.team_id AND c.player_id = s.player_id
+""")
+
+# -- possession --------------------------------------------------------------------
+
+_LOST = "(etype = 'TakeOn' AND NOT ok) OR etype = 'Dispossessed'"
+
+
+def _touches(total: str) -> str:
+    zones = cnt(**{f"touches_{z}": f"is_touch AND {third()} = '{z}'" for z in ZONES})
+    return (f"{n('is_touch')} AS {total}, {zones}, {n('is_touch AND x > 83 AND y BETWEEN 21 AND 79')} AS touches_in_box, "
+            f"{div(xs('x', 'is_touch'), n('is_touch'), 1)} AS avg_touch_x")
+
+
+def _dribbles() -> str:
+    d = "etype = 'TakeOn'"
+    out = [cnt(dribbles_attempted=d, dribbles_won=f"{d} AND ok", dribbles_lost=f"{d} AND NOT ok", dispossessed="etype = 'Dispossessed'", ball_losses=_LOST),
+           f"{pc(n(f'{d} AND ok'), n(d), 1)} AS dribble_success_pct", f"{pc(f'({n(chr(105) + chr(115) + '_touch')} - {n(_LOST)})', n('is_touch'), 1)} AS ball_retention_pct"]
+    for z in ZONES:
+        c = f"{d} AND {third()} = '{z}'"
+        out += [cnt(**{f"dribbles_{z}": c, f"dribbles_won_{z}": f"{c} AND ok"}), f"{pc(n(f'{c} AND ok'), n(c), 1)} AS dribble_success_pct_{z}"]
+    return ", ".join(out)
+
+
+helper("shares", "possession_minutes", """
+SELECT combo_id, team_id, own / nullif(sum(own) OVER (PARTITION BY combo_id), 0) AS share
+FROM (SELECT combo_id, team_id, sum(value) AS own FROM possession_minutes GROUP BY 1, 2) z
+""")
+oracle("a15_team_possession", "feed_base shares", f"""
+SELECT f.* EXCLUDE (good), s.possession_pct, {rd('s.possession_pct / 100 * 90', 2)} AS possession_minutes,
+  {div('good', rd('s.possession_pct / 100 * 90', 2), 2)} AS passing_rate
+FROM (SELECT combo_id, team_id, {_touches('touches_total')}, {_dribbles()},
+  {cnt(dribbles_offensive=f"etype = 'TakeOn' AND {q('Offensive')}", dribbles_defensive=f"etype = 'TakeOn' AND {q('Defensive')}",
+       dribbles_overrun=f"etype = 'TakeOn' AND {q('OverRun')}", dispossessed_offensive=f"etype = 'Dispossessed' AND {q('Offensive')}",
+       dispossessed_defensive=f"etype = 'Dispossessed' AND {q('Defensive')}", shield_ball_opp="etype = 'ShieldBallOpp'",
+       corners_won="etype = 'CornerAwarded' AND x > 50", corners_miss_left=f"etype = 'CornerAwarded' AND x > 50 AND {q('MissLeft')}",
+       corners_miss_right=f"etype = 'CornerAwarded' AND x > 50 AND {q('MissRight')}", good=f"{BASE} AND ok")}
+  FROM feed_base GROUP BY 1, 2) f
+JOIN (SELECT combo_id, team_id, {rd('share * 100', 1)} AS possession_pct FROM shares) s ON s.combo_id = f.combo_id AND s.team_id = f.team_id
+""")
+oracle("a16_player_possession", "feed_base", f"""
+SELECT combo_id, team_id, player_id, {_touches('touches')}, {_dribbles()}
+FROM feed_base WHERE is_touch OR etype IN ('TakeOn', 'Dispossessed') GROUP BY 1, 2, 3
+""")
+
+# -- defending ---------------------------------------------------------------------
+
+helper("def_feed", "feed_base squad", """
+SELECT f.*, f.etype = 'Clearance' AND EXISTS (SELECT 1 FROM squad s WHERE s.combo_id = f.combo_id AND s.player_id = f.player_id AND s.position = 'GK') AS gk_clear
+FROM feed_base f
+""")
+_CLEAR = "(etype = 'Clearance' AND NOT gk_clear)"
+_SHAPE = f"(etype IN ('Tackle', 'Challenge', 'Interception', 'BlockedPass') OR {_CLEAR})"
+_PHYS = f"(etype = 'Foul' AND {q('Foul')} AND NOT {q('AerialFoul')})"
+_WON = f"(etype IN ('Tackle', 'KeeperSweeper') OR (etype = 'TakeOn' AND ok) OR ({_PHYS} AND ok))"
+_LOSTD = f"(etype IN ('Challenge', 'Dispossessed') OR (etype = 'TakeOn' AND NOT ok) OR ({_PHYS} AND NOT ok))"
+_AFOUL = f"(etype = 'Foul' AND {q('AerialFoul')})"
+
+
+def _defending() -> str:
+    tk = "etype IN ('Tackle', 'Challenge')"
+    out = [cnt(tackles_total=tk, tackles_won="etype = 'Tackle' AND ok", tackles_lost="etype = 'Tackle' AND NOT ok", dribbled_past="etype = 'Challenge'",
+               tackles_defensive=f"etype = 'Tackle' AND {q('Defensive')}", tackles_offensive=f"etype = 'Tackle' AND {q('Offensive')}",
+               interceptions="etype = 'Interception'", interceptions_headed=f"etype = 'Interception' AND {q('Head')}",
+               interceptions_last_man=f"etype = 'Interception' AND {q('LastMan')}", clearances=_CLEAR, clearances_headed=f"{_CLEAR} AND {q('Head')}",
+               clearances_blocked_cross=f"{_CLEAR} AND {q('BlockedCross')}", clearances_in_own_box=f"{_CLEAR} AND x <= 17",
+               aerials_defensive=f"etype = 'Aerial' AND {q('Defensive')}", aerials_offensive=f"etype = 'Aerial' AND {q('Offensive')}",
+               aerials_won=f"(etype = 'Aerial' OR {_AFOUL}) AND ok", all_aerials=f"etype = 'Aerial' OR {_AFOUL}",
+               ball_recoveries="etype IN ('BallRecovery', 'Interception', 'KeeperSweeper')", blocked_passes="etype = 'BlockedPass'",
+               fouls_conceded="etype = 'Foul' AND NOT ok", fouls_won="etype = 'Foul' AND ok", dispossessed="etype = 'Dispossessed'",
+               shield_ball_opp="etype = 'ShieldBallOpp'", offsides_caught="etype = 'OffsideProvoked'",
+               errors_leading_to_shot="etype = 'Error' AND false", errors_leading_to_goal="etype = 'Error' AND false", errors_total="etype = 'Error'",
+               won=_WON, lost=_LOSTD, blocked_own=f"etype = 'SavedShot' AND {q('Blocked')}"),
+           f"{pc(n('''etype = 'Tackle' AND ok'''), n(tk))} AS tackle_success_pct",
+           f"{div(xs('length', f'{_CLEAR} AND length IS NOT NULL'), n(f'{_CLEAR} AND length IS NOT NULL'), 2)} AS avg_clearance_distance_m",
+           f"{div(xs('x', _SHAPE), n(_SHAPE), 2)} AS avg_defensive_line_height"]
+    for kind in ("Defensive", "Offensive"):
+        c = f"etype = 'Aerial' AND {q(kind)}"
+        out.append(f"{pc(n(c + ' AND ok'), n(c))} AS aerial_win_pct_{kind.lower()}")
+    for z in ZONES:
+        h = f"{third()} = '{z}'"
+        out += [cnt(**{f"tackles_{z}": f"{tk} AND {h}", f"tackles_won_{z}": f"etype = 'Tackle' AND ok AND {h}", f"interceptions_{z}": f"etype = 'Interception' AND {h}",
+                       f"aerials_{z}": f"etype = 'Aerial' AND {h}", f"recoveries_{z}": f"etype IN ('BallRecovery', 'Interception', 'KeeperSweeper') AND {h}",
+                       f"press_actions_{z}": f"{_SHAPE} AND {h}", f"ground_duels_{z}": f"({_WON} OR {_LOSTD}) AND {h}"}),
+                f"{pc(n(f'''etype = 'Tackle' AND ok AND {h}'''), n(f'{tk} AND {h}'))} AS tackle_success_pct_{z}",
+                f"{pc(n(f'''etype = 'Aerial' AND ok AND {h}'''), n(f'''etype = 'Aerial' AND {h}'''))} AS aerial_win_pct_{z}",
+                f"{pc(n(f'{_WON} AND {h}'), n(f'({_WON} OR {_LOSTD}) AND {h}'))} AS ground_duel_win_pct_{z}"]
+    return ", ".join(out)
+
+
+_DUELS = f"""g AS ground_duels, gw AS ground_duels_won, g - gw AS ground_duels_lost, {pc('gw', 'g')} AS ground_duel_win_pct,
+  a AS aerials_total, a - aerials_won AS aerials_lost, {pc('aerials_won', 'a')} AS aerial_win_pct, g + a AS total_duels,
+  gw + aerials_won AS total_duels_won, g + a - gw - aerials_won AS total_duels_lost, {pc('(gw + aerials_won)', '(g + a)')} AS duel_win_pct,
+  bs AS blocked_shots, clearances + blocked_passes + bs + interceptions + tackles_won AS defensive_actions_total"""
+oracle("a17_team_defending", "def_feed", f"""
+WITH t AS (SELECT combo_id, team_id, opp_id, {_defending()} FROM def_feed GROUP BY 1, 2, 3),
+p AS (SELECT t.*, t.won AS gw, t.won + o.won AS g, t.aerials_won + o.aerials_won AS a, o.blocked_own AS bs
+      FROM t JOIN t o ON o.combo_id = t.combo_id AND o.team_id = t.opp_id)
+SELECT * EXCLUDE (opp_id, all_aerials, won, lost, blocked_own, gw, g, a, bs), {_DUELS} FROM p
+""")
+oracle("a18_player_defending", "def_feed squad", f"""
+WITH t AS (SELECT combo_id, team_id, player_id, {_defending()} FROM (
+    SELECT combo_id, team_id, player_id, etype, ok, qa, qb, x, length, gk_clear FROM def_feed
+    UNION ALL SELECT combo_id, team_id, player_id, '', false, NULL, NULL, NULL, NULL, false FROM squad WHERE position = 'GK') u GROUP BY 1, 2, 3),
+p AS (SELECT *, won AS gw, won + lost AS g, all_aerials AS a, 0::BIGINT AS bs FROM t),
+r AS (SELECT * EXCLUDE (all_aerials, won, lost, blocked_own, gw, g, a, bs), {_DUELS} FROM p)
+SELECT r.* FROM r WHERE defensive_actions_total > 0 OR errors_total > 0 OR fouls_conceded > 0 OR ball_recoveries > 0
+  OR EXISTS (SELECT 1 FROM squad s WHERE s.combo_id = r.combo_id AND s.player_id = r.player_id AND s.position = 'GK')
+""")
+
+# -- discipline and keepers --------------------------------------------------------
+
+_ZONE = "CASE WHEN {x} <= 17 THEN 'own_box' WHEN {x} <= 50 THEN 'own_half' WHEN {x} <= 66.6 THEN 'midfield' ELSE 'danger_area' END"
+_MADE = "etype = 'Foul' AND NOT ok"
+_DISCIPLINE = cnt(
+    fouls_committed=_MADE, fouls_won="etype = 'Foul' AND ok", fouls_defensive=f"{_MADE} AND {q('Defensive')}", fouls_offensive=f"{_MADE} AND {q('Offensive')}",
+    fouls_aerial=f"{_MADE} AND {q('AerialFoul')}", **{f"fouls_{z}": f"{_MADE} AND {_ZONE.format(x='x')} = '{z}'" for z in ("own_box", "own_half", "midfield", "danger_area")},
+    fouls_first_half=f"{_MADE} AND period = 1", fouls_second_half=f"{_MADE} AND period <> 1", fouls_late_game=f"{_MADE} AND expanded_minute >= 75",
+    yellow_cards="etype = 'Card' AND qa = 'Yellow'", red_cards="etype = 'Card' AND qa IN ('Red', 'SecondYellow')",
+    second_yellow_cards="etype = 'Card' AND qa = 'SecondYellow'", offsides_committed="etype = 'OffsideGiven'")
+oracle("a19_team_discipline", "feed_base", f"""
+SELECT *, {pc('(fouls_own_box + fouls_danger_area)', 'fouls_committed')} AS dangerous_foul_rate_pct,
+  {div('fouls_second_half', 'fouls_first_half', 2)} AS foul_escalation_rate, {div('fouls_committed', 'yellow_cards + red_cards', 1)} AS foul_to_card_ratio
+FROM (SELECT combo_id, team_id, {_DISCIPLINE}, {cnt(offsides_caught="etype = 'OffsideProvoked'", goals_disallowed_offside="etype = 'OffsidePass'")}
+      FROM feed_base GROUP BY 1, 2) z
+""")
+oracle("a20_player_discipline", "feed_base", f"""
+SELECT combo_id, team_id, player_id, {_DISCIPLINE} FROM feed_base GROUP BY 1, 2, 3 HAVING {n("etype = 'Foul'")} > 0
+""")
+oracle("a21_cards", "feed_base", f"""
+SELECT c.combo_id, c.pos, c.team_id, c.player_id, c.qa AS card_type, c.minute, c.expanded_minute, c.period, c.x, c.y, f.x AS foul_x, f.y AS foul_y,
+  CASE WHEN f.x IS NOT NULL THEN {_ZONE.format(x='f.x')} END AS foul_zone
+FROM feed_base c LEFT JOIN (
+  SELECT combo_id, event_id, arg_max(x, pos) AS x, arg_max(y, pos) AS y FROM feed_base GROUP BY 1, 2) f
+  ON f.combo_id = c.combo_id AND f.event_id = c.rel_event_id
+WHERE c.etype = 'Card'
+""")
+_KICK = f"(etype = 'Pass' AND NOT {q('KeeperThrow')})"
+_LONG = f"({_KICK} AND {q('Longball')})"
+_SAVE = f"(etype = 'Save' AND NOT {q('FromShotOffTarget')})"
+_DG = "sqrt(((100 - {x}) * 1.05) * ((100 - {x}) * 1.05) + ((50 - {y}) * 0.68) * ((50 - {y}) * 0.68))"
+oracle("a22_keepers", "feed_base squad", f"""
+SELECT k.combo_id, k.team_id, k.player_id, e.* EXCLUDE (combo_id, player_id), t.goal_kicks, o.goals AS goals_conceded,
+  e.saves + o.goals AS shots_on_target_faced, {pc('e.saves', 'e.saves + o.goals')} AS save_pct
+FROM (SELECT DISTINCT combo_id, team_id, player_id, is_home FROM squad WHERE position = 'GK') k
+JOIN (SELECT combo_id, player_id, {cnt(saves=_SAVE, saves_standing=f"etype = 'Save' AND {q('StandingSave')}", saves_diving=f"etype = 'Save' AND {q('DivingSave')}",
+    saves_in_box="etype = 'Save' AND false", saves_out_of_box="etype = 'Save' AND false", saves_collected=f"etype = 'Save' AND {q('Collected')}",
+    saves_parried_safe=f"etype = 'Save' AND {q('ParriedSafe')}", saves_parried_danger=f"etype = 'Save' AND {q('ParriedDanger')}",
+    saves_with_head=f"etype = 'Save' AND {q('Head')}", saves_other_body_part=f"etype = 'Save' AND {q('OtherBodyPart')}",
+    keeper_pickups="etype = 'KeeperPickup'", pickups_routine=f"etype = 'KeeperPickup' AND NOT {q('StandingSave')}",
+    pickups_after_save=f"etype = 'KeeperPickup' AND {q('StandingSave')}", high_claims="etype = 'Aerial'", high_claims_won="etype = 'Aerial' AND ok",
+    sweeper_actions="etype = 'KeeperSweeper'", punches="etype = 'Punch'", punches_accurate="etype = 'Punch' AND ok",
+    distributions_total="etype IN ('Pass', 'Punch')", passes_total=_KICK, passes_accurate=f"{_KICK} AND ok", keeper_throws=f"etype = 'Pass' AND {q('KeeperThrow')}",
+    longballs=_LONG, longballs_accurate=f"{_LONG} AND ok", short_passes=f"{_KICK} AND NOT {q('Longball')}", freekick_passes=f"{_KICK} AND {q('FreekickTaken')}",
+    touches_outside_box="x > 17", passes_outside_box=f"{_KICK} AND x > 17", clearances="etype = 'Clearance'",
+    progressive_passes=f"etype = 'Pass' AND ok AND end_x <> 0 AND x > 33.3 AND {_DG.format(x='end_x', y='end_y')} < {_DG.format(x='x', y='y')} * 0.75")},
+    {pc(n("etype = 'Aerial' AND ok"), n("etype = 'Aerial'"))} AS high_claim_win_pct,
+    CAST(NULL AS DOUBLE) AS avg_sweeper_x, CAST(NULL AS DOUBLE) AS avg_punch_distance_m,
+    {pc(n(f"{_KICK} AND ok"), n(_KICK))} AS distribution_accuracy_pct, {pc(n(f"{_LONG} AND ok"), n(_LONG))} AS longball_accuracy_pct,
+    {div(xs('length', _KICK), n(_KICK), 2)} AS avg_distribution_length_m, {pc(n(_LONG), n(_KICK))} AS long_kick_pct,
+    {pc(n(f"{_KICK} AND NOT {q('Longball')}"), n(_KICK))} AS short_kick_pct
+  FROM feed_base GROUP BY 1, 2) e ON e.combo_id = k.combo_id AND e.player_id = k.player_id
+JOIN (SELECT combo_id, team_id, opp_id, {n(f"etype = 'Pass' AND {q('GoalKick')}")} AS goal_kicks, {n("etype = 'Goal'")} AS goals FROM feed_base GROUP BY 1, 2, 3) t
+  ON t.combo_id = k.combo_id AND t.team_id = k.team_id
+JOIN (SELECT combo_id, team_id, {n("etype = 'Goal'")} AS goals FROM feed_base GROUP BY 1, 2) o ON o.combo_id = k.combo_id AND o.team_id = t.opp_id
+""")
