@@ -532,3 +532,320 @@ JOIN (SELECT combo_id, team_id, opp_id, {n(f"etype = 'Pass' AND {q('GoalKick')}"
   ON t.combo_id = k.combo_id AND t.team_id = k.team_id
 JOIN (SELECT combo_id, team_id, {n("etype = 'Goal'")} AS goals FROM feed_base GROUP BY 1, 2) o ON o.combo_id = k.combo_id AND o.team_id = t.opp_id
 """)
+
+# -- sequences ---------------------------------------------------------------------
+
+_STOPS = "('End','Start','FormationSet','FormationChange','SubstitutionOn','SubstitutionOff','OffsideGiven')"
+_RESTART = q("ThrowIn", "FreekickTaken", "CornerTaken", "GoalKick", "KickOff")
+helper("seq_segments", "feed_base", f"""
+SELECT *, sum(CASE WHEN hard OR restart THEN 1 ELSE 0 END) OVER w
+    + coalesce(sum(CASE WHEN NOT hard AND NOT restart AND is_shot THEN 1 ELSE 0 END) OVER (PARTITION BY combo_id ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg
+FROM (SELECT *, row_number() OVER (PARTITION BY combo_id ORDER BY t_s, event_id, pos) AS o,
+        etype IN {_STOPS} OR etype = 'Foul' OR (etype = 'Goal' AND {q('OwnGoal')}) AS hard,
+        NOT (etype IN {_STOPS} OR etype = 'Foul' OR (etype = 'Goal' AND {q('OwnGoal')})) AND {_RESTART} AS restart
+      FROM feed_base WHERE etype NOT IN ('CornerAwarded', 'Card')) z
+WINDOW w AS (PARTITION BY combo_id ORDER BY o)
+""")
+helper("seq_marked", "seq_segments", """
+SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY combo_id ORDER BY o) AS seq_id FROM (
+  SELECT *, NOT hard AND (o = first_o OR team_id <> holder) AS starts FROM (
+    SELECT *, arg_max(CASE WHEN o = first_o OR NOT weak THEN team_id END, CASE WHEN NOT hard AND (o = first_o OR NOT weak) THEN o END)
+        OVER (PARTITION BY combo_id, seg ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS holder
+    FROM (SELECT *, min(CASE WHEN NOT hard THEN o END) OVER (PARTITION BY combo_id, seg) AS first_o,
+            etype IN ('Tackle', 'Challenge', 'Aerial') AND NOT ok AS weak FROM seq_segments) a) b
+  WHERE hard OR NOT weak OR o = first_o OR team_id = holder) c
+""")
+helper("seq_events", "seq_marked", """
+SELECT * FROM seq_marked WHERE NOT hard
+""")
+# The row that ends a sequence: the first later hard stop or sequence start.
+helper("seq_ends", "seq_marked seq_events", """
+SELECT s.combo_id, s.seq_id, s.team_id, s.n, s.first_type, s.last_shot, s.ev0, s.ev1, s.o0, s.o1,
+  CASE WHEN s.last_shot AND NOT s.last_restart THEN NULL WHEN b.o IS NULL THEN 'End' WHEN b.restart THEN 'Restart' WHEN NOT b.hard THEN NULL
+       WHEN b.etype = 'Foul' THEN CASE WHEN (CASE WHEN b.ok THEN b.team_id ELSE b.opp_id END) = s.team_id THEN 'FoulWon' ELSE 'FoulConceded' END
+       WHEN b.etype = 'Goal' THEN CASE WHEN b.team_id <> s.team_id THEN 'OwnGoalFor' ELSE 'End' END ELSE b.etype END AS marker,
+  CASE WHEN NOT (s.last_shot AND NOT s.last_restart) AND NOT b.hard THEN b.etype END AS next_type,
+  CASE WHEN NOT (s.last_shot AND NOT s.last_restart) AND NOT b.hard THEN b.team_id END AS next_team
+FROM (SELECT combo_id, seq_id, team_id, count(*) AS n, arg_min(etype, o) AS first_type, arg_max(is_shot, o) AS last_shot, arg_max(restart, o) AS last_restart,
+        arg_min(event_id, o) AS ev0, arg_max(event_id, o) AS ev1, min(o) AS o0, max(o) AS o1
+      FROM seq_events GROUP BY 1, 2, 3) s
+LEFT JOIN (SELECT e.combo_id, e.seq_id, min(m.o) AS nxt FROM (SELECT combo_id, seq_id, max(o) AS o1 FROM seq_events GROUP BY 1, 2) e
+      JOIN seq_marked m ON m.combo_id = e.combo_id AND m.o > e.o1 AND (m.hard OR m.starts) GROUP BY 1, 2) x ON x.combo_id = s.combo_id AND x.seq_id = s.seq_id
+LEFT JOIN seq_marked b ON b.combo_id = x.combo_id AND b.o = x.nxt
+""")
+oracle("w06_sequences", "seq_ends", f"""
+SELECT combo_id, {i('seq_id')} AS seq_id, team_id, n AS length, ev0 AS event_id_start, ev1 AS event_id_end, first_type, last_shot AS ends_in_shot, marker, next_type
+FROM seq_ends
+""")
+# Stitching: walk over the fragments of a match one by one.
+helper("seq_stitch", "seq_ends", """
+SELECT combo_id, seq_id, mid AND rnk % 2 = 1 AS absorbed FROM (
+  SELECT *, row_number() OVER (PARTITION BY combo_id, mid, isl ORDER BY seq_id) AS rnk FROM (
+    SELECT *, seq_id - row_number() OVER (PARTITION BY combo_id, mid ORDER BY seq_id) AS isl FROM (
+      SELECT k.combo_id, k.seq_id, coalesce(k.n = 1 AND k.first_type IN ('Clearance', 'BlockedPass', 'BallTouch', 'Punch') AND k.marker IS NULL
+          AND a.team_id <> k.team_id AND a.team_id = b.team_id AND a.marker IS NULL AND NOT a.last_shot, false) AS mid
+      FROM seq_ends k LEFT JOIN seq_ends a ON a.combo_id = k.combo_id AND a.seq_id = k.seq_id - 1
+      LEFT JOIN seq_ends b ON b.combo_id = k.combo_id AND b.seq_id = k.seq_id + 1) x) y) z
+""")
+helper("seq_merged", "seq_stitch", """
+SELECT combo_id, seq_id, absorbed, count(*) FILTER (WHERE NOT absorbed AND NOT prev) OVER (PARTITION BY combo_id ORDER BY seq_id) AS mid
+FROM (SELECT *, coalesce(lag(absorbed) OVER (PARTITION BY combo_id ORDER BY seq_id), false) AS prev FROM seq_stitch) z
+""")
+helper("st_events", "seq_events seq_merged", """
+SELECT e.* EXCLUDE (seq_id), m.mid AS seq_id, e.seq_id AS raw_id FROM seq_events e JOIN seq_merged m ON m.combo_id = e.combo_id AND m.seq_id = e.seq_id WHERE NOT m.absorbed
+""")
+helper("st_seqs", "st_events seq_ends", f"""
+SELECT s.*, z.marker, z.next_type, z.next_team, s.length >= 2 OR s.t0 NOT IN ('Clearance','BallTouch','BlockedPass','Punch','Aerial','Save') AS real
+FROM (
+  SELECT combo_id, seq_id, team_id, count(*) AS length, min(t_s) AS start_t, max(t_s) AS end_t, max(raw_id) AS last_raw,
+    arg_min(x, o) AS x0, arg_max(x, o) AS x1, arg_min(y, o) AS y0, arg_max(y, o) AS y1, arg_min(event_id, o) AS e0, arg_max(event_id, o) AS e1,
+    arg_min(player_id, o) AS p0, arg_max(player_id, o) AS p1, arg_min(etype, o) AS t0, arg_max(etype, o) AS t1, arg_min(restart, o) AS restart0,
+    arg_max(is_shot, o) AS shot1, arg_max({q('Blocked')}, o) AS blocked1, {n("etype = 'Pass'")} AS n_passes,
+    bool_or(x > 66.6) AS reaches, bool_or(is_touch AND x >= {K.BOX_X_MIN!r}::DOUBLE AND y >= {K.BOX_Y_MIN!r}::DOUBLE AND y <= {K.BOX_Y_MAX!r}::DOUBLE) AS in_box,
+    {xs('dx', 'dx > 0')} AS fwd, {xs('abs(dx)')} AS move
+  FROM (SELECT *, x - lag(x) OVER (PARTITION BY combo_id, seq_id ORDER BY o) AS dx FROM st_events) v GROUP BY 1, 2, 3) s
+JOIN seq_ends z ON z.combo_id = s.combo_id AND z.seq_id = s.last_raw
+""")
+oracle("w07_stitched", "st_seqs", "SELECT combo_id, seq_id, team_id, length, start_t, end_t, real, marker FROM st_seqs")
+helper("st_chain", "st_seqs", """
+SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY combo_id ORDER BY seq_id) - 1 AS possession_id FROM (
+  SELECT *, team_id IS DISTINCT FROM lag(team_id) OVER (PARTITION BY combo_id ORDER BY seq_id) AS opens FROM st_seqs WHERE real) z
+""")
+oracle("w09_possessions", "st_chain st_events", f"""
+SELECT p.combo_id, {i('p.possession_id')} AS possession_id, p.team_id, p.sequences, p.end_t - p.start_t AS duration_s, p.has_shot,
+  NOT p.restart0 AND p.x0 <= 50 AND coalesce(d.deep_t - p.start_t <= 10, false) AS is_counter
+FROM (SELECT combo_id, possession_id, team_id, count(*) AS sequences, min(start_t) AS start_t, max(end_t) AS end_t, bool_or(shot1) AS has_shot,
+        arg_min(restart0, seq_id) AS restart0, arg_min(x0, seq_id) AS x0 FROM st_chain GROUP BY 1, 2, 3) p
+LEFT JOIN (SELECT e.combo_id, c.possession_id, min(e.t_s) AS deep_t FROM st_events e JOIN st_chain c ON c.combo_id = e.combo_id AND c.seq_id = e.seq_id
+      WHERE e.x > 66.6 GROUP BY 1, 2) d ON d.combo_id = p.combo_id AND d.possession_id = p.possession_id
+""")
+helper("st_flags", "st_chain", """
+SELECT *, NOT restart0 AND n_passes >= 10 AS ten, NOT restart0 AND n_passes >= 10 AND (shot1 OR in_box) AS build,
+  NOT restart0 AND x0 <= 50 AND (shot1 OR in_box) AND coalesce(fwd, 0) / nullif(move, 0) >= 0.5 AND length >= 2 AS direct,
+  NOT restart0 AND opens AND sqrt(((100 - x0) * 1.05) * ((100 - x0) * 1.05) + ((50 - y0) * 0.68) * ((50 - y0) * 0.68)) <= 40 AS high,
+  outcome IN ('goal', 'saved', 'blocked', 'off_target') AS shot
+FROM (SELECT *, CASE
+    WHEN shot1 AND t1 = 'SavedShot' THEN CASE WHEN blocked1 THEN 'blocked' ELSE 'saved' END WHEN shot1 AND t1 = 'Goal' THEN 'goal' WHEN shot1 THEN 'off_target'
+    WHEN marker = 'FoulWon' THEN 'foul_won' WHEN marker = 'FoulConceded' THEN 'foul_conceded' WHEN marker = 'OwnGoalFor' THEN 'goal'
+    WHEN marker = 'Restart' AND next_team = team_id THEN 'set_piece_won' WHEN marker = 'Restart' THEN 'out_of_play' WHEN marker = 'OffsideGiven' THEN 'offside'
+    WHEN marker IN ('End', 'SubstitutionOff', 'SubstitutionOn', 'FormationChange', 'FormationSet') THEN NULL
+    WHEN next_type IN ('Tackle','Challenge','Interception','BlockedPass','BallRecovery','KeeperPickup','KeeperSweeper','Save') THEN 'dispossessed'
+    WHEN next_type IS NOT NULL THEN 'turnover' END AS outcome FROM st_chain) z
+WHERE outcome IS NOT NULL
+""")
+oracle("w10_sequence_rows", "st_flags st_events", f"""
+SELECT f.combo_id, f.team_id, f.seq_id, {i('f.possession_id')} AS possession_id, f.length, f.end_t - f.start_t AS duration_s, {rd('f.x0', 1)} AS start_x, {rd('f.y0', 1)} AS start_y,
+  {rd('f.x1', 1)} AS end_x, {rd('f.y1', 1)} AS end_y, f.n_passes, NOT f.restart0 AS is_open_play, f.shot AS is_shot, f.ten AS is_ten_plus_pass,
+  f.build AS is_build_up_attack, coalesce(f.direct, false) AS is_direct_attack, f.high AS is_high_turnover, f.outcome, f.e0 AS event_id_start, f.e1 AS event_id_end,
+  f.p0 AS player_id_start, f.p1 AS player_id_end, p.player_ids
+FROM st_flags f JOIN (SELECT combo_id, seq_id, string_agg(CAST(player_id AS VARCHAR), ',' ORDER BY o) AS player_ids
+  FROM (SELECT combo_id, seq_id, player_id, min(o) AS o FROM st_events GROUP BY 1, 2, 3) z GROUP BY 1, 2) p ON p.combo_id = f.combo_id AND p.seq_id = f.seq_id
+""")
+
+
+def _mean(v: str, c: str) -> str:
+    return div(f"sum(CASE WHEN {c} THEN {v} END)", n(c), 1)
+
+
+_DUR = "(end_t - start_t)"
+_ATT = "(reaches AND length >= 2)"
+_DS = f"(NOT restart0 AND x0 <= 50 AND {_DUR} > 0)"
+oracle("a23_team_poss_adv", "st_flags w09_possessions a08_field_tilt_poss a06_ppda_poss shares feed_base", f"""
+SELECT b.combo_id, b.team_id, b.good AS passes_accurate, {div('b.good', '(s.share * b.whole)', 2)} AS passing_rate, {rd('s.share * b.whole', 1)} AS possession_minutes,
+  t.field_tilt_pct, t.field_tilt_passes_pct, t.final_third_touches, d.ppda, q.* EXCLUDE (combo_id, team_id), p.* EXCLUDE (combo_id, team_id)
+FROM (SELECT combo_id, team_id, {n(f"{BASE} AND ok")} AS good, max(max(expanded_minute)) OVER (PARTITION BY combo_id) AS whole FROM feed_base GROUP BY 1, 2) b
+JOIN shares s ON s.combo_id = b.combo_id AND s.team_id = b.team_id
+JOIN a08_field_tilt_poss t ON t.combo_id = b.combo_id AND t.team_id = b.team_id
+JOIN a06_ppda_poss d ON d.combo_id = b.combo_id AND d.team_id = b.team_id
+JOIN (SELECT combo_id, team_id, count(*) AS sequences_total, {cnt(open_play_sequences='NOT restart0', ten_plus_pass_sequences='ten', build_up_attacks='build',
+    direct_attacks='direct', high_turnovers='high', high_turnover_shots='high AND shot', shot_sequences='shot', attack_sequences=_ATT)},
+    {_mean(_DUR, 'true')} AS avg_sequence_time_s, {_mean('length', 'true')} AS avg_sequence_length, {_mean('n_passes', 'true')} AS passes_per_sequence,
+    {div(f"{xs('x0', 'NOT restart0')} * 1.05", n('NOT restart0'), 1)} AS start_distance_m,
+    {div(xs('greatest(0, x1 - x0) * 1.05', _DS), f"sum(CASE WHEN {_DS} THEN {_DUR} END)", 2)} AS direct_speed_m_s,
+    {pc(n('shot'), 'count(*)', 1)} AS shot_seq_pct, {_mean('length', 'shot')} AS avg_shot_seq_length, {_mean(_DUR, 'shot')} AS avg_shot_seq_duration_s,
+    {_mean('n_passes', 'shot')} AS avg_shot_seq_passes, {_mean(_DUR, _ATT)} AS avg_attack_duration_s, {_mean('n_passes', _ATT)} AS avg_attack_passes,
+    {pc(n("outcome IN ('turnover', 'dispossessed')"), 'count(*)', 1)} AS open_play_turnover_pct,
+    {pc(n("outcome IN ('turnover', 'dispossessed', 'out_of_play')"), 'count(*)', 1)} AS possession_loss_pct,
+    {pc(n("outcome IN ('foul_won', 'set_piece_won', 'foul_conceded', 'offside')"), 'count(*)', 1)} AS set_piece_end_pct
+  FROM st_flags GROUP BY 1, 2) q ON q.combo_id = b.combo_id AND q.team_id = b.team_id
+JOIN (SELECT combo_id, team_id, count(*) AS possessions_total, {_mean('duration_s', 'true')} AS avg_possession_duration_s,
+    {div('sum(sequences)', 'count(*)', 2)} AS avg_sequences_per_possession, {n('is_counter')} AS counter_attack_sequences,
+    {pc(n('is_counter AND has_shot'), n('is_counter'), 1)} AS counter_attack_shot_pct
+  FROM w09_possessions GROUP BY 1, 2) p ON p.combo_id = b.combo_id AND p.team_id = b.team_id
+""")
+
+# -- states ------------------------------------------------------------------------
+
+helper("bounds", "feed_base", """
+SELECT combo_id, home_id, away_id, period, min(t_s) FILTER (WHERE etype = 'Start') AS s, max(t_s) FILTER (WHERE etype = 'End') AS e,
+  min(t_s - minute * 60 - second) FILTER (WHERE etype = 'Start') AS shift
+FROM feed_base GROUP BY 1, 2, 3, 4
+""")
+helper("changes", "feed_base bounds", f"""
+SELECT c.combo_id, b.period, greatest(c.t_s, b.s) AS cut, c.t_s, c.event_id, c.pos, c.goal, c.home FROM (
+  SELECT f.combo_id, f.t_s, f.event_id, f.pos, f.etype = 'Goal' AS goal,
+    CASE WHEN f.etype = 'Goal' AND {q('OwnGoal')} THEN f.team_id <> f.home_id ELSE f.team_id = f.home_id END AS home,
+    (SELECT min(b.period) FROM bounds b WHERE b.combo_id = f.combo_id AND b.e >= f.t_s) AS p
+  FROM feed_base f WHERE f.etype = 'Goal' OR (f.etype = 'Card' AND {q('Red', 'SecondYellow')})) c
+JOIN bounds b ON b.combo_id = c.combo_id AND b.period = c.p
+""")
+
+
+def _clock(t: str, shift: str, period: str) -> tuple[str, str, str]:
+    c = f"greatest(0, {t} - coalesce({shift}, 0))"
+    minute, second = f"CAST(floor(({c}) / 60) AS BIGINT)", f"CAST(({c}) % 60 AS BIGINT)"
+    shown = f"(CASE WHEN {second} > 0 THEN {minute} + 1 ELSE greatest({minute}, 1) END)"
+    nominal = f"(CASE {period} WHEN 1 THEN 45 WHEN 2 THEN 90 WHEN 3 THEN 105 ELSE 120 END)"
+    display = f"CASE WHEN {shown} > {nominal} THEN concat({nominal}, '+', {shown} - {nominal}, '''') ELSE concat({shown}, '''') END"
+    return minute, second, display
+
+
+_SM, _SS, _SD = _clock("start_s", "shift", "period")
+_EM, _ES, _ED = _clock("end_s", "shift", "period")
+oracle("w12_states", "bounds changes", f"""
+WITH pts AS (SELECT combo_id, period, s AS t FROM bounds UNION SELECT combo_id, period, e FROM bounds UNION SELECT combo_id, period, cut FROM changes),
+iv AS (SELECT * FROM (SELECT combo_id, period, t AS start_s, lead(t) OVER (PARTITION BY combo_id, period ORDER BY t) AS end_s FROM pts) z WHERE end_s IS NOT NULL),
+sc AS (
+  SELECT i.combo_id, i.period, i.start_s, i.end_s, {cnt(hs='c.goal AND c.home', aws='c.goal AND NOT c.home', hr='NOT c.goal AND c.home', ar='NOT c.goal AND NOT c.home')},
+    arg_max(concat(CASE WHEN c.goal THEN 'goal_' ELSE 'red_card_' END, CASE WHEN c.home THEN 'home' ELSE 'away' END), (c.t_s, c.event_id, c.pos))
+      FILTER (WHERE c.period = i.period AND c.cut = i.start_s) AS trg
+  FROM iv i LEFT JOIN changes c ON c.combo_id = i.combo_id AND (c.period < i.period OR (c.period = i.period AND c.cut <= i.start_s))
+  GROUP BY 1, 2, 3, 4)
+SELECT s.combo_id, row_number() OVER (PARTITION BY s.combo_id ORDER BY s.period, s.start_s) - 1 AS state_id, s.period, start_s, end_s, end_s - start_s AS duration_s,
+  b.home_id, b.away_id, hs AS home_score, aws AS away_score, 11 - hr AS home_players, 11 - ar AS away_players,
+  coalesce(trg, CASE WHEN s.period = 1 THEN 'kickoff' ELSE 'period_start' END) AS trigger, hs - aws AS home_score_diff, ar - hr AS man_diff_home,
+  {_SM.replace('period', 's.period')} AS start_minute, {_SS} AS start_second, {_SD.replace('CASE period', 'CASE s.period')} AS start_display,
+  {_EM} AS end_minute, {_ES} AS end_second, {_ED.replace('CASE period', 'CASE s.period')} AS end_display
+FROM sc s JOIN bounds b ON b.combo_id = s.combo_id AND b.period = s.period
+""")
+_BUCKET = "CASE WHEN {d} <= -2 THEN 'trailing_2plus' WHEN {d} = -1 THEN 'trailing_1' WHEN {d} = 0 THEN 'level' WHEN {d} = 1 THEN 'leading_1' ELSE 'leading_2plus' END"
+_MEN = "CASE WHEN {d} = 0 THEN 'even' WHEN {d} > 0 THEN 'up' ELSE 'down' END"
+oracle("w13_team_states", "w12_states", f"""
+SELECT combo_id, state_id, team_id, opponent_id, is_home, period, start_s, end_s, duration_s, start_minute, end_minute, start_display, end_display,
+  score_for, score_against, score_for - score_against AS score_diff, {_BUCKET.format(d='(score_for - score_against)')} AS score_bucket, man_diff,
+  {_MEN.format(d='man_diff')} AS man_state, trigger
+FROM (SELECT *, home_id AS team_id, away_id AS opponent_id, true AS is_home, home_score AS score_for, away_score AS score_against, man_diff_home AS man_diff FROM w12_states
+  UNION ALL SELECT *, away_id, home_id, false, away_score, home_score, -man_diff_home FROM w12_states) z
+""")
+
+
+def _at(t: str, rows: str) -> str:
+    """State id at a time: first interval that ends at or after it, else the last."""
+    return (f"coalesce((SELECT min(w.state_id) FROM w12_states w WHERE w.combo_id = {rows}.combo_id AND w.end_s >= {t}), "
+            f"(SELECT max(w.state_id) FROM w12_states w WHERE w.combo_id = {rows}.combo_id))")
+
+
+helper("event_state", "feed_base w12_states", f"SELECT f.*, {_at('f.t_s', 'f')} AS state_id FROM feed_base f")
+oracle("w15_state_tags", "event_state w13_team_states", """
+SELECT e.combo_id, e.pos, e.team_id, e.state_id, s.period, s.score_diff, s.score_bucket, s.man_diff, s.man_state
+FROM event_state e JOIN w13_team_states s ON s.combo_id = e.combo_id AND s.state_id = e.state_id AND s.team_id = e.team_id
+""")
+_CM, _CS, _CD = _clock("r.time_s", "b.shift", "r.period")
+oracle("w14_context", "feed_base formations bounds w12_states w13_team_states", f"""
+WITH r AS (
+  SELECT combo_id, CASE WHEN etype = 'Goal' AND qa = 'OwnGoal' THEN opp_id ELSE team_id END AS team_id, period, t_s AS look_s, t_s AS time_s,
+    CASE WHEN etype = 'Goal' AND qa = 'OwnGoal' THEN 'own_goal' WHEN etype = 'Goal' AND qa = 'Penalty' THEN 'penalty_goal' WHEN etype = 'Goal' THEN 'goal'
+         WHEN etype = 'SubstitutionOn' THEN 'substitution' WHEN qa = 'Red' THEN 'red_card' WHEN qa = 'SecondYellow' THEN 'second_yellow' ELSE 'yellow_card' END AS event_type,
+    CASE WHEN etype <> 'SubstitutionOn' THEN player_id END AS player_id, CASE WHEN etype = 'SubstitutionOn' THEN player_id END AS player_in_id,
+    related_player_id AS player_out_id, CAST(NULL AS VARCHAR) AS detail
+  FROM feed_base WHERE etype IN ('Goal', 'Card', 'SubstitutionOn')
+  UNION ALL
+  SELECT combo_id, team_id, coalesce((SELECT min(b.period) FROM bounds b WHERE b.combo_id = z.combo_id AND b.s <= z.start_minute * 60 AND b.e > z.start_minute * 60), 1),
+    start_minute * 60 + 1, start_minute * 60, 'formation_change', NULL, NULL, NULL, concat(was, '->', formation_name)
+  FROM (SELECT *, lag(formation_name) OVER (PARTITION BY combo_id, team_id ORDER BY formation_index) AS was FROM formations) z WHERE was <> formation_name),
+a AS (SELECT r.*, {_at('r.look_s', 'r')} AS state_id FROM r)
+SELECT r.combo_id, r.team_id, r.state_id, s.score_diff AS score_diff_at, s.man_state AS man_state_at, r.period, {_CM} AS minute, {_CS} AS second, {_CD} AS minute_display,
+  r.time_s, r.event_type, r.player_id, r.player_in_id, r.player_out_id, r.detail
+FROM a r JOIN w13_team_states s ON s.combo_id = r.combo_id AND s.state_id = r.state_id AND s.team_id = r.team_id
+LEFT JOIN bounds b ON b.combo_id = r.combo_id AND b.period = r.period
+""")
+helper("assist_marks", "feed_base", """
+SELECT DISTINCT combo_id, event_id FROM (
+  SELECT g.combo_id, g.rel_event_id AS event_id, g.team_id, arg_max(e.team_id, (e.t_s, e.pos)) AS a_team
+  FROM feed_base g JOIN feed_base e ON e.combo_id = g.combo_id AND e.event_id = g.rel_event_id
+  WHERE g.etype = 'Goal' AND g.qa = 'Assisted' GROUP BY g.combo_id, g.pos, g.rel_event_id, g.team_id) z WHERE a_team = team_id
+""")
+_AGG = cnt(
+    touches="is_touch", final_third_touches="is_touch AND x > 66.6",
+    box_touches=f"is_touch AND x >= {K.BOX_X_MIN!r}::DOUBLE AND y >= {K.BOX_Y_MIN!r}::DOUBLE AND y <= {K.BOX_Y_MAX!r}::DOUBLE", shots="is_shot",
+    shots_on_target=f"etype = 'Goal' OR (etype = 'SavedShot' AND NOT {q('Blocked')})", goals="etype = 'Goal'", key_passes=f"{KEY} AND NOT made",
+    key_passes_open_play=f"{KEY} AND NOT made AND NOT {DEAD_STATE}", assists="made", big_chances_created=BIG,
+    big_chances_created_open_play=f"{BIG} AND NOT {DEAD_STATE}", big_chances=f"is_shot AND {q('BigChance')}", big_chances_scored=f"etype = 'Goal' AND {q('BigChance')}",
+    passes=BASE, passes_completed=f"{BASE} AND ok", crosses=CROSS, corners=f"etype = 'Pass' AND {q('CornerTaken')}", fouls_committed=_MADE,
+    fouls_won="etype = 'Foul' AND ok", offsides="etype = 'OffsideGiven'", yellow_cards="etype = 'Card' AND qa = 'Yellow'",
+    red_cards="etype = 'Card' AND qa IN ('Red', 'SecondYellow')", subs_made="etype = 'SubstitutionOn'", take_ons="etype = 'TakeOn'", take_ons_won="etype = 'TakeOn' AND ok",
+    tackles="etype = 'Tackle'", interceptions="etype = 'Interception'", clearances="etype = 'Clearance'", aerials_won="etype = 'Aerial' AND ok",
+    aerials_total="etype = 'Aerial'", defensive_actions="etype IN ('Foul', 'Tackle', 'Interception', 'Challenge', 'BlockedPass') AND x >= 33.4")
+_DELTA = f"({xt('end_x', 'end_y')} - {xt('x', 'y')})"
+oracle("a24_state_agg", "event_state w13_team_states assist_marks possession_minutes w12_states", f"""
+WITH ev AS (SELECT e.*, a.event_id IS NOT NULL AS made FROM event_state e LEFT JOIN assist_marks a ON a.combo_id = e.combo_id AND a.event_id = e.event_id),
+tagged AS (SELECT ev.*, s.score_bucket AS sb, s.man_state AS ms, s.period AS sp FROM ev JOIN w13_team_states s ON s.combo_id = ev.combo_id AND s.state_id = ev.state_id AND s.team_id = ev.team_id),
+opp AS (SELECT ev.combo_id, ev.opp_id AS team_id, s.score_bucket AS sb, s.man_state AS ms, s.period AS sp, {n('is_touch AND x > 66.6')} AS ft, {n("etype = 'Pass' AND x <= 66.6")} AS faced
+  FROM ev JOIN w13_team_states s ON s.combo_id = ev.combo_id AND s.state_id = ev.state_id AND s.team_id = ev.opp_id GROUP BY 1, 2, 3, 4, 5),
+own AS (SELECT combo_id, team_id, sb, ms, sp, {_AGG}, coalesce({rd(xs(_DELTA, BASE), 4)}, 0) AS xt_total, coalesce({rd(xs(_DELTA, f'{BASE} AND {_DELTA} > 0'), 4)}, 0) AS xt_positive
+  FROM tagged GROUP BY 1, 2, 3, 4, 5),
+pm AS (SELECT p.combo_id, p.team_id, p.value, {_at('p.minute * 60 + 30', 'p')} AS state_id FROM possession_minutes p),
+po AS (SELECT s.combo_id, s.team_id, s.score_bucket AS sb, s.man_state AS ms, s.period AS sp, sum(pm.value) FILTER (WHERE pm.team_id = s.team_id) AS mine, sum(pm.value) AS everything
+  FROM w13_team_states s JOIN pm ON pm.combo_id = s.combo_id AND pm.state_id = s.state_id GROUP BY 1, 2, 3, 4, 5),
+st AS (SELECT combo_id, team_id, score_bucket AS sb, man_state AS ms, period AS sp, {rd('sum(duration_s) / 60', 1)} AS minutes, list(state_id ORDER BY state_id) AS state_ids
+  FROM w13_team_states GROUP BY 1, 2, 3, 4, 5)
+SELECT st.combo_id, st.team_id, st.sp AS period, st.sb AS score_bucket, st.ms AS man_state, st.state_ids, st.minutes,
+  {", ".join(f"coalesce(own.{c.split(' AS ')[-1]}, 0) AS {c.split(' AS ')[-1]}" for c in _AGG.split(",\n  "))},
+  coalesce(own.xt_total, 0) AS xt_total, coalesce(own.xt_positive, 0) AS xt_positive,
+  {pc('coalesce(po.mine, 0)', 'po.everything', 1)} AS possession_pct,
+  {pc('coalesce(own.final_third_touches, 0)', '(coalesce(own.final_third_touches, 0) + coalesce(opp.ft, 0))', 1)} AS field_tilt_pct,
+  {pc('own.passes_completed', 'own.passes', 1)} AS pass_accuracy_pct, {div('coalesce(opp.faced, 0)', 'own.defensive_actions', 2)} AS ppda
+FROM st LEFT JOIN own USING (combo_id, team_id, sb, ms, sp) LEFT JOIN opp USING (combo_id, team_id, sb, ms, sp) LEFT JOIN po USING (combo_id, team_id, sb, ms, sp)
+""")
+
+# -- identity ----------------------------------------------------------------------
+
+_NN = "regexp_replace(lower({c}), '[^a-z]', '', 'g')"
+
+
+def _ladder(name: str, prov: str) -> None:
+    oracle_or_helper = HELPERS
+    oracle_or_helper[name] = (["ev_lineups", prov], f"""
+SELECT combo_id, is_home_team, anchor_id, prov_id, tier FROM (
+WITH w AS (SELECT combo_id, is_home_team AS h, shirt_number AS s, player_id AS a, {_NN.format(c='player_name')} AS nn FROM ev_lineups),
+p AS (SELECT combo_id, is_home_team AS h, shirt_number AS s, player_id AS b, {_NN.format(c='player_name')} AS nn FROM {prov}),
+ex AS (SELECT w.combo_id, w.h, a, b FROM w JOIN p ON p.combo_id = w.combo_id AND p.h = w.h AND p.s = w.s),
+w1 AS (SELECT *, count(*) OVER (PARTITION BY combo_id, h) AS c FROM w WHERE (combo_id, h, a) NOT IN (SELECT combo_id, h, a FROM ex)),
+p1 AS (SELECT *, count(*) OVER (PARTITION BY combo_id, h) AS c FROM p WHERE (combo_id, h, b) NOT IN (SELECT combo_id, h, b FROM ex)),
+el AS (SELECT w1.combo_id, w1.h, a, b FROM w1 JOIN p1 ON p1.combo_id = w1.combo_id AND p1.h = w1.h WHERE w1.c = 1 AND p1.c = 1),
+nm AS (SELECT w1.combo_id, w1.h, a, b FROM w1 JOIN p1 ON p1.combo_id = w1.combo_id AND p1.h = w1.h AND p1.nn = w1.nn AND length(w1.nn) > 0
+  WHERE (w1.combo_id, w1.h, a) NOT IN (SELECT combo_id, h, a FROM el) AND (p1.combo_id, p1.h, b) NOT IN (SELECT combo_id, h, b FROM el))
+SELECT combo_id, h AS is_home_team, a AS anchor_id, b AS prov_id, 'exact' AS tier FROM ex UNION ALL SELECT *, 'elimination' FROM el UNION ALL SELECT *, 'name' FROM nm) z""")
+
+
+helper("rd_named", "rd_lineups rd_players", "SELECT l.*, p.name AS player_name FROM rd_lineups l LEFT JOIN rd_players p ON p.player_id = l.player_id")
+_ladder("obs_xg", "xg_lineups")
+_ladder("obs_rd", "rd_named")
+
+
+def _winner(obs: str) -> str:
+    return (f"(SELECT anchor_id, prov_id, votes FROM (SELECT anchor_id, prov_id, count(*) AS votes, row_number() OVER (PARTITION BY anchor_id "
+            f"ORDER BY count(*) DESC, prov_id) AS rn FROM {obs} GROUP BY 1, 2) v WHERE rn = 1)")
+
+
+oracle("x01_observations", "obs_xg", "SELECT * FROM obs_xg")
+oracle("x02_vote", "obs_xg", f"SELECT * FROM {_winner('obs_xg')} z")
+oracle("x03_player_xwalk", "obs_xg obs_rd ev_lineups", f"""
+SELECT u.player_id AS player_uid, u.player_id AS ev_player_id, r.prov_id AS rd_player_id, x.prov_id AS xg_player_id
+FROM (SELECT DISTINCT player_id FROM ev_lineups) u LEFT JOIN {_winner('obs_rd')} r ON r.anchor_id = u.player_id LEFT JOIN {_winner('obs_xg')} x ON x.anchor_id = u.player_id
+""")
+for _p in ("xg", "rd"):
+    helper(f"team_obs_{_p}", f"ev_lineups {_p}_lineups", f"""
+SELECT e.team_id AS anchor_id, p.team_id AS prov_id FROM (SELECT DISTINCT combo_id, is_home_team, team_id FROM ev_lineups) e
+JOIN (SELECT DISTINCT combo_id, is_home_team, team_id FROM {_p}_lineups) p ON p.combo_id = e.combo_id AND p.is_home_team = e.is_home_team""")
+oracle("x04_team_xwalk", "team_obs_xg team_obs_rd ev_lineups", f"""
+SELECT u.team_id AS team_uid, u.team_id AS ev_team_id, r.prov_id AS rd_team_id, x.prov_id AS xg_team_id
+FROM (SELECT DISTINCT team_id FROM ev_lineups) u LEFT JOIN {_winner('team_obs_rd')} r ON r.anchor_id = u.team_id LEFT JOIN {_winner('team_obs_xg')} x ON x.anchor_id = u.team_id
+""")
+oracle("x05_coach_xwalk", "xg_match rd_matches", """
+SELECT manager_id, xg_coach_id FROM (
+  SELECT manager_id, xg_coach_id, row_number() OVER (PARTITION BY manager_id ORDER BY count(*) DESC, xg_coach_id) AS rn FROM (
+    SELECT r.home_manager_id AS manager_id, x.ht_coach_id AS xg_coach_id FROM xg_match x JOIN rd_matches r ON r.combo_id = x.combo_id
+    UNION ALL SELECT r.away_manager_id, x.at_coach_id FROM xg_match x JOIN rd_matches r ON r.combo_id = x.combo_id) z
+  WHERE manager_id IS NOT NULL AND xg_coach_id IS NOT NULL GROUP BY 1, 2) v WHERE rn = 1
+""")
