@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import fixed as K
 
@@ -83,8 +83,17 @@ def has(name: str) -> Column:
     return F.array_contains("qnames", name)
 
 
+def literals(values: Iterable) -> Column:
+    """Constant array, as one expression."""
+    return F.expr("array(" + ", ".join(f"{v!r}D" if isinstance(v, float) else repr(v) for v in values) + ")")
+
+
+def constant_map(items: dict) -> Column:
+    return F.expr("map(" + ", ".join(f"{k!r}, {v!r}" for k, v in items.items()) + ")")
+
+
 def has_any(names: Iterable[str]) -> Column:
-    return F.arrays_overlap("qnames", F.array(*[F.lit(n) for n in names]))
+    return F.arrays_overlap("qnames", literals(names))
 
 
 def has_id(qid: int) -> Column:
@@ -92,12 +101,12 @@ def has_id(qid: int) -> Column:
 
 
 def has_any_id(qids: Iterable[int]) -> Column:
-    return F.arrays_overlap("qids", F.array(*[F.lit(q) for q in qids]))
+    return F.arrays_overlap("qids", literals(qids))
 
 
 def first_of(names: Iterable[str]) -> Column:
     """First qualifier, in feed order, that is one of `names`; NULL if none."""
-    wanted = F.array(*[F.lit(n) for n in names])
+    wanted = literals(names)
     return F.try_element_at(F.filter("qnames", lambda n: F.array_contains(wanted, n)), F.lit(1))
 
 
@@ -105,16 +114,26 @@ def etype_in(*names: str) -> Column:
     return F.col("etype").isin(*names)
 
 
+def with_flags(feed: DataFrame) -> DataFrame:
+    """Feed with the qualifier tests that many metrics share, each computed once per event."""
+    return feed.withColumns({
+        "base_pass": (F.col("type_id") == 1) & ~has_any_id(K.NOT_BASE_PASS),
+        "dead_ball": has_any_id(K.DEAD_BALL_PASS),
+        "dead_ball_state": has_any_id(K.DEAD_BALL_STATE),
+        "restart_event": has_any(K.RESTARTS),
+    })
+
+
 def is_base_pass() -> Column:
-    return (F.col("type_id") == 1) & ~has_any_id(K.NOT_BASE_PASS)
+    return F.col("base_pass")
 
 
 def open_play_pass() -> Column:
-    return ~has_any_id(K.DEAD_BALL_PASS)
+    return ~F.col("dead_ball")
 
 
 def open_play_state() -> Column:
-    return ~has_any_id(K.DEAD_BALL_STATE)
+    return ~F.col("dead_ball_state")
 
 
 def open_play_shot() -> Column:
@@ -122,7 +141,7 @@ def open_play_shot() -> Column:
 
 
 def is_restart() -> Column:
-    return has_any(K.RESTARTS)
+    return F.col("restart_event")
 
 
 # -- geometry ------------------------------------------------------------------
@@ -154,7 +173,7 @@ def shot_angle(distance_m: Column) -> Column:
 
 def expected_threat(x: Column, y: Column) -> Column:
     rows, cols = len(K.XT_GRID), len(K.XT_GRID[0])
-    cells = F.array(*[F.lit(v) for line in K.XT_GRID for v in line])
+    cells = literals(v for line in K.XT_GRID for v in line)
 
     def cell(v: Column, n: int) -> Column:
         return F.greatest(F.least(F.floor(v / 100 * n), F.lit(n - 1)), F.lit(0))

@@ -12,7 +12,8 @@ from ..functions.expr import (
 from .common import PLAYER, TEAM, left_counts, linked, opponent, own_teams, spine, with_players
 from .runs import hold_times, receivers, runs, tempo
 
-_IS_PASS = F.col("type_id") == 1
+def _is_pass() -> Column:
+    return F.col("type_id") == 1
 
 
 def _entry() -> Column:
@@ -33,7 +34,7 @@ def _key_pass() -> Column:
 def _core_metrics() -> list[Column]:
     base, ok = is_base_pass(), F.col("ok")
     lb = base & has("Longball")
-    cross = _IS_PASS & has_id(2)
+    cross = _is_pass() & has_id(2)
     return [
         C(base, "passes_total"), C(base & ok, "passes_accurate"), C(base & ~ok, "passes_inaccurate"),
         pct(F.count_if(base & ok), F.count_if(base), empty=0).alias("pass_accuracy_pct"),
@@ -42,7 +43,7 @@ def _core_metrics() -> list[Column]:
         C(base & has("Throughball"), "throughballs"), C(base & has("HeadPass"), "head_passes"),
         C(base & has("LayOff"), "layoffs"),
         C(cross, "crosses_attempted"), C(cross & ok, "crosses_accurate"),
-        C(_key_pass(), "key_passes"), C(_IS_PASS & has("BigChanceCreated"), "big_chances_created"),
+        C(_key_pass(), "key_passes"), C(_is_pass() & has("BigChanceCreated"), "big_chances_created"),
         C(_entry(), "passes_entering_final_third"),
         C(_in_third(), "passes_in_final_third"), C(_in_third() & ok, "passes_in_final_third_accurate"),
     ]
@@ -51,14 +52,14 @@ def _core_metrics() -> list[Column]:
 def assists(feed: DataFrame) -> DataFrame:
     """Assisted goals with their assisting event: the goal's team and the struct `link`."""
     goals = own_teams(feed).filter((F.col("etype") == "Goal") & has_id(29)).select(*TEAM, "pos", "related_event_id")
-    return linked(feed, goals, ["pos"], ["team_id", "player_id", "qids"])
+    return linked(feed, goals, ["pos"], ["team_id", "player_id", "dead_ball"])
 
 
 def team_passing(feed: DataFrame, sides: DataFrame) -> DataFrame:
     base, ok = is_base_pass(), F.col("ok")
     length = F.coalesce("length", F.lit(0.0))
-    cross, throw = _IS_PASS & has_id(2), _IS_PASS & has_id(107)
-    keeper, corner = _IS_PASS & has_id(123), _IS_PASS & has_id(6)
+    cross, throw = _is_pass() & has_id(2), _is_pass() & has_id(107)
+    keeper, corner = _is_pass() & has_id(123), _is_pass() & has_id(6)
     rows = own_teams(feed).groupBy(*TEAM).agg(
         *_core_metrics(),
         C(base & (length < 10), "passes_short"), C(base & length.between(10, 32), "passes_medium"),
@@ -83,7 +84,7 @@ def _player_assists(feed: DataFrame) -> DataFrame:
 def player_passing(feed: DataFrame) -> DataFrame:
     """Players with at least one pass."""
     rows = (with_players(feed).filter(F.col("type_id").isin(1, 2, 61))
-            .groupBy(*PLAYER).agg(*_core_metrics(), F.count_if(_IS_PASS).alias("_passes"))
+            .groupBy(*PLAYER).agg(*_core_metrics(), F.count_if(_is_pass()).alias("_passes"))
             .filter("_passes > 0").drop("_passes"))
     return left_counts(rows, _player_assists(feed), PLAYER)
 
@@ -157,7 +158,7 @@ def team_passing_advanced(feed: DataFrame, sides: DataFrame) -> DataFrame:
     good = base & ok
     dx, dy = F.col("ex") - F.col("sx"), F.col("ey") - F.col("sy")
     euclid = F.when(good, F.sqrt(dx * dx + dy * dy))
-    cross, corner, chance = _IS_PASS & has_id(2), _IS_PASS & has_id(6), _IS_PASS & has("BigChanceCreated")
+    cross, corner, chance = _is_pass() & has_id(2), _is_pass() & has_id(6), _is_pass() & has("BigChanceCreated")
     assisted = (F.col("etype") == "Goal") & has_id(29)
     rows = _geometry(own_teams(feed)).groupBy(*TEAM).agg(
         *_pass_profile(),
@@ -176,7 +177,7 @@ def team_passing_advanced(feed: DataFrame, sides: DataFrame) -> DataFrame:
     # An assisted goal whose linked event is missing counts as open play.
     goals = own_teams(feed).filter(assisted & F.col("related_event_id").isNotNull())
     from_play = goals.groupBy(*TEAM).agg(F.count("*").alias("_assists"))
-    dead = (assists(feed).filter(F.arrays_overlap("link.qids", F.array(*[F.lit(q) for q in K.DEAD_BALL_PASS])))
+    dead = (assists(feed).filter("link.dead_ball")
             .groupBy(*TEAM).agg(F.count("*").alias("_dead")))
     rows = left_counts(left_counts(rows, from_play, TEAM), dead, TEAM)
     rows = left_counts(rows, _key_passes(feed, TEAM), TEAM).join(tempo(feed), TEAM, "left")
@@ -202,7 +203,7 @@ def player_passing_advanced(feed: DataFrame) -> DataFrame:
 
 def _press_counts() -> list[Column]:
     far = xcol(0) > 33.3
-    return [C(_IS_PASS & far, "_passes_out"),
+    return [C(_is_pass() & far, "_passes_out"),
             C((F.col("etype").isin("Tackle", "Interception", "Foul", "Challenge") | (F.col("type_id") == 74)) & far,
               "_actions")]
 

@@ -72,7 +72,6 @@ def sequence_events(feed: DataFrame) -> DataFrame:
         .withColumn("marker", F.when(F.col("is_last"), marker))
         .withColumn("next_type", F.when(F.col("is_last") & followed, F.col("after.etype")))
         .withColumn("next_team", F.when(F.col("is_last") & followed, F.col("after.team_id")))
-        .withColumn("restart", F.col("restart"))
         .drop("hard", "shot_end", "seg", "first", "weak", "holder", "dropped", "starts", "after"))
 
 
@@ -86,34 +85,30 @@ def raw_sequences(feed: DataFrame) -> DataFrame:
     ).select("*", "_end.*").drop("_end")
 
 
-def _stitch_map(events: DataFrame) -> DataFrame:
-    """For each raw sequence: `merged_id`, and `absorbed` for a lone reflexive touch that is left out."""
-    frag = events.groupBy(*_SEQ, "team_id").agg(
-        F.count("*").alias("n"), F.min_by("etype", "ord").alias("kind"),
-        F.max_by(F.struct("is_shot", "marker"), "ord").alias("end"))
-    order = Window.partitionBy("combo_id").orderBy("seq_id")
-    before, after = F.lag("team_id").over(order), F.lead("team_id").over(order)
-    prev_end = F.lag("end").over(order)
-    middle = ((F.col("n") == 1) & F.col("kind").isin(*K.REFLEX_TYPES) & F.col("end.marker").isNull()
-              & (F.col("team_id") != before) & (after == before)
-              & prev_end["marker"].isNull() & ~prev_end["is_shot"])
-    marked = frag.withColumn("_mid", F.coalesce(middle, F.lit(False)))
-    # In a run of consecutive candidates every other one, from the first, is absorbed.
-    run = F.col("seq_id") - F.row_number().over(Window.partitionBy("combo_id", "_mid").orderBy("seq_id"))
-    marked = marked.withColumn("_run", run)
-    in_run = Window.partitionBy("combo_id", "_mid", "_run").orderBy("seq_id")
-    marked = marked.withColumn("absorbed", F.col("_mid") & (F.row_number().over(in_run) % 2 == 1))
-    opens = ~F.col("absorbed") & ~F.coalesce(F.lag("absorbed").over(order), F.lit(False))
-    return (marked.withColumn("_open", F.when(opens, 1).otherwise(0))
-            .withColumn("merged_id", F.sum("_open").over(order))
-            .select(*_SEQ, "merged_id", "absorbed"))
-
-
 def stitched_events(feed: DataFrame) -> DataFrame:
-    """Sequence events after stitching: `seq_id` is now the merged sequence."""
-    events = sequence_events(feed)
-    merged = events.join(_stitch_map(events), _SEQ).filter(~F.col("absorbed"))
-    return merged.drop("seq_id", "absorbed", "is_last").withColumnRenamed("merged_id", "seq_id")
+    """Sequence events after stitching: `seq_id` is now the merged sequence.
+
+    A lone reflexive touch between two fragments of the other team is left out
+    and the fragments become one. Such a fragment is a single row, so its
+    neighbours are the rows before and after it: no join or grouping is needed.
+    """
+    order = Window.partitionBy("combo_id").orderBy("ord")
+    alone = F.count("*").over(Window.partitionBy(*_SEQ)) == 1
+    before = F.lag("team_id").over(order)
+    middle = (alone & F.col("etype").isin(*K.REFLEX_TYPES) & F.col("marker").isNull()
+              & (F.col("team_id") != before) & (F.lead("team_id").over(order) == before)
+              & F.lag("marker").over(order).isNull() & ~F.lag("is_shot").over(order))
+    rows = sequence_events(feed).withColumn("_mid", F.coalesce(middle, F.lit(False)))
+    # In a run of consecutive candidates every other one, from the first, is absorbed.
+    run = F.col("seq_id") - F.row_number().over(Window.partitionBy("combo_id", "_mid").orderBy("ord"))
+    rows = rows.withColumn("_run", F.when(F.col("_mid"), run))
+    in_run = Window.partitionBy("combo_id", "_mid", "_run").orderBy("ord")
+    rows = rows.withColumn("absorbed", F.col("_mid") & (F.row_number().over(in_run) % 2 == 1))
+    starts = F.coalesce(F.lag("seq_id").over(order) != F.col("seq_id"), F.lit(True))
+    opens = starts & ~F.col("absorbed") & ~F.coalesce(F.lag("absorbed").over(order), F.lit(False))
+    return (rows.withColumn("_open", F.when(opens, 1).otherwise(0))
+            .withColumn("seq_id", F.sum("_open").over(order)).filter(~F.col("absorbed"))
+            .drop("_mid", "_run", "_open", "absorbed", "is_last"))
 
 
 def stitched_sequences(events: DataFrame) -> DataFrame:
@@ -132,7 +127,10 @@ def stitched_sequences(events: DataFrame) -> DataFrame:
                  "ord").alias("z"),
         F.count_if(F.col("etype") == "Pass").alias("n_passes"),
         F.max(F.coalesce(F.col("x") > K.FINAL_THIRD, F.lit(False))).alias("reaches_third"),
-        F.max(box).alias("in_box"),
+        F.max(box).alias("in_box"), F.min(F.when(F.col("x") > K.FINAL_THIRD, F.col("t_s"))).alias("deep_t"),
+        # In order of first appearance; as long as one sequence.
+        F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(F.col("player_id").isNotNull(), F.struct("ord", "player_id")))),
+                                     lambda e: e["player_id"])).alias("player_ids"),
         exact_sum(F.greatest("_step", F.lit(0.0))).alias("_fwd"), exact_sum(F.abs("_step")).alias("_move"))
     real = (F.col("length") >= 2) | ~F.col("a.etype").isin(*K.NOT_A_SEQUENCE)
     return (rows.withColumn("real", real)
@@ -142,11 +140,18 @@ def stitched_sequences(events: DataFrame) -> DataFrame:
 
 
 def chained(seqs: DataFrame) -> DataFrame:
-    """Real sequences with `possession_id` (0-based per match) and `opens` at a possession's first."""
+    """Real sequences with `possession_id` (0-based per match), `opens` at a possession's
+    first sequence, and the possession's totals."""
     order = Window.partitionBy("combo_id").orderBy("seq_id")
     opens = ~F.col("team_id").eqNullSafe(F.lag("team_id").over(order))
-    return (seqs.filter("real").withColumn("opens", opens)
-            .withColumn("possession_id", F.sum(F.when(F.col("opens"), 1).otherwise(0)).over(order) - 1))
+    whole = Window.partitionBy("combo_id", "possession_id")
+    rows = (seqs.filter("real").withColumn("opens", opens)
+            .withColumn("possession_id", F.sum(F.when(F.col("opens"), 1).otherwise(0)).over(order) - 1)
+            .withColumn("p_sequences", F.count("*").over(whole)).withColumn("p_end", F.max("end_t").over(whole))
+            .withColumn("p_shot", F.max("z.is_shot").over(whole)).withColumn("p_deep", F.min("deep_t").over(whole)))
+    # Counter-attack, read at the opening sequence: open play from the own half, in the final third soon after.
+    soon = F.coalesce(F.col("p_deep") - F.col("start_t") <= K.COUNTER_SECONDS, F.lit(False))
+    return rows.withColumn("p_counter", F.col("opens") & ~F.col("a.restart") & (F.coalesce("a.x", F.lit(50.0)) <= 50) & soon)
 
 
 def _outcome() -> Column:
@@ -163,12 +168,12 @@ def _outcome() -> Column:
 
 
 def _flagged(chain: DataFrame) -> DataFrame:
-    """Sequence outcome and flags; sequences ended by an administrative stop are dropped."""
+    """Sequence outcome (NULL for an administrative stop) and flags."""
     open_play = ~F.col("a.restart")
     ends_well = F.col("z.is_shot") | F.col("in_box")
     y0 = F.coalesce("a.y", F.lit(50.0))
     return (
-        chain.withColumn("outcome", _outcome()).filter(F.col("outcome").isNotNull())
+        chain.withColumn("outcome", _outcome())
         .withColumn("duration_s", F.col("end_t") - F.col("start_t"))
         .withColumn("start_y", y0).withColumn("end_y", F.coalesce("z.y", F.lit(50.0)))
         .withColumn("is_open_play", open_play)
@@ -183,74 +188,63 @@ def _flagged(chain: DataFrame) -> DataFrame:
 
 def sequence_rows(feed: DataFrame) -> DataFrame:
     """One row per real sequence with a classified end; players in order of first appearance."""
-    events = stitched_events(feed)
-    firsts = (events.filter(F.col("player_id").isNotNull()).groupBy(*_SEQ, "player_id").agg(F.min("ord").alias("ord"))
-              .groupBy(*_SEQ).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "player_id"))),
-                                              lambda s: s["player_id"]).alias("player_ids")))
-    return _flagged(chained(stitched_sequences(events))).join(firsts, _SEQ, "left").select(
+    rows = _flagged(chained(stitched_sequences(stitched_events(feed)))).filter(F.col("outcome").isNotNull())
+    return rows.select(
         "combo_id", "team_id", "seq_id", "possession_id", "length", "duration_s",
         rnd(F.col("start_x"), 1).alias("start_x"), rnd(F.col("start_y"), 1).alias("start_y"),
         rnd(F.col("end_x"), 1).alias("end_x"), rnd(F.col("end_y"), 1).alias("end_y"),
         "n_passes", "is_open_play", "is_shot", "is_ten_plus_pass", "is_build_up_attack", "is_direct_attack",
         "is_high_turnover", "outcome", F.col("a.event_id").alias("event_id_start"), F.col("z.event_id").alias("event_id_end"),
-        F.col("a.player_id").alias("player_id_start"), F.col("z.player_id").alias("player_id_end"),
-        F.coalesce("player_ids", F.array().cast("array<bigint>")).alias("player_ids"))
-
-
-def possessions(events: DataFrame) -> DataFrame:
-    """One row per possession, with the counter-attack flags."""
-    chain = chained(stitched_sequences(events))
-    poss = ["combo_id", "possession_id", "team_id"]
-    heads = chain.groupBy(*poss).agg(
-        F.count("*").alias("sequences"), F.min("start_t").alias("start_t"), F.max("end_t").alias("end_t"),
-        F.min_by(F.struct("a", "seq_id"), "seq_id").alias("_first"), F.max("z.is_shot").alias("has_shot"))
-    # First time the ball is in the final third.
-    deep = (events.filter(F.coalesce("x", F.lit(0.0)) > K.FINAL_THIRD)
-            .join(chain.select(*_SEQ, "possession_id"), _SEQ)
-            .groupBy("combo_id", "possession_id").agg(F.min("t_s").alias("deep_t")))
-    x0 = F.coalesce("_first.a.x", F.lit(50.0))
-    counter = (~F.col("_first.a.restart") & (x0 <= 50)
-               & F.coalesce(F.col("deep_t") - F.col("start_t") <= K.COUNTER_SECONDS, F.lit(False)))
-    return (heads.join(deep, ["combo_id", "possession_id"], "left")
-            .select(*poss, "sequences", (F.col("end_t") - F.col("start_t")).alias("duration_s"),
-                    "has_shot", counter.alias("is_counter")))
+        F.col("a.player_id").alias("player_id_start"), F.col("z.player_id").alias("player_id_end"), "player_ids")
 
 
-def team_possession_advanced(feed: DataFrame, sides: DataFrame, minutes: DataFrame) -> DataFrame:
-    """Sequence, possession, pressing and tilt metrics of each team."""
-    events = stitched_events(feed)
-    rows, ps = _flagged(chained(stitched_sequences(events))), possessions(events)
-    n, op, shot = F.count("*"), F.col("is_open_play"), F.col("is_shot")
-    attack = F.col("reaches_third") & (F.col("length") >= 2)
+def possessions(feed: DataFrame) -> DataFrame:
+    """One row per possession, with the counter-attack flag."""
+    return (chained(stitched_sequences(stitched_events(feed))).filter("opens")
+            .select("combo_id", "possession_id", "team_id", F.col("p_sequences").alias("sequences"),
+                    (F.col("p_end") - F.col("start_t")).alias("duration_s"), F.col("p_shot").alias("has_shot"),
+                    F.col("p_counter").alias("is_counter")))
+
+
+def _sequence_metrics() -> list[Column]:
+    """Metrics over classified sequences, and over possessions at their opening sequence."""
+    done = F.col("outcome").isNotNull()
+    n, op, shot = F.count_if(done), done & F.col("is_open_play"), done & F.col("is_shot")
+    attack = done & F.col("reaches_third") & (F.col("length") >= 2)
     direct = op & (F.col("start_x") <= 50) & (F.col("duration_s") > 0)
     progress = F.greatest(F.lit(0.0), F.col("end_x") - F.col("start_x")) * F.lit(K.PITCH_LENGTH / 100)
+    outcome, opens, counter = F.col("outcome"), F.col("opens"), F.col("p_counter")
 
-    def mean(value: str, cond: Column) -> Column:
-        return ratio(F.sum(F.when(cond, F.col(value))), F.count_if(cond), 1)
+    def mean(value: str | Column, cond: Column, digits: int = 1) -> Column:
+        value = F.col(value) if isinstance(value, str) else value
+        return ratio(F.sum(F.when(cond, value)), F.count_if(cond), digits)
 
-    every = F.lit(True)
-    seq = rows.groupBy(*TEAM).agg(
+    return [
         n.alias("sequences_total"), C(op, "open_play_sequences"),
-        mean("duration_s", every).alias("avg_sequence_time_s"), mean("length", every).alias("avg_sequence_length"),
-        mean("n_passes", every).alias("passes_per_sequence"),
+        mean("duration_s", done).alias("avg_sequence_time_s"), mean("length", done).alias("avg_sequence_length"),
+        mean("n_passes", done).alias("passes_per_sequence"),
         ratio(exact_sum(F.when(op, F.col("start_x"))) * F.lit(K.PITCH_LENGTH / 100), F.count_if(op), 1).alias("start_distance_m"),
         ratio(exact_sum(F.when(direct, progress)), F.sum(F.when(direct, F.col("duration_s"))), 2).alias("direct_speed_m_s"),
-        C(F.col("is_ten_plus_pass"), "ten_plus_pass_sequences"), C(F.col("is_build_up_attack"), "build_up_attacks"),
-        C(F.col("is_direct_attack"), "direct_attacks"), C(F.col("is_high_turnover"), "high_turnovers"),
+        C(done & F.col("is_ten_plus_pass"), "ten_plus_pass_sequences"), C(done & F.col("is_build_up_attack"), "build_up_attacks"),
+        C(done & F.col("is_direct_attack"), "direct_attacks"), C(done & F.col("is_high_turnover"), "high_turnovers"),
         C(F.col("is_high_turnover") & shot, "high_turnover_shots"),
         C(shot, "shot_sequences"), pct(F.count_if(shot), n, 1).alias("shot_seq_pct"),
         mean("length", shot).alias("avg_shot_seq_length"), mean("duration_s", shot).alias("avg_shot_seq_duration_s"),
         mean("n_passes", shot).alias("avg_shot_seq_passes"),
         C(attack, "attack_sequences"), mean("duration_s", attack).alias("avg_attack_duration_s"),
         mean("n_passes", attack).alias("avg_attack_passes"),
-        pct(F.count_if(F.col("outcome").isin("turnover", "dispossessed")), n, 1).alias("open_play_turnover_pct"),
-        pct(F.count_if(F.col("outcome").isin("turnover", "dispossessed", "out_of_play")), n, 1).alias("possession_loss_pct"),
-        pct(F.count_if(F.col("outcome").isin("foul_won", "set_piece_won", "foul_conceded", "offside")), n, 1).alias("set_piece_end_pct"))
-    counter = F.col("is_counter")
-    poss = ps.groupBy(*TEAM).agg(
-        n.alias("possessions_total"), mean("duration_s", every).alias("avg_possession_duration_s"),
-        ratio(F.sum("sequences"), n, 2).alias("avg_sequences_per_possession"), C(counter, "counter_attack_sequences"),
-        pct(F.count_if(counter & F.col("has_shot")), F.count_if(counter), 1).alias("counter_attack_shot_pct"))
+        pct(F.count_if(outcome.isin("turnover", "dispossessed")), n, 1).alias("open_play_turnover_pct"),
+        pct(F.count_if(outcome.isin("turnover", "dispossessed", "out_of_play")), n, 1).alias("possession_loss_pct"),
+        pct(F.count_if(outcome.isin("foul_won", "set_piece_won", "foul_conceded", "offside")), n, 1).alias("set_piece_end_pct"),
+        C(opens, "possessions_total"), mean(F.col("p_end") - F.col("start_t"), opens).alias("avg_possession_duration_s"),
+        mean("p_sequences", opens, 2).alias("avg_sequences_per_possession"), C(counter, "counter_attack_sequences"),
+        pct(F.count_if(counter & F.col("p_shot")), F.count_if(counter), 1).alias("counter_attack_shot_pct"),
+    ]
+
+
+def team_possession_advanced(feed: DataFrame, sides: DataFrame, minutes: DataFrame) -> DataFrame:
+    """Sequence, possession, pressing and tilt metrics of each team."""
+    seq = _flagged(chained(stitched_sequences(stitched_events(feed)))).groupBy(*TEAM).agg(*_sequence_metrics())
     good = own_teams(feed).groupBy(*TEAM).agg(
         C((F.col("etype") == "Pass") & is_base_pass() & F.col("ok"), "passes_accurate"),
         F.max("expanded_minute").alias("_last"))
@@ -261,6 +255,5 @@ def team_possession_advanced(feed: DataFrame, sides: DataFrame, minutes: DataFra
             .withColumn("possession_minutes", rnd(F.col("_minutes"), 1)).drop("share", "_minutes", "_last"))
     out = (base.join(field_tilt_possession(feed, sides), TEAM)
            .join(ppda_possession(feed, sides).select(*TEAM, "ppda"), TEAM)
-           .join(seq, TEAM, "left").join(poss, TEAM, "left"))
-    counts = [c for c, t in seq.dtypes + poss.dtypes if t == "bigint" and c not in ("team_id",)]
-    return out.na.fill(0, counts)
+           .join(seq, TEAM, "left"))
+    return out.na.fill(0, [c for c, t in seq.dtypes if t == "bigint" and c != "team_id"])

@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import (
     defending, discipline, identity, keeper, passing, possession, runs, sca, sequences, shooting, states,
 )
+from ..operators import reshape
 from ..sources.adapter import Tables
+from . import quality
+from .event_tables import EVENT_TABLES, MatchData
+from .marts import MARTS, Marts
+from .staging import STAGED
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 
@@ -21,9 +26,16 @@ def query(name: str):
     return register
 
 
+def joined_arrays(df: DataFrame) -> DataFrame:
+    """Id lists as comma-separated text, so that any engine can compare them."""
+    return df.select(*[
+        F.concat_ws(",", F.transform(F.col(c), lambda v: v.cast("string"))).alias(c) if t.startswith("array<") else F.col(c)
+        for c, t in df.dtypes])
+
+
 def as_spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
-        return lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+        return lambda spark, sf_dir: joined_arrays(fn(Tables(spark, sf_dir)))
 
     return {name: bind(fn) for name, fn in QUERIES.items()}
 
@@ -45,6 +57,8 @@ query("a12_shots")(lambda t: shooting.shots(t.feed))
 query("a13_team_shooting")(lambda t: shooting.team_shooting(t.feed))
 query("a13_player_shooting")(lambda t: shooting.player_shooting(t.feed))
 query("a14_sca_totals")(lambda t: shooting.sca_totals(t.feed))
+query("a12_shots_with_creators")(lambda t: shooting.shots_with_creators(t.feed))
+query("a14_team_shooting_full")(lambda t: shooting.team_shooting_full(t.feed))
 query("a14_player_shooting_full")(lambda t: shooting.player_shooting_full(t.feed))
 query("a15_team_possession")(lambda t: possession.team_possession(t.feed, t.sides, t["possession_minutes"]))
 query("a16_player_possession")(lambda t: possession.player_possession(t.feed))
@@ -67,8 +81,8 @@ query("w05_hold")(lambda t: runs.hold_times(t.feed))
 query("w06_sequences")(lambda t: sequences.raw_sequences(t.feed).drop("next_team"))
 query("w07_stitched")(lambda t: sequences.stitched_sequences(sequences.stitched_events(t.feed)).select(
     "combo_id", "seq_id", "team_id", "length", "start_t", "end_t", "real", F.col("z.marker").alias("marker")))
-query("w09_possessions")(lambda t: sequences.possessions(sequences.stitched_events(t.feed)))
-query("w10_sequence_rows")(lambda t: sequences.sequence_rows(t.feed).withColumn("player_ids", F.concat_ws(",", F.transform("player_ids", lambda p: p.cast("string")))))
+query("w09_possessions")(lambda t: sequences.possessions(t.feed))
+query("w10_sequence_rows")(lambda t: sequences.sequence_rows(t.feed))
 query("w12_states")(lambda t: states.state_spine(t.feed))
 query("w13_team_states")(lambda t: states.team_states(states.state_spine(t.feed)))
 query("w14_context")(lambda t: states.context_events(t.feed, states.state_spine(t.feed), t["formations"]))
@@ -89,3 +103,70 @@ def player_xwalk(t: Tables) -> DataFrame:
 
 def team_xwalk(t: Tables) -> DataFrame:
     return identity.team_crosswalk(t["ev_lineups"], t["rd_lineups"], t["xg_lineups"])
+
+
+# -- staging and marts ---------------------------------------------------------------
+
+def match_data(t: Tables) -> MatchData:
+    return MatchData(t.feed, t.sides, t["squad"], t["formations"], t["possession_minutes"], t["ev_match_meta"], t["ev_lineups"])
+
+
+def raw_table(t: Tables, name: str) -> DataFrame:
+    return EVENT_TABLES[name](match_data(t)) if name in EVENT_TABLES else t[name]
+
+
+def marts(t: Tables) -> Marts:
+    # The 450-minute floor would leave nothing of the small test scales.
+    return Marts(lambda name: raw_table(t, name), min_minutes=60)
+
+
+for _i, _name in enumerate(STAGED, 1):
+    query(f"g{_i:02d}_{_name}")(lambda t, _name=_name: marts(t).staged(_name))
+
+for _i, _name in enumerate(MARTS, 1):
+    query(f"m{_i:02d}_{_name}")(lambda t, _name=_name: getattr(marts(t), _name)())
+
+
+# -- checks --------------------------------------------------------------------------
+
+@query("t01_not_null")
+def _t01(t: Tables) -> DataFrame:
+    m = marts(t)
+    return (quality.not_null(m.player_xwalk, "player_uid", "player_xwalk.player_uid")
+            .unionByName(quality.not_null(m.staged("xg_lineups"), "shirt_number", "xg_lineups.shirt_number")))
+
+
+@query("t02_unique_anchor")
+def _t02(t: Tables) -> DataFrame:
+    m = marts(t)
+    return (quality.unique(m.player_xwalk, "ev_player_id", "player_xwalk.ev_player_id")
+            .unionByName(quality.unique(m.raw("ev_lineups"), "player_id", "ev_lineups.player_id")))
+
+
+@query("t03_unique_provider")
+def _t03(t: Tables) -> DataFrame:
+    m = marts(t)
+    return (quality.unique(m.player_xwalk, "rd_player_id", "player_xwalk.rd_player_id")
+            .unionByName(quality.unique(m.raw("rd_lineups"), "shirt_number", "rd_lineups.shirt_number")))
+
+
+@query("t04_unique_keys")
+def _t04(t: Tables) -> DataFrame:
+    m = marts(t)
+    return (quality.unique(m.dim_match(), "combo_id", "dim_match.combo_id", "warn")
+            .unionByName(quality.unique(m.dim_team(), "country", "dim_team.country", "warn")))
+
+
+query("t05_shot_counts")(lambda t: quality.shot_counts(shooting.shots(t.feed), t["xg_shots"], t["rd_shots"]))
+
+
+# -- reshapes --------------------------------------------------------------------------
+
+query("p02_cast_text")(lambda t: reshape.cast_text_numeric(
+    t["xg_player_stats"], keep_text=["combo_id", "player_name", "team_name"], drop=["team_name"], display=["accurate_passes"]))
+query("p03_new_columns")(lambda t: reshape.join_new(
+    passing.team_passing(t.feed, t.sides), passing.team_passing_advanced(t.feed, t.sides), ["combo_id", "team_id"]))
+query("p04_pivot")(lambda t: reshape.pivot_wide(t["orders"], ["o_custkey"], "o_orderpriority", "o_totalprice"))
+query("p05_team_stats_wide")(lambda t: reshape.team_stats_wide(
+    t["team_stat_items"], ["combo_id", "period"], ["Pass", "Tackle", "Foul", "Aerial"]))
+query("x07_bad_sides")(lambda t: identity.bad_sides(t["ev_lineups"]))

@@ -787,7 +787,7 @@ own AS (SELECT combo_id, team_id, sb, ms, sp, {_AGG}, coalesce({rd(xs(_DELTA, BA
 pm AS (SELECT p.combo_id, p.team_id, p.value, {_at('p.minute * 60 + 30', 'p')} AS state_id FROM possession_minutes p),
 po AS (SELECT s.combo_id, s.team_id, s.score_bucket AS sb, s.man_state AS ms, s.period AS sp, sum(pm.value) FILTER (WHERE pm.team_id = s.team_id) AS mine, sum(pm.value) AS everything
   FROM w13_team_states s JOIN pm ON pm.combo_id = s.combo_id AND pm.state_id = s.state_id GROUP BY 1, 2, 3, 4, 5),
-st AS (SELECT combo_id, team_id, score_bucket AS sb, man_state AS ms, period AS sp, {rd('sum(duration_s) / 60', 1)} AS minutes, list(state_id ORDER BY state_id) AS state_ids
+st AS (SELECT combo_id, team_id, score_bucket AS sb, man_state AS ms, period AS sp, {rd('sum(duration_s) / 60', 1)} AS minutes, string_agg(CAST(state_id AS VARCHAR), ',' ORDER BY state_id) AS state_ids
   FROM w13_team_states GROUP BY 1, 2, 3, 4, 5)
 SELECT st.combo_id, st.team_id, st.sp AS period, st.sb AS score_bucket, st.ms AS man_state, st.state_ids, st.minutes,
   {", ".join(f"coalesce(own.{c.split(' AS ')[-1]}, 0) AS {c.split(' AS ')[-1]}" for c in _AGG.split(",\n  "))},
@@ -849,3 +849,213 @@ SELECT manager_id, xg_coach_id FROM (
     UNION ALL SELECT r.away_manager_id, x.at_coach_id FROM xg_match x JOIN rd_matches r ON r.combo_id = x.combo_id) z
   WHERE manager_id IS NOT NULL AND xg_coach_id IS NOT NULL GROUP BY 1, 2) v WHERE rn = 1
 """)
+
+
+# -- shots and teams with creators ---------------------------------------------------
+
+oracle("a12_shots_with_creators", "a12_shots w01_sca", """
+SELECT s.*, a.player_id AS sca_1_player_id, a.kind AS sca_1_type, b.player_id AS sca_2_player_id, b.kind AS sca_2_type
+FROM a12_shots s LEFT JOIN w01_sca a ON a.combo_id = s.combo_id AND a.shot_pos = s.pos AND a.slot = 1
+LEFT JOIN w01_sca b ON b.combo_id = s.combo_id AND b.shot_pos = s.pos AND b.slot = 2
+""")
+oracle("a14_team_shooting_full", "a13_team_shooting a14_sca_totals", """
+SELECT s.*, coalesce(c.sca, 0) AS sca_total, coalesce(sca_pass_live, 0) AS sca_pass_live, coalesce(sca_pass_dead, 0) AS sca_pass_dead,
+  coalesce(sca_take_on, 0) AS sca_take_on, coalesce(sca_shot, 0) AS sca_shot, coalesce(sca_fouled, 0) AS sca_fouled, coalesce(sca_defense, 0) AS sca_defense,
+  coalesce(shots_with_sca, 0) AS shots_with_sca
+FROM a13_team_shooting s LEFT JOIN (SELECT * FROM a14_sca_totals WHERE player_id IS NULL) c ON c.combo_id = s.combo_id AND c.team_id = s.team_id
+""")
+
+# -- staging ---------------------------------------------------------------------------
+
+RAW_SQL = {
+    "ev_avg_positions": "a10_avg_position", "ev_context_events": "w14_context", "ev_formations": "formations", "ev_game_states": "w12_states",
+    "ev_lineups": "ev_lineups", "ev_match_meta": "ev_match_meta", "ev_pass_map": "a03_pass_map", "ev_pass_network": "a11_pass_network",
+    "ev_player_defending": "a18_player_defending", "ev_player_discipline": "a20_player_discipline", "ev_player_goalkeep": "a22_keepers",
+    "ev_player_passing": "a02_player_passing", "ev_player_passing_adv": "a09_player_passing_adv", "ev_player_possession": "a16_player_possession",
+    "ev_player_shooting": "a14_player_shooting_full", "ev_sequences": "w10_sequence_rows", "ev_shots": "a12_shots_with_creators",
+    "ev_team_defending": "a17_team_defending", "ev_team_discipline": "a19_team_discipline", "ev_team_passing": "a01_team_passing",
+    "ev_team_passing_adv": "a04_team_passing_adv", "ev_team_poss_adv": "a23_team_poss_adv", "ev_team_possession": "a15_team_possession",
+    "ev_team_shooting": "a14_team_shooting_full", "ev_team_state_agg": "a24_state_agg", "ev_team_states": "w13_team_states",
+}
+_NUM = "CASE WHEN regexp_matches({c}, '[0-9]') THEN TRY_CAST(regexp_replace({c}, '^[^0-9.\\-]*([0-9]+\\.?[0-9]*).*$', '\\1') AS DOUBLE) END AS {c}"
+_CAST = {"xg_player_stats": ["accurate_passes", "duels_won"], "xg_team_stats": ["pass_home", "pass_away", "tackle_home", "tackle_away"],
+         "rd_match_stats": ["fouls_homevalue", "fouls_awayvalue"], "rd_player_stats": ["match_rating", "totalpass"]}
+STAGE_KEY: dict[str, str] = {}
+_PLAYER_UID = {"ev_pass_network": False}
+
+
+def _stage_oracles() -> None:
+    from .staging import STAGED
+
+    for k, (name, rule) in enumerate(STAGED.items(), 1):
+        key = STAGE_KEY[name] = f"g{k:02d}_{name}"
+        src, prov = RAW_SQL.get(name, name), name[:2]
+        needs, cols, joins = [src], [], ""
+        cast = _CAST.get(name)
+        cols.append("r.*" if not cast else "r.* REPLACE (" + ", ".join(_NUM.format(c=c) for c in cast) + ")")
+        for on, what, xw, alias in ((rule.player, "player", "x03_player_xwalk", "p"), (rule.team, "team", "x04_team_xwalk", "t")):
+            if on:
+                needs.append(xw)
+                joins += f" LEFT JOIN {xw} {alias} ON {alias}.{prov}_{what}_id = r.{what}_id"
+                cols.append(f"coalesce({alias}.{what}_uid, r.{what}_id) AS {what}_uid" if prov == "ev" else f"{alias}.{what}_uid")
+        oracle(key, " ".join(needs), f"SELECT {', '.join(cols)} FROM {src} r{joins}")
+
+
+_stage_oracles()
+
+
+def mart(key: str, staged: str, sql: str, more: str = "") -> None:
+    """`{name}` in the text stands for the staged view of that name."""
+    names = staged.split()
+    oracle(key, " ".join(STAGE_KEY[s] for s in names) + " " + more, sql.format(**{s: STAGE_KEY[s] for s in names}))
+
+
+mart("m01_dim_competition", "rd_tournaments", "SELECT tournament_id AS competition_uid, name, country, tier FROM {rd_tournaments}")
+mart("m02_dim_season", "rd_seasons", "SELECT season_id AS season_uid, name, year, tournament_id AS competition_uid FROM {rd_seasons}")
+mart("m03_dim_referee", "rd_referees", "SELECT referee_id AS referee_uid, name, nationality, games, yellow_cards, red_cards, double_yellow_cards FROM {rd_referees}")
+mart("m04_dim_coach", "rd_managers", """
+SELECT m.manager_id AS coach_uid, m.name, m.shortname, m.slug, v.xg_coach_id FROM {rd_managers} m LEFT JOIN x05_coach_xwalk v ON v.manager_id = m.manager_id
+""", "x05_coach_xwalk")
+mart("m05_dim_team", "rd_teams ev_lineups", """
+SELECT x.team_uid, x.ev_team_id, x.rd_team_id, x.xg_team_id, coalesce(s.name, n.own) AS name, s.country, s.city, s.stadium, s.stadium_capacity, s.founded_date
+FROM x04_team_xwalk x LEFT JOIN {rd_teams} s ON s.team_uid = x.team_uid LEFT JOIN (SELECT team_uid, max(team_name) AS own FROM {ev_lineups} GROUP BY 1) n ON n.team_uid = x.team_uid
+""", "x04_team_xwalk")
+mart("m06_dim_match", "ev_match_meta xg_match rd_matches", """
+SELECT w.combo_id, hx.team_uid AS home_team_uid, ax.team_uid AS away_team_uid, s.home_manager_id AS home_coach_uid, s.away_manager_id AS away_coach_uid,
+  s.referee_id AS referee_uid, s.tournament_id AS competition_uid, s.season_id AS season_uid, w.attendance, f.match_round, f.home_score, f.away_score, f.match_date,
+  f.stadium_name, f.stadium_city, f.stadium_capacity, f.home_color, f.away_color, f.has_shot_data, f.has_momentum_data, f.motm_id, f.motm_rating,
+  s.winnercode, s.has_shotmap, s.has_xg, s.home_formation, s.away_formation
+FROM {ev_match_meta} w LEFT JOIN {xg_match} f ON f.combo_id = w.combo_id LEFT JOIN {rd_matches} s ON s.combo_id = w.combo_id
+LEFT JOIN x04_team_xwalk hx ON hx.ev_team_id = w.home_team_id LEFT JOIN x04_team_xwalk ax ON ax.ev_team_id = w.away_team_id
+""", "x04_team_xwalk")
+mart("m07_dim_player", "rd_players ev_lineups xg_lineups", """
+SELECT x.player_uid, x.ev_player_id, x.rd_player_id, x.xg_player_id, coalesce(s.name, n.own) AS full_name, s.birth_date, s.nationality,
+  coalesce(p.position, s.position) AS position, t.team_uid AS most_recent_team_uid
+FROM x03_player_xwalk x LEFT JOIN {rd_players} s ON s.player_uid = x.player_uid
+LEFT JOIN (SELECT player_uid, max(player_name) AS own FROM {ev_lineups} GROUP BY 1) n ON n.player_uid = x.player_uid
+LEFT JOIN (SELECT DISTINCT ON (l.player_uid) l.player_uid, coalesce(l.position, l.usual_position) AS position FROM {xg_lineups} l JOIN m06_dim_match d ON d.combo_id = l.combo_id
+  WHERE coalesce(l.position, l.usual_position) IS NOT NULL ORDER BY l.player_uid, d.match_date DESC NULLS LAST, l.combo_id DESC) p ON p.player_uid = x.player_uid
+LEFT JOIN (SELECT DISTINCT ON (l.player_uid) l.player_uid, l.team_uid FROM {ev_lineups} l JOIN m06_dim_match d ON d.combo_id = l.combo_id
+  ORDER BY l.player_uid, d.match_date DESC NULLS LAST, l.combo_id DESC) t ON t.player_uid = x.player_uid
+""", "x03_player_xwalk m06_dim_match")
+mart("m08_dim_spatial", "rd_spatial xg_spatial", """
+SELECT coalesce(s.combo_id, f.combo_id) AS combo_id, s.average_positions AS rd_average_positions, s.home_heatmap AS rd_home_heatmap, s.away_heatmap AS rd_away_heatmap,
+  s.full_player_heatmaps AS rd_full_player_heatmaps, s.match_momentum_graph AS rd_match_momentum_graph, s.commentary AS rd_commentary, f.momentum_data AS xg_momentum_data
+FROM {rd_spatial} s FULL JOIN {xg_spatial} f ON f.combo_id = s.combo_id
+""")
+_D = "d.season_uid, d.competition_uid, d.match_date"
+mart("m09_fct_player_match", "ev_lineups xg_lineups rd_lineups rd_player_stats", f"""
+SELECT w.combo_id, w.player_uid, w.team_uid, {_D}, w.player_name, w.is_home_team, w.is_starter, w.is_captain, s.minutes_played, w.subbed_in_minute, w.subbed_out_minute,
+  w.position AS ev_position, s.position AS rd_position, f.position AS xg_position, f.usual_position AS xg_usual_position, f.position_id AS xg_position_id,
+  f.usual_position_id AS xg_usual_position_id, f.rating AS xg_rating, r.match_rating AS rd_rating
+FROM {{ev_lineups}} w LEFT JOIN {{xg_lineups}} f ON f.combo_id = w.combo_id AND f.player_uid = w.player_uid
+LEFT JOIN {{rd_lineups}} s ON s.combo_id = w.combo_id AND s.player_uid = w.player_uid
+LEFT JOIN {{rd_player_stats}} r ON r.combo_id = w.combo_id AND r.player_uid = w.player_uid LEFT JOIN m06_dim_match d ON d.combo_id = w.combo_id
+""", "m06_dim_match")
+mart("m10_fct_player_shooting", "ev_player_shooting xg_shots", f"""
+SELECT s.*, x.xg, x.xgot, {_D} FROM {{ev_player_shooting}} s
+LEFT JOIN (SELECT combo_id, player_uid, {xs('xg')} AS xg, {xs('xgot')} AS xgot FROM {{xg_shots}} GROUP BY 1, 2) x ON x.combo_id = s.combo_id AND x.player_uid = s.player_uid
+LEFT JOIN m06_dim_match d ON d.combo_id = s.combo_id
+""", "m06_dim_match")
+
+
+def _advanced(key: str, base: str, adv: str, by: str, shared: str) -> None:
+    mart(key, f"{base} {adv}", f"""
+SELECT b.*, a.* EXCLUDE ({shared}), {_D} FROM {{{base}}} b LEFT JOIN {{{adv}}} a ON a.combo_id = b.combo_id AND a.{by} = b.{by}
+LEFT JOIN m06_dim_match d ON d.combo_id = b.combo_id""", "m06_dim_match")
+
+
+def _dated(key: str, staged: str) -> None:
+    mart(key, staged, f"SELECT s.*, {_D} FROM {{{staged}}} s LEFT JOIN m06_dim_match d ON d.combo_id = s.combo_id", "m06_dim_match")
+
+
+_advanced("m11_fct_player_passing", "ev_player_passing", "ev_player_passing_adv", "player_uid",
+          "combo_id, team_id, player_id, player_uid, team_uid, key_passes, assists, passes_entering_final_third")
+_dated("m12_fct_player_possession", "ev_player_possession")
+_dated("m13_fct_player_defending", "ev_player_defending")
+_dated("m14_fct_player_discipline", "ev_player_discipline")
+_dated("m15_fct_player_goalkeeping", "ev_player_goalkeep")
+mart("m16_fct_shots", "ev_shots xg_shots rd_shots", f"""
+SELECT concat(w.combo_id, '-', w.row_id) AS shot_uid, w.* EXCLUDE (x, y, goal_mouth_y, goal_mouth_z, expanded_minute, pos), w.x AS ev_x, w.y AS ev_y,
+  w.goal_mouth_y AS ev_goal_mouth_y, w.goal_mouth_z AS ev_goal_mouth_z, f.minute AS expanded_minute, f.minute_added, f.xg, f.xgot, f.x AS xg_x, f.y AS xg_y,
+  f.goal_crossed_y AS xg_goal_crossed_y, f.goal_crossed_z AS xg_goal_crossed_z, f.blocked_x AS xg_blocked_x, f.blocked_y AS xg_blocked_y,
+  f.shot_type AS xg_shot_type, f.situation AS xg_situation, f.keeper_id AS xg_keeper_id, o.shot_id AS rd_shot_id, o.xg AS rd_xg, o.xgot AS rd_xgot, {_D}
+FROM {{ev_shots}} w LEFT JOIN {{xg_shots}} f ON f.combo_id = w.combo_id AND f.row_id = w.row_id
+LEFT JOIN {{rd_shots}} o ON o.combo_id = w.combo_id AND o.row_id = w.row_id LEFT JOIN m06_dim_match d ON d.combo_id = w.combo_id
+""", "m06_dim_match")
+_dated("m17_fct_odds", "od_odds")
+mart("m18_fct_team_match", "xg_team_stats", f"""
+SELECT f.*, d.home_team_uid, d.away_team_uid, {_D} FROM {{xg_team_stats}} f LEFT JOIN m06_dim_match d ON d.combo_id = f.combo_id
+""", "m06_dim_match")
+_dated("m19_fct_team_shooting", "ev_team_shooting")
+_dated("m20_fct_team_defending", "ev_team_defending")
+_dated("m21_fct_team_discipline", "ev_team_discipline")
+_dated("m22_fct_team_match_state", "ev_team_state_agg")
+_advanced("m23_fct_team_passing", "ev_team_passing", "ev_team_passing_adv", "team_uid",
+          "combo_id, team_id, team_uid, passes_entering_final_third, passes_in_final_third, passes_in_final_third_accurate, key_passes, assists, big_chances_created")
+_advanced("m24_fct_team_possession", "ev_team_possession", "ev_team_poss_adv", "team_uid", "combo_id, team_id, team_uid, passing_rate, possession_minutes")
+
+
+def _p90(m: str) -> str:
+    return f"CAST({m} AS DOUBLE) / n90 AS {m}_p90"
+
+
+_PEER = "PARTITION BY season_uid, competition_uid, position ORDER BY"
+oracle("m25_agg_player_season", "m07_dim_player m09_fct_player_match m10_fct_player_shooting m12_fct_player_possession", f"""
+WITH base AS (
+  SELECT pm.player_uid, pm.season_uid, pm.competition_uid, max(dp.position) AS position, {i('sum(pm.minutes_played)')} AS minutes, count(*) AS matches,
+    {i('sum(coalesce(sh.goals, 0))')} AS goals, {i('sum(coalesce(sh.total_shots, 0))')} AS shots, coalesce({xs('sh.xg')}, 0) AS xg,
+    {i('sum(coalesce(po.touches, 0))')} AS touches, {i('sum(coalesce(po.dribbles_won, 0))')} AS dribbles
+  FROM m09_fct_player_match pm LEFT JOIN m10_fct_player_shooting sh ON sh.combo_id = pm.combo_id AND sh.player_uid = pm.player_uid
+  LEFT JOIN m12_fct_player_possession po ON po.combo_id = pm.combo_id AND po.player_uid = pm.player_uid
+  LEFT JOIN m07_dim_player dp ON dp.player_uid = pm.player_uid GROUP BY 1, 2, 3),
+rates AS (SELECT *, {", ".join(_p90(m) for m in ("goals", "shots", "xg", "touches", "dribbles"))} FROM (SELECT *, minutes / CAST(90 AS DOUBLE) AS n90 FROM base WHERE minutes >= 60) z)
+SELECT *, {", ".join(f"percent_rank() OVER ({_PEER} {m}_p90) AS {m}_p90_pct" for m in ("goals", "xg", "touches", "dribbles"))} FROM rates
+""")
+oracle("m26_agg_team_season", "m19_fct_team_shooting", f"""
+SELECT *, CAST(goals AS DOUBLE) / nullif(matches, 0) AS goals_per_match, percent_rank() OVER (PARTITION BY season_uid, competition_uid ORDER BY goals) AS goals_pct,
+  percent_rank() OVER (PARTITION BY season_uid, competition_uid ORDER BY shots) AS shots_pct
+FROM (SELECT team_uid, season_uid, competition_uid, count(*) AS matches, {i('sum(coalesce(goals, 0))')} AS goals, {i('sum(coalesce(total_shots, 0))')} AS shots
+      FROM m19_fct_team_shooting GROUP BY 1, 2, 3) z
+""")
+
+# -- checks and reshapes -----------------------------------------------------------------
+
+
+def _unique(table: str, col: str, check: str, severity: str) -> str:
+    return (f"SELECT '{check}' AS \"check\", '{severity}' AS severity, CAST({col} AS VARCHAR) AS key, count(*) AS n FROM {table} "
+            f"WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1")
+
+
+oracle("t01_not_null", f"x03_player_xwalk {STAGE_KEY['xg_lineups']}", f"""
+SELECT * FROM (SELECT 'player_xwalk.player_uid' AS "check", 'error' AS severity, CAST(NULL AS VARCHAR) AS key, count(*) FILTER (WHERE player_uid IS NULL) AS n FROM x03_player_xwalk
+UNION ALL SELECT 'xg_lineups.shirt_number', 'error', NULL, count(*) FILTER (WHERE shirt_number IS NULL) FROM {STAGE_KEY['xg_lineups']}) z WHERE n > 0
+""")
+oracle("t02_unique_anchor", "x03_player_xwalk ev_lineups", _unique("x03_player_xwalk", "ev_player_id", "player_xwalk.ev_player_id", "error")
+       + " UNION ALL " + _unique("ev_lineups", "player_id", "ev_lineups.player_id", "error"))
+oracle("t03_unique_provider", "x03_player_xwalk rd_lineups", _unique("x03_player_xwalk", "rd_player_id", "player_xwalk.rd_player_id", "error")
+       + " UNION ALL " + _unique("rd_lineups", "shirt_number", "rd_lineups.shirt_number", "error"))
+oracle("t04_unique_keys", "m06_dim_match m05_dim_team", _unique("m06_dim_match", "combo_id", "dim_match.combo_id", "warn")
+       + " UNION ALL " + _unique("m05_dim_team", "country", "dim_team.country", "warn"))
+oracle("t05_shot_counts", "a12_shots xg_shots rd_shots", """
+SELECT * FROM (
+  SELECT combo_id, count(*) FILTER (WHERE src = 'ev') AS ev_n, count(*) FILTER (WHERE src = 'xg') AS xg_n, count(*) FILTER (WHERE src = 'rd') AS rd_n
+  FROM (SELECT combo_id, 'ev' AS src FROM a12_shots UNION ALL SELECT combo_id, 'xg' FROM xg_shots UNION ALL SELECT combo_id, 'rd' FROM rd_shots) u GROUP BY 1) c
+WHERE (xg_n > 0 AND ev_n <> xg_n) OR (rd_n > 0 AND ev_n <> rd_n)
+""")
+oracle("p02_cast_text", "xg_player_stats", f"""
+SELECT r.* EXCLUDE (team_name) REPLACE ({", ".join(_NUM.format(c=c) for c in ("accurate_passes", "duels_won"))}), r.accurate_passes AS accurate_passes_display FROM xg_player_stats r
+""")
+oracle("p03_new_columns", "a01_team_passing a04_team_passing_adv", """
+SELECT b.*, a.* EXCLUDE (combo_id, team_id, passes_entering_final_third, passes_in_final_third, passes_in_final_third_accurate, key_passes, assists, big_chances_created)
+FROM a01_team_passing b LEFT JOIN a04_team_passing_adv a ON a.combo_id = b.combo_id AND a.team_id = b.team_id
+""")
+oracle("p04_pivot", "orders", "SELECT o_custkey, " + ", ".join(
+    f"max(CASE WHEN o_orderpriority = '{p}' THEN o_totalprice END) AS \"{p.lower().replace(' ', '_').replace('-', '_')}\""
+    for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")) + " FROM orders GROUP BY 1")
+oracle("p05_team_stats_wide", "team_stat_items", "SELECT combo_id, period, " + ", ".join(
+    f'arg_max(home_value, pos) FILTER (WHERE stat_key = \'{k}\') AS "{k}_home", arg_max(away_value, pos) FILTER (WHERE stat_key = \'{k}\') AS "{k}_away"'
+    for k in ("Pass", "Tackle", "Foul", "Aerial")) + " FROM team_stat_items GROUP BY 1, 2")
+oracle("x07_bad_sides", "ev_lineups", """
+SELECT combo_id, count(DISTINCT is_home_team) AS n_sides FROM ev_lineups GROUP BY 1 HAVING count(DISTINCT is_home_team) <> 2
+""")

@@ -14,6 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import fixed as K
+from ..functions.expr import constant_map, with_flags
 
 INPUTS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -143,7 +144,7 @@ FROM (SELECT s.*, (player_id + mno + 3) % 14 AS r FROM {{squad}} s) n WHERE NOT
 _table("rd_players", ["rd_lineups", "squad"], """
 SELECT s.player_id + 60000 AS player_id, max(s.player_name) AS name, substr(max(s.position), 1, 1) AS position,
   concat('Nation ', cast(max(s.player_id) % 25 AS string)) AS nationality,
-  cast(max(s.player_id) * 10000 - 4000000 AS bigint) AS birth_epoch
+  cast(max(s.player_id) * 10000 - 4000000 AS bigint) AS birth_date
 FROM {squad} s GROUP BY s.player_id
 """)
 
@@ -350,10 +351,9 @@ class Tables:
     def feed(self) -> DataFrame:
         """Canonical event feed (see `sources.feed`)."""
         if "_feed" not in self._made:
-            ids = F.create_map(*[F.lit(v) for kv in K.QUALIFIER_ID.items() for v in kv])
-            types = F.create_map(*[F.lit(v) for kv in K.TYPE_ID.items() for v in kv])
+            ids, types = constant_map(K.QUALIFIER_ID), constant_map(K.TYPE_ID)
             is_pass = F.col("etype") == "Pass"
-            self._made["_feed"] = self["feed_base"].select(
+            self._made["_feed"] = with_flags(self["feed_base"].select(
                 "combo_id", "pos", "event_id", "t_s", "minute", "second", "expanded_minute", "period",
                 "home_id", "away_id", "team_id", "opp_id", "player_id", "related_player_id",
                 F.try_element_at(types, "etype").alias("type_id"), "etype", "ok", "x", "y",
@@ -364,7 +364,7 @@ class Tables:
                 F.lit(None).cast("double").alias("goal_mouth_z"),
                 F.col("rel_event_id").alias("related_event_id"), "is_touch", "is_shot",
                 F.array_compact(F.array(F.try_element_at(ids, "qa"), F.try_element_at(ids, "qb"))).alias("qids"),
-                F.array_compact(F.array("qa", "qb")).alias("qnames"))
+                F.array_compact(F.array("qa", "qb")).alias("qnames")))
         return self._made["_feed"]
 
     @property
