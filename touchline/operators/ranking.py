@@ -51,10 +51,11 @@ def percent_ranks(df: DataFrame, key: list[str], peers: list[str], metrics: list
     ranked = ranked.select(*group, "value", rank.alias("rank"))
 
     # Back to the rows: one lookup for all metrics, then one row per key again.
-    rows = df.select(*key, *[c for c in peers if c not in key], values.alias("_v")).select(
-        *key, *[c for c in peers if c not in key], "_v.metric", "_v.value")
+    rows = df.select(F.struct(*df.columns).alias("_row"), *peers, values.alias("_v")).select(
+        "_row", *peers, "_v.metric", "_v.value")
     r = renamed(ranked, [*group, "value"])
-    wide = (rows.join(r, same(rows, r, [*group, "value"]))
-            .groupBy(*key).agg(*[F.max(F.when(F.col("metric") == m, F.col("rank"))).alias(m + suffix) for m in metrics]))
-    w = renamed(wide, key)
-    return df.join(w, same(df, w, key), "left").drop(*[f"_{c}" for c in key])
+    return (rows.join(r, same(rows, r, [*group, "value"]))
+            .groupBy(*[F.col(f"_row.{c}").alias(f"_key_{c}") for c in key])
+            .agg(F.first("_row").alias("_row"),
+                 *[F.max(F.when(F.col("metric") == m, F.col("rank"))).alias(m + suffix) for m in metrics])
+            .select("_row.*", *[m + suffix for m in metrics]))

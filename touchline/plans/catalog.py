@@ -10,6 +10,7 @@ from ..operators import (
     defending, discipline, identity, keeper, passing, possession, runs, sca, sequences, shooting, states,
 )
 from ..operators import reshape
+from ..sinks.shared import written
 from ..sources.adapter import Tables
 from . import quality
 from .event_tables import EVENT_TABLES, MatchData
@@ -115,9 +116,21 @@ def raw_table(t: Tables, name: str) -> DataFrame:
     return EVENT_TABLES[name](match_data(t)) if name in EVENT_TABLES else t[name]
 
 
+_KEPT: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def marts(t: Tables) -> Marts:
+    """Marts of one input directory. Its crosswalks are tables: the queries of one application share them."""
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if not name.endswith("_xwalk"):
+            return written(df, name)
+        key = (t.spark.sparkContext.applicationId, t.sf_dir, name)
+        if key not in _KEPT:
+            _KEPT[key] = written(df, name)
+        return _KEPT[key]
+
     # The 450-minute floor would leave nothing of the small test scales.
-    return Marts(lambda name: raw_table(t, name), min_minutes=60)
+    return Marts(lambda name: raw_table(t, name), min_minutes=60, keep=keep)
 
 
 for _i, _name in enumerate(STAGED, 1):

@@ -11,6 +11,7 @@ from ..functions.expr import exact_sum, ratio, shot_key
 from ..operators import identity
 from ..operators.ranking import percent_ranks
 from ..operators.reshape import join_new, optional
+from ..sinks.shared import written
 from .staging import STAGED, stage
 
 _SEASON = ["season_uid", "competition_uid", "match_date"]
@@ -19,13 +20,14 @@ _SEASON = ["season_uid", "competition_uid", "match_date"]
 class Marts:
     """Marts over a source of raw tables: `raw(name)` returns the raw DataFrame.
 
-    Everything is lazy; write the crosswalks first when many marts are built
-    (see `plans.build`), so that they are computed once.
+    Staged views and marts are lazy. The crosswalks and the season totals are
+    written once (`keep`), as many views read them.
     """
 
     def __init__(self, raw: Callable[[str], DataFrame], player_alias: DataFrame | None = None,
-                 team_alias: DataFrame | None = None, min_minutes: int = 450):
-        self.raw, self.min_minutes = raw, min_minutes
+                 team_alias: DataFrame | None = None, min_minutes: int = 450,
+                 keep: Callable[[DataFrame, str], DataFrame] = written):
+        self.raw, self.min_minutes, self._keep = raw, min_minutes, keep
         self._player_alias, self._team_alias = player_alias, team_alias
         self._staged: dict[str, DataFrame] = {}
 
@@ -33,12 +35,14 @@ class Marts:
 
     @cached_property
     def player_xwalk(self) -> DataFrame:
-        return identity.player_crosswalk(self.raw("ev_lineups"), self.raw("rd_lineups"), self.raw("rd_players"),
-                                         self.raw("xg_lineups"), self._player_alias)
+        return self._keep(identity.player_crosswalk(
+            self.raw("ev_lineups"), self.raw("rd_lineups"), self.raw("rd_players"), self.raw("xg_lineups"),
+            self._player_alias), "player_xwalk")
 
     @cached_property
     def team_xwalk(self) -> DataFrame:
-        return identity.team_crosswalk(self.raw("ev_lineups"), self.raw("rd_lineups"), self.raw("xg_lineups"), self._team_alias)
+        return self._keep(identity.team_crosswalk(
+            self.raw("ev_lineups"), self.raw("rd_lineups"), self.raw("xg_lineups"), self._team_alias), "team_xwalk")
 
     def staged(self, name: str) -> DataFrame:
         if name not in self._staged:
@@ -233,7 +237,7 @@ class Marts:
                  .withColumn("n90", F.nullif(F.col("minutes"), F.lit(0)) / F.lit(90.0)))
         for m in ("goals", "shots", "xg", "touches", "dribbles"):
             per90 = per90.withColumn(f"{m}_p90", ratio(F.col(m), F.col("n90")))
-        return percent_ranks(per90, key, ["season_uid", "competition_uid", "position"],
+        return percent_ranks(self._keep(per90, "player_season"), key, ["season_uid", "competition_uid", "position"],
                              ["goals_p90", "xg_p90", "touches_p90", "dribbles_p90"])
 
     def agg_team_season(self) -> DataFrame:
@@ -242,7 +246,7 @@ class Marts:
             F.count("*").alias("matches"), F.sum(F.coalesce("goals", F.lit(0))).alias("goals"),
             F.sum(F.coalesce("total_shots", F.lit(0))).alias("shots"))
         base = base.withColumn("goals_per_match", ratio(F.col("goals"), F.col("matches")))
-        return percent_ranks(base, key, ["season_uid", "competition_uid"], ["goals", "shots"])
+        return percent_ranks(self._keep(base, "team_season"), key, ["season_uid", "competition_uid"], ["goals", "shots"])
 
 
 MARTS = [
