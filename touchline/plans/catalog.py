@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import (
     defending, discipline, identity, keeper, passing, possession, runs, sca, sequences, shooting, states,
 )
+from ..functions import expr
 from ..operators import reshape
+from ..sinks import tables
 from ..sinks.shared import written
+from ..sources import documents, event_docs, odds_docs, rd_docs, sample_docs, xg_docs
 from ..sources.adapter import Tables
 from . import quality
 from .event_tables import EVENT_TABLES, MatchData
@@ -183,3 +186,139 @@ query("p04_pivot")(lambda t: reshape.pivot_wide(t["orders"], ["o_custkey"], "o_o
 query("p05_team_stats_wide")(lambda t: reshape.team_stats_wide(
     t["team_stat_items"], ["combo_id", "period"], ["Pass", "Tackle", "Foul", "Aerial"]))
 query("x07_bad_sides")(lambda t: identity.bad_sides(t["ev_lineups"]))
+
+
+# -- documents -----------------------------------------------------------------------
+# The documents are made from the adapter tables and read back by the provider readers.
+
+def _paths(t: Tables) -> DataFrame:
+    return sample_docs.all_texts(t).select(F.concat_ws("/", F.lit("/data"), "combo_id", "provider", F.concat("file", F.lit(".json"))).alias("path"))
+
+
+def _events(t: Tables) -> DataFrame:
+    return event_docs.event_documents(sample_docs.event_texts(t))
+
+
+def _xg(t: Tables) -> DataFrame:
+    return xg_docs.xg_documents(sample_docs.xg_texts(t))
+
+
+def _rd(t: Tables) -> rd_docs.ReferenceDocs:
+    return rd_docs.ReferenceDocs(sample_docs.reference_texts(t))
+
+
+query("s01_scan")(lambda t: documents.descriptors(_paths(t)))
+query("s02_incremental")(lambda t: documents.not_loaded(documents.descriptors(_paths(t)), t["matches"].filter("mno % 2 = 0")).select("combo_id", "ev_id"))
+
+
+@query("s03_reject")
+def _s03(t: Tables) -> DataFrame:
+    """Broken and blocked documents of some matches are left out."""
+    broken = (F.when(F.col("combo_id").endswith("1"), F.substring("value", 1, 300))
+              .when(F.col("combo_id").endswith("2"), F.lit('{"code": "TURNSTILE_REQUIRED"}')).otherwise(F.col("value")))
+    docs = event_docs.event_documents(sample_docs.event_texts(t).withColumn("value", broken))
+    return docs.select("combo_id", F.size("doc.events").cast("bigint").alias("n_events"))
+
+
+query("s03_feed")(lambda t: event_docs.feed(_events(t)).select(
+    "combo_id", "pos", "event_id", "t_s", "minute", "second", "period", "home_id", "away_id", "team_id", "opp_id", "player_id", "related_player_id", "etype", "ok",
+    "x", "y", "pass_end_x", "pass_end_y", "length", "related_event_id", "is_touch", "is_shot", F.try_element_at("qnames", F.lit(1)).alias("first_name")))
+query("s05_match_meta")(lambda t: event_docs.match_meta(_events(t)).select("combo_id", "ev_match_id", "home_team_id", "away_team_id", "attendance", "referee", "start_time"))
+query("s06_lineups")(lambda t: event_docs.lineups(_events(t)).select(
+    "combo_id", "player_id", "player_name", "team_id", "team_name", "is_home_team", "shirt_number", "position", "is_starter", "is_captain", "subbed_in_minute"))
+query("s07_formations")(lambda t: event_docs.formations(_events(t)).select(
+    "combo_id", "team_id", "is_home_team", "formation_index", "formation_name", "start_minute", "captain_player_id"))
+query("s08_xg_match")(lambda t: xg_docs.match(_xg(t)).select(
+    "combo_id", "match_round", "home_team_id", "away_team_id", "home_score", "away_score", "match_date", "stadium_name", "stadium_city", "stadium_capacity",
+    "home_color", "away_color", "has_shot_data", "has_momentum_data", "motm_id", "motm_rating"))
+query("s09_xg_lineups")(lambda t: xg_docs.lineups(_xg(t)).select(
+    "combo_id", "player_id", "team_id", "is_home_team", "role", "shirt_number", "position_id", "position", "usual_position_id", "usual_position", "rating"))
+query("s10_coaches")(lambda t: xg_docs.match(_xg(t)).select("combo_id", "ht_coach_id", "ht_coach_name", "at_coach_id", "at_coach_name"))
+query("s11_xg_shots")(lambda t: xg_docs.shots(_xg(t)).select("combo_id", "row_id", "team_id", "player_id", "minute", "minute_added", "xg", "xgot", "shot_type"))
+query("p05_team_stats_docs")(lambda t: xg_docs.team_stats(_xg(t), ["Pass", "Tackle", "Foul", "Aerial"]).drop("xg_match_id"))
+query("p06_team_stat_items")(lambda t: xg_docs.team_stat_items(_xg(t)).select("combo_id", "period", "stat_group", "stat_key", "home_value", "away_value"))
+query("p07_player_stats")(lambda t: xg_docs.player_stats(_xg(t), ["accurate_passes", "accurate_passes_total", "duels_won"]).select(
+    "combo_id", "player_id", "team_id", "player_name", "accurate_passes", "accurate_passes_total", "duels_won"))
+query("s28_momentum")(lambda t: xg_docs.momentum(_xg(t)).select("combo_id", "momentum_data"))
+query("s18_players")(lambda t: rd_docs.players(_rd(t)).select("player_id", "name", "nationality").distinct())
+query("s18_teams")(lambda t: rd_docs.teams(_rd(t)).select("team_id", "name", "stadium", "stadium_capacity", "country", "city").distinct())
+query("s18_tournaments")(lambda t: rd_docs.tournaments(_rd(t)).select("tournament_id", "name", "country", "tier").distinct())
+query("s18_seasons")(lambda t: rd_docs.seasons(_rd(t)).select("season_id", "name", "year", "tournament_id").distinct())
+query("s18_managers")(lambda t: rd_docs.managers(_rd(t)).select("manager_id", "name").distinct())
+query("s18_referees")(lambda t: rd_docs.referees(_rd(t)).drop("combo_id"))
+query("s19_epoch")(lambda t: rd_docs.players(_rd(t)).select("player_id", F.unix_timestamp("birth_date").alias("birth_s")).distinct())
+query("s20_rd_matches")(lambda t: rd_docs.matches(_rd(t)).select(
+    "combo_id", "match_id", "tournament_id", "season_id", "venue", "referee_id", "home_team_id", "away_team_id", "home_manager_id", "away_manager_id", "winnercode",
+    "homescore_current", "homescore_period1", "awayscore_current", "home_formation", "motm_player_id", F.unix_timestamp("starttimestamp").alias("start_s"), "has_shotmap"))
+query("s21_coverage")(lambda t: rd_docs.matches(_rd(t)).select("combo_id", "has_shotmap", "has_xg"))
+query("s22_rd_shots")(lambda t: rd_docs.shots(_rd(t)).select("combo_id", "row_id", "player_id", "shot_id", "xg", "xgot"))
+query("s23_rd_player_stats")(lambda t: rd_docs.player_stats(_rd(t), ["minutesPlayed", "totalPass", "keyPass"]).select(
+    "combo_id", "match_id", "team_id", "is_home_team", "player_id", "match_rating", "minutesplayed", "totalpass", "keypass"))
+query("s24_rd_lineups")(lambda t: rd_docs.lineups(_rd(t)).select(
+    "combo_id", "team_id", "is_home_team", "player_id", "is_starter", "is_captain", "minutes_played", "shirt_number", "position"))
+query("s24_missing_players")(lambda t: rd_docs.missing_players(_rd(t)).select("combo_id", "team_id", "is_home_team", "player_id", "name", "type", "reason"))
+query("s25_spatial")(lambda t: rd_docs.spatial(_rd(t)).select("combo_id", "average_positions", "home_heatmap", "away_heatmap", "match_momentum_graph", "commentary"))
+query("s27_odds_wide")(lambda t: rd_docs.odds(_rd(t), ["Full time_1X2_1", "Full time_1X2_2", "Full time_1X2_winning"]))
+query("p08_match_stats")(lambda t: rd_docs.match_stats(_rd(t), ["pass_count_homevalue", "pass_count_awayvalue", "foul_count_homevalue"]).drop("match_id"))
+query("s26_odds_long")(lambda t: odds_docs.odds(odds_docs.odds_documents(sample_docs.odds_texts(t))).select(
+    "combo_id", "market_name", "period_name", "line", "outcome_name", "odds_value", "odds_direction"))
+
+# -- load semantics --------------------------------------------------------------------
+
+
+def _orders(t: Tables, cond: str) -> DataFrame:
+    return t["orders"].filter(cond)
+
+
+@query("s12_upsert")
+def _s12(t: Tables) -> DataFrame:
+    """Status and price of each customer's latest order; later batches lack the status column."""
+    old = tables.upsert(None, _orders(t, "o_orderkey % 3 = 0").select("o_custkey", "o_orderstatus", "o_totalprice", F.col("o_orderkey").alias("load_seq")), ["o_custkey"])
+    new = _orders(t, "o_orderkey % 3 <> 0").select("o_custkey", "o_totalprice", "o_orderpriority", F.col("o_orderkey").alias("load_seq"))
+    return tables.upsert(old, new, ["o_custkey"])
+
+
+query("s13_conditional_upsert")(lambda t: tables.upsert_larger(
+    None, t["orders"].select("o_custkey", "o_orderkey", F.floor(F.col("o_totalprice") / 10000).alias("games"), F.col("o_orderkey").alias("load_seq")),
+    ["o_custkey"], "games"))
+query("s14_overwrite")(lambda t: tables.replace_matches(
+    _orders(t, "o_orderkey % 3 <> 1").select("o_custkey", "o_orderkey"), _orders(t, "o_orderkey % 3 = 1").select("o_custkey", "o_orderkey"), "o_custkey"))
+query("s15_extend_schema")(lambda t: tables.replace_matches(
+    _orders(t, "o_orderkey % 3 <> 1").select("o_custkey", "o_orderkey"), _orders(t, "o_orderkey % 3 = 1").select("o_custkey", "o_orderkey", "o_orderstatus"), "o_custkey"))
+query("s16_normalize")(lambda t: tables.normalized(t["events"].select(
+    F.col("event_id").alias("Event_ID"), F.col("ts").alias("TS"), F.when(F.col("event_id") % 7 != 0, F.col("value")).otherwise(F.lit("NaN").cast("double")).alias("Value"),
+    F.array("event_id", "user_id").alias("Ids"))))
+query("s17_natural_id")(lambda t: tables.natural_id(t["rd_referees"].withColumnRenamed("referee_id", "id"), "rd_referees"))
+query("s32_of_match")(lambda t: tables.of_match(t["xg_shots"], "M00001").select("combo_id", "row_id", "player_id", "xg"))
+
+# -- scalar functions ------------------------------------------------------------------
+
+query("f01_normalize_name")(lambda t: t["part"].select("p_partkey", expr.normalize_name(F.concat(F.col("p_name"), F.lit(" É-9 "), F.col("p_type"))).alias("nname")))
+
+
+@query("f02_leading_number")
+def _f02(t: Tables) -> DataFrame:
+    n, k = F.floor("value").cast("string"), F.col("event_id") % 6
+    text = (F.when(k == 0, F.concat(n, F.lit("%"))).when(k == 1, F.concat(n, F.lit("/"), n, F.lit(" (60%)"))).when(k == 2, F.lit("-")).when(k == 3, F.lit(""))
+            .when(k == 4, F.concat(F.lit("-"), n)))
+    return t["events"].select("event_id", expr.leading_number(text).alias("number"))
+
+
+query("f03_geometry")(lambda t: t.feed.select(
+    "combo_id", "pos", expr.rnd(expr.goal_distance_m(F.col("x"), F.col("y")), 2).alias("dist_m"), expr.goal_distance_units(F.col("x"), F.col("y")).alias("dist_units"),
+    expr.shot_angle(expr.rnd(expr.goal_distance_m(F.col("x"), F.col("y")), 2)).alias("angle"), expr.expected_threat(F.col("x"), F.col("y")).alias("xt"),
+    expr.third(F.col("x")).alias("third"), expr.foul_zone(F.col("x")).alias("foul_zone"), expr.touch_in_box(F.col("x"), F.col("y")).alias("box_touch"),
+    expr.pass_into_box(F.col("x"), F.col("y")).alias("box_pass"), expr.in_penalty_area(F.col("x"), F.col("y")).alias("box_area"),
+    expr.length_band(F.col("length")).alias("band")))
+
+
+@query("f16_clock")
+def _f16(t: Tables) -> DataFrame:
+    m, s, d = expr.clock(F.col("t_s"), F.lit(180) * (F.col("period") - 1), F.col("period"))
+    return t.feed.select("combo_id", "pos", m.alias("m"), s.alias("s"), d.alias("display"))
+
+
+query("f17_positions")(lambda t: t["xg_lineups"].select(
+    "combo_id", "player_id", expr.position_label(F.col("position_id"), F.col("shirt_number") / 14).alias("label"), expr.usual_position(F.col("usual_position_id")).alias("usual")))
+query("f21_number_or")(lambda t: t["orders"].select("o_orderkey", expr.number_or(F.col("o_orderpriority").substr(1, 2), 50).alias("bad"),
+                                                     expr.number_or(F.col("o_orderpriority").substr(1, 1), 50).alias("good")))

@@ -1059,3 +1059,153 @@ oracle("p05_team_stats_wide", "team_stat_items", "SELECT combo_id, period, " + "
 oracle("x07_bad_sides", "ev_lineups", """
 SELECT combo_id, count(DISTINCT is_home_team) AS n_sides FROM ev_lineups GROUP BY 1 HAVING count(DISTINCT is_home_team) <> 2
 """)
+
+# -- documents -------------------------------------------------------------------------
+
+oracle("s01_scan", "matches rd_spatial odds_items", """
+SELECT combo_id, concat('/data/', combo_id, '/events/events_', mno + 700000, '.json') AS ev_path, mno + 700000 AS ev_id,
+  concat('/data/', combo_id, '/xg/xg_', 1 + mno % 38 + 800000, '.json') AS xg_path, 1 + mno % 38 + 800000 AS xg_id,
+  true AS has_reference_data, combo_id IN (SELECT combo_id FROM odds_items) AS has_odds_data, true AS has_events, true AS has_xg_data
+FROM matches
+""")
+oracle("s02_incremental", "matches", "SELECT combo_id, mno + 700000 AS ev_id FROM matches WHERE mno % 2 <> 0")
+oracle("s03_reject", "feed_base", "SELECT combo_id, count(*) AS n_events FROM feed_base WHERE right(combo_id, 1) NOT IN ('1', '2') GROUP BY 1")
+oracle("s03_feed", "feed_base", """
+SELECT combo_id, pos, event_id, t_s, minute, second, period, home_id, away_id, team_id, opp_id, player_id, related_player_id, etype, ok, x, y,
+  CASE WHEN etype = 'Pass' THEN end_x END AS pass_end_x, CASE WHEN etype = 'Pass' THEN end_y END AS pass_end_y, length, rel_event_id AS related_event_id, is_touch, is_shot,
+  CASE WHEN qa IS NOT NULL THEN qa WHEN qb IS NOT NULL THEN qb WHEN etype = 'Pass' THEN 'PassEndX' WHEN length IS NOT NULL THEN 'Length'
+       WHEN rel_event_id IS NOT NULL THEN 'RelatedEventId' END AS first_name
+FROM feed_base
+""")
+oracle("s05_match_meta", "ev_match_meta matches", """
+SELECT m.combo_id, k.mno + 700000 AS ev_match_id, home_team_id, away_team_id, attendance, 'R' AS referee, start_time FROM ev_match_meta m JOIN matches k ON k.combo_id = m.combo_id
+""")
+oracle("s06_lineups", "ev_lineups", "SELECT combo_id, player_id, player_name, team_id, team_name, is_home_team, shirt_number, position, is_starter, is_captain, subbed_in_minute FROM ev_lineups")
+oracle("s07_formations", "formations ev_lineups", """
+SELECT f.combo_id, f.team_id, f.is_home AS is_home_team, formation_index, formation_name, start_minute, c.player_id AS captain_player_id
+FROM formations f LEFT JOIN ev_lineups c ON c.combo_id = f.combo_id AND c.team_id = f.team_id AND c.is_captain
+""")
+oracle("s08_xg_match", "xg_match xg_shots xg_spatial", """
+SELECT combo_id, CAST(match_round AS VARCHAR) AS match_round, home_team_id, away_team_id, home_score, away_score, match_date, stadium_name, stadium_city, stadium_capacity,
+  home_color, away_color, combo_id IN (SELECT combo_id FROM xg_shots) AS has_shot_data, combo_id IN (SELECT combo_id FROM xg_spatial) AS has_momentum_data, motm_id, motm_rating
+FROM xg_match
+""")
+
+
+def _position(pid: str) -> str:
+    return "CASE " + " ".join(f"WHEN {pid} IN ({', '.join(map(str, ids))}) THEN '{label}'" for label, ids in K.POSITION_IDS.items()) + " END"
+
+
+def _lateral(base: str, y: str) -> str:
+    return (f"CASE WHEN {base} NOT IN ('CB', 'DM', 'CM', 'AM', 'ST') OR {y} IS NULL THEN {base} WHEN {y} > 0.65 THEN concat('R', {base}) WHEN {y} < 0.35 THEN concat('L', {base}) "
+            f"WHEN {base} IN ('DM', 'AM') THEN concat('C', {base}) ELSE {base} END")
+
+
+_USUAL = "CASE usual_position_id WHEN 0 THEN 'GK' WHEN 1 THEN 'DEF' WHEN 2 THEN 'MID' WHEN 3 THEN 'FWD' END"
+oracle("s09_xg_lineups", "xg_lineups", f"""
+SELECT combo_id, player_id, team_id, is_home_team, CASE WHEN position IS NOT NULL THEN 'starter' ELSE 'sub' END AS role, shirt_number, position_id,
+  CASE WHEN base IS NULL THEN NULL ELSE {_lateral('base', 'y')} END AS position, usual_position_id, {_USUAL} AS usual_position, rating
+FROM (SELECT *, {_position('position_id')} AS base, CASE WHEN position IS NOT NULL THEN CAST(player_id % 10 AS DOUBLE) / 10 END AS y FROM xg_lineups) z
+""")
+oracle("s10_coaches", "xg_match", """
+SELECT combo_id, ht_coach_id, concat('Coach ', CAST(ht_coach_id AS VARCHAR)) AS ht_coach_name, at_coach_id,
+  CASE WHEN at_coach_id IS NOT NULL THEN concat('Coach ', CAST(at_coach_id AS VARCHAR)) END AS at_coach_name FROM xg_match
+""")
+oracle("s11_xg_shots", "xg_shots", """
+SELECT combo_id, row_number() OVER (PARTITION BY combo_id ORDER BY coalesce(minute, 0), coalesce(minute_added, 0), row_id) - 1 AS row_id, team_id, player_id, minute,
+  minute_added, xg, xgot, shot_type FROM xg_shots
+""")
+ORACLES["p05_team_stats_docs"] = ORACLES["p05_team_stats_wide"]
+oracle("p06_team_stat_items", "team_stat_items", "SELECT combo_id, period, 'All' AS stat_group, stat_key, home_value, away_value FROM team_stat_items")
+oracle("p07_player_stats", "xg_player_stats", "SELECT combo_id, player_id, team_id, player_name, accurate_passes, '9' AS accurate_passes_total, duels_won FROM xg_player_stats")
+oracle("s28_momentum", "xg_spatial", "SELECT * FROM xg_spatial")
+oracle("s18_players", "rd_lineups", "SELECT DISTINCT player_id, concat('P', player_id) AS name, concat('N', player_id % 7) AS nationality FROM rd_lineups")
+oracle("s18_teams", "sides", """
+SELECT DISTINCT team_id + 8000 AS team_id, concat('FC ', team_id) AS name, concat('Ground ', team_id) AS stadium, team_id * 1000 AS stadium_capacity, 'Country' AS country, 'City' AS city FROM sides
+""")
+oracle("s18_tournaments", "matches", "SELECT DISTINCT competition_uid AS tournament_id, concat('League ', competition_uid) AS name, 'Europe' AS country, '1' AS tier FROM matches")
+oracle("s18_seasons", "matches", "SELECT DISTINCT season_uid AS season_id, concat('S ', season_uid) AS name, CAST(season_uid AS VARCHAR) AS year, competition_uid AS tournament_id FROM matches")
+oracle("s18_managers", "sides", "SELECT DISTINCT team_id * 10 + 1 AS manager_id, concat('Coach ', team_id) AS name FROM sides")
+oracle("s18_referees", "matches", """
+SELECT mno % 12 AS referee_id, concat('R ', mno % 12) AS name, 'X' AS nationality, CAST(1 AS BIGINT) AS red_cards, mno * 3 AS yellow_cards, CAST(0 AS BIGINT) AS double_yellow_cards,
+  mno % 5 AS games FROM matches
+""")
+oracle("s19_epoch", "rd_lineups", "SELECT DISTINCT player_id, (player_id - 60500) * 1000000 AS birth_s FROM rd_lineups")
+oracle("s20_rd_matches", "rd_matches matches rd_shots", """
+SELECT r.combo_id, r.match_id, r.tournament_id, r.season_id, 'Ground' AS venue, r.referee_id, r.home_team_id, r.away_team_id, r.home_manager_id, r.away_manager_id, r.winnercode,
+  m.mno % 4 AS homescore_current, CAST(0 AS BIGINT) AS homescore_period1, m.mno % 3 AS awayscore_current, '4-3-3' AS home_formation,
+  CASE WHEN m.mno % 2 = 0 THEN m.home_id + 60000 END AS motm_player_id, m.mno * 86400 AS start_s, r.combo_id IN (SELECT combo_id FROM rd_shots) AS has_shotmap
+FROM rd_matches r JOIN matches m ON m.combo_id = r.combo_id
+""")
+oracle("s21_coverage", "rd_matches rd_shots", """
+SELECT combo_id, combo_id IN (SELECT combo_id FROM rd_shots) AS has_shotmap, combo_id IN (SELECT combo_id FROM rd_shots WHERE xg IS NOT NULL) AS has_xg FROM rd_matches
+""")
+oracle("s22_rd_shots", "rd_shots", "SELECT combo_id, row_id, player_id, shot_id, xg, xgot FROM rd_shots")
+oracle("s23_rd_player_stats", "rd_lineups rd_matches", """
+SELECT l.combo_id, m.match_id, l.team_id, l.is_home_team, l.player_id,
+  CAST(CASE WHEN player_id % 3 = 0 THEN 7.5 WHEN player_id % 2 <> 0 THEN player_id % 90 ELSE 0 END AS DOUBLE) AS match_rating,
+  CAST(minutes_played AS DOUBLE) AS minutesplayed, CAST(CASE WHEN player_id % 2 = 0 THEN player_id % 90 ELSE 0 END AS DOUBLE) AS totalpass,
+  CAST(CASE WHEN player_id % 3 = 0 THEN 0 ELSE 2 END AS DOUBLE) AS keypass
+FROM rd_lineups l JOIN rd_matches m ON m.combo_id = l.combo_id WHERE player_id % 14 <> 3
+""")
+oracle("s24_rd_lineups", "rd_lineups", """
+SELECT combo_id, team_id, is_home_team, player_id, is_starter, is_captain, CASE WHEN player_id % 14 = 3 THEN 0 ELSE minutes_played END AS minutes_played, shirt_number, position FROM rd_lineups
+""")
+oracle("s24_missing_players", "rd_missing_players", "SELECT combo_id, team_id, is_home_team, player_id, name, type, CAST(reason AS VARCHAR) AS reason FROM rd_missing_players")
+oracle("s25_spatial", "rd_spatial", "SELECT combo_id, average_positions, home_heatmap, away_heatmap, match_momentum_graph, commentary FROM rd_spatial")
+oracle("s27_odds_wide", "rd_odds", """
+SELECT combo_id, match_id, full_time_1x2_1 AS "full time_1x2_1", full_time_1x2_2 AS "full time_1x2_2", CASE WHEN match_id % 2 = 0 THEN '1' ELSE '2' END AS "full time_1x2_winning" FROM rd_odds
+""")
+oracle("p08_match_stats", "team_stat_items", """
+SELECT combo_id, CASE WHEN period = 'p1' THEN 'FULL-TIME' ELSE 'FIRST-HALF' END AS period, CAST(CASE WHEN period = 'p1' THEN 0 ELSE 1 END AS BIGINT) AS row_id,
+  max(home_value) FILTER (WHERE stat_key = 'Pass') AS pass_count_homevalue, max(away_value) FILTER (WHERE stat_key = 'Pass') AS pass_count_awayvalue,
+  max(home_value) FILTER (WHERE stat_key = 'Foul') AS foul_count_homevalue FROM team_stat_items GROUP BY 1, 2, 3
+""")
+oracle("s26_odds_long", "od_odds", "SELECT * FROM od_odds")
+
+# -- load semantics ----------------------------------------------------------------------
+
+oracle("s12_upsert", "orders", """
+SELECT coalesce(o.c, n.c) AS o_custkey, o.status AS o_orderstatus, coalesce(n.price, o.price) AS o_totalprice, n.prio AS o_orderpriority
+FROM (SELECT o_custkey AS c, arg_max(o_orderstatus, o_orderkey) AS status, arg_max(o_totalprice, o_orderkey) AS price FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1) o
+FULL JOIN (SELECT o_custkey AS c, arg_max(o_totalprice, o_orderkey) AS price, arg_max(o_orderpriority, o_orderkey) AS prio FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1) n ON n.c = o.c
+""")
+oracle("s13_conditional_upsert", "orders", """
+SELECT o_custkey, o_orderkey, games FROM (SELECT o_custkey, o_orderkey, CAST(floor(o_totalprice / 10000) AS BIGINT) AS games,
+  row_number() OVER (PARTITION BY o_custkey ORDER BY floor(o_totalprice / 10000) DESC, o_orderkey) AS rn FROM orders) z WHERE rn = 1
+""")
+oracle("s14_overwrite", "orders", """
+SELECT o_custkey, o_orderkey FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL SELECT o_custkey, o_orderkey FROM orders WHERE o_orderkey % 3 <> 1 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 3 = 1)
+""")
+oracle("s15_extend_schema", "orders", """
+SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL SELECT o_custkey, o_orderkey, NULL FROM orders WHERE o_orderkey % 3 <> 1 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 3 = 1)
+""")
+oracle("s16_normalize", "events", """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts, CASE WHEN event_id % 7 <> 0 THEN value END AS value, concat('[', event_id, ',', user_id, ']') AS ids FROM events
+""")
+oracle("s17_natural_id", "rd_referees", "SELECT * FROM rd_referees")
+oracle("s32_of_match", "xg_shots", "SELECT combo_id, row_id, player_id, xg FROM xg_shots WHERE combo_id = 'M00001'")
+
+# -- scalar functions --------------------------------------------------------------------
+
+oracle("f01_normalize_name", "part", "SELECT p_partkey, regexp_replace(lower(concat(p_name, ' É-9 ', p_type)), '[^a-z]', '', 'g') AS nname FROM part")
+oracle("f02_leading_number", "events", """
+SELECT event_id, CASE event_id % 6 WHEN 0 THEN floor(value) WHEN 1 THEN floor(value) WHEN 4 THEN -floor(value) END AS number FROM events
+""")
+oracle("f03_geometry", "feed_base", f"""
+SELECT combo_id, pos, {_DIST} AS dist_m, sqrt((100 - x) * (100 - x) + (50 - y) * (50 - y)) AS dist_units,
+  CASE WHEN {_DIST} = 0 THEN 90 ELSE {rd(f'degrees(2 * atan(3.66 / {_DIST}))', 2)} END AS angle, {xt('x', 'y')} AS xt, {third()} AS third, {_ZONE.format(x='x')} AS foul_zone,
+  x > 83 AND y BETWEEN 21 AND 79 AS box_touch, x >= 83 AND y BETWEEN 21 AND 79 AS box_pass,
+  x >= {K.BOX_X_MIN!r}::DOUBLE AND y >= {K.BOX_Y_MIN!r}::DOUBLE AND y <= {K.BOX_Y_MAX!r}::DOUBLE AS box_area,
+  CASE WHEN length < 10 THEN 'short' WHEN length <= 32 THEN 'medium' ELSE 'long' END AS band
+FROM feed_base
+""")
+_FM, _FS, _FD = _clock("t_s", "180 * (period - 1)", "period")
+oracle("f16_clock", "feed_base", f"SELECT combo_id, pos, {_FM} AS m, {_FS} AS s, {_FD} AS display FROM feed_base")
+oracle("f17_positions", "xg_lineups", f"""
+SELECT combo_id, player_id, CASE WHEN base IS NULL THEN NULL ELSE {_lateral('base', 'y')} END AS label, {_USUAL} AS usual
+FROM (SELECT *, {_position('position_id')} AS base, CAST(shirt_number AS DOUBLE) / 14 AS y FROM xg_lineups) z
+""")
+oracle("f21_number_or", "orders", "SELECT o_orderkey, CAST(50 AS DOUBLE) AS bad, CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS good FROM orders")
