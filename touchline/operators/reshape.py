@@ -60,7 +60,7 @@ def pivot_wide(df: DataFrame, group: list[str], key: str, value: str, keys: list
     """Long to wide, one cleaned column per key, largest value wins."""
     keys = pivot_keys(df, key) if keys is None else keys
     cells = [F.max(F.when(F.col(key) == k, F.col(value).try_cast(cast))).alias(pivot_column_name(k)) for k in keys]
-    return df.groupBy(*group).agg(*cells)
+    return df.groupBy(*group).agg(F.count("*").alias("_n"), *cells).drop("_n")
 
 
 def team_stats_wide(items: DataFrame, group: list[str], stats: list[str] | None = None) -> DataFrame:
@@ -70,4 +70,4 @@ def team_stats_wide(items: DataFrame, group: list[str], stats: list[str] | None
     for s in stats:
         at = F.when(F.col("stat_key") == s, F.col("pos"))
         cells += [F.max_by(f"{side}_value", at).alias(f"{s}_{side}") for side in ("home", "away")]
-    return items.groupBy(*group).agg(*cells)
+    return items.groupBy(*group).agg(F.count("*").alias("_n"), *cells).drop("_n")

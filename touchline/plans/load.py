@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import fields
+from functools import lru_cache, partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sinks import tables as sink
 from ..sinks.shared import written
 from ..sources import documents, event_docs, odds_docs, rd_docs, xg_docs
-from .event_tables import EVENT_TABLES, with_names
+from .event_tables import EVENT_TABLES, MatchData, with_names
 from .marts import MARTS, Marts
 from .quality import run_checks
 
@@ -16,49 +20,66 @@ ENTITY_KEYS = {"rd_tournaments": ["tournament_id"], "rd_seasons": ["season_id"],
                "rd_referees": ["referee_id"], "rd_managers": ["manager_id"]}
 
 
-def raw_frames(texts: DataFrame) -> dict[str, DataFrame]:
-    """All 47 raw tables of the documents, lazily."""
+def event_data(texts: DataFrame) -> MatchData:
+    """Event documents, parsed once: the feed and its side tables are written as columns,
+    so that each metric table reads only the columns it needs instead of the JSON."""
     data = event_docs.match_data(event_docs.event_documents(texts))
-    out = {name: make(data) for name, make in EVENT_TABLES.items()}
-    names = data.lineups.select("combo_id", "player_id", "player_name")
-    for name, df in out.items():
+    return MatchData(*[written(getattr(data, f.name), f.name) for f in fields(MatchData)])
+
+
+def raw_frames(texts: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of all 47 raw tables of the documents."""
+    shared = lru_cache(maxsize=None)(lambda: event_data(texts))
+
+    def named(name: str) -> DataFrame:
+        data = shared()
+        df = EVENT_TABLES[name](data)
+        names = data.lineups.select("combo_id", "player_id", "player_name")
         if name.startswith("ev_player_") or name == "ev_shots":
-            out[name] = with_names(df, names, {"player_id": "player_name"})
-    out["ev_pass_network"] = with_names(out["ev_pass_network"], names, {"passer_id": "passer_name", "receiver_id": "receiver_name"})
-    out.update(xg_docs.raw_tables(xg_docs.xg_documents(texts)))
-    out.update(rd_docs.raw_tables(rd_docs.ReferenceDocs(texts)))
-    out["od_odds"] = odds_docs.odds(odds_docs.odds_documents(texts))
+            return with_names(df, names, {"player_id": "player_name"})
+        if name == "ev_pass_network":
+            return with_names(df, names, {"passer_id": "passer_name", "receiver_id": "receiver_name"})
+        return df
+
+    out: dict[str, Callable[[], DataFrame]] = {name: partial(named, name) for name in EVENT_TABLES}
+    xg, rd = xg_docs.xg_documents(texts), rd_docs.ReferenceDocs(texts)
+    out.update({name: partial(make, xg) for name, make in xg_docs.TABLES.items()})
+    out.update({name: partial(make, rd) for name, make in rd_docs.TABLES.items()})
+    out["od_odds"] = lambda: odds_docs.odds(odds_docs.odds_documents(texts))
     return out
 
 
+AUDIT = "combo_id string, provider string, table string, rows bigint, error string"
+
+
 def load_texts(texts: DataFrame, base: str, only: list[str] | None = None) -> DataFrame:
-    """Writes the raw tables of the documents; returns the audit (match, provider, table, rows).
+    """Writes the raw tables of the documents; returns the audit (match, provider, table, rows, error).
 
     A table that fails does not stop the others, but its matches are reported
     with the error, so that nothing of them is published unnoticed.
     """
     spark = texts.sparkSession
     # Only matches with an event document count.
-    valid = texts.filter("provider = 'events'").select("combo_id").distinct()
+    valid = written(texts.filter("provider = 'events'").select("combo_id").distinct(), "matches")
     texts = texts.join(valid, "combo_id", "left_semi")
-    audits = []
-    for name, df in raw_frames(texts).items():
+    out = spark.createDataFrame([], AUDIT)
+    for name, make in raw_frames(texts).items():
         if only is not None and name not in only:
             continue
         path = sink.table_path(base, "raw", name)
         provider = {"ev": "events", "xg": "xg", "rd": "reference", "od": "odds"}[name[:2]]
+        note = valid.select("combo_id", F.lit(provider).alias("provider"), F.lit(name).alias("table"))
         try:
+            df = make()
             if name in ENTITY_KEYS:
                 _upsert_entity(spark, df, name, path)
+                counts = df.groupBy("combo_id").agg(F.count("*").alias("rows"))
             else:
                 sink.write_matches(df, path)
-            audits.append(sink.audit({name: df}, provider).withColumn("error", F.lit(None).cast("string")))
+                counts = spark.read.option("mergeSchema", True).parquet(path).groupBy("combo_id").agg(F.count("*").alias("rows"))
+            out = out.unionByName(note.join(counts, "combo_id").withColumn("error", F.lit(None).cast("string")))
         except Exception as e:
-            audits.append(valid.select("combo_id", F.lit(provider).alias("provider"), F.lit(name).alias("table"),
-                                       F.lit(0).cast("bigint").alias("rows"), F.lit(str(e)[:500]).alias("error")))
-    out = audits[0]
-    for a in audits[1:]:
-        out = out.unionByName(a)
+            out = out.unionByName(note.withColumn("rows", F.lit(0).cast("bigint")).withColumn("error", F.lit(f"{type(e).__name__}: {e}"[:500])))
     return out
 
 
@@ -88,14 +109,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def load(spark: SparkSession, root: str, base: str, force_reload: bool = False) -> DataFrame:
+def load(spark: SparkSession, root: str, base: str, force_reload: bool = False, only: list[str] | None = None) -> DataFrame:
     """Loads the matches under `root` that are not loaded yet."""
     found = documents.scan(spark, root)
     meta = sink.table_path(base, "raw", "ev_match_meta")
     if _exists(spark, meta):
         found = documents.not_loaded(found, spark.read.parquet(meta), force_reload)
+    if found.isEmpty():
+        return spark.createDataFrame([], AUDIT)
     texts = documents.read_texts(spark, root).join(found.select("combo_id"), "combo_id", "left_semi")
-    return load_texts(texts, base)
+    return load_texts(texts, base, only)
 
 
 def build(spark: SparkSession, base: str, min_minutes: int = 450, only: list[str] | None = None,

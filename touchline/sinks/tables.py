@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 SEQ = "load_seq"
@@ -127,10 +125,3 @@ def of_match(df: DataFrame, combo_id: str) -> DataFrame:
 def table_path(base: str, layer: str, name: str) -> str:
     """Layers are plain folders: raw, staging, marts."""
     return f"{base.rstrip('/')}/{layer.strip()}/{name}"
-
-
-def audit(tables: dict[str, DataFrame], provider: str) -> DataFrame:
-    """Rows written per match and table: (combo_id, provider, table, rows)."""
-    parts = [df.groupBy("combo_id").agg(F.count("*").alias("rows")).select(
-        "combo_id", F.lit(provider).alias("provider"), F.lit(name).alias("table"), "rows") for name, df in tables.items() if "combo_id" in df.columns]
-    return reduce(DataFrame.unionByName, parts)

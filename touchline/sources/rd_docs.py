@@ -172,7 +172,7 @@ def match_stats(docs: ReferenceDocs, columns: list[str] | None = None) -> DataFr
         F.struct(F.concat(key, F.lit("_" + k.lower())).alias("col"), F.col(f"s.{k}").alias("value"))
         for k in ("homeValue", "awayValue", "homeTotal", "awayTotal")]))).filter(F.col("value").isNotNull())
     columns = pivot_keys(long, "col") if columns is None else columns
-    wide = long.groupBy("combo_id", "i").agg(*[F.max_by("value", F.when(F.col("col") == c, F.col("pos"))).alias(c) for c in columns])
+    wide = long.groupBy("combo_id", "i").agg(F.count("*").alias("_n"), *[F.max_by("value", F.when(F.col("col") == c, F.col("pos"))).alias(c) for c in columns])
     return (wide.join(_ids(docs).select("combo_id", "match_id"), "combo_id", "left")
             .select("combo_id", "match_id", F.get(names, F.col("i")).alias("period"), F.col("i").cast("bigint").alias("row_id"), *columns))
 
@@ -188,7 +188,7 @@ def odds(docs: ReferenceDocs, columns: list[str] | None = None) -> DataFrame:
             F.struct(F.concat("prefix", c["name"]).alias("col"), c["fractionalValue"].alias("value")),
             F.struct(F.concat("prefix", F.lit("winning")).alias("col"), F.when(c["winning"], c["name"]).alias("value"))))).filter(F.col("value").isNotNull())
     columns = pivot_keys(cells, "col") if columns is None else columns
-    wide = cells.groupBy("combo_id").agg(*[F.max_by("value", F.when(F.col("col") == k, F.col("pos"))).alias(k.lower()) for k in columns])
+    wide = cells.groupBy("combo_id").agg(F.count("*").alias("_n"), *[F.max_by("value", F.when(F.col("col") == k, F.col("pos"))).alias(k.lower()) for k in columns]).drop("_n")
     return docs.odds.select("combo_id", F.col("doc.eventId").alias("match_id")).join(wide, "combo_id", "left")
 
 
@@ -200,8 +200,6 @@ def spatial(docs: ReferenceDocs) -> DataFrame:
     return out.withColumn("full_player_heatmaps", F.lit('{"None": null}'))
 
 
-def raw_tables(docs: ReferenceDocs) -> dict[str, DataFrame]:
-    return {"rd_tournaments": tournaments(docs), "rd_seasons": seasons(docs), "rd_teams": teams(docs), "rd_players": players(docs),
-            "rd_referees": referees(docs), "rd_managers": managers(docs), "rd_matches": matches(docs), "rd_lineups": lineups(docs),
-            "rd_missing_players": missing_players(docs), "rd_player_stats": player_stats(docs), "rd_shots": shots(docs),
-            "rd_match_stats": match_stats(docs), "rd_odds": odds(docs), "rd_spatial": spatial(docs)}
+TABLES = {"rd_tournaments": tournaments, "rd_seasons": seasons, "rd_teams": teams, "rd_players": players, "rd_referees": referees, "rd_managers": managers,
+          "rd_matches": matches, "rd_lineups": lineups, "rd_missing_players": missing_players, "rd_player_stats": player_stats, "rd_shots": shots,
+          "rd_match_stats": match_stats, "rd_odds": odds, "rd_spatial": spatial}

@@ -89,7 +89,7 @@ def player_stats(docs: DataFrame, keys: list[str] | None = None) -> DataFrame:
     items = player_stat_items(docs)
     keys = pivot_keys(items, "stat_key") if keys is None else keys
     who = [c for c in items.columns if c not in ("pos", "stat_key", "value")]
-    return items.groupBy(*who).agg(*[F.max_by("value", F.when(F.col("stat_key") == k, F.col("pos"))).alias(k) for k in keys])
+    return items.groupBy(*who).agg(F.count("*").alias("_n"), *[F.max_by("value", F.when(F.col("stat_key") == k, F.col("pos"))).alias(k) for k in keys]).drop("_n")
 
 
 def team_stat_items(docs: DataFrame) -> DataFrame:
@@ -126,6 +126,4 @@ def momentum(docs: DataFrame) -> DataFrame:
     return docs.filter(F.size(data) > 0).select("combo_id", "xg_match_id", F.concat(F.lit("["), F.concat_ws(",", data), F.lit("]")).alias("momentum_data"))
 
 
-def raw_tables(docs: DataFrame) -> dict[str, DataFrame]:
-    return {"xg_match": match(docs), "xg_lineups": lineups(docs), "xg_player_stats": player_stats(docs), "xg_team_stats": team_stats(docs),
-            "xg_shots": shots(docs), "xg_spatial": momentum(docs)}
+TABLES = {"xg_match": match, "xg_lineups": lineups, "xg_player_stats": player_stats, "xg_team_stats": team_stats, "xg_shots": shots, "xg_spatial": momentum}
