@@ -73,7 +73,7 @@ query("a20_player_discipline")(lambda t: discipline.player_discipline(t.feed))
 query("a21_cards")(lambda t: discipline.cards(t.feed))
 query("a22_keepers")(lambda t: keeper.keepers(t.feed, t.sides, t["squad"]))
 query("a23_team_poss_adv")(lambda t: sequences.team_possession_advanced(t.feed, t.sides, t["possession_minutes"]))
-query("a24_state_agg")(lambda t: states.state_aggregate(t.feed, states.state_spine(t.feed), t["possession_minutes"]))
+query("a24_state_agg")(lambda t: states.state_aggregate(t.feed, match_data(t).spine, t["possession_minutes"]))
 
 # -- ordered events ----------------------------------------------------------------
 
@@ -88,9 +88,9 @@ query("w07_stitched")(lambda t: sequences.stitched_sequences(sequences.stitched_
 query("w09_possessions")(lambda t: sequences.possessions(t.feed))
 query("w10_sequence_rows")(lambda t: sequences.sequence_rows(t.feed))
 query("w12_states")(lambda t: states.state_spine(t.feed))
-query("w13_team_states")(lambda t: states.team_states(states.state_spine(t.feed)))
-query("w14_context")(lambda t: states.context_events(t.feed, states.state_spine(t.feed), t["formations"]))
-query("w15_state_tags")(lambda t: states.state_tags(t.feed, states.state_spine(t.feed)))
+query("w13_team_states")(lambda t: states.team_states(match_data(t).spine))
+query("w14_context")(lambda t: states.context_events(t.feed, match_data(t).spine, t["formations"]))
+query("w15_state_tags")(lambda t: states.state_tags(t.feed, match_data(t).spine))
 
 # -- identity ----------------------------------------------------------------------
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from ..operators import defending, discipline, keeper, passing, possession, runs, sequences, shooting, states
+from ..sinks.shared import written
 
 
 @dataclass
@@ -22,9 +24,10 @@ class MatchData:
     meta: DataFrame
     lineups: DataFrame
 
-
-def _spine(d: MatchData) -> DataFrame:
-    return states.state_spine(d.feed)
+    @cached_property
+    def spine(self) -> DataFrame:
+        """State intervals: a few rows per match that several tables look up, so they are written once."""
+        return written(states.state_spine(self.feed), "spine")
 
 
 EVENT_TABLES: dict[str, Callable[[MatchData], DataFrame]] = {
@@ -50,10 +53,10 @@ EVENT_TABLES: dict[str, Callable[[MatchData], DataFrame]] = {
     "ev_team_discipline": lambda d: discipline.team_discipline(d.feed, d.sides),
     "ev_player_discipline": lambda d: discipline.player_discipline(d.feed),
     "ev_player_goalkeep": lambda d: keeper.keepers(d.feed, d.sides, d.squad),
-    "ev_game_states": _spine,
-    "ev_team_states": lambda d: states.team_states(_spine(d)),
-    "ev_context_events": lambda d: states.context_events(d.feed, _spine(d), d.formations),
-    "ev_team_state_agg": lambda d: states.state_aggregate(d.feed, _spine(d), d.minutes),
+    "ev_game_states": lambda d: d.spine,
+    "ev_team_states": lambda d: states.team_states(d.spine),
+    "ev_context_events": lambda d: states.context_events(d.feed, d.spine, d.formations),
+    "ev_team_state_agg": lambda d: states.state_aggregate(d.feed, d.spine, d.minutes),
 }
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import fixed as K
 from ..functions.expr import constant_map, with_flags
+from ..sinks.shared import written
 
 INPUTS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -330,6 +331,11 @@ def duck_ctes(names: list[str]) -> list[tuple[str, str]]:
     return list(seen.items())
 
 
+_DERIVED = ["type_id", "pass_end_x", "pass_end_y", "end_x", "end_y", "goal_mouth_y", "goal_mouth_z", "related_event_id", "qids", "qnames",
+            "base_pass", "dead_ball", "dead_ball_state", "restart_event"]
+_FEEDS: dict[tuple[str, str], DataFrame] = {}
+
+
 class Tables:
     """Lazily derived tables of one scale-factor directory."""
 
@@ -341,6 +347,9 @@ class Tables:
         if name not in self._made:
             if name in INPUTS:
                 df = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+            elif name == "feed_base":
+                both = {"raw_end_x": "end_x", "raw_end_y": "end_y"}
+                df = self._stored.select(*[F.col(c).alias(both.get(c, c)) for c in self._stored.columns if c not in _DERIVED])
             else:
                 deps, sql = TABLES[name]
                 df = self.spark.sql(sql, **{d: self[d] for d in deps})
@@ -348,24 +357,28 @@ class Tables:
         return self._made[name]
 
     @property
-    def feed(self) -> DataFrame:
-        """Canonical event feed (see `sources.feed`)."""
-        if "_feed" not in self._made:
+    def _stored(self) -> DataFrame:
+        """The derived feed as a table, clustered by match: derived once per application, then
+        read by column, as the load plan does with feeds that come from documents."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _FEEDS:
+            base = self.spark.sql(TABLES["feed_base"][1], events=self["events"])
             ids, types = constant_map(K.QUALIFIER_ID), constant_map(K.TYPE_ID)
-            is_pass = F.col("etype") == "Pass"
-            self._made["_feed"] = with_flags(self["feed_base"].select(
-                "combo_id", "pos", "event_id", "t_s", "minute", "second", "expanded_minute", "period",
-                "home_id", "away_id", "team_id", "opp_id", "player_id", "related_player_id",
-                F.try_element_at(types, "etype").alias("type_id"), "etype", "ok", "x", "y",
-                F.when(is_pass, F.col("end_x")).alias("pass_end_x"),
-                F.when(is_pass, F.col("end_y")).alias("pass_end_y"),
-                F.lit(None).cast("double").alias("end_x"), F.lit(None).cast("double").alias("end_y"),
-                "length", F.lit(None).cast("double").alias("goal_mouth_y"),
-                F.lit(None).cast("double").alias("goal_mouth_z"),
-                F.col("rel_event_id").alias("related_event_id"), "is_touch", "is_shot",
-                F.array_compact(F.array(F.try_element_at(ids, "qa"), F.try_element_at(ids, "qb"))).alias("qids"),
-                F.array_compact(F.array("qa", "qb")).alias("qnames")))
-        return self._made["_feed"]
+            is_pass, none = F.col("etype") == "Pass", F.lit(None).cast("double")
+            full = base.withColumnsRenamed({"end_x": "raw_end_x", "end_y": "raw_end_y"}).withColumns({
+                "type_id": F.try_element_at(types, "etype"), "pass_end_x": F.when(is_pass, F.col("raw_end_x")),
+                "pass_end_y": F.when(is_pass, F.col("raw_end_y")), "end_x": none, "end_y": none, "goal_mouth_y": none, "goal_mouth_z": none,
+                "related_event_id": F.col("rel_event_id"),
+                "qids": F.array_compact(F.array(F.try_element_at(ids, "qa"), F.try_element_at(ids, "qb"))),
+                "qnames": F.array_compact(F.array("qa", "qb"))})
+            parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            _FEEDS[key] = written(with_flags(full).repartition(parts, "combo_id"), "feed")
+        return _FEEDS[key]
+
+    @property
+    def feed(self) -> DataFrame:
+        """Canonical event feed, with the columns `event_docs.feed` gives."""
+        return self._stored.drop("mno", "m", "qa", "qb", "raw_end_x", "raw_end_y", "rel_event_id")
 
     @property
     def sides(self) -> DataFrame:
