@@ -333,7 +333,7 @@ def duck_ctes(names: list[str]) -> list[tuple[str, str]]:
 
 _DERIVED = ["type_id", "pass_end_x", "pass_end_y", "end_x", "end_y", "goal_mouth_y", "goal_mouth_z", "related_event_id", "qids", "qnames",
             "base_pass", "dead_ball", "dead_ball_state", "restart_event"]
-_FEEDS: dict[tuple[str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 class Tables:
@@ -353,15 +353,24 @@ class Tables:
             else:
                 deps, sql = TABLES[name]
                 df = self.spark.sql(sql, **{d: self[d] for d in deps})
+                if name == "squad":
+                    df = self._once(name, df)
             self._made[name] = df
         return self._made[name]
 
+    def _once(self, name: str, df: DataFrame) -> DataFrame:
+        """Writes a table that others are derived from once per application and input directory."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STORED:
+            _STORED[key] = written(df, name)
+        return _STORED[key]
+
     @property
     def _stored(self) -> DataFrame:
         """The derived feed as a table, clustered by match: derived once per application, then
         read by column, as the load plan does with feeds that come from documents."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _FEEDS:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, "feed")
+        if key not in _STORED:
             base = self.spark.sql(TABLES["feed_base"][1], events=self["events"])
             ids, types = constant_map(K.QUALIFIER_ID), constant_map(K.TYPE_ID)
             is_pass, none = F.col("etype") == "Pass", F.lit(None).cast("double")
@@ -372,8 +381,8 @@ class Tables:
                 "qids": F.array_compact(F.array(F.try_element_at(ids, "qa"), F.try_element_at(ids, "qb"))),
                 "qnames": F.array_compact(F.array("qa", "qb"))})
             parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            _FEEDS[key] = written(with_flags(full).repartition(parts, "combo_id"), "feed")
-        return _FEEDS[key]
+            _STORED[key] = written(with_flags(full).repartition(parts, "combo_id"), "feed")
+        return _STORED[key]
 
     @property
     def feed(self) -> DataFrame:
