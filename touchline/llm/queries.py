@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import pii
+from touchline.llm import langid, mixing, orc_tokens, packing, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": mixing.op2_mixing,
+    "op4_packing": packing.op4_packing,
+    "op5_language_id": langid.op5_language_id,
+    "op8_quality_rules": quality.op8_quality_rules,
     "op9_pii": pii.op9_pii,
+    "op10_orc_tokens": orc_tokens.op10_orc_tokens,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_mixing": mixing.OP2_SQL,
+}
