@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import langid, mixing, orc_tokens, packing, pii, quality
+from touchline.llm import langid, mixing, orc_tokens, packing, pii, quality, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": mixing.op2_mixing,
+    "op3_top_k": topk.op3_top_k,
     "op4_packing": packing.op4_packing,
     "op5_language_id": langid.op5_language_id,
     "op8_quality_rules": quality.op8_quality_rules,
@@ -19,4 +20,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.OP2_SQL,
+    "op3_top_k": topk.OP3_SQL,
 }
