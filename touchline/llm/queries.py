@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import langid, mixing, orc_tokens, packing, pii, quality, topk
+from touchline.llm import langid, lines, mixing, orc_tokens, packing, passages, pii, quality, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": mixing.op2_mixing,
     "op3_top_k": topk.op3_top_k,
     "op4_packing": packing.op4_packing,
     "op5_language_id": langid.op5_language_id,
+    "op6_substring_dedup": passages.op6_substring_dedup,
+    "op7_line_dedup": lines.op7_line_dedup,
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_pii": pii.op9_pii,
     "op10_orc_tokens": orc_tokens.op10_orc_tokens,
@@ -21,4 +23,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.OP2_SQL,
     "op3_top_k": topk.OP3_SQL,
+    "op6_substring_dedup": passages.OP6_SQL,
 }

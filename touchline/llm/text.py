@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,3 +59,30 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions start, start + 1, ... of all ranges, one range after the other."""
     ends = np.cumsum(lengths)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, remembered within a task."""
+
+    LIMIT = 500_000
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+    def of(self, said: list[bytes]) -> np.ndarray:
+        if len(self) > self.LIMIT:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, said), np.uint64, len(said))
+
+
+def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each n consecutive words, from the words' hashes."""
+    m = len(hashes) - n + 1
+    if m <= 0:
+        return np.zeros(0, np.uint64)
+    acc = np.full(m, n, np.uint64)
+    for j in range(n):
+        acc = (acc ^ hashes[j:j + m]) * np.uint64(0x9E3779B97F4A7C15)
+        acc ^= acc >> np.uint64(29)
+    return acc
