@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import langid, lines, mixing, orc_tokens, packing, passages, pii, quality, topk
+from touchline.llm import jaccard, langid, lines, mixing, orc_tokens, packing, passages, pii, quality, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": jaccard.op1_jaccard_join,
     "op2_mixing": mixing.op2_mixing,
     "op3_top_k": topk.op3_top_k,
     "op4_packing": packing.op4_packing,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_jaccard_join": jaccard.OP1_SQL,
     "op2_mixing": mixing.OP2_SQL,
     "op3_top_k": topk.OP3_SQL,
     "op6_substring_dedup": passages.OP6_SQL,
