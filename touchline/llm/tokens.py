@@ -10,14 +10,15 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
 from touchline.llm.text import ragged
 
 KNOWN_WORDS = 800_000
-JOINED_CHARS = 20_000
-_CLOSING = re.compile(rb"(?<=[a-z])([.,])(?=\s|\Z)")
+JOINED_WORDS = 2_000
+_CLOSING = re.compile(rb"[.,](?<=[a-z][.,])(?=\s|\Z)")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -32,7 +33,20 @@ def pieces(text: str | None) -> list[bytes]:
     if not text:
         return []
     raw = text.encode()
-    return _CLOSING.sub(rb" \1", raw if b"<|" in raw else raw.translate(_LOWER)).split()
+    return _CLOSING.sub(rb" \g<0>", raw if b"<|" in raw else raw.translate(_LOWER)).split()
+
+
+class _Numbered(dict):
+    """Numbers words in the order of their first lookup."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        at = self[word] = len(self)
+        self.new.append(word)
+        return at
 
 
 class WordEncoder:
@@ -47,59 +61,57 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index = _Numbered()
         self.first = np.zeros(1 << 14, np.int64)
         self.count = np.zeros(1 << 14, np.int64)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
     def _learn(self, new: list[bytes]) -> None:
+        """Encodes the words that were numbered last."""
+        base = len(self.index) - len(new)
+        while len(self.index) > len(self.first):
+            self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
         said = [w.decode() for w in new]
-        plain = [w.isalpha() for w in said]
+        plain = np.fromiter(map(str.isalpha, said), bool, len(said))
         for one_piece in (True, False):
-            raw = [w for w, p in zip(new, plain) if p == one_piece]
-            text = [w for w, p in zip(said, plain) if p == one_piece]
-            lo = 0
-            while lo < len(raw):
-                hi, size = lo, 0
-                while hi < len(raw) and (hi == lo or size + len(text[hi]) < JOINED_CHARS):
-                    size += len(text[hi]) + 1
-                    hi += 1
-                got = self.tokenizer.encode("\n".join(text[lo:hi]), add_special_tokens=False)
-                ids = np.array(got.ids, np.uint32)
-                ends = np.flatnonzero(self.word_end[ids])
-                if one_piece and len(ends) == hi - lo:  # each word gives one closing id at least, so here exactly one
-                    count = np.diff(ends, prepend=-1)
-                else:
-                    starts = np.cumsum([0, *(len(w) + 1 for w in text[lo:hi - 1])])
-                    at = np.searchsorted(starts, np.array([a for a, _ in got.offsets], np.int64), side="right") - 1
-                    count = np.bincount(at, minlength=hi - lo)
-                self._keep(raw[lo:hi], ids, count)
-                lo = hi
-
-    def _keep(self, new: list[bytes], ids: np.ndarray, count: np.ndarray) -> None:
-        n = len(self.index)
-        while n + len(new) > len(self.first):
-            self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
+            places = np.flatnonzero(plain == one_piece)
+            for lo in range(0, len(places), JOINED_WORDS):
+                at = places[lo:lo + JOINED_WORDS]
+                text = [said[i] for i in at.tolist()]
+                self._keep(base + at, *self._told_apart(text, one_piece))
+
+    def _told_apart(self, text: list[str], one_piece: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words and how many each has. Every word gives one closing id at least; with as many as words, each has one."""
+        joined = "\n".join(text)
+        if one_piece:
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.word_end[ids])
+            if len(ends) == len(text):
+                return ids, np.diff(ends, prepend=-1)
+        got = self.tokenizer.encode(joined, add_special_tokens=False)
+        starts = np.cumsum([0, *(len(w) + 1 for w in text[:-1])])
+        at = np.searchsorted(starts, np.array([a for a, _ in got.offsets], np.int64), side="right") - 1
+        return np.array(got.ids, np.uint32), np.bincount(at, minlength=len(text))
+
+    def _keep(self, places: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.first[n:n + len(new)] = self.used + np.cumsum(count) - count
-        self.count[n:n + len(new)] = count
+        self.first[places] = self.used + np.cumsum(count) - count
+        self.count[places] = count
         self.ids[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
-        self.index.update(zip(new, range(n, n + len(new))))
 
     def encode(self, texts: list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row (uint32), `end_id` after each text if given, and the number of ids of each text."""
         if len(self.index) > KNOWN_WORDS:
             self._clear()
         split = [pieces(t) for t in texts]
-        flat = [w for ws in split for w in ws]
-        new = list(dict.fromkeys(w for w in flat if w not in self.index))
-        if new:
-            self._learn(new)
-        known = self.index
-        at = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
+        flat = list(chain.from_iterable(split))
+        at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        if self.index.new:
+            self._learn(self.index.new)
+            self.index.new = []
         per_word = self.count[at]
         ids = self.ids[ragged(self.first[at], per_word)]
         ends = np.concatenate([[0], np.cumsum(per_word)])[np.cumsum([len(ws) for ws in split])]
