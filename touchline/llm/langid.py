@@ -68,7 +68,7 @@ def suffix_automaton(text: str) -> dict:
 
 def phrases(start: dict, text: str) -> int:
     """Number of longest-match phrases; an unseen character is a phrase of its own."""
-    n, state, rest = 1, start, iter(text)
+    n, state, rest = 0, {}, iter(text)
     while True:
         try:
             for c in rest:
@@ -76,7 +76,7 @@ def phrases(start: dict, text: str) -> int:
             return n
         except KeyError:
             n += 1
-            state = start.get(c, start)
+            state = start.get(c, {})
 
 
 class Identifier:
@@ -133,11 +133,11 @@ def identified(docs: DataFrame, training: dict[str, str], text_col: str = "text"
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(training)  # bounded by chars_per_lang times the number of languages
     names = [c for c in (keep or docs.columns) if c not in ("lang_pred", "score")]
-    rows = docs.select(*names, F.col(text_col).cast("string").alias("_said"))
+    rows = docs.select(*names, F.col(text_col).cast("string").alias("__lang_said"))
 
     def task(batches):
         model = Identifier(shared.value)
-        for batch, texts in text_batches(batches, "_said"):
+        for batch, texts in text_batches(batches, "__lang_said"):
             found = [model.identify(t) for t in texts]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
                                              names=[*names, "lang_pred", "score"])
