@@ -48,6 +48,17 @@ def test_broken_documents_are_rejected(spark):
     assert [r.combo_id for r in event_docs.event_documents(texts).collect()] == ["c"]
 
 
+def test_an_odd_field_costs_only_itself(spark):
+    good = '{"attendance": "54,000", "home": {"teamId": 1, "players": [{"playerId": 5, "age": "old"}]}, "away": {"teamId": 2}, "events": [{"eventId": 5, "minute": 3}]}'
+    texts = spark.createDataFrame([("a", "events", "events_1", good), ("b", "events", "events_2", "{broken"), ("c", "events", "events_3", '{"code": "TURNSTILE_REQUIRED"}'),
+                                   ("d", "events", "events_4", '{"away": {"teamId": 2}}')], "combo_id string, provider string, file string, value string")
+    doc = event_docs.event_documents(texts).first().doc
+    assert (doc.attendance, doc.home.teamId, doc.home.players[0].playerId, doc.home.players[0].age, doc.events[0].minute) == (None, 1, 5, None, 3)
+    assert event_docs.event_documents(texts).count() == 1
+    reasons = {r.combo_id: r.reason for r in event_docs.rejected_documents(texts).collect()}
+    assert reasons == {"a": "odd field", "b": "not JSON", "c": "block page", "d": "required field missing"}
+
+
 def test_missing_fields_of_events(spark):
     doc = {"home": {"teamId": 1}, "away": {"teamId": 2}, "events": [{"eventId": 5, "teamId": 0, "playerId": 0, "type": {"value": 1, "displayName": "Pass"}}]}
     texts = spark.createDataFrame([("c", "events", "events_3", json.dumps(doc))], "combo_id string, provider string, file string, value string")
@@ -75,6 +86,65 @@ def test_load_and_build_marts(spark, root, tables, tmp_path):
     assert load(spark, root, base).count() == 0
 
 
+def test_a_failing_table_holds_its_matches_back(spark, root, tmp_path, monkeypatch):
+    from touchline.plans import load as module
+
+    base = str(tmp_path / "w")
+    real = module.EVENT_TABLES["ev_shots"]
+
+    def broken(data):
+        raise ValueError("no shots today")
+
+    monkeypatch.setitem(module.EVENT_TABLES, "ev_shots", broken)
+    audit = load(spark, root, base, only=SOME)
+    assert {r.table for r in audit.filter("error IS NOT NULL").collect()} == {"ev_shots"}
+    assert not os.path.exists(table_path(base, "raw", "ev_match_meta"))
+    monkeypatch.setitem(module.EVENT_TABLES, "ev_shots", real)
+    again = load(spark, root, base, only=SOME)
+    assert again.filter("error IS NOT NULL").count() == 0 and again.select("combo_id").distinct().count() == 2
+    assert spark.read.parquet(table_path(base, "raw", "ev_shots")).count() > 0
+    assert load(spark, root, base, only=SOME).count() == 0
+
+
+def test_an_unreadable_event_document_holds_its_match_back(spark, root, tmp_path):
+    import shutil
+
+    src, base = tmp_path / "in", str(tmp_path / "w")
+    shutil.copytree(root, src)
+    path = src / "M00001" / "events" / "events_700001.json"
+    text = path.read_text()
+    path.write_text(text[:500])
+    audit = load(spark, str(src), base, only=[*SOME, "xg_match"])
+    assert [(r.combo_id, r.error) for r in audit.filter("error IS NOT NULL").collect()] == [("M00001", "not JSON")]
+    assert [r.combo_id for r in spark.read.parquet(table_path(base, "raw", "xg_match")).collect()] == ["M00000"]
+    path.write_text(text)
+    assert {r.combo_id for r in load(spark, str(src), base, only=[*SOME, "xg_match"]).collect()} == {"M00001"}
+    assert spark.read.parquet(table_path(base, "raw", "xg_match")).count() == 2
+
+
+def test_keyed_tables_keep_columns_a_reload_lacks(spark, tmp_path):
+    from touchline.sinks.tables import write_matches
+
+    path = str(tmp_path / "t")
+    write_matches(spark.createDataFrame([("m", 1, 5, 7), ("m", 2, 6, 8), ("n", 1, 1, 1)], "combo_id string, team_id int, a int, b int"), path, keys=["combo_id", "team_id"])
+    write_matches(spark.createDataFrame([("m", 1, 50), ("m", None, 3)], "combo_id string, team_id int, a int"), path, keys=["combo_id", "team_id"])
+    rows = {(r.combo_id, r.team_id): (r.a, r.b) for r in spark.read.option("mergeSchema", True).parquet(path).collect()}
+    assert rows == {("m", 1): (50, 7), ("m", 2): (6, 8), ("n", 1): (1, 1), ("m", None): (3, None)}
+
+
+def test_shared_folder_is_asked_for_outside_local_sessions(spark, monkeypatch, tmp_path):
+    from types import SimpleNamespace
+
+    from touchline.sinks import shared
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared.shared_dir(far)
+    with shared.job_tables(spark):
+        path = shared.written(spark.range(3), "gone").inputFiles()[0]
+    assert not os.path.exists(path.removeprefix("file://"))
+
+
 def test_all_raw_tables_have_builders(spark):
     texts = spark.createDataFrame([], "combo_id string, provider string, file string, value string")
     assert set(raw_frames(texts)) == set(STAGED)

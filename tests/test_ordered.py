@@ -1,4 +1,4 @@
-"""Ordered-event operators: hand-written cases and step-by-step loops over a whole feed."""
+"""Ordered-event operators: hand-written cases, and what must hold on a whole feed."""
 
 from collections import defaultdict
 
@@ -7,13 +7,6 @@ from touchline.functions import fixed as K
 from touchline.operators import runs, sca, sequences, states
 
 
-def by_match(rows):
-    out = defaultdict(list)
-    for r in rows:
-        out[r["combo_id"]].append(r)
-    return out
-
-
 # -- shot-creating actions ---------------------------------------------------------
 
 def credits(spark, *events):
@@ -64,20 +57,20 @@ def test_receiver_is_strictly_later_and_somebody_else(spark):
     assert got[4] is None and got[5] is None
 
 
-def test_receivers_against_a_loop(tables, feed_rows):
-    got = {(r["combo_id"], r["pos"]): r["receiver_id"] for r in runs.receivers(runs.runs(tables.feed)).collect()}
-    want = {}
-    for match, events in by_match(feed_rows).items():
-        kept = sorted((e for e in events if e["etype"] not in K.ADMIN_TYPES), key=lambda e: (e["t_s"], e["pos"]))
-        for i, e in enumerate(kept):
-            want[match, e["pos"]] = None
-            for later in kept[i + 1:]:
-                if later["team_id"] != e["team_id"]:
-                    break
-                if later["t_s"] > e["t_s"] and later["player_id"] != e["player_id"]:
-                    want[match, e["pos"]] = later["player_id"]
-                    break
-    assert got == want
+def test_receivers_of_hand_written_runs(spark):
+    rows = feed(spark, [(1, "Pass", {"p": 1, "t": 0}), (1, "Card", {"p": 5, "t": 1}), (1, "Pass", {"p": 2, "t": 2}), (1, "Pass", {"p": 2, "t": 4}), (1, "Pass", {"p": 3, "t": 6}),
+                        (2, "Pass", {"p": 4, "t": 8}), (2, "Pass", {"p": 5, "t": 8}), (2, "Pass", {"p": 6, "t": 9})])
+    got = {r["pos"]: r["receiver_id"] for r in runs.receivers(runs.runs(rows)).collect()}
+    assert (got[0], got[2], got[3], got[4]) == (102, 103, 103, None)  # a card is no touch; own second touch is passed over
+    assert (got[5], got[6], got[7]) == (206, 206, None)
+
+
+def test_receivers_share_the_run_of_the_passer(tables):
+    rows = runs.receivers(runs.runs(tables.feed))
+    assert rows.filter("receiver_id = player_id").count() == 0
+    assert rows.filter("receiver_id is not null and team_id is not null and floor(receiver_id / 100) <> team_id").count() == 0
+    last = rows.groupBy("combo_id", "run_id").agg({"t_s": "max"}).withColumnRenamed("max(t_s)", "end")
+    assert rows.join(last, ["combo_id", "run_id"]).filter("t_s = end and receiver_id is not null").count() == 0
 
 
 # -- sequences -------------------------------------------------------------------------
@@ -129,64 +122,37 @@ def test_alternating_lone_touches_take_every_other(spark):
     assert stitched(spark, (1, "Pass", {}), b, a1, (2, "Pass", {})) == [(1, 2), (2, 1)]
 
 
-def loop_sequences(events):
-    """Fragments [team, events, marker, next] by walking the feed once."""
-    out, cur, team = [], [], None
-
-    def close(marker, nxt=None):
-        nonlocal cur, team
-        if cur:
-            out.append([team, cur, marker, nxt])
-        cur, team = [], None
-
-    for e in sorted(events, key=lambda e: (e["t_s"], e["event_id"], e["pos"])):
-        kind = e["etype"]
-        if kind in K.STOP_TYPES:
-            close(kind)
-        elif kind in K.SKIPPED_TYPES or e["team_id"] is None:
-            pass
-        elif kind == "Foul":
-            fouled = e["team_id"] if e["ok"] else e["opp_id"]
-            close("FoulWon" if fouled == team else "FoulConceded")
-        elif kind == "Goal" and "OwnGoal" in e["qnames"]:
-            close("OwnGoalFor" if team != e["team_id"] else "End")
-        elif set(e["qnames"]) & set(K.RESTARTS):
-            close("Restart", e)
-            cur, team = [e], e["team_id"]
-        else:
-            if e["team_id"] == team:
-                cur.append(e)
-            elif cur and kind in K.CONTESTED_TYPES and not e["ok"]:
-                continue
-            else:
-                close(None, e)
-                cur, team = [e], e["team_id"]
-            if e["is_shot"]:
-                close(None)
-    close("End")
-    return out
-
-
-def test_sequences_and_stitching_against_a_loop(tables, feed_rows):
-    raw = defaultdict(list)
-    for r in sequences.raw_sequences(tables.feed).orderBy("combo_id", "seq_id").collect():
-        raw[r["combo_id"]].append((r["team_id"], r["length"], r["event_id_start"], r["event_id_end"], r["marker"]))
-    merged = defaultdict(list)
-    for r in sequences.stitched_sequences(sequences.stitched_events(tables.feed)).orderBy("combo_id", "seq_id").collect():
-        merged[r["combo_id"]].append((r["team_id"], r["length"], r["z"]["marker"]))
-    for match, events in by_match(feed_rows).items():
-        frags = loop_sequences(events)
-        assert raw[match] == [(t, len(s), s[0]["event_id"], s[-1]["event_id"], m) for t, s, m, _ in frags]
-        joined = []
-        while frags:
-            team, seq, marker, _ = frags.pop(0)
-            while (len(frags) >= 2 and marker is None and not seq[-1]["is_shot"] and len(frags[0][1]) == 1 and frags[0][0] != team
-                   and frags[0][1][0]["etype"] in K.REFLEX_TYPES and frags[0][2] is None and frags[1][0] == team):
-                frags.pop(0)
-                nxt = frags.pop(0)
-                seq, marker = seq + nxt[1], nxt[2]
-            joined.append((team, len(seq), marker))
-        assert merged[match] == joined
+def test_fragments_of_a_hand_written_feed(spark):
+    got = seqs(spark, (1, "Pass", {}), (None, "Pass", {}), (1, "Pass", {}), (2, "Foul", {"ok": True}), (2, "Pass", {"q": ["FreekickTaken"]}), (1, "Aerial", {"ok": False}),
+               (2, "TakeOn", {}), (2, "MissedShots", {}), (1, "Pass", {"q": ["GoalKick"]}), (2, "Interception", {}), (2, "Card", {}), (2, "Pass", {}), (1, "End", {}))
+    assert got == [(1, 2, "FoulConceded"), (2, 3, None), (1, 1, None), (2, 2, "End")]
+    assert sum(n for _, n, _ in got) == 8  # nobody's pass, foul, lost aerial, card and whistle are in none
+
+
+def test_sequences_of_a_whole_feed(tables):
+    """What holds of any feed: order, one team each, a change or a marker between neighbours."""
+    rows = defaultdict(list)
+    for r in sequences.sequence_events(tables.feed).select("combo_id", "pos", "ord", "seq_id", "team_id", "is_shot", "is_last", "marker", "etype").orderBy("combo_id", "ord").collect():
+        rows[r.combo_id].append(r)
+    for events in rows.values():
+        assert len({r.pos for r in events}) == len(events)
+        assert [r.seq_id for r in events] == sorted(r.seq_id for r in events)
+        assert not {r.etype for r in events} & {*K.STOP_TYPES, *K.SKIPPED_TYPES, "Foul"}
+        for a, b in zip(events, events[1:]):
+            same = a.seq_id == b.seq_id
+            assert a.is_last != same and (same or a.marker or a.is_shot or a.team_id != b.team_id)
+            assert not same or (a.team_id == b.team_id and not a.is_shot)
+        assert events[-1].is_last and events[-1].marker
+
+
+def test_stitching_of_a_whole_feed(tables):
+    """Stitching only drops lone touches; what is left are the same events in fewer sequences of one team each."""
+    raw, left = (df.groupBy("combo_id").agg({"pos": "count", "seq_id": "max"}).orderBy("combo_id").collect()
+                 for df in (sequences.sequence_events(tables.feed), sequences.stitched_events(tables.feed)))
+    for r, s in zip(raw, left):
+        assert s["count(pos)"] <= r["count(pos)"] and s["max(seq_id)"] <= r["max(seq_id)"]
+    merged = sequences.stitched_events(tables.feed).groupBy("combo_id", "seq_id").agg({"team_id": "approx_count_distinct"})
+    assert merged.filter("`approx_count_distinct(team_id)` <> 1").count() == 0
 
 
 # -- states ----------------------------------------------------------------------------

@@ -263,9 +263,7 @@ def clock(expanded_s: Column, shift_s: Column, period: Column) -> tuple[Column,
 
 def position_label(position_id: Column, y: Column | None = None) -> Column:
     """Position label; central labels get a side prefix when a lateral y is given."""
-    base = F.lit(None).cast("string")
-    for label, ids in K.POSITION_IDS.items():
-        base = F.when(position_id.isin(*ids), F.lit(label)).otherwise(base)
+    base = F.try_element_at(constant_map(K.POSITION_LABEL), position_id.cast("int"))
     if y is None:
         return base
     return (F.when(~base.isin(*K.LATERAL_POSITIONS) | y.isNull(), base)

@@ -137,21 +137,12 @@ XT_GRID = [
 ]
 
 # Position ids of the expected-goals provider, grouped by label.
-POSITION_IDS = {
-    "GK": [11],
-    "RB": [32],
-    "CB": [33, 34, 35, 36, 37, 55],
-    "LB": [38],
-    "RWB": [51, 62],
-    "DM": [63, 64, 65, 66],
-    "LWB": [68],
-    "RM": [71, 72],
-    "CM": [73, 74, 75, 77],
-    "LM": [78, 79],
-    "RW": [82, 83, 103],
-    "AM": [84, 85, 86, 95],
-    "LW": [87, 88, 107],
-    "ST": [104, 105, 106, 115],
+POSITION_LABEL = {
+    11: "GK", 32: "RB", 33: "CB", 34: "CB", 35: "CB", 36: "CB", 37: "CB", 38: "LB",
+    51: "RWB", 55: "CB", 62: "RWB", 63: "DM", 64: "DM", 65: "DM", 66: "DM", 68: "LWB",
+    71: "RM", 72: "RM", 73: "CM", 74: "CM", 75: "CM", 77: "CM", 78: "LM", 79: "LM",
+    82: "RW", 83: "RW", 84: "AM", 85: "AM", 86: "AM", 87: "LW", 88: "LW", 95: "AM",
+    103: "RW", 104: "ST", 105: "ST", 106: "ST", 107: "LW", 115: "ST",
 }
 LATERAL_POSITIONS = ["CB", "DM", "CM", "AM", "ST"]
 CENTRAL_PREFIX = ["DM", "AM"]

@@ -132,8 +132,7 @@ def marts(t: Tables) -> Marts:
             _KEPT[key] = written(df, name)
         return _KEPT[key]
 
-    # The 450-minute floor would leave nothing of the small test scales.
-    return Marts(lambda name: raw_table(t, name), min_minutes=60, keep=keep)
+    return Marts(lambda name: raw_table(t, name), keep=keep)
 
 
 for _i, _name in enumerate(STAGED, 1):
@@ -220,6 +219,24 @@ def _s03(t: Tables) -> DataFrame:
     return docs.select("combo_id", F.size("doc.events").cast("bigint").alias("n_events"))
 
 
+@query("s03_odd_types")
+def _s03_odd(t: Tables) -> DataFrame:
+    """An attendance that is no number costs that field only, not the document."""
+    odd = F.regexp_extract("combo_id", r"(\d+)$", 1).cast("bigint") % 3 == 0
+    texts = sample_docs.event_texts(t).withColumn("value", F.when(odd, F.regexp_replace("value", r'"attendance":(\d+)', '"attendance":"$1 people"')).otherwise(F.col("value")))
+    docs = event_docs.event_documents(texts)
+    return docs.select("combo_id", F.col("doc.attendance").alias("attendance"), F.size("doc.events").cast("bigint").alias("n_events"), F.col("doc._corrupt_record").isNotNull().alias("flawed"))
+
+
+@query("s03_rejected")
+def _s03_rejected(t: Tables) -> DataFrame:
+    """What is left out or read in part, with the reason."""
+    last = F.right("combo_id", F.lit(1))
+    value = (F.when(last == "1", F.substring("value", 1, 300)).when(last == "2", F.lit('{"code": "TURNSTILE_REQUIRED"}'))
+             .when(last == "3", F.regexp_replace("value", r'"attendance":\d+', '"attendance":"many"')).otherwise(F.col("value")))
+    return event_docs.rejected_documents(sample_docs.event_texts(t).withColumn("value", value)).select("combo_id", "provider", "reason")
+
+
 query("s03_feed")(lambda t: event_docs.feed(_events(t)).select(
     "combo_id", "pos", "event_id", "t_s", "minute", "second", "period", "home_id", "away_id", "team_id", "opp_id", "player_id", "related_player_id", "etype", "ok",
     "x", "y", "pass_end_x", "pass_end_y", "length", "related_event_id", "is_touch", "is_shot", F.try_element_at("qnames", F.lit(1)).alias("first_name")))
@@ -251,7 +268,8 @@ query("s20_rd_matches")(lambda t: rd_docs.matches(_rd(t)).select(
     "combo_id", "match_id", "tournament_id", "season_id", "venue", "referee_id", "home_team_id", "away_team_id", "home_manager_id", "away_manager_id", "winnercode",
     "homescore_current", "homescore_period1", "awayscore_current", "home_formation", "motm_player_id", F.unix_timestamp("starttimestamp").alias("start_s"), "has_shotmap"))
 query("s21_coverage")(lambda t: rd_docs.matches(_rd(t)).select("combo_id", "has_shotmap", "has_xg"))
-query("s22_rd_shots")(lambda t: rd_docs.shots(_rd(t)).select("combo_id", "row_id", "player_id", "shot_id", "xg", "xgot"))
+query("s22_rd_shots")(lambda t: rd_docs.shots(_rd(t)).select(
+    "combo_id", "row_id", "player_id", "shot_id", "xg", "xgot", "goalmouthlocation", "incidenttype", "goaltype", "addedtime", "playercoordinates", "blockcoordinates", "other_fields"))
 query("s23_rd_player_stats")(lambda t: rd_docs.player_stats(_rd(t), ["minutesPlayed", "totalPass", "keyPass"]).select(
     "combo_id", "match_id", "team_id", "is_home_team", "player_id", "match_rating", "minutesplayed", "totalpass", "keypass"))
 query("s24_rd_lineups")(lambda t: rd_docs.lineups(_rd(t)).select(
@@ -259,7 +277,7 @@ query("s24_rd_lineups")(lambda t: rd_docs.lineups(_rd(t)).select(
 query("s24_missing_players")(lambda t: rd_docs.missing_players(_rd(t)).select("combo_id", "team_id", "is_home_team", "player_id", "name", "type", "reason"))
 query("s25_spatial")(lambda t: rd_docs.spatial(_rd(t)).select("combo_id", "average_positions", "home_heatmap", "away_heatmap", "match_momentum_graph", "commentary"))
 query("s27_odds_wide")(lambda t: rd_docs.odds(_rd(t), ["Full time_1X2_1", "Full time_1X2_2", "Full time_1X2_winning"]))
-query("p08_match_stats")(lambda t: rd_docs.match_stats(_rd(t), ["pass_count_homevalue", "pass_count_awayvalue", "foul_count_homevalue"]).drop("match_id"))
+query("p08_match_stats")(lambda t: rd_docs.match_stats(_rd(t)).drop("match_id"))
 query("s26_odds_long")(lambda t: odds_docs.odds(odds_docs.odds_documents(sample_docs.odds_texts(t))).select(
     "combo_id", "market_name", "period_name", "line", "outcome_name", "odds_value", "odds_direction"))
 

@@ -9,7 +9,7 @@ from functools import lru_cache, partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sinks import tables as sink
-from ..sinks.shared import written
+from ..sinks.shared import job_tables, written
 from ..sources import documents, event_docs, odds_docs, rd_docs, xg_docs
 from .event_tables import EVENT_TABLES, MatchData, with_names
 from .marts import MARTS, Marts
@@ -20,6 +20,17 @@ ENTITY_KEYS = {"rd_tournaments": ["tournament_id"], "rd_seasons": ["season_id"],
                "rd_referees": ["referee_id"], "rd_managers": ["manager_id"]}
 
 
+def _keyed(name: str) -> list[str] | None:
+    """Natural key of a table whose rows are upserted one by one; None where the rows of a match are replaced as a whole."""
+    if name == "ev_pass_network":
+        return ["combo_id", "passer_id", "receiver_id"]
+    if name.startswith("ev_team_") and name not in ("ev_team_states", "ev_team_state_agg"):
+        return ["combo_id", "team_id"]
+    if name.startswith("ev_player_") or name == "ev_lineups":
+        return ["combo_id", "player_id"]
+    return None
+
+
 def event_data(texts: DataFrame) -> MatchData:
     """Event documents, parsed once: the feed and its side tables are written as columns,
     so that each metric table reads only the columns it needs instead of the JSON."""
@@ -27,9 +38,11 @@ def event_data(texts: DataFrame) -> MatchData:
     return MatchData(*[written(getattr(data, f.name), f.name) for f in fields(MatchData)])
 
 
-def raw_frames(texts: DataFrame) -> dict[str, Callable[[], DataFrame]]:
-    """Builders of all 47 raw tables of the documents."""
+def raw_frames(texts: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of all 47 raw tables of the documents. `keep` may write the parsed documents of the other providers."""
     shared = lru_cache(maxsize=None)(lambda: event_data(texts))
+    xg = lru_cache(maxsize=None)(lambda: keep(xg_docs.xg_documents(texts), "xg-documents"))
+    rd = lru_cache(maxsize=None)(lambda: rd_docs.ReferenceDocs(texts, keep))
 
     def named(name: str) -> DataFrame:
         data = shared()
@@ -42,45 +55,76 @@ def raw_frames(texts: DataFrame) -> dict[str, Callable[[], DataFrame]]:
         return df
 
     out: dict[str, Callable[[], DataFrame]] = {name: partial(named, name) for name in EVENT_TABLES}
-    xg, rd = xg_docs.xg_documents(texts), rd_docs.ReferenceDocs(texts)
-    out.update({name: partial(make, xg) for name, make in xg_docs.TABLES.items()})
-    out.update({name: partial(make, rd) for name, make in rd_docs.TABLES.items()})
+    out.update({name: (lambda make=make: make(xg())) for name, make in xg_docs.TABLES.items()})
+    out.update({name: (lambda make=make: make(rd())) for name, make in rd_docs.TABLES.items()})
     out["od_odds"] = lambda: odds_docs.odds(odds_docs.odds_documents(texts))
     return out
 
 
 AUDIT = "combo_id string, provider string, table string, rows bigint, error string"
+PROVIDERS = {"ev": "events", "xg": "xg", "rd": "reference", "od": "odds"}
+
+
+def audit_path(base: str) -> str:
+    return sink.table_path(base, "raw", "load_audit")
 
 
-def load_texts(texts: DataFrame, base: str, only: list[str] | None = None) -> DataFrame:
-    """Writes the raw tables of the documents; returns the audit (match, provider, table, rows, error).
+def loaded_matches(spark: SparkSession, base: str) -> DataFrame:
+    """Matches whose last load had no error."""
+    path = audit_path(base)
+    if not _exists(spark, path):
+        return spark.createDataFrame([], "combo_id string")
+    audit = spark.read.schema(AUDIT + ", batch bigint").parquet(path)
+    batches = audit.groupBy("combo_id", "batch").agg(F.max(F.col("error").isNotNull()).alias("failed"))
+    last = batches.groupBy("combo_id").agg(F.max_by("failed", "batch").alias("failed"))
+    return last.filter("NOT failed").select("combo_id")
 
-    A table that fails does not stop the others, but its matches are reported
-    with the error, so that nothing of them is published unnoticed.
+
+def load_texts(texts: DataFrame, base: str, only: list[str] | None = None, buckets: int = sink.BUCKETS) -> DataFrame:
+    """Writes the raw tables of the documents; returns the audit of this batch (match, provider, table, rows, error).
+
+    All tables of the batch are staged first. If a table fails, the matches that have
+    documents of its provider are held back as a whole: nothing of them is published, and as
+    the audit, which is written last, has their error, the next load tries them again. Files
+    that are left out or read in part are in the audit too; only a lost event document holds
+    its match back.
     """
     spark = texts.sparkSession
-    # Only matches with an event document count.
-    valid = written(texts.filter("provider = 'events'").select("combo_id").distinct(), "matches")
-    texts = texts.join(valid, "combo_id", "left_semi")
-    out = spark.createDataFrame([], AUDIT)
-    for name, make in raw_frames(texts).items():
-        if only is not None and name not in only:
-            continue
-        path = sink.table_path(base, "raw", name)
-        provider = {"ev": "events", "xg": "xg", "rd": "reference", "od": "odds"}[name[:2]]
-        note = valid.select("combo_id", F.lit(provider).alias("provider"), F.lit(name).alias("table"))
-        try:
-            df = make()
+    with job_tables(spark):
+        texts = written(texts, "texts")
+        parsed = written(event_docs.event_documents(texts).select("combo_id").distinct(), "matches")
+        flawed = written(event_docs.rejected_documents(texts).select("combo_id", "provider", "reason"), "flawed")
+        present = written(texts.select("combo_id", "provider").distinct(), "present")
+        texts = texts.join(parsed, "combo_id", "left_semi")
+        staged: dict[str, DataFrame] = {}
+        audit = (flawed.select("combo_id", "provider", F.lit("documents").alias("table"), F.lit(0).cast("bigint").alias("rows"),
+                               F.when(F.col("reason") != "odd field", F.col("reason")).alias("error")))
+        held: DataFrame | None = None
+        for name, make in raw_frames(texts, written).items():
+            if only is not None and name not in only:
+                continue
+            provider = PROVIDERS[name[:2]]
+            of_provider = present.filter(F.col("provider") == provider).join(parsed, "combo_id", "left_semi")
+            note = of_provider.select("combo_id", "provider", F.lit(name).alias("table"))
+            try:
+                staged[name] = written(make(), name)
+                counts = staged[name].groupBy("combo_id").agg(F.count("*").alias("rows"))
+                audit = audit.unionByName(note.join(counts, "combo_id").withColumn("error", F.lit(None).cast("string")))
+            except Exception as e:
+                audit = audit.unionByName(note.withColumn("rows", F.lit(0).cast("bigint")).withColumn("error", F.lit(f"{type(e).__name__}: {e}")))
+                held = of_provider.select("combo_id") if held is None else held.union(of_provider.select("combo_id"))
+        good = parsed if held is None else written(parsed.join(held.distinct(), "combo_id", "left_anti"), "complete")
+        nothing = held is not None and good.isEmpty()
+        for name, df in ({} if nothing else staged).items():
+            df, path = df.join(good, "combo_id", "left_semi"), sink.table_path(base, "raw", name)
             if name in ENTITY_KEYS:
                 _upsert_entity(spark, df, name, path)
-                counts = df.groupBy("combo_id").agg(F.count("*").alias("rows"))
             else:
-                sink.write_matches(df, path)
-                counts = spark.read.option("mergeSchema", True).parquet(path).groupBy("combo_id").agg(F.count("*").alias("rows"))
-            out = out.unionByName(note.join(counts, "combo_id").withColumn("error", F.lit(None).cast("string")))
-        except Exception as e:
-            out = out.unionByName(note.withColumn("rows", F.lit(0).cast("bigint")).withColumn("error", F.lit(f"{type(e).__name__}: {e}"[:500])))
-    return out
+                sink.write_matches(df, path, buckets, _keyed(name))
+        last = spark.read.parquet(audit_path(base)).agg(F.max("batch")).first()[0] if _exists(spark, audit_path(base)) else None
+        number = 0 if last is None else last + 1
+        audit.select("combo_id", "provider", "table", "rows", "error", F.lit(number).cast("bigint").alias("batch")).write.mode("append").parquet(audit_path(base))
+    return spark.read.schema(AUDIT + ", batch bigint").parquet(audit_path(base)).filter(F.col("batch") == number).drop("batch")
 
 
 def _upsert_entity(spark: SparkSession, df: DataFrame, name: str, path: str) -> None:
@@ -112,27 +156,29 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def load(spark: SparkSession, root: str, base: str, force_reload: bool = False, only: list[str] | None = None) -> DataFrame:
     """Loads the matches under `root` that are not loaded yet."""
     found = documents.scan(spark, root)
-    meta = sink.table_path(base, "raw", "ev_match_meta")
-    if _exists(spark, meta):
-        found = documents.not_loaded(found, spark.read.parquet(meta), force_reload)
-    if found.isEmpty():
+    found = documents.not_loaded(found, loaded_matches(spark, base), force_reload)
+    # Only the folders of these matches are read. Their names come to the driver, as the file listing does.
+    folders = [f"{root.rstrip('/')}/{r.combo_id}" for r in found.select("combo_id").collect()]
+    if not folders:
         return spark.createDataFrame([], AUDIT)
-    texts = documents.read_texts(spark, root).join(found.select("combo_id"), "combo_id", "left_semi")
-    return load_texts(texts, base, only)
+    return load_texts(documents.read_texts(spark, folders), base, only)
 
 
 def build(spark: SparkSession, base: str, min_minutes: int = 450, only: list[str] | None = None,
           player_alias: DataFrame | None = None, team_alias: DataFrame | None = None) -> DataFrame:
-    """Writes the marts from the raw tables, unless a check of severity `error` fails. Returns the failed checks."""
+    """Writes the marts from the raw tables, unless a check of severity `error` fails. Returns the failed checks, a table of their own."""
     marts = Marts(lambda name: spark.read.option("mergeSchema", True).parquet(sink.table_path(base, "raw", name)).drop("match_bucket"),
                   player_alias, team_alias, min_minutes)
-    failures = written(run_checks(marts), "checks")
-    if failures.filter("severity = 'error'").limit(1).count():
-        return failures
-    for name in only or MARTS:
-        df = getattr(marts, name)()
-        if name.startswith("agg_"):
-            df.createOrReplaceTempView(name)
-        else:
-            sink.publish(df, sink.table_path(base, "marts", name))
+    with job_tables(spark):
+        path = sink.table_path(base, "marts", "failed_checks")
+        sink.publish(run_checks(marts), path)
+        failures = spark.read.parquet(path)
+        if failures.filter("severity = 'error'").isEmpty():
+            for name in only or MARTS:
+                df = getattr(marts, name)()
+                if name.startswith("agg_"):
+                    sink.publish(df, sink.table_path(base, "marts", name))
+                    spark.read.parquet(sink.table_path(base, "marts", name)).createOrReplaceTempView(name)
+                else:
+                    sink.publish(df, sink.table_path(base, "marts", name))
     return failures

@@ -1009,7 +1009,7 @@ WITH base AS (
   FROM m09_fct_player_match pm LEFT JOIN m10_fct_player_shooting sh ON sh.combo_id = pm.combo_id AND sh.player_uid = pm.player_uid
   LEFT JOIN m12_fct_player_possession po ON po.combo_id = pm.combo_id AND po.player_uid = pm.player_uid
   LEFT JOIN m07_dim_player dp ON dp.player_uid = pm.player_uid GROUP BY 1, 2, 3),
-rates AS (SELECT *, {", ".join(_p90(m) for m in ("goals", "shots", "xg", "touches", "dribbles"))} FROM (SELECT *, minutes / CAST(90 AS DOUBLE) AS n90 FROM base WHERE minutes >= 60) z)
+rates AS (SELECT *, {", ".join(_p90(m) for m in ("goals", "shots", "xg", "touches", "dribbles"))} FROM (SELECT *, minutes / CAST(90 AS DOUBLE) AS n90 FROM base WHERE minutes >= 450) z)
 SELECT *, {", ".join(f"percent_rank() OVER ({_PEER} {m}_p90) AS {m}_p90_pct" for m in ("goals", "xg", "touches", "dribbles"))} FROM rates
 """)
 oracle("m26_agg_team_season", "m19_fct_team_shooting", f"""
@@ -1070,6 +1070,14 @@ FROM matches
 """)
 oracle("s02_incremental", "matches", "SELECT combo_id, mno + 700000 AS ev_id FROM matches WHERE mno % 2 <> 0")
 oracle("s03_reject", "feed_base", "SELECT combo_id, count(*) AS n_events FROM feed_base WHERE right(combo_id, 1) NOT IN ('1', '2') GROUP BY 1")
+oracle("s03_odd_types", "ev_match_meta matches feed_base", """
+SELECT m.combo_id, CASE WHEN k.mno % 3 = 0 THEN NULL ELSE attendance END AS attendance, n.n_events, k.mno % 3 = 0 AS flawed
+FROM ev_match_meta m JOIN matches k ON k.combo_id = m.combo_id JOIN (SELECT combo_id, count(*) AS n_events FROM feed_base GROUP BY 1) n ON n.combo_id = m.combo_id
+""")
+oracle("s03_rejected", "feed_base", """
+SELECT combo_id, 'events' AS provider, CASE WHEN right(combo_id, 1) = '1' THEN 'not JSON' WHEN right(combo_id, 1) = '2' THEN 'block page' ELSE 'odd field' END AS reason
+FROM (SELECT DISTINCT combo_id FROM feed_base WHERE right(combo_id, 1) IN ('1', '2', '3')) z
+""")
 oracle("s03_feed", "feed_base", """
 SELECT combo_id, pos, event_id, t_s, minute, second, period, home_id, away_id, team_id, opp_id, player_id, related_player_id, etype, ok, x, y,
   CASE WHEN etype = 'Pass' THEN end_x END AS pass_end_x, CASE WHEN etype = 'Pass' THEN end_y END AS pass_end_y, length, rel_event_id AS related_event_id, is_touch, is_shot,
@@ -1093,7 +1101,7 @@ FROM xg_match
 
 
 def _position(pid: str) -> str:
-    return "CASE " + " ".join(f"WHEN {pid} IN ({', '.join(map(str, ids))}) THEN '{label}'" for label, ids in K.POSITION_IDS.items()) + " END"
+    return "CASE " + " ".join(f"WHEN {pid} = {i} THEN '{label}'" for i, label in K.POSITION_LABEL.items()) + " END"
 
 
 def _lateral(base: str, y: str) -> str:
@@ -1140,7 +1148,12 @@ FROM rd_matches r JOIN matches m ON m.combo_id = r.combo_id
 oracle("s21_coverage", "rd_matches rd_shots", """
 SELECT combo_id, combo_id IN (SELECT combo_id FROM rd_shots) AS has_shotmap, combo_id IN (SELECT combo_id FROM rd_shots WHERE xg IS NOT NULL) AS has_xg FROM rd_matches
 """)
-oracle("s22_rd_shots", "rd_shots", "SELECT combo_id, row_id, player_id, shot_id, xg, xgot FROM rd_shots")
+oracle("s22_rd_shots", "rd_shots", """
+SELECT combo_id, row_id, player_id, shot_id, xg, xgot, CASE shot_id % 3 WHEN 0 THEN 'low-left' WHEN 1 THEN 'high-right' END AS goalmouthlocation,
+  CASE WHEN shot_id % 2 = 0 THEN 'shot' ELSE 'goal' END AS incidenttype, CASE WHEN shot_id % 5 = 0 THEN 'penalty' END AS goaltype,
+  CASE WHEN shot_id % 4 = 0 THEN CAST(shot_id % 6 AS BIGINT) END AS addedtime, concat('{"x":', shot_id % 100, '}') AS playercoordinates, CAST(NULL AS VARCHAR) AS blockcoordinates,
+  concat('{"gear":"', shot_id % 7, '"}') AS other_fields FROM rd_shots
+""")
 oracle("s23_rd_player_stats", "rd_lineups rd_matches", """
 SELECT l.combo_id, m.match_id, l.team_id, l.is_home_team, l.player_id,
   CAST(CASE WHEN player_id % 3 = 0 THEN 7.5 WHEN player_id % 2 <> 0 THEN player_id % 90 ELSE 0 END AS DOUBLE) AS match_rating,
@@ -1156,10 +1169,13 @@ oracle("s25_spatial", "rd_spatial", "SELECT combo_id, average_positions, home_he
 oracle("s27_odds_wide", "rd_odds", """
 SELECT combo_id, match_id, full_time_1x2_1 AS "full time_1x2_1", full_time_1x2_2 AS "full time_1x2_2", CASE WHEN match_id % 2 = 0 THEN '1' ELSE '2' END AS "full time_1x2_winning" FROM rd_odds
 """)
-oracle("p08_match_stats", "team_stat_items", """
-SELECT combo_id, CASE WHEN period = 'p1' THEN 'FULL-TIME' ELSE 'FIRST-HALF' END AS period, CAST(CASE WHEN period = 'p1' THEN 0 ELSE 1 END AS BIGINT) AS row_id,
-  max(home_value) FILTER (WHERE stat_key = 'Pass') AS pass_count_homevalue, max(away_value) FILTER (WHERE stat_key = 'Pass') AS pass_count_awayvalue,
-  max(home_value) FILTER (WHERE stat_key = 'Foul') AS foul_count_homevalue FROM team_stat_items GROUP BY 1, 2, 3
+oracle("p08_match_stats", "team_stat_items matches", f"""
+WITH p AS (
+  SELECT i.combo_id, i.stat_key, i.home_value, i.away_value, CASE i.period WHEN 'p1' THEN 0 ELSE 1 END + r AS row_id
+  FROM team_stat_items i JOIN matches m ON m.combo_id = i.combo_id JOIN (SELECT 0 AS r UNION ALL SELECT 2) z ON r = 0 OR m.mno % 2 = 0)
+SELECT combo_id, CASE row_id WHEN 0 THEN 'FULL-TIME' WHEN 1 THEN 'FIRST-HALF' WHEN 2 THEN 'SECOND-HALF' ELSE 'p4' END AS period, CAST(row_id AS BIGINT) AS row_id,
+  {", ".join(f"max({side}_value) FILTER (WHERE stat_key = '{k}') AS {k.lower()}_count_{side}value" for k in ("Aerial", "Foul", "Pass", "Tackle") for side in ("home", "away"))}
+FROM p GROUP BY combo_id, row_id
 """)
 oracle("s26_odds_long", "od_odds", "SELECT * FROM od_odds")
 

@@ -7,19 +7,28 @@ files, and the optimiser sees its size.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_JOBS: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`; a local one only where it is unset."""
+    """The folder named by `spark.checkpoint.dir`. Only a local session may do without: it gets a folder that goes when Python ends."""
     path = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set {SETTING} to a folder that driver and executors of {master} share")
         path = tempfile.mkdtemp(prefix="touchline-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(path)
         path = spark.sparkContext.getCheckpointDir()
     return path.rstrip("/")
@@ -29,5 +38,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Writes the rows under the shared folder and returns the written table."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/touchline/{name}-{uuid.uuid4().hex}"
+    if _JOBS:
+        _JOBS[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def job_tables(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end, so nothing lazy that reads them may leave the block."""
+    _JOBS.append([])
+    try:
+        yield
+    finally:
+        for path in _JOBS.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -79,10 +79,19 @@ def with_bucket(df: DataFrame, buckets: int, key: str = "combo_id") -> DataFrame
     return df.withColumn("match_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
 
-def write_matches(df: DataFrame, path: str, buckets: int = 64) -> None:
-    """Overwrites only the match buckets the batch touches, keeping the other matches
-    in them. A table on disk is a folder per bucket: reading one match reads one bucket.
+BUCKETS, SALTS = 64, 4
+
+
+def write_matches(df: DataFrame, path: str, buckets: int = BUCKETS, keys: list[str] | None = None, salts: int = SALTS) -> None:
+    """Rewrites only the match buckets the batch touches, keeping the other matches in them.
+
+    A table on disk is a folder per bucket: reading one match reads one bucket. A bucket is
+    written by `salts` tasks; choose `buckets` so that one of them holds what a task can write.
+    With `keys` a row replaces the stored one of its key column by column, otherwise the rows
+    of a match replace all its stored rows.
     """
+    from .shared import written
+
     spark = df.sparkSession
     batch = with_bucket(df, buckets)
     try:
@@ -92,13 +101,20 @@ def write_matches(df: DataFrame, path: str, buckets: int = 64) -> None:
             raise
         stored = None
     if stored is not None:
-        from .shared import written
-
         # The result is written aside first: a table cannot be overwritten while it is read.
         touched = batch.select("match_bucket").distinct()
         old = stored.join(touched, "match_bucket", "left_semi")
-        batch = written(replace_matches(old, batch), "reload")
-    (batch.repartition("match_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        if keys:
+            # Rows without a key cannot be told apart; they are replaced by match.
+            known = F.lit(True)
+            for k in keys:
+                known = known & F.col(k).isNotNull()
+            merged = upsert(old.filter(known), batch.filter(known).withColumn(SEQ, F.lit(0)), [*keys, "match_bucket"]).unionByName(
+                replace_matches(old.filter(~known), batch.filter(~known)), allowMissingColumns=True)
+        else:
+            merged = replace_matches(old, batch)
+        batch = written(merged, "reload")
+    (batch.repartition("match_bucket", F.pmod(F.xxhash64("combo_id"), F.lit(salts))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("match_bucket").parquet(path))
 
 

@@ -4,7 +4,8 @@ Each table is one SELECT over other tables of this module or over the parquet
 inputs. The text is plain SQL with integer arithmetic only, so that any SQL
 engine derives the same rows. `Tables` builds them lazily as DataFrames.
 
-Every table grows with `events` (500 events make one match) or with `part`.
+The tables of matches grow with `events` (500 events make one match) or with `part`; teams, players, referees,
+competitions and seasons are a fixed few. Twenty matches in a row belong to one season and competition.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ FROM (
 _table("matches", ["events"], f"""
 SELECT mno, {_MATCH_KEY} AS combo_id, 1 + mno % 8 AS home_id,
   1 + (mno % 8 + 1 + cast(floor(mno / 8) AS bigint) % 7) % 8 AS away_id,
-  2024 + mno % 2 AS season_uid, 10 + mno % 3 AS competition_uid, match_date
+  2024 + cast(floor(mno / 60) AS bigint) % 2 AS season_uid, 10 + cast(floor(mno / 20) AS bigint) % 3 AS competition_uid, match_date
 FROM (SELECT cast(floor(event_id / 500) AS bigint) AS mno, cast(min(ts) AS date) AS match_date
       FROM {{events}} GROUP BY 1) d
 """)
@@ -380,8 +381,7 @@ class Tables:
                 "related_event_id": F.col("rel_event_id"),
                 "qids": F.array_compact(F.array(F.try_element_at(ids, "qa"), F.try_element_at(ids, "qb"))),
                 "qnames": F.array_compact(F.array("qa", "qb"))})
-            parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            _STORED[key] = written(with_flags(full).repartition(parts, "combo_id"), "feed")
+            _STORED[key] = written(with_flags(full).repartition("combo_id"), "feed")
         return _STORED[key]
 
     @property

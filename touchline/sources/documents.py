@@ -56,17 +56,33 @@ def read_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return raw.select(*_file_parts(F.col("path")), "value")
 
 
-def parse(texts: DataFrame, schema: str, required: str | None = None) -> DataFrame:
-    """Adds the parsed document `doc`. Unreadable documents, and those an upstream
-    block page replaced, are left out; so are those without the `required` field."""
+_NOT_JSON, _BLOCKED, _MISSING, _ODD = "not JSON", "block page", "required field missing", "odd field"
+
+
+def _judged(texts: DataFrame, schema: str, required: str | None) -> DataFrame:
+    """Adds the parsed document `doc` and `reason`, what is wrong with it. A field of another type than
+    the schema's is NULL and leaves the text in `doc._corrupt_record`; the rest of the document is read."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    out = texts.withColumn("doc", F.from_json("value", schema, options)).drop("value")
-    good = F.col("doc").isNotNull() & F.col("doc._corrupt_record").isNull()
+    out = texts.withColumn("doc", F.from_json("value", schema, options))
+    flawed = F.col("doc").isNull() | F.col("doc._corrupt_record").isNotNull()
+    reason = F.when(flawed & F.try_parse_json("value").isNull(), _NOT_JSON)
     if "code:" in schema.split(",")[0]:
-        good = good & ~F.coalesce(F.col("doc.code") == "TURNSTILE_REQUIRED", F.lit(False))
+        reason = reason.when(F.col("doc.code") == "TURNSTILE_REQUIRED", _BLOCKED)
     if required:
-        good = good & F.col(f"doc.{required}").isNotNull()
-    return out.filter(good)
+        reason = reason.when(F.col(f"doc.{required}").isNull(), _MISSING)
+    return out.withColumn("reason", reason.when(flawed, _ODD))
+
+
+def parse(texts: DataFrame, schema: str, required: str | None = None) -> DataFrame:
+    """Adds the parsed document `doc`. Texts that are not JSON, and those an upstream
+    block page replaced, are left out; so are those without the `required` field."""
+    judged = _judged(texts, schema, required)
+    return judged.filter(F.coalesce(F.col("reason") == _ODD, F.lit(True)) & F.col("doc").isNotNull()).drop("value", "reason")
+
+
+def rejected(texts: DataFrame, schema: str, required: str | None = None) -> DataFrame:
+    """Files that `parse` leaves out or reads in part (`odd field`), with the reason."""
+    return _judged(texts, schema, required).filter("reason IS NOT NULL").drop("value", "doc")
 
 
 def read_alias(spark: SparkSession, path: str) -> DataFrame:

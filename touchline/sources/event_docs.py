@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.expr import with_flags
 from ..plans.event_tables import MatchData
-from .documents import file_id, parse
+from .documents import file_id, parse, rejected
 from .schemas import EVENT_DOC
 
 
@@ -14,6 +14,11 @@ def event_documents(texts: DataFrame) -> DataFrame:
     return parse(texts.filter("provider = 'events'"), EVENT_DOC, "home").withColumn("ev_match_id", file_id(F.col("file")))
 
 
+def rejected_documents(texts: DataFrame) -> DataFrame:
+    """Event files that are left out or read in part, with the reason."""
+    return rejected(texts.filter("provider = 'events'"), EVENT_DOC, "home")
+
+
 def _both_sides(docs: DataFrame, field: str) -> DataFrame:
     """Rows of an array field of both sides, with team columns; `i` is the place in the array."""
     def side(name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
@@ -18,10 +20,12 @@ _SPATIAL = {"average_positions": "average_positions", "comments": "commentary",
 class ReferenceDocs:
     """The documents of all matches, one DataFrame per kind, read from file texts."""
 
-    def __init__(self, texts: DataFrame):
-        self._texts = texts.filter("provider = 'reference'")
+    def __init__(self, texts: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df):
+        """`keep` may write the parsed documents, so that the tables made from them do not parse again."""
+        self._texts, self._keep = texts.filter("provider = 'reference'"), keep
         self.lineups = self._of("lineups", S.RD_LINEUPS, "home")
         self.event = self._of("main_event_data", S.RD_EVENT, "event")
+        self.event_fields = self._of("main_event_data", S.RD_EVENT_FIELDS, "event")
         self.managers = self._of("managers", S.RD_MANAGERS, "homeManager")
         self.best = self._of("best_players_summary", S.RD_BEST)
         self.shotmap = self._of("shotmap", S.RD_SHOTS, "shotmap")
@@ -29,7 +33,7 @@ class ReferenceDocs:
         self.odds = self._of("odds_all", S.RD_ODDS)
 
     def _of(self, kind: str, schema: str, required: str | None = None) -> DataFrame:
-        return parse(self._texts.filter(F.col("file").contains(kind)), schema, required).select("combo_id", "doc")
+        return self._keep(parse(self._texts.filter(F.col("file").contains(kind)), schema, required).select("combo_id", "doc"), kind)
 
     def text(self, kind: str) -> DataFrame:
         return self._texts.filter(F.col("file").contains(kind)).select("combo_id", "value")
@@ -105,13 +109,26 @@ def managers(docs: ReferenceDocs) -> DataFrame:
         "combo_id", m["id"].alias("manager_id"), m["name"].alias("name"), m["shortName"].alias("shortname"), m["slug"].alias("slug"))
 
 
+_SHOT_FIELDS = {"id": "bigint", "shotType": "string", "situation": "string", "bodyPart": "string", "xg": "double", "xgot": "double", "time": "bigint", "isHome": "boolean",
+                "goalMouthLocation": "string", "incidentType": "string", "goalType": "string", "addedTime": "bigint", "playerCoordinates": "string",
+                "goalMouthCoordinates": "string", "blockCoordinates": "string", "draw": "string"}
+_EVENT_FIELDS = ["id", "tournament", "season", "homeTeam", "awayTeam", "venue", "referee", "winnerCode", "startTimestamp", "homeScore", "awayScore", "time"]
+
+
+def _other(fields: Column, known: list[str]) -> Column:
+    """The fields that have no column of their own, as JSON text; NULL if there is none."""
+    left = F.map_filter(fields, lambda k, v: ~k.isin(*known) & v.isNotNull())
+    return F.when(F.size(left) > 0, F.to_json(left))
+
+
 def shots(docs: ReferenceDocs) -> DataFrame:
-    """Shots oldest first: the provider lists the newest first."""
+    """Shots oldest first: the provider lists the newest first. All fields are kept; nested ones as JSON text."""
     rows = docs.shotmap.select("combo_id", F.posexplode(F.reverse("doc.shotmap")).alias("row_id", "s")).join(_ids(docs).select("combo_id", "match_id"), "combo_id")
-    return rows.select("combo_id", "match_id", F.col("row_id").cast("bigint").alias("row_id"), F.col("s.player.id").alias("player_id"),
-                       F.col("s.player.name").alias("player_name"), F.col("s.id").alias("shot_id"), F.col("s.shotType").alias("shottype"),
-                       F.col("s.situation").alias("situation"), F.col("s.bodyPart").alias("bodypart"), F.col("s.xg").alias("xg"), F.col("s.xgot").alias("xgot"),
-                       F.col("s.time").alias("time"), F.col("s.isHome").alias("ishome"))
+    names = {"id": "shot_id"}
+    return rows.select("combo_id", "match_id", F.col("row_id").cast("bigint").alias("row_id"), F.get_json_object(F.col("s.player"), "$.id").try_cast("bigint").alias("player_id"),
+                       F.get_json_object(F.col("s.player"), "$.name").alias("player_name"),
+                       *[F.try_element_at("s", F.lit(k)).try_cast(kind).alias(names.get(k, k.lower())) for k, kind in _SHOT_FIELDS.items()],
+                       _other(F.col("s"), ["player", *_SHOT_FIELDS]).alias("other_fields"))
 
 
 def matches(docs: ReferenceDocs) -> DataFrame:
@@ -127,8 +144,9 @@ def matches(docs: ReferenceDocs) -> DataFrame:
     shape = docs.lineups.select("combo_id", F.col("doc.home.formation").alias("home_formation"), F.col("doc.away.formation").alias("away_formation"))
     motm = docs.best.select("combo_id", best["value"].alias("motm_rating"), best["player"]["name"].alias("motm_player_name"), best["player"]["id"].alias("motm_player_id"))
     cover = shots(docs).groupBy("combo_id").agg(F.lit(True).alias("has_shotmap"), F.max(F.col("xg").isNotNull()).alias("has_xg"))
+    rest = docs.event_fields.select("combo_id", _other(F.col("doc.event"), _EVENT_FIELDS).alias("other_fields"))
     out = flatten_struct(core)
-    for side in (coaches, shape, motm, cover):
+    for side in (coaches, shape, motm, cover, rest):
         out = out.join(side, "combo_id", "left")
     return out.na.fill(False, ["has_shotmap", "has_xg"])
 
@@ -162,19 +180,20 @@ def missing_players(docs: ReferenceDocs) -> DataFrame:
 
 
 def match_stats(docs: ReferenceDocs, columns: list[str] | None = None) -> DataFrame:
-    """Team statistics per period: a column per statistic and side."""
+    """Team statistics per period: a column per statistic and side. Periods after the third have the document's name."""
     names = F.array(F.lit("FULL-TIME"), F.lit("FIRST-HALF"), F.lit("SECOND-HALF"))
-    periods = docs.statistics.select("combo_id", F.posexplode("doc.statistics").alias("i", "p")).filter("i < 3")
-    items = (periods.select("combo_id", "i", F.posexplode("p.groups").alias("gi", "g"))
-             .select("combo_id", "i", "gi", F.posexplode("g.statisticsItems").alias("ii", "s")))
+    periods = docs.statistics.select("combo_id", F.posexplode("doc.statistics").alias("i", "p"))
+    periods = periods.withColumn("period", F.coalesce(F.get(names, F.col("i")), F.col("p.period"), F.concat(F.lit("PERIOD-"), F.col("i") + 1)))
+    items = (periods.select("combo_id", "i", "period", F.posexplode("p.groups").alias("gi", "g"))
+             .select("combo_id", "i", "period", "gi", F.posexplode("g.statisticsItems").alias("ii", "s")))
     key = F.regexp_replace(F.lower(F.trim(F.coalesce("s.name", F.lit("")))), r"\W+", "_")
-    long = items.select("combo_id", "i", (F.col("gi") * 1000 + F.col("ii")).alias("pos"), F.inline(F.array(*[
+    long = items.select("combo_id", "i", "period", F.struct("gi", "ii").alias("pos"), F.inline(F.array(*[
         F.struct(F.concat(key, F.lit("_" + k.lower())).alias("col"), F.col(f"s.{k}").alias("value"))
         for k in ("homeValue", "awayValue", "homeTotal", "awayTotal")]))).filter(F.col("value").isNotNull())
     columns = pivot_keys(long, "col") if columns is None else columns
-    wide = long.groupBy("combo_id", "i").agg(F.count("*").alias("_n"), *[F.max_by("value", F.when(F.col("col") == c, F.col("pos"))).alias(c) for c in columns])
+    wide = long.groupBy("combo_id", "i", "period").agg(F.count("*").alias("_n"), *[F.max_by("value", F.when(F.col("col") == c, F.col("pos"))).alias(c) for c in columns])
     return (wide.join(_ids(docs).select("combo_id", "match_id"), "combo_id", "left")
-            .select("combo_id", "match_id", F.get(names, F.col("i")).alias("period"), F.col("i").cast("bigint").alias("row_id"), *columns))
+            .select("combo_id", "match_id", "period", F.col("i").cast("bigint").alias("row_id"), *columns))
 
 
 def odds(docs: ReferenceDocs, columns: list[str] | None = None) -> DataFrame:
@@ -184,7 +203,7 @@ def odds(docs: ReferenceDocs, columns: list[str] | None = None) -> DataFrame:
     prefix = F.concat(m["marketPeriod"], F.lit("_"), m["marketGroup"], F.lit("_"),
                       F.coalesce(F.concat(F.nullif(m["choiceGroup"], F.lit("")), F.lit("_")), F.lit("")))
     cells = rows.select("combo_id", "mi", prefix.alias("prefix"), F.posexplode(m["choices"]).alias("ci", "c")).select(
-        "combo_id", (F.col("mi") * 1000 + F.col("ci")).alias("pos"), F.inline(F.array(
+        "combo_id", F.struct("mi", "ci").alias("pos"), F.inline(F.array(
             F.struct(F.concat("prefix", c["name"]).alias("col"), c["fractionalValue"].alias("value")),
             F.struct(F.concat("prefix", F.lit("winning")).alias("col"), F.when(c["winning"], c["name"]).alias("value"))))).filter(F.col("value").isNotNull())
     columns = pivot_keys(cells, "col") if columns is None else columns

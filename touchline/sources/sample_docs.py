@@ -151,11 +151,16 @@ def reference_texts(t: Tables) -> DataFrame:
     out.append(_file(m, "reference", F.lit("m_best_players_summary"), _s(playerOfTheMatch=F.when(
         F.col("mno") % 2 == 0, _s(value=F.lit("8.1"), player=_s(id=F.col("home_id") + 60000, name=F.lit("Best")))))))
     shots = _gather(t["rd_shots"].withColumn("_back", -F.col("row_id")), "_back", _s(
-        id="shot_id", player=_s(id="player_id", name=F.lit("n")), xg="xg", xgot="xgot"), "shotmap", ["combo_id"])
+        id="shot_id", player=_s(id="player_id", name=F.lit("n")), xg="xg", xgot="xgot", incidentType=F.when(F.col("shot_id") % 2 == 0, "shot").otherwise("goal"),
+        goalMouthLocation=F.when(F.col("shot_id") % 3 == 0, "low-left").when(F.col("shot_id") % 3 == 1, "high-right"), goalType=F.when(F.col("shot_id") % 5 == 0, "penalty"),
+        addedTime=F.when(F.col("shot_id") % 4 == 0, F.col("shot_id") % 6), playerCoordinates=_s(x=F.col("shot_id") % 100), gear=(F.col("shot_id") % 7).cast("string")),
+        "shotmap", ["combo_id"])
     out.append(_file(shots, "reference", F.lit("m_shotmap"), _s(shotmap="shotmap")))
     items = _gather(t["team_stat_items"], "pos", _s(name=F.concat("stat_key", F.lit(" count")), homeValue="home_value", awayValue="away_value"),
                     "items", ["combo_id", "period"])
-    stats = _gather(items, "period", _s(groups=F.array(_s(statisticsItems="items"))), "statistics", ["combo_id"])
+    # Every other match has two more periods.
+    later = items.join(m.select("combo_id", "mno"), "combo_id").filter("mno % 2 = 0").select("combo_id", F.when(F.col("period") == "p1", "p3").otherwise("p4").alias("period"), "items")
+    stats = _gather(items.unionByName(later), "period", _s(period="period", groups=F.array(_s(statisticsItems="items"))), "statistics", ["combo_id"])
     out.append(_file(stats, "reference", F.lit("m_statistics"), _s(statistics="statistics")))
     choice = [_s(name=F.lit("1"), fractionalValue="full_time_1x2_1", winning=F.col("match_id") % 2 == 0),
               _s(name=F.lit("2"), fractionalValue="full_time_1x2_2", winning=F.col("match_id") % 2 == 1)]

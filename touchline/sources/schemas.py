@@ -51,18 +51,20 @@ _RD_SIDE = f"""struct<formation: string, players: array<struct<player: {_RD_PERS
 RD_LINEUPS = f"struct<home: {_RD_SIDE}, away: {_RD_SIDE}, _corrupt_record: string>"
 _RD_TEAM = """struct<id: bigint, name: string, country: struct<name: string>, foundationDateTimestamp: string,
   venue: struct<city: struct<name: string>, stadium: struct<name: string, capacity: bigint>, venueCoordinates: struct<latitude: double, longitude: double>>>"""
+_RD_SCORE = """struct<current: bigint, display: bigint, period1: bigint, period2: bigint, normaltime: bigint, extra1: bigint, extra2: bigint,
+  overtime: bigint, penalties: bigint>"""
 RD_EVENT = f"""struct<event: struct<id: bigint, tournament: struct<name: string, competitionType: string, uniqueTournament: struct<id: bigint>,
     category: struct<name: string, country: struct<name: string>>>,
   season: struct<id: bigint, name: string, year: string>, homeTeam: {_RD_TEAM}, awayTeam: {_RD_TEAM}, venue: struct<name: string>,
   referee: struct<id: bigint, name: string, country: struct<name: string>, redCards: bigint, yellowCards: bigint, yellowRedCards: bigint, games: bigint>,
-  winnerCode: bigint, startTimestamp: bigint, homeScore: struct<current: bigint, period1: bigint, period2: bigint>,
-  awayScore: struct<current: bigint, period1: bigint, period2: bigint>, time: struct<currentPeriodStartTimestamp: bigint>>, _corrupt_record: string>"""
+  winnerCode: bigint, startTimestamp: bigint, homeScore: {_RD_SCORE}, awayScore: {_RD_SCORE}, time: struct<currentPeriodStartTimestamp: bigint>>, _corrupt_record: string>"""
 _MANAGER = "struct<id: bigint, name: string, shortName: string, slug: string>"
 RD_MANAGERS = f"struct<homeManager: {_MANAGER}, awayManager: {_MANAGER}, _corrupt_record: string>"
 RD_BEST = "struct<playerOfTheMatch: struct<value: string, player: struct<id: bigint, name: string>>, _corrupt_record: string>"
-RD_SHOTS = """struct<shotmap: array<struct<id: bigint, player: struct<id: bigint, name: string>, shotType: string, situation: string, bodyPart: string,
-  xg: double, xgot: double, time: bigint, isHome: boolean>>, _corrupt_record: string>"""
-RD_STATISTICS = """struct<statistics: array<struct<groups: array<struct<statisticsItems: array<struct<name: string, homeValue: string, awayValue: string,
+# Elements and events are read as maps too, so that fields the library does not know are kept.
+RD_EVENT_FIELDS = "struct<event: map<string, string>, _corrupt_record: string>"
+RD_SHOTS = "struct<shotmap: array<map<string, string>>, _corrupt_record: string>"
+RD_STATISTICS = """struct<statistics: array<struct<period: string, groups: array<struct<statisticsItems: array<struct<name: string, homeValue: string, awayValue: string,
   homeTotal: string, awayTotal: string>>>>>>, _corrupt_record: string>"""
 RD_ODDS = """struct<eventId: bigint, markets: array<struct<marketPeriod: string, marketGroup: string, choiceGroup: string,
   choices: array<struct<name: string, fractionalValue: string, winning: boolean>>>>, _corrupt_record: string>"""

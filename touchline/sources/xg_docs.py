@@ -100,7 +100,7 @@ def team_stat_items(docs: DataFrame) -> DataFrame:
     return items.filter(~F.coalesce(F.col("i.type") == "title", F.lit(False))).select(
         "combo_id", "xg_match_id", "period", "stat_group", F.col("i.key").alias("stat_key"), F.col("i.title").alias("stat_title"),
         F.try_element_at("i.stats", F.lit(1)).alias("home_value"), F.try_element_at("i.stats", F.lit(2)).alias("away_value"),
-        F.col("i.format").alias("stat_format"), F.col("i.highlighted").alias("highlighted"), (F.col("gi") * 1000 + F.col("ii")).alias("pos"))
+        F.col("i.format").alias("stat_format"), F.col("i.highlighted").alias("highlighted"), F.struct("gi", "ii").alias("pos"))
 
 
 def team_stats(docs: DataFrame, stats: list[str] | None = None) -> DataFrame:
