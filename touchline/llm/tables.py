@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 24 << 20
+BROADCAST_BYTES = 64 << 20
 
 
 def sized(small: DataFrame, row_bytes: Column | int, limit: int = BROADCAST_BYTES) -> DataFrame:

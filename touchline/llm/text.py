@@ -5,10 +5,12 @@ A word is a run of bytes outside `\\x20\\x09-\\x0D`, which is what `bytes.split(
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,9 +39,10 @@ def text_batches(batches: Iterable[pa.RecordBatch], column: str = "text") -> Ite
     """Each Arrow batch cut into pieces of bounded text, so that a task's memory does not follow the batch size."""
     for batch in batches:
         if batch.num_rows:
-            texts = batch.column(column).to_pylist()
-            for lo, hi in chunks(len(t or "") for t in texts):
-                yield batch.slice(lo, hi - lo), texts[lo:hi]
+            sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+            for lo, hi in chunks(sizes):
+                piece = batch.slice(lo, hi - lo)
+                yield piece, piece.column(column).to_pylist()
 
 
 def per_text(df: DataFrame, id_col: str, text_col: str, work: Callable[[list[str | None]], dict[str, object]], schema: str) -> DataFrame:
@@ -62,9 +65,9 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, remembered within a task."""
+    """64-bit hashes of words, remembered within a Python worker."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         h = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -76,6 +79,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, said), np.uint64, len(said))
 
 
+@functools.lru_cache(maxsize=1)
+def word_hashes() -> WordHashes:
+    """One memory of words per Python worker, whichever operator its tasks belong to."""
+    return WordHashes()
+
+
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each n consecutive words, from the words' hashes."""
     m = len(hashes) - n + 1
