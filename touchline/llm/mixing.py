@@ -105,11 +105,11 @@ def mixture(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col:
     """The mixture itself: the rows of `docs` as often as drawn, shuffled within each shard. A text drawn in part is its first words, joined by blanks.
 
     Rows are told apart by id and text, so repeated rows with one id are drawn alike."""
-    draws = mixed.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.explode("draws").alias("_draw"))
-    first = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.col("_draw.words").cast("int")), " ")
-    text = F.when(F.col("_draw.words") < F.col("_size"), first).otherwise(F.col(text_col))
-    out = docs.join(draws, F.col(id_col).eqNullSafe(F.col("_id")))
-    return (out.withColumn(text_col, text).repartition("_draw.shard").sortWithinPartitions("_draw.shard", "_draw.place").select(*docs.columns))
+    draws = mixed.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("__mix_id"), F.col("size").alias("__mix_size"), F.explode("draws").alias("__mix_draw"))
+    first = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.col("__mix_draw.words").cast("int")), " ")
+    text = F.when(F.col("__mix_draw.words") < F.col("__mix_size"), first).otherwise(F.col(text_col))
+    out = docs.join(draws, F.col(id_col).eqNullSafe(F.col("__mix_id")))
+    return (out.withColumn(text_col, text).repartition("__mix_draw.shard").sortWithinPartitions("__mix_draw.shard", "__mix_draw.place").select(*docs.columns))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
