@@ -6,8 +6,8 @@ text wins (ties: the language first by code point). `score` is 1 minus the winne
 if only one language is known. A phrase does not run on into the next word, so a task parses a word only once.
 
 Texts are lower-cased, runs of characters other than letters become one blank, and no cap or prefix applies to the
-texts that are identified. Only fitting is bounded: `chars_per_lang` normalised characters per language, from at most
-`docs_per_lang` documents with the smallest hashed ids. A null text, one without a letter, or an empty set of known
+texts that are identified. Only fitting is bounded: `chars_per_lang` normalised characters per language, of which
+`chars_per_doc` at most from one of the `docs_per_lang` documents with the smallest hashed ids. A null text, one without a letter, or an empty set of known
 languages gives `und` with score 0. Repeated rows are identified each on its own; other columns are not read.
 """
 
@@ -20,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from touchline.llm.tables import small_batches
 from touchline.llm.text import text_batches
 
 CHARS_PER_LANG = 40_000
 DOCS_PER_LANG = 60
+CHARS_PER_DOC = 3_000
 REMEMBERED_WORDS = 300_000
 UNKNOWN = "und"
 _OTHER = re.compile(r"[\W\d_]+")
@@ -112,8 +114,9 @@ class Identifier:
         return self.langs[order[0]], 1.0 if len(order) == 1 else float(1 - counts[order[0]] / counts[order[1]])
 
 
-def training_text(labelled: DataFrame, chars_per_lang: int = CHARS_PER_LANG, docs_per_lang: int = DOCS_PER_LANG) -> dict[str, str]:
-    """Normalised text per language from (doc_id, text, lang) rows, bounded by both parameters."""
+def training_text(labelled: DataFrame, chars_per_lang: int = CHARS_PER_LANG, docs_per_lang: int = DOCS_PER_LANG,
+                  chars_per_doc: int = CHARS_PER_DOC) -> dict[str, str]:
+    """Normalised text per language from (doc_id, text, lang) rows, bounded by the parameters."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = (labelled.where("lang is not null and doc_id is not null").select("doc_id", "lang").withColumn("_rank", F.row_number().over(order))
               .where(F.col("_rank") <= docs_per_lang).drop("_rank"))
@@ -124,13 +127,14 @@ def training_text(labelled: DataFrame, chars_per_lang: int = CHARS_PER_LANG, doc
     parts: dict[str, list[str]] = {}
     for r in sorted(texts.collect(), key=lambda r: (r._h, r.doc_id, r.text or "")):
         if r.lang == ids[r.doc_id]:
-            parts.setdefault(r.lang, []).append(normalised(r.text)[:3000])
+            parts.setdefault(r.lang, []).append(normalised(r.text)[:chars_per_doc])
     return {lang: t for lang, x in sorted(parts.items()) if (t := " ".join(filter(None, x))[:chars_per_lang])}
 
 
 def identified(docs: DataFrame, training: dict[str, str], text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of every row (all by default; a clashing `lang_pred` or `score` is replaced) and lang_pred, score."""
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(training)  # bounded by chars_per_lang times the number of languages
     names = [c for c in (keep or docs.columns) if c not in ("lang_pred", "score")]
     rows = docs.select(*names, F.col(text_col).cast("string").alias("__lang_said"))

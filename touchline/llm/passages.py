@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.tables import sized
+from touchline.llm.tables import sized, small_batches
 from touchline.llm.text import gram_hashes, ragged, text_batches, word_hashes, words
 from touchline.sinks.shared import written
 
@@ -159,6 +159,7 @@ def _search(patterns: pa.Table, stretches: pa.Table, window: int) -> pa.Table:
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written tables: (doc_id, ranges of removed words); (th, first), texts that come more than once with their first id; (doc_id, lo), the
     text hash that is searched for an id that has several."""
+    small_batches(docs.sparkSession)
     text = F.col(text_col).cast("string")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"))
     copies = written(rows.groupBy("th").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").select("th", "first"), "text-copies")

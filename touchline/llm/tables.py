@@ -1,11 +1,12 @@
-"""Joins that look at the size of their smaller side first."""
+"""Joins that look at the size of their smaller side first, and Arrow batches of bounded size."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 << 20
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def sized(small: DataFrame, row_bytes: Column | int, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -13,3 +14,9 @@ def sized(small: DataFrame, row_bytes: Column | int, limit: int = BROADCAST_BYTE
     cost = F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes
     total = small.agg(F.sum(cost.cast("long"))).first()[0] or 0
     return F.broadcast(small) if total <= limit else small
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Rows go to Python in batches of at most `rows`, in this session from now on: the default of 10,000 texts may fill an executor."""
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= rows:
+        spark.conf.set(BATCH_SETTING, rows)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = b" \t\n\x0b\x0c\r"
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 500_000
 
 
 def words(text: str | None) -> list[bytes]:
