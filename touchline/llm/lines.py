@@ -19,6 +19,8 @@ Columns of the input are kept; `n_lines` and `n_removed` are added and replace i
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from touchline.llm.tables import sized
+from touchline.llm.tables import sized, small_batches
 from touchline.llm.text import text_batches
 from touchline.sinks.shared import written
 
@@ -46,10 +48,12 @@ def line_hash(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line) - _SIGNED
 
 
-def parity(line: str) -> int:
-    """Bit k tells whether the characters of class k (code point modulo 64) are odd in number; an edit changes two bits at most."""
-    counts = np.bincount(np.frombuffer(line.encode("utf-32-le"), "<u4") & 63, minlength=64) & 1
-    return int.from_bytes(np.packbits(counts.astype(np.uint8)).tobytes(), "big", signed=True)
+def parities(said: list[str]) -> np.ndarray:
+    """Bit k tells whether a line's characters of class k (code point modulo 64) are odd in number; an edit changes two bits at most."""
+    n = np.array([len(s) for s in said], np.int64)
+    codes = np.frombuffer("".join(said).encode("utf-32-le"), "<u4")
+    bits = np.uint64(1) << (codes & 63).astype(np.uint64)
+    return np.bitwise_xor.reduceat(bits, np.cumsum(n) - n).view(np.int64) if len(bits) else np.zeros(len(n), np.int64)
 
 
 def within(a: str, b: str, k: int) -> bool:
@@ -85,21 +89,28 @@ def segments(n: int, parts: int) -> list[tuple[int, int]]:
     return [(sum(lengths[:i]), x) for i, x in enumerate(lengths)]
 
 
-def keys(line: str, max_edits: int) -> tuple[list[int], list[int]]:
-    """Hashes under which the line is indexed, and those which it probes."""
-    n, parts = len(line), max_edits + 1
-    hashed = lambda part, l, i: xxhash.xxh3_64_intdigest(part, l * parts + i) - _SIGNED
-    index = [hashed(line[s:s + k], n, i) for i, (s, k) in enumerate(segments(n, parts))]
+@functools.lru_cache(maxsize=20_000)
+def key_places(n: int, max_edits: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(start, end, seed) of the index keys and of the probe keys of a line of length n."""
+    parts = max_edits + 1
+    index = [(s, s + k, n * parts + i) for i, (s, k) in enumerate(segments(n, parts))]
     probes = []
     for l in range(max(parts, n - max_edits), n + 1):
         more = n - l
         for i, (s, k) in enumerate(segments(l, parts)):
             lo = max(0, s - i, s + more - (max_edits - i))
             hi = min(n - k, s + i, s + more + (max_edits - i))
-            probes += [hashed(line[p:p + k], l, i) for p in range(lo, hi + 1)]
+            probes += [(p, p + k, l * parts + i) for p in range(lo, hi + 1)]
     return index, probes
 
 
+def keys(line: str, max_edits: int) -> tuple[list[int], list[int]]:
+    """Hashes under which the line is indexed, and those which it probes."""
+    hashed = xxhash.xxh3_64_intdigest
+    index, probes = key_places(len(line), max_edits)
+    return [hashed(line[a:b], seed) for a, b, seed in index], [hashed(line[a:b], seed) for a, b, seed in probes]
+
+
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
@@ -113,7 +124,7 @@ def _occurrences(rows: DataFrame, min_chars: int) -> DataFrame:
             at = pa.array(np.repeat(np.arange(len(n)), n))
             said = [s for x in found for _, s in x]
             yield pa.RecordBatch.from_arrays([pa.array(map(line_hash, said), pa.int64()), batch.column("doc_id").take(at), batch.column("th").take(at),
-                                              pa.array([i for x in found for i, _ in x], pa.int32()), pa.array(map(parity, said), pa.int64())],
+                                              pa.array([i for x in found for i, _ in x], pa.int32()), pa.array(parities(said))],
                                              names=["h", "doc_id", "th", "no", "sig"])
 
     return rows.mapInArrow(task, "h long, doc_id long, th long, no int, sig long")
@@ -125,26 +136,27 @@ def _keyed(rows: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
     def task(batches):
         for batch, texts in text_batches(batches):
             said = dict.fromkeys(s for t in texts for _, s in long_lines(t, min_chars))
-            out_key, out_h, out_probe = [], [], []
-            for s in said:
-                index, probes = keys(s, max_edits)
-                out_key += index + probes
-                out_h += [line_hash(s)] * (len(index) + len(probes))
-                out_probe += [False] * len(index) + [True] * len(probes)
-            yield pa.RecordBatch.from_arrays([pa.array(out_key, pa.int64()), pa.array(out_h, pa.int64()), pa.array(out_probe, pa.bool_())], names=["key", "h", "probe"])
+            both = [keys(line, max_edits) for line in said]
+            n = np.array([(len(i), len(p)) for i, p in both], np.int64).reshape(-1, 2)
+            key = np.array([k for pair in both for side in pair for k in side], np.uint64).view(np.int64)
+            h = np.repeat(np.array([line_hash(line) for line in said], np.int64), n.sum(1))
+            probe = np.repeat(np.tile([False, True], len(said)), n.ravel())
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(h), pa.array(probe)], names=["key", "h", "probe"])
 
     return rows.mapInArrow(task, "key long, h long, probe boolean")
 
 
 def _line_texts(rows: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
-    """(h, line) of the wanted lines, once each."""
+    """(h, line) of the wanted lines (h, first), once each, read from the documents in which they come first."""
 
     def task(batches):
         for batch, texts in text_batches(batches):
             said = list(dict.fromkeys(s for t in texts for _, s in long_lines(t, min_chars)))
             yield pa.RecordBatch.from_arrays([pa.array(map(line_hash, said), pa.int64()), pa.array(said, pa.string())], names=["h", "line"])
 
-    return rows.mapInArrow(task, "h long, line string").join(sized(wanted, 16), "h", "left_semi").dropDuplicates(["h"])
+    holders = written(wanted.select(F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th")).distinct(), "line-holders")
+    rows = rows.join(sized(holders, 24), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left_semi")
+    return rows.select("text").mapInArrow(task, "h long, line string").join(sized(wanted.select("h"), 16), "h", "left_semi").dropDuplicates(["h"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
@@ -161,6 +173,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
 
 def removable_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, th, gone): per document, told by id and text hash, the numbers of the lines that are removed."""
+    small_batches(docs.sparkSession)
     min_chars = max(min_chars, max_edits + 1)
     rows = _rows(docs, id_col, text_col)
     places = written(_occurrences(rows, min_chars), "line-places")
@@ -176,7 +189,7 @@ def removable_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.when(F.col("pfirst") > F.col("ifirst"), F.col("ih")).otherwise(F.col("ph")).alias("early")]
     star = index.groupBy("key").agg(F.min(F.struct("ifirst", "ih", "isig")).alias("s")).select("key", "s.*")
     pairs = written(probe.join(star, "key").where(close).select(*pair).distinct(), "line-pairs")
-    both = lambda p: p.select(F.col("late").alias("h")).union(p.select("early")).distinct()
+    both = lambda p: p.select(F.col("late").alias("h")).union(p.select("early")).distinct().join(lines.select("h", "first"), "h")
     texts = written(_line_texts(rows, written(both(pairs), "line-wanted"), min_chars), "line-texts")
     settled = written(_verified(pairs, texts, max_edits), "line-settled")
     open_ = lambda rows, h: rows.join(settled.select(F.col("h").alias(h), F.lit(True).alias(f"{h}_done")), h, "left")
@@ -192,15 +205,16 @@ def removable_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """The rows of `docs` with the remaining lines as text, and n_lines (before) and n_removed."""
-    gone = removable_lines(docs, id_col, text_col, max_edits, min_chars).toDF("_id", "_th", "_gone")
-    gone = sized(gone, F.lit(64) + 8 * F.size("_gone"))
-    base = docs.drop("n_lines", "n_removed")
-    joined = base.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_th")), "left").drop("_id", "_th")
+    gone = removable_lines(docs, id_col, text_col, max_edits, min_chars).toDF("__line_id", "__line_th", "__line_gone")
+    gone = sized(gone, F.lit(64) + 8 * F.size("__line_gone"))
+    base = docs.select(*(c for c in docs.columns if c not in ("n_lines", "n_removed")))
+    joined = base.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__line_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__line_th")), "left").drop("__line_id", "__line_th")
     lines = F.split(F.col(text_col).cast("string"), "\n", -1)
-    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_gone")
-    kept = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n"))
-    counted = joined.withColumn("n_lines", F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"))
-    return counted.withColumn("n_removed", F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long")).withColumn(text_col, kept).drop("_gone")
+    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__line_gone")
+    kept = F.when(F.col("__line_gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n"))
+    ends = F.octet_length(F.col(text_col).cast("string")) - F.octet_length(F.replace(F.col(text_col).cast("string"), F.lit("\n"), F.lit("")))
+    counted = joined.withColumn("n_lines", F.coalesce(ends + 1, F.lit(0)).cast("long"))
+    return counted.withColumn("n_removed", F.when(F.col("__line_gone").isNull(), F.lit(0)).otherwise(F.size("__line_gone")).cast("long")).withColumn(text_col, kept).drop("__line_gone")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
