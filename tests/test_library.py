@@ -44,6 +44,26 @@ def test_names_and_keys(spark):
     assert expr.pivot_column_name("Duels won+ 1.5-x") == "duels_wonplus_1_5_x"
 
 
+def test_percent_ranks_with_one_extreme_value(spark):
+    """Ranges follow the values: one far value does not put all others into one range."""
+    rows = spark.range(4000).selectExpr("id", "1 AS g", "CASE WHEN id = 0 THEN 1e12 ELSE CAST(id % 1500 AS double) END AS u")
+    want = rows.withColumn("u_pct", F.percent_rank().over(Window.partitionBy("g").orderBy(F.col("u").asc_nulls_last())))
+    assert percent_ranks(rows, ["id"], ["g"], ["u"], ranges=16).exceptAll(want.select("id", "g", "u", "u_pct")).isEmpty()
+    bounds = rows.select("u").distinct().agg(F.percentile_approx("u", [i / 16 for i in range(1, 16)])).first()[0]
+    sizes = rows.select("u").distinct().groupBy(F.size(F.filter(F.lit(bounds), lambda b: b < F.col("u")))).count().agg(F.max("count")).first()[0]
+    assert sizes < 2 * 1500 / 16
+
+
+def test_kept_tables_follow_their_input_files(spark, tmp_path):
+    from touchline.sinks.shared import input_state
+
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(path)
+    before = input_state(spark, path)
+    spark.range(4).write.mode("append").parquet(path)
+    assert input_state(spark, path) != before and input_state(spark, str(tmp_path / "none")) == (0, 0, 0)
+
+
 def test_percent_ranks_equal_the_window_function(spark):
     rng = random.Random(7)
     rows = [(i, rng.choice(["a", "b", None]), float(rng.choice([0, 0, 0, 1, 2, rng.random()])), rng.choice([None, rng.random() * 50])) for i in range(3000)]

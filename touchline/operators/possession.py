@@ -62,7 +62,7 @@ def team_possession(feed: DataFrame, sides: DataFrame, minutes: DataFrame) -> Da
 
 
 def player_possession(feed: DataFrame) -> DataFrame:
-    """Players with a touch, a take-on or a lost ball, busiest first."""
+    """Players with a touch, a take-on or a lost ball."""
     involved = F.col("is_touch") | F.col("etype").isin("TakeOn", "Dispossessed")
     return (with_players(feed).filter(involved).groupBy(*PLAYER)
             .agg(*_touch_metrics("touches"), *_dribble_metrics()))

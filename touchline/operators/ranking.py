@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-BUCKETS = 1024
+RANGES = 256
 
 
 def percent_ranks(df: DataFrame, key: list[str], peers: list[str], metrics: list[str],
-                  suffix: str = "_pct") -> DataFrame:
+                  suffix: str = "_pct", ranges: int = RANGES) -> DataFrame:
     """Adds `<metric>_pct`, the percent rank of each metric within its peers (NULLs last).
 
     Counts per distinct value are pre-aggregated, so ties of any size collapse
-    to one row. The values of a peer group are then split into value ranges;
-    the running count is taken inside a range, plus the total of the ranges
-    below it. Only the per-range totals (at most BUCKETS + 1 rows) of a group
-    ever meet in one window. Peers may be NULL: NULL is a group of its own.
+    to one row. The distinct values of a peer group are then split into `ranges`
+    ranges of about as many values each, whatever the values are; the running
+    count is taken inside a range, plus the total of the ranges below it. Only
+    the per-range totals (at most `ranges` + 1 rows) of a group ever meet in one
+    window. Peers may be NULL: NULL is a group of its own.
     """
     values = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]))
     long = df.select(*peers, values.alias("_v")).select(*peers, "_v.metric", "_v.value")
     group = [*peers, "metric"]
     counts = long.groupBy(*group, "value").agg(F.count("*").alias("n"))
-    spread = counts.groupBy(*group).agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("size"))
+    shares = [i / ranges for i in range(1, ranges)]
+    spread = counts.groupBy(*group).agg(F.percentile_approx("value", shares).alias("bounds"), F.sum("n").alias("size"))
 
     def same(left: DataFrame, right: DataFrame, cols: list[str]):
         cond = F.lit(True)
@@ -35,9 +37,8 @@ def percent_ranks(df: DataFrame, key: list[str], peers: list[str], metrics: list
 
     s = renamed(spread, group)
     placed = counts.join(s, same(counts, s, group)).drop(*[f"_{c}" for c in group])
-    width = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    bucket = F.least(F.floor((F.col("value") - F.col("lo")) / width * BUCKETS), F.lit(BUCKETS - 1))
-    placed = placed.withColumn("bucket", F.when(F.col("value").isNull(), F.lit(BUCKETS)).otherwise(F.coalesce(bucket, F.lit(0))))
+    bucket = F.size(F.filter("bounds", lambda bound: bound < F.col("value")))
+    placed = placed.withColumn("bucket", F.when(F.col("value").isNull(), F.lit(ranges)).otherwise(bucket)).drop("bounds")
 
     totals = placed.groupBy(*group, "bucket").agg(F.sum("n").alias("inside"))
     lower = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

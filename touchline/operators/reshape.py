@@ -47,11 +47,11 @@ def optional(df: DataFrame, name: str, dtype: str = "double") -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
 
 
-def pivot_keys(df: DataFrame, key: str) -> list[str]:
-    """Distinct keys, which become column names; refuses more than a table can have."""
-    rows = df.filter(F.col(key).isNotNull()).select(key).distinct().limit(MAX_PIVOT_KEYS + 1).collect()
-    if len(rows) > MAX_PIVOT_KEYS:
-        raise ValueError(f"more than {MAX_PIVOT_KEYS} distinct values in {key}: not a pivot key")
+def pivot_keys(df: DataFrame, key: str, most: int = MAX_PIVOT_KEYS) -> list[str]:
+    """Distinct keys, which become column names; refuses more than `most`, as a table cannot have any number of columns."""
+    rows = df.filter(F.col(key).isNotNull()).select(key).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} distinct values in {key}: not a pivot key")
     return sorted(r[0] for r in rows)
 
 

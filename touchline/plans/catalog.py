@@ -119,7 +119,7 @@ def raw_table(t: Tables, name: str) -> DataFrame:
     return EVENT_TABLES[name](match_data(t)) if name in EVENT_TABLES else t[name]
 
 
-_KEPT: dict[tuple[str, str, str], DataFrame] = {}
+_KEPT: dict[tuple, DataFrame] = {}
 
 
 def marts(t: Tables) -> Marts:
@@ -127,7 +127,7 @@ def marts(t: Tables) -> Marts:
     def keep(df: DataFrame, name: str) -> DataFrame:
         if not name.endswith("_xwalk"):
             return written(df, name)
-        key = (t.spark.sparkContext.applicationId, t.sf_dir, name)
+        key = (*t.version, name)
         if key not in _KEPT:
             _KEPT[key] = written(df, name)
         return _KEPT[key]

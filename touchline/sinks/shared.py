@@ -44,6 +44,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def input_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Changes when the files of `path` do: their number, total length and the time of the last change."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where):
+        return 0, 0, 0
+    total = files.getContentSummary(where)
+    return total.getFileCount(), total.getLength(), files.getFileStatus(where).getModificationTime()
+
+
 @contextmanager
 def job_tables(spark: SparkSession) -> Iterator[None]:
     """Intermediate tables written inside are deleted at the end, so nothing lazy that reads them may leave the block."""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import fixed as K
 from ..functions.expr import constant_map, with_flags
-from ..sinks.shared import written
+from ..sinks.shared import input_state, written
 
 INPUTS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -334,7 +334,7 @@ def duck_ctes(names: list[str]) -> list[tuple[str, str]]:
 
 _DERIVED = ["type_id", "pass_end_x", "pass_end_y", "end_x", "end_y", "goal_mouth_y", "goal_mouth_z", "related_event_id", "qids", "qnames",
             "base_pass", "dead_ball", "dead_ball_state", "restart_event"]
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+_STORED: dict[tuple, DataFrame] = {}
 
 
 class Tables:
@@ -343,6 +343,8 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._made: dict[str, DataFrame] = {}
+        #: Tables kept for other queries belong to one application and to the input files as they are.
+        self.version = (spark.sparkContext.applicationId, sf_dir, *(input_state(spark, os.path.join(sf_dir, f"{n}.parquet")) for n in sorted(INPUTS)))
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
@@ -361,7 +363,7 @@ class Tables:
 
     def _once(self, name: str, df: DataFrame) -> DataFrame:
         """Writes a table that others are derived from once per application and input directory."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (*self.version, name)
         if key not in _STORED:
             _STORED[key] = written(df, name)
         return _STORED[key]
@@ -370,7 +372,7 @@ class Tables:
     def _stored(self) -> DataFrame:
         """The derived feed as a table, clustered by match: derived once per application, then
         read by column, as the load plan does with feeds that come from documents."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, "feed")
+        key = (*self.version, "feed")
         if key not in _STORED:
             base = self.spark.sql(TABLES["feed_base"][1], events=self["events"])
             ids, types = constant_map(K.QUALIFIER_ID), constant_map(K.TYPE_ID)
