@@ -61,7 +61,7 @@ def test_receivers_of_hand_written_runs(spark):
     rows = feed(spark, [(1, "Pass", {"p": 1, "t": 0}), (1, "Card", {"p": 5, "t": 1}), (1, "Pass", {"p": 2, "t": 2}), (1, "Pass", {"p": 2, "t": 4}), (1, "Pass", {"p": 3, "t": 6}),
                         (2, "Pass", {"p": 4, "t": 8}), (2, "Pass", {"p": 5, "t": 8}), (2, "Pass", {"p": 6, "t": 9})])
     got = {r["pos"]: r["receiver_id"] for r in runs.receivers(runs.runs(rows)).collect()}
-    assert (got[0], got[2], got[3], got[4]) == (102, 103, 103, None)  # a card is no touch; own second touch is passed over
+    assert (got[0], got[2], got[3], got[4]) == (105, 103, 103, None)  # any later event of a team mate will do, a card too; own second touch is passed over
     assert (got[5], got[6], got[7]) == (206, 206, None)
 
 
@@ -132,7 +132,7 @@ def test_fragments_of_a_hand_written_feed(spark):
 def test_sequences_of_a_whole_feed(tables):
     """What holds of any feed: order, one team each, a change or a marker between neighbours."""
     rows = defaultdict(list)
-    for r in sequences.sequence_events(tables.feed).select("combo_id", "pos", "ord", "seq_id", "team_id", "is_shot", "is_last", "marker", "etype").orderBy("combo_id", "ord").collect():
+    for r in sequences.sequence_events(tables.feed).select("combo_id", "pos", "ord", "seq_id", "team_id", "is_shot", "restart", "is_last", "marker", "etype").orderBy("combo_id", "ord").collect():
         rows[r.combo_id].append(r)
     for events in rows.values():
         assert len({r.pos for r in events}) == len(events)
@@ -141,7 +141,7 @@ def test_sequences_of_a_whole_feed(tables):
         for a, b in zip(events, events[1:]):
             same = a.seq_id == b.seq_id
             assert a.is_last != same and (same or a.marker or a.is_shot or a.team_id != b.team_id)
-            assert not same or (a.team_id == b.team_id and not a.is_shot)
+            assert not same or (a.team_id == b.team_id and (a.restart or not a.is_shot))  # a restart that is a shot does not end its sequence
         assert events[-1].is_last and events[-1].marker
 
 
