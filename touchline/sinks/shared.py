@@ -34,13 +34,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes the rows under the shared folder and returns the written table."""
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Writes the rows under the shared folder, a folder for each value of `by` if given, and returns the written table."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/touchline/{name}-{uuid.uuid4().hex}"
     if _JOBS:
         _JOBS[-1].append(path)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
