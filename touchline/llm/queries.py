@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import jaccard, langid, lines, mixing, orc_tokens, packing, passages, pii, quality, topk
+from touchline.llm import jaccard, langid, lines, mixing, orc_tokens, packing, passages, pii, quality, topk, trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": jaccard.op1_jaccard_join,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_pii": pii.op9_pii,
     "op10_orc_tokens": orc_tokens.op10_orc_tokens,
+    "op11_prefix_trie": trie.op11_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +27,5 @@ ORACLES: dict[str, str] = {
     "op2_mixing": mixing.OP2_SQL,
     "op3_top_k": topk.OP3_SQL,
     "op6_substring_dedup": passages.OP6_SQL,
+    "op11_prefix_trie": trie.OP11_SQL,
 }

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.sinks.shared import job_tables, shared_dir
+
 BROADCAST_BYTES = 64 << 20
 BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
@@ -20,3 +25,14 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Rows go to Python in batches of at most `rows`, in this session from now on: the default of 10,000 texts may fill an executor."""
     if not 0 < int(spark.conf.get(BATCH_SETTING)) <= rows:
         spark.conf.set(BATCH_SETTING, rows)
+
+
+def result_of(spark: SparkSession, work: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Writes the rows of `work` and deletes the intermediate tables it made; returns the written table."""
+    path = f"{shared_dir(spark)}/touchline/{name}-{uuid.uuid4().hex}"
+    with job_tables(spark):
+        made = work()
+        schema = made.schema
+        made.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
