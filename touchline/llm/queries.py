@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import jaccard, langid, lines, mixing, orc_tokens, packing, passages, pii, quality, topk, trie
+from touchline.llm import codes, html, jaccard, langid, lines, mixing, orc_tokens, packing, passages, pii, quality, topk, trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": jaccard.op1_jaccard_join,
@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": pii.op9_pii,
     "op10_orc_tokens": orc_tokens.op10_orc_tokens,
     "op11_prefix_trie": trie.op11_prefix_trie,
+    "op12_vector_codes": codes.op12_vector_codes,
+    "op13_html_extraction": html.op13_html_extraction,
 }
 
 ORACLES: dict[str, str] = {
@@ -28,4 +30,5 @@ ORACLES: dict[str, str] = {
     "op3_top_k": topk.OP3_SQL,
     "op6_substring_dedup": passages.OP6_SQL,
     "op11_prefix_trie": trie.OP11_SQL,
+    "op12_vector_codes": codes.OP12_SQL,
 }

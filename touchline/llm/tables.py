@@ -28,11 +28,17 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 
 def result_of(spark: SparkSession, work: Callable[[], DataFrame], name: str) -> DataFrame:
-    """Writes the rows of `work` and deletes the intermediate tables it made; returns the written table."""
-    path = f"{shared_dir(spark)}/touchline/{name}-{uuid.uuid4().hex}"
-    with job_tables(spark):
-        made = work()
-        schema = made.schema
-        made.write.parquet(path)
+    """Writes the rows of `work` and deletes the intermediate tables it made; returns the written table.
+
+    Arrow batches are small meanwhile; the session gets its own setting back."""
+    path, rows = f"{shared_dir(spark)}/touchline/{name}-{uuid.uuid4().hex}", spark.conf.get(BATCH_SETTING)
+    small_batches(spark)
+    try:
+        with job_tables(spark):
+            made = work()
+            schema = made.schema
+            made.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_SETTING, rows)
     return spark.read.schema(schema).parquet(path)
 

@@ -51,7 +51,8 @@ def turns(conversations: DataFrame) -> DataFrame:
 
 def with_shared_heads(own: DataFrame, block: int = 100, longest: int = 6) -> DataFrame:
     """Every conversation rebuilt: the first h turns of the first conversation of its block, then its own turns after its
-    first h; h is the CRC-32 of the decimal id modulo `longest`. Position 0 stands for the conversation itself."""
+    first h; h is the CRC-32 of the decimal id modulo `longest`. A remainder has the sign of its id, as in SQL. Position 0
+    stands for the conversation itself."""
     h = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(longest)).cast("int")
     ids = own.select("conv_id").distinct().select("conv_id", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % block).alias("base"))
     heads = own.where(F.col("pos") < longest).select(F.col("conv_id").alias("base"), "pos", "digest", "chars")
