@@ -6,8 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from touchline.plans.load import build, load, load_texts, raw_frames
+from touchline.plans.load import build, load, load_texts, raw_frames, raw_store
 from touchline.plans.staging import STAGED
+from touchline.sinks.layers import Layer
 from touchline.sinks.tables import table_path
 from touchline.sources import documents, event_docs, sample_docs
 from touchline.streaming.ingest import ingest
@@ -75,13 +76,15 @@ def test_load_and_build_marts(spark, root, tables, tmp_path):
     audit = load(spark, root, base, only=FOR_MARTS)
     assert [r.error for r in audit.filter("error IS NOT NULL").collect()] == []
     assert audit.select("table").distinct().count() == len(FOR_MARTS)
-    shots = spark.read.parquet(table_path(base, "raw", "ev_shots"))
+    shots = raw_store(spark, base).read("ev_shots")
     assert shots.count() == tables.feed.filter("is_shot").count()
     assert shots.filter("player_name IS NULL").count() == 0
     failures = build(spark, base, min_minutes=60, only=["dim_match", "fct_shots", "agg_player_season"])
     assert failures.filter("severity = 'error'").count() == 0
-    assert spark.read.parquet(table_path(base, "marts", "fct_shots")).count() == shots.count()
-    assert spark.table("agg_player_season").count() > 0
+    marts = Layer(spark, base, "marts")
+    assert marts.read("fct_shots").count() == marts.counts("fct_shots")["rows"] == spark.table("touchline_marts.fct_shots").count() == shots.count()
+    assert spark.table("agg_player_season").count() > 0 and spark.table("staging_ev_shots").filter("player_uid is null").count() == 0
+    assert spark.table("touchline_staging.player_xwalk").columns == ["player_uid", "ev_player_id", "rd_player_id", "xg_player_id"]
     # nothing new: nothing is loaded again
     assert load(spark, root, base).count() == 0
 
@@ -98,11 +101,11 @@ def test_a_failing_table_holds_its_matches_back(spark, root, tmp_path, monkeypat
     monkeypatch.setitem(module.EVENT_TABLES, "ev_shots", broken)
     audit = load(spark, root, base, only=SOME)
     assert {r.table for r in audit.filter("error IS NOT NULL").collect()} == {"ev_shots"}
-    assert not os.path.exists(table_path(base, "raw", "ev_match_meta"))
+    assert raw_store(spark, base).layouts == {}
     monkeypatch.setitem(module.EVENT_TABLES, "ev_shots", real)
     again = load(spark, root, base, only=SOME)
     assert again.filter("error IS NOT NULL").count() == 0 and again.select("combo_id").distinct().count() == 2
-    assert spark.read.parquet(table_path(base, "raw", "ev_shots")).count() > 0
+    assert raw_store(spark, base).read("ev_shots").count() > 0
     assert load(spark, root, base, only=SOME).count() == 0
 
 
@@ -116,20 +119,10 @@ def test_an_unreadable_event_document_holds_its_match_back(spark, root, tmp_path
     path.write_text(text[:500])
     audit = load(spark, str(src), base, only=[*SOME, "xg_match"])
     assert [(r.combo_id, r.error) for r in audit.filter("error IS NOT NULL").collect()] == [("M00001", "not JSON")]
-    assert [r.combo_id for r in spark.read.parquet(table_path(base, "raw", "xg_match")).collect()] == ["M00000"]
+    assert [r.combo_id for r in raw_store(spark, base).read("xg_match").collect()] == ["M00000"]
     path.write_text(text)
     assert {r.combo_id for r in load(spark, str(src), base, only=[*SOME, "xg_match"]).collect()} == {"M00001"}
-    assert spark.read.parquet(table_path(base, "raw", "xg_match")).count() == 2
-
-
-def test_keyed_tables_keep_columns_a_reload_lacks(spark, tmp_path):
-    from touchline.sinks.tables import write_matches
-
-    path = str(tmp_path / "t")
-    write_matches(spark.createDataFrame([("m", 1, 5, 7), ("m", 2, 6, 8), ("n", 1, 1, 1)], "combo_id string, team_id int, a int, b int"), path, keys=["combo_id", "team_id"])
-    write_matches(spark.createDataFrame([("m", 1, 50), ("m", None, 3)], "combo_id string, team_id int, a int"), path, keys=["combo_id", "team_id"])
-    rows = {(r.combo_id, r.team_id): (r.a, r.b) for r in spark.read.option("mergeSchema", True).parquet(path).collect()}
-    assert rows == {("m", 1): (50, 7), ("m", 2): (6, 8), ("n", 1): (1, 1), ("m", None): (3, None)}
+    assert raw_store(spark, base).read("xg_match").count() == 2
 
 
 def test_shared_folder_is_asked_for_outside_local_sessions(spark, monkeypatch, tmp_path):
@@ -157,19 +150,18 @@ def test_stream_loads_each_file_once_and_reloads_changed_matches(spark, root, tm
 
     shutil.copytree(os.path.join(root, "M00000"), src / "M00000")
     ingest(spark, str(src), base, checkpoint, SOME)
-    meta = table_path(base, "raw", "ev_match_meta")
-    assert [r.combo_id for r in spark.read.parquet(meta).collect()] == ["M00000"]
+    assert [r.combo_id for r in raw_store(spark, base).read("ev_match_meta").collect()] == ["M00000"]
     shutil.copytree(os.path.join(root, "M00001"), src / "M00001")
     ingest(spark, str(src), base, checkpoint, SOME)
     ingest(spark, str(src), base, checkpoint, SOME)
-    assert sorted(r.combo_id for r in spark.read.parquet(meta).collect()) == ["M00000", "M00001"]
+    assert sorted(r.combo_id for r in raw_store(spark, base).read("ev_match_meta").collect()) == ["M00000", "M00001"]
 
 
 def test_reloading_gives_the_same_tables(spark, root, tmp_path):
     base = str(tmp_path / "w")
     texts = documents.read_texts(spark, root)
     load_texts(texts, base, SOME)
-    first = spark.read.parquet(table_path(base, "raw", "ev_pass_network")).drop("match_bucket")
+    first = raw_store(spark, base).read("ev_pass_network")
     n = first.agg(F.sum("pass_count"), F.count("*")).first()
     load_texts(texts, base, SOME)
-    assert spark.read.parquet(table_path(base, "raw", "ev_pass_network")).agg(F.sum("pass_count"), F.count("*")).first() == n
+    assert raw_store(spark, base).read("ev_pass_network").agg(F.sum("pass_count"), F.count("*")).first() == n

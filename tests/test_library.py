@@ -117,16 +117,6 @@ def test_cumulative_upsert(spark):
     assert got == {1: "old", 2: "none", 3: "more"}
 
 
-def test_reload_replaces_only_matches_with_rows(spark, tmp_path):
-    path = str(tmp_path / "t")
-    sink.write_matches(spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "combo_id string, v int"), path, buckets=2)
-    sink.write_matches(spark.createDataFrame([("a", 9, "new")], "combo_id string, v int, w string"), path, buckets=2)
-    rows = spark.read.option("mergeSchema", True).parquet(path)
-    assert sorted((r.combo_id, r.v, r.w) for r in rows.collect()) == [("a", 9, "new"), ("b", 3, None)]
-    sink.truncate(spark, [path])
-    assert spark.read.parquet(path).count() == 0
-
-
 def test_normalized_rows(spark):
     df = spark.createDataFrame([(1.0, [1, 2])], "Val double, Ids array<int>").union(spark.createDataFrame([(float("nan"), None)], "Val double, Ids array<int>"))
     assert [tuple(r) for r in sink.normalized(df, "m1").collect()] == [(1.0, "[1,2]", "m1"), (None, None, "m1")]

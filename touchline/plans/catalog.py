@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import (
     defending, discipline, identity, keeper, passing, possession, runs, sca, sequences, shooting, states,
@@ -12,10 +13,11 @@ from ..operators import (
 from ..functions import expr
 from ..operators import reshape
 from ..sinks import tables
-from ..sinks.shared import written
-from ..sources import documents, event_docs, odds_docs, rd_docs, sample_docs, xg_docs
+from ..sinks.shared import shared_dir, written
+from ..sinks.store import Store
+from ..sources import documents, dynamic, event_docs, odds_docs, rd_docs, sample_docs, xg_docs
 from ..sources.adapter import Tables
-from . import quality
+from . import manifest, quality
 from .event_tables import EVENT_TABLES, MatchData
 from .marts import MARTS, Marts
 from .staging import STAGED
@@ -174,6 +176,32 @@ def _t04(t: Tables) -> DataFrame:
             .unionByName(quality.unique(m.dim_team(), "country", "dim_team.country", "warn")))
 
 
+def planted(df: DataFrame, columns: list[str], nulls: list[str]) -> DataFrame:
+    """The columns of a table with failures: rows whose value ends in 7 come twice, values that end in 3 are missing."""
+    def ends(c: str, digit: str) -> Column:
+        return F.coalesce(F.right(F.col(c).cast("string"), F.lit(1)) == digit, F.lit(False))
+
+    rows = df.select(*columns)
+    twice = ends(columns[0], "7")
+    for c in columns[1:]:
+        twice = twice | ends(c, "7")
+    return rows.unionByName(rows.filter(twice)).select(*[F.when(~ends(c, "3"), F.col(c)).alias(c) if c in nulls else F.col(c) for c in columns])
+
+
+def checked_columns() -> dict[str, tuple[list[str], list[str]]]:
+    """Tables of the standard checks: their checked columns, and those that must not be null."""
+    every = [*quality.NOT_NULL, *[(t, c) for t, c, _ in quality.UNIQUE]]
+    return {t: (list(dict.fromkeys(c for n, c in every if n == t)), [c for n, c in quality.NOT_NULL if n == t]) for t, _ in every}
+
+
+@query("t06_all_checks")
+def _t06(t: Tables) -> DataFrame:
+    """The whole check list over tables with planted failures."""
+    m, columns = marts(t), checked_columns()
+    return quality.key_failures(lambda name: planted(quality.table(m, name), *columns[name])).unionByName(quality.drifted(m))
+
+
+query("t06_checks_of_the_marts")(lambda t: quality.run_checks(marts(t)))
 query("t05_shot_counts")(lambda t: quality.shot_counts(shooting.shots(t.feed), t["xg_shots"], t["rd_shots"]))
 
 
@@ -184,8 +212,7 @@ query("p02_cast_text")(lambda t: reshape.cast_text_numeric(
 query("p03_new_columns")(lambda t: reshape.join_new(
     passing.team_passing(t.feed, t.sides), passing.team_passing_advanced(t.feed, t.sides), ["combo_id", "team_id"]))
 query("p04_pivot")(lambda t: reshape.pivot_wide(t["orders"], ["o_custkey"], "o_orderpriority", "o_totalprice"))
-query("p05_team_stats_wide")(lambda t: reshape.team_stats_wide(
-    t["team_stat_items"], ["combo_id", "period"], ["Pass", "Tackle", "Foul", "Aerial"]))
+query("p05_team_stats_wide")(lambda t: reshape.team_stats_wide(t["team_stat_items"], ["combo_id", "period"]))
 query("x07_bad_sides")(lambda t: identity.bad_sides(t["ev_lineups"]))
 
 
@@ -208,10 +235,46 @@ def _rd(t: Tables) -> rd_docs.ReferenceDocs:
     return rd_docs.ReferenceDocs(sample_docs.reference_texts(t))
 
 
+def _columns(t: Tables, name: str) -> list[str]:
+    """The columns of one dynamic table, found as a load finds them."""
+    return dynamic.columns_of(dynamic.keys_and_types({name: dynamic.document_cells(_xg(t), _rd(t))[name]}), [name])[name]
+
+
 query("s01_scan")(lambda t: documents.descriptors(_paths(t)))
 query("s02_incremental")(lambda t: documents.not_loaded(documents.descriptors(_paths(t)), t["matches"].filter("mno % 2 = 0")).select("combo_id", "ev_id"))
 
 
+def _listed(t: Tables, changed: str | None = None) -> DataFrame:
+    """The sample files as a listing gives them; those where `changed` holds were written again later."""
+    listed = _paths(t).select("path", F.timestamp_seconds(F.lit(1000)).alias("modified"), F.length("path").cast("bigint").alias("length"))
+    return manifest.described(listed if changed is None else listed.withColumn("modified", F.when(F.expr(changed), F.timestamp_seconds(F.lit(2000))).otherwise(F.col("modified"))))
+
+
+@query("s02_manifest")
+def _s02_manifest(t: Tables) -> DataFrame:
+    """What a second listing adds: files of matches whose number ends in 3 were missing, those in 5 have changed."""
+    known = _listed(t).filter("combo_id not like '%3'")
+    return manifest.unseen(_listed(t, "path like '/data/M____5/%'"), known).filter("provider in ('events', 'xg')").select("combo_id", "provider", "file")
+
+
+@query("l01_held_matches")
+def _l01(t: Tables) -> DataFrame:
+    """Three arrivals: event documents of matches ending in 1 and 2 are late, those in 2 come with the second, those in 1 never;
+    the third brings odds again for matches ending in 4. After each arrival the due matches are loaded, those in 6 fail once."""
+    late = F.col("provider") == "events"
+    arrivals = [_listed(t).filter(~(late & F.col("combo_id").rlike("[12]$"))), _listed(t).filter(late & F.col("combo_id").endswith("2")),
+                _listed(t).filter((F.col("provider") == "odds") & F.col("combo_id").endswith("4"))]
+    seen, loads, out = None, t.spark.createDataFrame([], manifest.LOADS), None
+    for i, files in enumerate(arrivals, 1):
+        files = files.withColumn("arrival", F.lit(i).cast("bigint"))
+        seen = files if seen is None else seen.unionByName(files)
+        found = written(manifest.due(seen, loads, changed=True), "due")
+        step = found.select("combo_id", F.lit(i).cast("bigint").alias("arrival"))
+        out = step if out is None else out.unionByName(step)
+        loads = loads.unionByName(step.withColumn("failed", F.col("combo_id").endswith("6") & (F.col("arrival") == 1)))
+    return out
+
+
 @query("s03_reject")
 def _s03(t: Tables) -> DataFrame:
     """Broken and blocked documents of some matches are left out."""
@@ -254,10 +317,10 @@ query("s09_xg_lineups")(lambda t: xg_docs.lineups(_xg(t)).select(
     "combo_id", "player_id", "team_id", "is_home_team", "role", "shirt_number", "position_id", "position", "usual_position_id", "usual_position", "rating"))
 query("s10_coaches")(lambda t: xg_docs.match(_xg(t)).select("combo_id", "ht_coach_id", "ht_coach_name", "at_coach_id", "at_coach_name"))
 query("s11_xg_shots")(lambda t: xg_docs.shots(_xg(t)).select("combo_id", "row_id", "team_id", "player_id", "minute", "minute_added", "xg", "xgot", "shot_type"))
-query("p05_team_stats_docs")(lambda t: xg_docs.team_stats(_xg(t), ["Pass", "Tackle", "Foul", "Aerial"]).drop("xg_match_id"))
+query("p05_team_stats_docs")(lambda t: xg_docs.team_stats(_xg(t), _columns(t, "xg_team_stats")).drop("xg_match_id"))
 query("p06_team_stat_items")(lambda t: xg_docs.team_stat_items(_xg(t)).select("combo_id", "period", "stat_group", "stat_key", "home_value", "away_value"))
-query("p07_player_stats")(lambda t: xg_docs.player_stats(_xg(t), ["accurate_passes", "accurate_passes_total", "duels_won"]).select(
-    "combo_id", "player_id", "team_id", "player_name", "accurate_passes", "accurate_passes_total", "duels_won"))
+query("p07_player_stats")(lambda t: xg_docs.player_stats(_xg(t), _columns(t, "xg_player_stats")).drop(
+    "xg_match_id", "team_name", "is_goalkeeper", "shirt_number", "position_id"))
 query("s28_momentum")(lambda t: xg_docs.momentum(_xg(t)).select("combo_id", "momentum_data"))
 query("s18_players")(lambda t: rd_docs.players(_rd(t)).select("player_id", "name", "nationality").distinct())
 query("s18_teams")(lambda t: rd_docs.teams(_rd(t)).select("team_id", "name", "stadium", "stadium_capacity", "country", "city").distinct())
@@ -272,14 +335,14 @@ query("s20_rd_matches")(lambda t: rd_docs.matches(_rd(t)).select(
 query("s21_coverage")(lambda t: rd_docs.matches(_rd(t)).select("combo_id", "has_shotmap", "has_xg"))
 query("s22_rd_shots")(lambda t: rd_docs.shots(_rd(t)).select(
     "combo_id", "row_id", "player_id", "shot_id", "xg", "xgot", "goalmouthlocation", "incidenttype", "goaltype", "addedtime", "playercoordinates", "blockcoordinates", "other_fields"))
-query("s23_rd_player_stats")(lambda t: rd_docs.player_stats(_rd(t), ["minutesPlayed", "totalPass", "keyPass"]).select(
-    "combo_id", "match_id", "team_id", "is_home_team", "player_id", "match_rating", "minutesplayed", "totalpass", "keypass"))
+query("s23_rd_player_stats")(lambda t: rd_docs.player_stats(_rd(t), _columns(t, "rd_player_stats")).drop("position"))
 query("s24_rd_lineups")(lambda t: rd_docs.lineups(_rd(t)).select(
     "combo_id", "team_id", "is_home_team", "player_id", "is_starter", "is_captain", "minutes_played", "shirt_number", "position"))
 query("s24_missing_players")(lambda t: rd_docs.missing_players(_rd(t)).select("combo_id", "team_id", "is_home_team", "player_id", "name", "type", "reason"))
 query("s25_spatial")(lambda t: rd_docs.spatial(_rd(t)).select("combo_id", "average_positions", "home_heatmap", "away_heatmap", "match_momentum_graph", "commentary"))
-query("s27_odds_wide")(lambda t: rd_docs.odds(_rd(t), ["Full time_1X2_1", "Full time_1X2_2", "Full time_1X2_winning"]))
-query("p08_match_stats")(lambda t: rd_docs.match_stats(_rd(t)).drop("match_id"))
+query("s27_odds_wide")(lambda t: rd_docs.odds(_rd(t), _columns(t, "rd_odds")))
+query("p08_match_stats")(lambda t: rd_docs.match_stats(_rd(t), _columns(t, "rd_match_stats")).drop("match_id"))
+query("p09_dynamic_keys")(lambda t: dynamic.keys_and_types(dynamic.document_cells(_xg(t), _rd(t))))
 query("s26_odds_long")(lambda t: odds_docs.odds(odds_docs.odds_documents(sample_docs.odds_texts(t))).select(
     "combo_id", "market_name", "period_name", "line", "outcome_name", "odds_value", "odds_direction"))
 
@@ -305,6 +368,79 @@ query("s14_overwrite")(lambda t: tables.replace_matches(
     _orders(t, "o_orderkey % 3 <> 1").select("o_custkey", "o_orderkey"), _orders(t, "o_orderkey % 3 = 1").select("o_custkey", "o_orderkey"), "o_custkey"))
 query("s15_extend_schema")(lambda t: tables.replace_matches(
     _orders(t, "o_orderkey % 3 <> 1").select("o_custkey", "o_orderkey"), _orders(t, "o_orderkey % 3 = 1").select("o_custkey", "o_orderkey", "o_orderstatus"), "o_custkey"))
+# -- stored tables: several batches, with compactions between them -----------------------
+
+
+def _store(t: Tables, bucket_bytes: int = 32 << 10) -> Store:
+    """An empty store in the shared folder. Small buckets, so that the tables have several."""
+    return Store(t.spark, f"{shared_dir(t.spark)}/touchline/store-{uuid.uuid4().hex}", bucket_bytes)
+
+
+@query("s12_store_upsert")
+def _s12_store(t: Tables) -> DataFrame:
+    """Customers in three batches of different columns: what a batch lacks stays as it was."""
+    store = _store(t)
+    for i, cols in enumerate((["o_orderstatus", "o_totalprice"], ["o_totalprice", "o_orderpriority"], ["o_orderstatus"])):
+        latest = tables.upsert(None, _orders(t, f"o_orderkey % 3 = {i}").select("o_custkey", *cols, F.col("o_orderkey").alias("load_seq")), ["o_custkey"])
+        store.append("customers", latest, ["o_custkey"])
+        if i == 1:
+            store.compact("customers")
+    store.commit()
+    return Store(t.spark, store.root).read("customers")
+
+
+@query("s13_store_larger")
+def _s13_store(t: Tables) -> DataFrame:
+    """Cumulative records: the larger count wins whichever batch brings it, the first of equal ones stays."""
+    store = _store(t)
+    for i in (2, 0, 1):
+        rows = _orders(t, f"o_orderkey % 3 = {i}").select("o_custkey", "o_orderkey", F.floor(F.col("o_totalprice") / 10000).alias("games"), F.col("o_orderkey").alias("load_seq"))
+        store.append("records", tables.upsert_larger(None, rows, ["o_custkey"], "games"), ["o_custkey"], measure="games")
+        if i == 0:
+            store.compact("records")
+    store.commit()
+    return Store(t.spark, store.root).read("records")
+
+
+@query("s14_store_reload")
+def _s14_store(t: Tables) -> DataFrame:
+    """Orders of customers, of which later batches reload some as a whole; the table is dealt out anew on the way."""
+    store = _store(t)
+    for i, cond in enumerate(("o_orderkey % 3 <> 1", "o_orderkey % 3 = 1 and o_custkey % 5 = 0", "o_orderkey % 7 = 0 and o_custkey % 10 = 0")):
+        store.append("orders", _orders(t, cond).select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], whole=True)
+        if i == 1:
+            store.compact("orders")
+            store.bucket_bytes *= 4
+            store.compact("orders")
+    store.commit()
+    return Store(t.spark, store.root).read("orders")
+
+
+@query("s15_type_conflicts")
+def _s15_store(t: Tables) -> DataFrame:
+    """A column that comes as a long, then as a double, then as text, then not at all."""
+    store = _store(t)
+    for i, extra in enumerate((F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_orderpriority"), None)):
+        rows = _orders(t, f"o_orderkey % 4 = {i}").select("o_orderkey", "o_custkey", *([] if extra is None else [extra.alias("extra")]))
+        store.append("orders", rows, ["o_orderkey"], whole=True)
+        if i == 1:
+            store.compact("orders")
+    store.commit()
+    return Store(t.spark, store.root).read("orders")
+
+
+@query("s33_truncate")
+def _s33(t: Tables) -> DataFrame:
+    """An emptied table keeps its columns and takes the next batch."""
+    store = _store(t)
+    store.append("orders", _orders(t, "o_orderkey % 2 = 0").select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], whole=True)
+    store.compact("orders")
+    store.truncate("orders")
+    store.append("orders", _orders(t, "o_orderkey % 5 = 0").select("o_custkey", "o_orderkey"), ["o_custkey"], whole=True)
+    store.commit()
+    return Store(t.spark, store.root).read("orders")
+
+
 query("s16_normalize")(lambda t: tables.normalized(t["events"].select(
     F.col("event_id").alias("Event_ID"), F.col("ts").alias("TS"), F.when(F.col("event_id") % 7 != 0, F.col("value")).otherwise(F.lit("NaN").cast("double")).alias("Value"),
     F.array("event_id", "user_id").alias("Ids"))))

@@ -9,11 +9,15 @@ from functools import lru_cache, partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sinks import tables as sink
+from ..sinks.layers import Layer, namespace
 from ..sinks.shared import job_tables, written
-from ..sources import documents, event_docs, odds_docs, rd_docs, xg_docs
+from ..sinks.store import Store, reading
+from ..sources import documents, dynamic, event_docs, odds_docs, rd_docs, xg_docs
+from . import manifest
 from .event_tables import EVENT_TABLES, MatchData, with_names
 from .marts import MARTS, Marts
-from .quality import run_checks
+from .quality import NOT_NULL, drifted, key_failures, table
+from .staging import STAGED
 
 # Tables with a natural key of their own are upserted; all others are replaced by match.
 ENTITY_KEYS = {"rd_tournaments": ["tournament_id"], "rd_seasons": ["season_id"], "rd_teams": ["team_id"], "rd_players": ["player_id"],
@@ -54,9 +58,16 @@ def raw_frames(texts: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = l
             return with_names(df, names, {"passer_id": "passer_name", "receiver_id": "receiver_name"})
         return df
 
+    # The columns of all tables that have them from their documents, found together.
+    columns = lru_cache(maxsize=None)(lambda: dynamic.document_columns(xg(), rd()))
+
+    def from_docs(docs, make, name: str) -> DataFrame:
+        spread = any(name in tables for tables in dynamic.CELLS.values())
+        return make(docs(), columns()[name]) if spread else make(docs())
+
     out: dict[str, Callable[[], DataFrame]] = {name: partial(named, name) for name in EVENT_TABLES}
-    out.update({name: (lambda make=make: make(xg())) for name, make in xg_docs.TABLES.items()})
-    out.update({name: (lambda make=make: make(rd())) for name, make in rd_docs.TABLES.items()})
+    out.update({name: partial(from_docs, xg, make, name) for name, make in xg_docs.TABLES.items()})
+    out.update({name: partial(from_docs, rd, make, name) for name, make in rd_docs.TABLES.items()})
     out["od_odds"] = lambda: odds_docs.odds(odds_docs.odds_documents(texts))
     return out
 
@@ -69,21 +80,14 @@ def audit_path(base: str) -> str:
     return sink.table_path(base, "raw", "load_audit")
 
 
-def loaded_matches(spark: SparkSession, base: str) -> DataFrame:
-    """Matches whose last load had no error."""
-    path = audit_path(base)
-    if not _exists(spark, path):
-        return spark.createDataFrame([], "combo_id string")
-    audit = spark.read.schema(AUDIT + ", batch bigint").parquet(path)
-    batches = audit.groupBy("combo_id", "batch").agg(F.max(F.col("error").isNotNull()).alias("failed"))
-    last = batches.groupBy("combo_id").agg(F.max_by("failed", "batch").alias("failed"))
-    return last.filter("NOT failed").select("combo_id")
+def raw_store(spark: SparkSession, base: str) -> Store:
+    return Store(spark, sink.table_path(base, "raw", "").rstrip("/"))
 
 
-def load_texts(texts: DataFrame, base: str, only: list[str] | None = None, buckets: int = sink.BUCKETS) -> DataFrame:
+def load_texts(texts: DataFrame, base: str, only: list[str] | None = None) -> DataFrame:
     """Writes the raw tables of the documents; returns the audit of this batch (match, provider, table, rows, error).
 
-    All tables of the batch are staged first. If a table fails, the matches that have
+    All tables of the batch are staged first and become visible with one commit of the store. If a table fails, the matches that have
     documents of its provider are held back as a whole: nothing of them is published, and as
     the audit, which is written last, has their error, the next load tries them again. Files
     that are left out or read in part are in the audit too; only a lost event document holds
@@ -115,32 +119,30 @@ def load_texts(texts: DataFrame, base: str, only: list[str] | None = None, bucke
                 held = of_provider.select("combo_id") if held is None else held.union(of_provider.select("combo_id"))
         good = parsed if held is None else written(parsed.join(held.distinct(), "combo_id", "left_anti"), "complete")
         nothing = held is not None and good.isEmpty()
+        store = raw_store(spark, base)
         for name, df in ({} if nothing else staged).items():
-            df, path = df.join(good, "combo_id", "left_semi"), sink.table_path(base, "raw", name)
-            if name in ENTITY_KEYS:
-                _upsert_entity(spark, df, name, path)
-            else:
-                sink.write_matches(df, path, buckets, _keyed(name))
+            _append(store, name, df.join(good, "combo_id", "left_semi"))
+        store.compact_due()
+        store.commit()
         last = spark.read.parquet(audit_path(base)).agg(F.max("batch")).first()[0] if _exists(spark, audit_path(base)) else None
         number = 0 if last is None else last + 1
         audit.select("combo_id", "provider", "table", "rows", "error", F.lit(number).cast("bigint").alias("batch")).write.mode("append").parquet(audit_path(base))
     return spark.read.schema(AUDIT + ", batch bigint").parquet(audit_path(base)).filter(F.col("batch") == number).drop("batch")
 
 
-def _upsert_entity(spark: SparkSession, df: DataFrame, name: str, path: str) -> None:
+def _append(store: Store, name: str, df: DataFrame) -> None:
+    if name not in ENTITY_KEYS:
+        keys = _keyed(name)
+        store.append(name, df, keys or ["combo_id"], whole=keys is None)
+        return
     keys = ENTITY_KEYS[name]
-    # Within a batch the larger match key (they start with the date) is the later writer.
-    rows = df.withColumn(sink.SEQ, F.col("combo_id"))
-    rows = rows.drop("combo_id")
-    old = spark.read.parquet(path) if _exists(spark, path) else None
     if name == "rd_referees":
         # Cumulative records; the earlier of two equal ones stays.
-        order = df.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in df.columns if c not in (*keys, "combo_id")]),
-                                               F.struct("games", "combo_id")).alias("_r")).select(*keys, "_r.*")
-        merged = sink.upsert_larger(old, order.withColumn(sink.SEQ, F.lit(0).cast("bigint")), keys, "games")
+        best = F.max_by(F.struct(*[c for c in df.columns if c not in (*keys, "combo_id")]), F.struct("games", "combo_id"))
+        store.append(name, df.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*"), keys, measure="games")
     else:
-        merged = sink.upsert(old, rows, keys)
-    sink.publish(written(merged, name), path)
+        # Within a batch the larger match key (they start with the date) is the later writer.
+        store.append(name, sink.upsert(None, df.withColumn(sink.SEQ, F.col("combo_id")).drop("combo_id"), keys), keys)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -153,32 +155,83 @@ def _exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def load(spark: SparkSession, root: str, base: str, force_reload: bool = False, only: list[str] | None = None) -> DataFrame:
-    """Loads the matches under `root` that are not loaded yet."""
-    found = documents.scan(spark, root)
-    found = documents.not_loaded(found, loaded_matches(spark, base), force_reload)
-    # Only the folders of these matches are read. Their names come to the driver, as the file listing does.
-    folders = [f"{root.rstrip('/')}/{r.combo_id}" for r in found.select("combo_id").collect()]
-    if not folders:
-        return spark.createDataFrame([], AUDIT)
-    return load_texts(documents.read_texts(spark, folders), base, only)
+def load(spark: SparkSession, root: str, base: str, force_reload: bool = False, only: list[str] | None = None,
+         changed: bool = False, batch_bytes: int = manifest.BATCH_BYTES) -> DataFrame:
+    """Loads the matches under `root` that are not loaded yet, with `changed` also those with new or changed files.
+    Returns the audit of this load."""
+    manifest.discover(spark, root, base)
+    return load_due(spark, root, base, force_reload, only, changed, batch_bytes)
+
+
+def load_due(spark: SparkSession, root: str, base: str, force_reload: bool = False, only: list[str] | None = None,
+             changed: bool = False, batch_bytes: int = manifest.BATCH_BYTES) -> DataFrame:
+    """Loads what the manifest says is due, in portions of bounded size."""
+    root = root.rstrip("/")
+    seen = manifest.files(spark, base).filter(F.col("root") == root)
+    audits = spark.createDataFrame([], AUDIT)
+    with job_tables(spark):
+        found = written(manifest.due(seen, manifest.loads(spark, base), changed, force_reload), "due")
+        for some in manifest.portions(found, batch_bytes):
+            audit = load_texts(documents.read_texts(spark, [f"{root}/{combo}" for combo, _ in some]), base, only)
+            failed = audit.filter("error is not null").select("combo_id")
+            tried = spark.createDataFrame([(c,) for c, _ in some], "combo_id string")
+            manifest.note(spark, base, some, tried.join(failed, "combo_id", "left_anti"))
+            audits = audits.unionByName(audit)
+    return audits
 
 
 def build(spark: SparkSession, base: str, min_minutes: int = 450, only: list[str] | None = None,
           player_alias: DataFrame | None = None, team_alias: DataFrame | None = None) -> DataFrame:
-    """Writes the marts from the raw tables, unless a check of severity `error` fails. Returns the failed checks, a table of their own."""
-    marts = Marts(lambda name: spark.read.option("mergeSchema", True).parquet(sink.table_path(base, "raw", name)).drop("match_bucket"),
-                  player_alias, team_alias, min_minutes)
+    """Writes crosswalks and marts from the raw tables and publishes them together, unless a check of severity `error` fails.
+
+    Returns the failed checks, a table of their own. Nulls of key columns are counted while the tables are written;
+    crosswalks are tables of the staging layer, staged tables are views of the session, marts are tables of theirs.
+    """
+    staging, marts_layer = Layer(spark, base, "staging"), Layer(spark, base, "marts")
+    must = {}
+    for name, column in NOT_NULL:
+        must.setdefault(name, []).append(column)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return staging.write(name, df, must.get(name, [])) if name.endswith("_xwalk") else written(df, name)
+
+    marts = Marts(reading(raw_store(spark, base)), player_alias, team_alias, min_minutes, keep)
     with job_tables(spark):
-        path = sink.table_path(base, "marts", "failed_checks")
-        sink.publish(run_checks(marts), path)
-        failures = spark.read.parquet(path)
+        wanted = list(only or MARTS)
+        for name in wanted:
+            marts_layer.write(name, getattr(marts, name)(), must.get(name, []))
+
+        def made(name: str) -> DataFrame:
+            return marts_layer.read(name) if name in wanted else table(marts, name)
+
+        counted = [(t, c) for t, c in NOT_NULL if t in wanted or t.endswith("_xwalk")]
+        keys = key_failures(made, [x for x in NOT_NULL if x not in counted])
+        nulls = [(f"not_null:{t}.{c}", "error", None, n) for t, c in counted
+                 if (n := (staging if t.endswith("_xwalk") else marts_layer).counts(t)[f"null:{c}"])]
+        keys = keys.unionByName(drifted(marts)).unionByName(spark.createDataFrame(nulls, "check string, severity string, key string, n bigint"))
+        report = Layer(spark, base, "marts")
+        failures = report.write("failed_checks", keys)
+        report.publish()
         if failures.filter("severity = 'error'").isEmpty():
-            for name in only or MARTS:
-                df = getattr(marts, name)()
-                if name.startswith("agg_"):
-                    sink.publish(df, sink.table_path(base, "marts", name))
-                    spark.read.parquet(sink.table_path(base, "marts", name)).createOrReplaceTempView(name)
-                else:
-                    sink.publish(df, sink.table_path(base, "marts", name))
+            marts_layer.version = report.version
+            staging.publish()
+            marts_layer.publish()
+            attach(spark, base, marts)
     return failures
+
+
+def attach(spark: SparkSession, base: str, marts: Marts | None = None) -> None:
+    """Declares a warehouse in this session: the published layers as tables, staged tables as views `staging_<name>`, season
+    aggregates also as views of their name."""
+    for layer in ("staging", "marts"):
+        Layer(spark, base, layer).attach()
+    store = raw_store(spark, base)
+    if marts is None:
+        xwalks = Layer(spark, base, "staging")
+        marts = Marts(reading(store), keep=lambda df, name: xwalks.read(name) if name in xwalks.current else written(df, name))
+    for name in STAGED:
+        if name in store.layouts and {"ev_lineups", "rd_lineups", "rd_players", "xg_lineups"} <= set(store.layouts):
+            marts.staged(name).createOrReplaceTempView(f"staging_{name}")
+    for name, entry in Layer(spark, base, "marts").current.items():
+        if name.startswith("agg_"):
+            spark.table(f"{namespace('marts')}.{name}").createOrReplaceTempView(name)

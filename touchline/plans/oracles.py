@@ -1043,6 +1043,32 @@ SELECT * FROM (
   FROM (SELECT combo_id, 'ev' AS src FROM a12_shots UNION ALL SELECT combo_id, 'xg' FROM xg_shots UNION ALL SELECT combo_id, 'rd' FROM rd_shots) u GROUP BY 1) c
 WHERE (xg_n > 0 AND ev_n <> xg_n) OR (rd_n > 0 AND ev_n <> rd_n)
 """)
+_CHECKED = {"player_xwalk": "x03_player_xwalk", "team_xwalk": "x04_team_xwalk", "ev_lineups": STAGE_KEY["ev_lineups"], "dim_match": "m06_dim_match", "dim_player": "m07_dim_player",
+            "dim_team": "m05_dim_team", "dim_coach": "m04_dim_coach", "dim_referee": "m03_dim_referee", "fct_shots": "m16_fct_shots"}
+_NOT_NULL = {"player_xwalk": ["player_uid", "ev_player_id"], "team_xwalk": ["team_uid", "ev_team_id"], "ev_lineups": ["player_uid"], "dim_match": ["combo_id"],
+             "dim_player": ["player_uid"], "dim_team": ["team_uid"]}
+_UNIQUE = {"player_xwalk": [("ev_player_id", "error"), ("rd_player_id", "error")], "team_xwalk": [("ev_team_id", "error")], "dim_match": [("combo_id", "warn")],
+           "dim_player": [("player_uid", "warn")], "dim_team": [("team_uid", "warn")], "dim_coach": [("coach_uid", "warn")], "dim_referee": [("referee_uid", "warn")],
+           "fct_shots": [("shot_uid", "warn")]}
+
+
+def _checks(planted: bool) -> str:
+    out = []
+    for name, sql in _CHECKED.items():
+        cols = list(dict.fromkeys(_NOT_NULL.get(name, []) + [c for c, _ in _UNIQUE.get(name, [])]))
+        rows = f"SELECT {', '.join(cols)} FROM {sql}"
+        if planted:
+            rows += f" UNION ALL SELECT {', '.join(cols)} FROM {sql} WHERE " + " OR ".join(f"right(CAST({c} AS VARCHAR), 1) = '7'" for c in cols)
+            gone = _NOT_NULL.get(name, [])
+            rows = "SELECT " + ", ".join(f"CASE WHEN right(CAST({c} AS VARCHAR), 1) = '3' THEN NULL ELSE {c} END AS {c}" if c in gone else c for c in cols) + f" FROM ({rows}) p"
+        out += [f"SELECT 'not_null:{name}.{c}' AS \"check\", 'error' AS severity, CAST(NULL AS VARCHAR) AS key, count(*) AS n FROM ({rows}) z WHERE {c} IS NULL HAVING count(*) > 0" for c in _NOT_NULL.get(name, [])]
+        out += [_unique(f"({rows}) z", c, f"unique:{name}.{c}", s) for c, s in _UNIQUE.get(name, [])]
+    out.append("SELECT 'shot_counts', 'warn', combo_id, ev_n FROM t05_shot_counts")
+    return " UNION ALL ".join(out)
+
+
+oracle("t06_all_checks", " ".join([*_CHECKED.values(), "t05_shot_counts"]), _checks(True))
+oracle("t06_checks_of_the_marts", " ".join([*_CHECKED.values(), "t05_shot_counts"]), _checks(False))
 oracle("p02_cast_text", "xg_player_stats", f"""
 SELECT r.* EXCLUDE (team_name) REPLACE ({", ".join(_NUM.format(c=c) for c in ("accurate_passes", "duels_won"))}), r.accurate_passes AS accurate_passes_display FROM xg_player_stats r
 """)
@@ -1069,6 +1095,15 @@ SELECT combo_id, concat('/data/', combo_id, '/events/events_', mno + 700000, '.j
 FROM matches
 """)
 oracle("s02_incremental", "matches", "SELECT combo_id, mno + 700000 AS ev_id FROM matches WHERE mno % 2 <> 0")
+oracle("s02_manifest", "matches", """
+SELECT combo_id, unnest(['events', 'xg']) AS provider, unnest([concat('events_', mno + 700000), concat('xg_', 1 + mno % 38 + 800000)]) AS file
+FROM matches WHERE right(combo_id, 1) IN ('3', '5')
+""")
+oracle("l01_held_matches", "matches odds_items", """
+SELECT combo_id, CAST(1 AS BIGINT) AS arrival FROM matches WHERE right(combo_id, 1) NOT IN ('1', '2')
+UNION ALL SELECT combo_id, 2 FROM matches WHERE right(combo_id, 1) IN ('2', '6')
+UNION ALL SELECT combo_id, 3 FROM matches WHERE right(combo_id, 1) = '4' AND combo_id IN (SELECT combo_id FROM odds_items)
+""")
 oracle("s03_reject", "feed_base", "SELECT combo_id, count(*) AS n_events FROM feed_base WHERE right(combo_id, 1) NOT IN ('1', '2') GROUP BY 1")
 oracle("s03_odd_types", "ev_match_meta matches feed_base", """
 SELECT m.combo_id, CASE WHEN k.mno % 3 = 0 THEN NULL ELSE attendance END AS attendance, n.n_events, k.mno % 3 = 0 AS flawed
@@ -1124,6 +1159,21 @@ SELECT combo_id, row_number() OVER (PARTITION BY combo_id ORDER BY coalesce(minu
   minute_added, xg, xgot, shot_type FROM xg_shots
 """)
 ORACLES["p05_team_stats_docs"] = ORACLES["p05_team_stats_wide"]
+oracle("p09_dynamic_keys", "team_stat_items xg_player_stats rd_lineups rd_odds", """
+WITH v AS (
+  SELECT 'xg_team_stats' AS "table", stat_key AS key, unnest([home_value, away_value]) AS value FROM team_stat_items
+  UNION ALL SELECT 'rd_match_stats', lower(stat_key) || '_count_' || s, CASE s WHEN 'homevalue' THEN home_value ELSE away_value END FROM team_stat_items, (SELECT unnest(['homevalue', 'awayvalue']) AS s) z
+  UNION ALL SELECT 'xg_player_stats', k, CASE k WHEN 'accurate_passes' THEN accurate_passes WHEN 'duels_won' THEN duels_won ELSE '9' END
+    FROM xg_player_stats, (SELECT unnest(['accurate_passes', 'accurate_passes_total', 'duels_won']) AS k) z
+  UNION ALL SELECT 'rd_player_stats', unnest(CASE WHEN player_id % 2 = 0 THEN ['minutesPlayed', 'totalPass'] ELSE ['minutesPlayed', 'rating'] END), '1' FROM rd_lineups WHERE player_id % 14 <> 3
+  UNION ALL SELECT 'rd_player_stats', 'keyPass', '2' FROM rd_lineups WHERE player_id % 14 <> 3 AND player_id % 3 <> 0
+  UNION ALL SELECT 'rd_odds', 'Full time_1X2_1', CAST(full_time_1x2_1 AS VARCHAR) FROM rd_odds
+  UNION ALL SELECT 'rd_odds', 'Full time_1X2_2', CAST(full_time_1x2_2 AS VARCHAR) FROM rd_odds
+  UNION ALL SELECT 'rd_odds', 'Full time_1X2_winning', '1' FROM rd_odds)
+SELECT "table", key, CASE WHEN count(*) FILTER (WHERE value IS NOT NULL AND NOT regexp_full_match(value, '-?(0|[1-9][0-9]*)([.][0-9]+)?')) > 0 THEN 'string'
+  WHEN count(*) FILTER (WHERE value LIKE '%.%') > 0 THEN 'double' WHEN count(value) = 0 THEN 'void' ELSE 'bigint' END AS type
+FROM v WHERE key IS NOT NULL GROUP BY 1, 2
+""")
 oracle("p06_team_stat_items", "team_stat_items", "SELECT combo_id, period, 'All' AS stat_group, stat_key, home_value, away_value FROM team_stat_items")
 oracle("p07_player_stats", "xg_player_stats", "SELECT combo_id, player_id, team_id, player_name, accurate_passes, '9' AS accurate_passes_total, duels_won FROM xg_player_stats")
 oracle("s28_momentum", "xg_spatial", "SELECT * FROM xg_spatial")
@@ -1158,7 +1208,7 @@ oracle("s23_rd_player_stats", "rd_lineups rd_matches", """
 SELECT l.combo_id, m.match_id, l.team_id, l.is_home_team, l.player_id,
   CAST(CASE WHEN player_id % 3 = 0 THEN 7.5 WHEN player_id % 2 <> 0 THEN player_id % 90 ELSE 0 END AS DOUBLE) AS match_rating,
   CAST(minutes_played AS DOUBLE) AS minutesplayed, CAST(CASE WHEN player_id % 2 = 0 THEN player_id % 90 ELSE 0 END AS DOUBLE) AS totalpass,
-  CAST(CASE WHEN player_id % 3 = 0 THEN 0 ELSE 2 END AS DOUBLE) AS keypass
+  CAST(CASE WHEN player_id % 3 = 0 THEN 0 ELSE 2 END AS DOUBLE) AS keypass, CAST(CASE WHEN player_id % 2 = 0 THEN 0 ELSE player_id % 90 END AS DOUBLE) AS rating
 FROM rd_lineups l JOIN rd_matches m ON m.combo_id = l.combo_id WHERE player_id % 14 <> 3
 """)
 oracle("s24_rd_lineups", "rd_lineups", """
@@ -1198,6 +1248,28 @@ oracle("s15_extend_schema", "orders", """
 SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 1
 UNION ALL SELECT o_custkey, o_orderkey, NULL FROM orders WHERE o_orderkey % 3 <> 1 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 3 = 1)
 """)
+oracle("s12_store_upsert", "orders", """
+WITH a AS (SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS status, arg_max(o_totalprice, o_orderkey) AS price FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1),
+b AS (SELECT o_custkey, arg_max(o_totalprice, o_orderkey) AS price, arg_max(o_orderpriority, o_orderkey) AS prio FROM orders WHERE o_orderkey % 3 = 1 GROUP BY 1),
+c AS (SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS status FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 1)
+SELECT o_custkey, coalesce(c.status, a.status) AS o_orderstatus, coalesce(b.price, a.price) AS o_totalprice, b.prio AS o_orderpriority
+FROM (SELECT DISTINCT o_custkey FROM orders) k LEFT JOIN a USING (o_custkey) LEFT JOIN b USING (o_custkey) LEFT JOIN c USING (o_custkey)
+""")
+oracle("s13_store_larger", "orders", """
+SELECT o_custkey, o_orderkey, games FROM (SELECT o_custkey, o_orderkey, CAST(floor(o_totalprice / 10000) AS BIGINT) AS games,
+  row_number() OVER (PARTITION BY o_custkey ORDER BY floor(o_totalprice / 10000) DESC, CASE o_orderkey % 3 WHEN 2 THEN 0 WHEN 0 THEN 1 ELSE 2 END, o_orderkey) AS rn FROM orders) z WHERE rn = 1
+""")
+oracle("s14_store_reload", "orders", """
+WITH b AS (SELECT *, CASE WHEN o_orderkey % 7 = 0 AND o_custkey % 10 = 0 THEN 2 END AS third, CASE WHEN o_orderkey % 3 = 1 AND o_custkey % 5 = 0 THEN 1 END AS second,
+  CASE WHEN o_orderkey % 3 <> 1 THEN 0 END AS first FROM orders),
+last AS (SELECT o_custkey, coalesce(max(third), max(second), max(first)) AS batch FROM b GROUP BY 1)
+SELECT b.o_custkey, o_orderkey, o_totalprice FROM b JOIN last USING (o_custkey) WHERE batch = third OR batch = second OR batch = first
+""")
+oracle("s15_type_conflicts", "orders", """
+SELECT o_orderkey, o_custkey, CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) WHEN 2 THEN o_orderpriority
+  WHEN 1 THEN CASE WHEN o_totalprice = floor(o_totalprice) THEN CAST(CAST(o_totalprice AS BIGINT) AS VARCHAR) ELSE CAST(o_totalprice AS VARCHAR) END END AS extra FROM orders
+""")
+oracle("s33_truncate", "orders", "SELECT o_custkey, o_orderkey, CAST(NULL AS DOUBLE) AS o_totalprice FROM orders WHERE o_orderkey % 5 = 0")
 oracle("s16_normalize", "events", """
 SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts, CASE WHEN event_id % 7 <> 0 THEN value END AS value, concat('[', event_id, ',', user_id, ']') AS ids FROM events
 """)

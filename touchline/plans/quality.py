@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-# (table, column, severity) of the standard checks; tables are marts or the two crosswalks.
+# (table, column, severity) of the standard checks; tables are marts, the two crosswalks and a staged view.
 NOT_NULL = [("player_xwalk", "player_uid"), ("player_xwalk", "ev_player_id"), ("team_xwalk", "team_uid"), ("team_xwalk", "ev_team_id"),
-            ("dim_match", "combo_id"), ("dim_player", "player_uid"), ("dim_team", "team_uid")]
+            ("ev_lineups", "player_uid"), ("dim_match", "combo_id"), ("dim_player", "player_uid"), ("dim_team", "team_uid")]
 UNIQUE = [("player_xwalk", "ev_player_id", "error"), ("team_xwalk", "ev_team_id", "error"), ("player_xwalk", "rd_player_id", "error"),
           ("dim_match", "combo_id", "warn"), ("dim_player", "player_uid", "warn"), ("dim_team", "team_uid", "warn"),
           ("dim_coach", "coach_uid", "warn"), ("dim_referee", "referee_uid", "warn"), ("fct_shots", "shot_uid", "warn")]
@@ -38,16 +39,35 @@ def shot_counts(ev: DataFrame, xg: DataFrame, rd: DataFrame) -> DataFrame:
                          | ((F.col("rd_n") > 0) & (F.col("ev_n") != F.col("rd_n"))))
 
 
-def _table(marts, name: str) -> DataFrame:
-    found = getattr(marts, name)
-    return found() if callable(found) else found
+def table(marts, name: str) -> DataFrame:
+    """A mart, crosswalk or staged view by name."""
+    found = getattr(marts, name, None)
+    return marts.staged(name) if found is None else found() if callable(found) else found
+
+
+def key_failures(tables: Callable[[str], DataFrame], not_null: list[tuple[str, str]] = NOT_NULL, unique: list[tuple[str, str, str]] = UNIQUE) -> DataFrame:
+    """All null and uniqueness checks with one pass over each table and one grouping over all of them.
+
+    A row gives one value for each check of its table; equal values of a check are counted, with partial counts before
+    the shuffle. A null fails its check at once, any other value if it comes twice.
+    """
+    parts = []
+    for name in dict.fromkeys([t for t, _ in not_null] + [t for t, *_ in unique]):
+        values = [F.struct(F.lit(f"not_null:{name}.{c}").alias("check"), F.lit("error").alias("severity"), F.lit(None).cast("string").alias("key"), F.lit(1).alias("allowed"),
+                           F.col(c).isNull().alias("counts")) for t, c in not_null if t == name]
+        values += [F.struct(F.lit(f"unique:{name}.{c}").alias("check"), F.lit(s).alias("severity"), F.col(c).cast("string").alias("key"), F.lit(2).alias("allowed"),
+                            F.col(c).isNotNull().alias("counts")) for t, c, s in unique if t == name]
+        parts.append(tables(name).select(F.inline(F.array(*values))).filter("counts"))
+    counted = reduce(DataFrame.unionByName, parts).groupBy("check", "severity", "key").agg(F.count("*").alias("n"), F.max("allowed").alias("allowed"))
+    return counted.filter("n >= allowed").select("check", "severity", "key", "n")
+
+
+def drifted(marts) -> DataFrame:
+    """Shot counts of a match that differ between providers, as a check."""
+    drift = shot_counts(marts.staged("ev_shots"), marts.staged("xg_shots"), marts.staged("rd_shots"))
+    return drift.select(F.lit("shot_counts").alias("check"), F.lit("warn").alias("severity"), F.col("combo_id").alias("key"), F.col("ev_n").alias("n"))
 
 
 def run_checks(marts) -> DataFrame:
     """All standard checks. Rows with severity `error` should stop publication."""
-    out = [not_null(_table(marts, t), c, f"not_null:{t}.{c}") for t, c in NOT_NULL]
-    out += [unique(_table(marts, t), c, f"unique:{t}.{c}", s) for t, c, s in UNIQUE]
-    drift = shot_counts(marts.staged("ev_shots"), marts.staged("xg_shots"), marts.staged("rd_shots"))
-    out.append(drift.select(F.lit("shot_counts").alias("check"), F.lit("warn").alias("severity"),
-                            F.col("combo_id").alias("key"), F.col("ev_n").alias("n")))
-    return reduce(DataFrame.unionByName, out)
+    return key_failures(lambda name: table(marts, name)).unionByName(drifted(marts))

@@ -1,8 +1,8 @@
-"""Load semantics of raw tables: normalise, upsert, overwrite by match."""
+"""Rows of raw tables: normalise, upsert, overwrite by match (S12-S17, S32). `store.py` keeps them on disk."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 SEQ = "load_seq"
 
@@ -75,61 +75,11 @@ def replace_matches(existing: DataFrame, incoming: DataFrame, key: str = "combo_
     return existing.join(loaded, key, "left_anti").unionByName(incoming, allowMissingColumns=True)
 
 
-def with_bucket(df: DataFrame, buckets: int, key: str = "combo_id") -> DataFrame:
-    return df.withColumn("match_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-
-
-BUCKETS, SALTS = 64, 4
-
-
-def write_matches(df: DataFrame, path: str, buckets: int = BUCKETS, keys: list[str] | None = None, salts: int = SALTS) -> None:
-    """Rewrites only the match buckets the batch touches, keeping the other matches in them.
-
-    A table on disk is a folder per bucket: reading one match reads one bucket. A bucket is
-    written by `salts` tasks; choose `buckets` so that one of them holds what a task can write.
-    With `keys` a row replaces the stored one of its key column by column, otherwise the rows
-    of a match replace all its stored rows.
-    """
-    from .shared import written
-
-    spark = df.sparkSession
-    batch = with_bucket(df, buckets)
-    try:
-        stored = spark.read.option("mergeSchema", True).parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        stored = None
-    if stored is not None:
-        # The result is written aside first: a table cannot be overwritten while it is read.
-        touched = batch.select("match_bucket").distinct()
-        old = stored.join(touched, "match_bucket", "left_semi")
-        if keys:
-            # Rows without a key cannot be told apart; they are replaced by match.
-            known = F.lit(True)
-            for k in keys:
-                known = known & F.col(k).isNotNull()
-            merged = upsert(old.filter(known), batch.filter(known).withColumn(SEQ, F.lit(0)), [*keys, "match_bucket"]).unionByName(
-                replace_matches(old.filter(~known), batch.filter(~known)), allowMissingColumns=True)
-        else:
-            merged = replace_matches(old, batch)
-        batch = written(merged, "reload")
-    (batch.repartition("match_bucket", F.pmod(F.xxhash64("combo_id"), F.lit(salts))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("match_bucket").parquet(path))
-
-
 def publish(df: DataFrame, path: str) -> None:
     """Full refresh of a dimension, fact or crosswalk."""
     df.write.mode("overwrite").parquet(path)
 
 
-def truncate(spark: SparkSession, paths: list[str]) -> None:
-    """Empties the tables, keeping their schemas."""
-    for path in paths:
-        schema = spark.read.parquet(path).schema
-        spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-
-
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
     return df.limit(n)
 

@@ -151,6 +151,12 @@ def matches(docs: ReferenceDocs) -> DataFrame:
     return out.na.fill(False, ["has_shotmap", "has_xg"])
 
 
+def player_stat_cells(docs: ReferenceDocs) -> DataFrame:
+    """Statistics of players, key by key; the list of ratings is no statistic."""
+    rows = _people(docs, "players").filter(F.size("p.statistics") > 0).select(F.explode("p.statistics").alias("key", "value"))
+    return rows.filter("key <> 'ratingVersions'")
+
+
 def player_stats(docs: ReferenceDocs, keys: list[str] | None = None) -> DataFrame:
     """One column per statistic; a missing one is 0. The original rating wins over the plain one."""
     rows = _people(docs, "players").filter(F.size("p.statistics") > 0)
@@ -159,7 +165,7 @@ def player_stats(docs: ReferenceDocs, keys: list[str] | None = None) -> DataFram
     base = rows.select("combo_id", "match_id", "team_id", "is_home_team", F.col("p.player.id").alias("player_id"),
                        F.col("p.position").alias("position"), rating.alias("match_rating"), stats.alias("stats"))
     if keys is None:
-        keys = [k for k in pivot_keys(base.select(F.explode(F.map_keys("stats")).alias("k")), "k") if k != "ratingVersions"]
+        keys = pivot_keys(player_stat_cells(docs), "key")
     return base.select(*base.columns[:-1], *[F.coalesce(F.try_element_at("stats", F.lit(k)).try_cast("double"), F.lit(0.0)).alias(k.lower()) for k in keys])
 
 
@@ -179,33 +185,51 @@ def missing_players(docs: ReferenceDocs) -> DataFrame:
         F.col("p.externalType").alias("external_type"), parse_when(F.col("p.expectedEndDate")).alias("expected_end_date"))
 
 
-def match_stats(docs: ReferenceDocs, columns: list[str] | None = None) -> DataFrame:
-    """Team statistics per period: a column per statistic and side. Periods after the third have the document's name."""
+def _match_stat_items(docs: ReferenceDocs) -> DataFrame:
+    """Team statistics per period, one row per statistic and side. Periods after the third have the document's name."""
     names = F.array(F.lit("FULL-TIME"), F.lit("FIRST-HALF"), F.lit("SECOND-HALF"))
     periods = docs.statistics.select("combo_id", F.posexplode("doc.statistics").alias("i", "p"))
     periods = periods.withColumn("period", F.coalesce(F.get(names, F.col("i")), F.col("p.period"), F.concat(F.lit("PERIOD-"), F.col("i") + 1)))
     items = (periods.select("combo_id", "i", "period", F.posexplode("p.groups").alias("gi", "g"))
              .select("combo_id", "i", "period", "gi", F.posexplode("g.statisticsItems").alias("ii", "s")))
     key = F.regexp_replace(F.lower(F.trim(F.coalesce("s.name", F.lit("")))), r"\W+", "_")
-    long = items.select("combo_id", "i", "period", F.struct("gi", "ii").alias("pos"), F.inline(F.array(*[
+    return items.select("combo_id", "i", "period", F.struct("gi", "ii").alias("pos"), F.inline(F.array(*[
         F.struct(F.concat(key, F.lit("_" + k.lower())).alias("col"), F.col(f"s.{k}").alias("value"))
         for k in ("homeValue", "awayValue", "homeTotal", "awayTotal")]))).filter(F.col("value").isNotNull())
+
+
+def match_stat_cells(docs: ReferenceDocs) -> DataFrame:
+    return _match_stat_items(docs).select(F.col("col").alias("key"), "value")
+
+
+def match_stats(docs: ReferenceDocs, columns: list[str] | None = None) -> DataFrame:
+    """Team statistics per period: a column per statistic and side."""
+    long = _match_stat_items(docs)
     columns = pivot_keys(long, "col") if columns is None else columns
     wide = long.groupBy("combo_id", "i", "period").agg(F.count("*").alias("_n"), *[F.max_by("value", F.when(F.col("col") == c, F.col("pos"))).alias(c) for c in columns])
     return (wide.join(_ids(docs).select("combo_id", "match_id"), "combo_id", "left")
             .select("combo_id", "match_id", "period", F.col("i").cast("bigint").alias("row_id"), *columns))
 
 
-def odds(docs: ReferenceDocs, columns: list[str] | None = None) -> DataFrame:
-    """One row per match: `{period}_{group}_{choice}{name}` prices and the winning choice of each market."""
+def _odds_items(docs: ReferenceDocs) -> DataFrame:
+    """Prices and winning choices of the markets, named `{period}_{group}_{choice}{name}`."""
     m, c = F.col("m"), F.col("c")
     rows = docs.odds.select("combo_id", F.posexplode("doc.markets").alias("mi", "m")).filter(m["marketGroup"].isin(*K.ODDS_GROUPS))
     prefix = F.concat(m["marketPeriod"], F.lit("_"), m["marketGroup"], F.lit("_"),
                       F.coalesce(F.concat(F.nullif(m["choiceGroup"], F.lit("")), F.lit("_")), F.lit("")))
-    cells = rows.select("combo_id", "mi", prefix.alias("prefix"), F.posexplode(m["choices"]).alias("ci", "c")).select(
+    return rows.select("combo_id", "mi", prefix.alias("prefix"), F.posexplode(m["choices"]).alias("ci", "c")).select(
         "combo_id", F.struct("mi", "ci").alias("pos"), F.inline(F.array(
             F.struct(F.concat("prefix", c["name"]).alias("col"), c["fractionalValue"].alias("value")),
             F.struct(F.concat("prefix", F.lit("winning")).alias("col"), F.when(c["winning"], c["name"]).alias("value"))))).filter(F.col("value").isNotNull())
+
+
+def odds_cells(docs: ReferenceDocs) -> DataFrame:
+    return _odds_items(docs).select(F.col("col").alias("key"), "value")
+
+
+def odds(docs: ReferenceDocs, columns: list[str] | None = None) -> DataFrame:
+    """One row per match: a column per price, and the winning choice of each market."""
+    cells = _odds_items(docs)
     columns = pivot_keys(cells, "col") if columns is None else columns
     wide = cells.groupBy("combo_id").agg(F.count("*").alias("_n"), *[F.max_by("value", F.when(F.col("col") == k, F.col("pos"))).alias(k.lower()) for k in columns]).drop("_n")
     return docs.odds.select("combo_id", F.col("doc.eventId").alias("match_id")).join(wide, "combo_id", "left")

@@ -84,6 +84,10 @@ def player_stat_items(docs: DataFrame) -> DataFrame:
             .filter(~F.coalesce(F.col("stat_key").endswith("_total") & F.col("value").isNull(), F.lit(False))))
 
 
+def player_stat_cells(docs: DataFrame) -> DataFrame:
+    return player_stat_items(docs).select(F.col("stat_key").alias("key"), "value")
+
+
 def player_stats(docs: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One row per player and match, one column per statistic; a later group wins."""
     items = player_stat_items(docs)
@@ -103,6 +107,10 @@ def team_stat_items(docs: DataFrame) -> DataFrame:
         F.col("i.format").alias("stat_format"), F.col("i.highlighted").alias("highlighted"), F.struct("gi", "ii").alias("pos"))
 
 
+def team_stat_cells(docs: DataFrame) -> DataFrame:
+    return team_stat_items(docs).select(F.col("stat_key").alias("key"), F.explode(F.array("home_value", "away_value")).alias("value"))
+
+
 def team_stats(docs: DataFrame, stats: list[str] | None = None) -> DataFrame:
     return team_stats_wide(team_stat_items(docs), ["combo_id", "xg_match_id", "period"], stats)
 
