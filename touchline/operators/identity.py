@@ -51,6 +51,11 @@ def vote(pairs: DataFrame, by: str = "anchor_id", choice: str = "prov_id") -> Da
     """
     counted = (pairs.filter(F.col(by).isNotNull() & F.col(choice).isNotNull())
                .groupBy(by, choice).agg(F.count("*").alias("votes")))
+    return winners(counted, by, choice)
+
+
+def winners(counted: DataFrame, by: str = "anchor_id", choice: str = "prov_id") -> DataFrame:
+    """The choice with most votes of each key, from counts (by, choice, votes)."""
     return (counted.groupBy(by).agg(F.max_by(F.struct(choice, "votes"), F.struct("votes", -F.col(choice))).alias("_w"))
             .select(by, F.col(f"_w.{choice}").alias(choice), F.col("_w.votes").alias("votes")))
 
@@ -63,16 +68,26 @@ def _aliased(rows: DataFrame, alias: DataFrame | None, anchor: str, uid: str) ->
     return rows.join(renamed, anchor, "left").withColumn(uid, F.coalesce("_canonical", anchor)).drop("_canonical")
 
 
+def named(rd_lineups: DataFrame, rd_players: DataFrame) -> DataFrame:
+    """Lineups of the reference data, whose names are in the table of players."""
+    return rd_lineups.join(rd_players.select("player_id", F.col("name").alias("player_name")), "player_id", "left")
+
+
 def player_crosswalk(ev_lineups: DataFrame, rd_lineups: DataFrame, rd_players: DataFrame, xg_lineups: DataFrame,
-                     alias: DataFrame | None = None) -> DataFrame:
-    """player_uid with the winning reference-data and expected-goals ids of each anchor player."""
+                     alias: DataFrame | None = None, counted: DataFrame | None = None) -> DataFrame:
+    """player_uid with the winning reference-data and expected-goals ids of each anchor player.
+
+    With `counted`, the stored votes of all matches, lineups are read for their players only.
+    """
     anchor = lineup_keys(ev_lineups)
-    names = rd_players.select("player_id", F.col("name").alias("player_name"))
-    rd = lineup_keys(rd_lineups.join(names, "player_id", "left"))
-    xg = lineup_keys(xg_lineups)
+
+    def won(provider: str, lineups: DataFrame) -> DataFrame:
+        found = vote(observations(anchor, lineup_keys(lineups))) if counted is None else winners(counted.filter((F.col("provider") == provider) & (F.col("votes") > 0)))
+        return found.select("anchor_id", F.col("prov_id").alias(f"{provider}_player_id"))
+
     rows = (anchor.select(F.col("id").alias("anchor_id")).distinct()
-            .join(vote(observations(anchor, rd)).select("anchor_id", F.col("prov_id").alias("rd_player_id")), "anchor_id", "left")
-            .join(vote(observations(anchor, xg)).select("anchor_id", F.col("prov_id").alias("xg_player_id")), "anchor_id", "left")
+            .join(won("rd", named(rd_lineups, rd_players)), "anchor_id", "left")
+            .join(won("xg", xg_lineups), "anchor_id", "left")
             .withColumnRenamed("anchor_id", "ev_player_id"))
     return _aliased(rows, alias, "ev_player_id", "player_uid").select(
         "player_uid", "ev_player_id", "rd_player_id", "xg_player_id")

@@ -17,7 +17,7 @@ from ..sinks.shared import shared_dir, written
 from ..sinks.store import Store
 from ..sources import documents, dynamic, event_docs, odds_docs, rd_docs, sample_docs, xg_docs
 from ..sources.adapter import Tables
-from . import manifest, quality
+from . import manifest, quality, votes
 from .event_tables import EVENT_TABLES, MatchData
 from .marts import MARTS, Marts
 from .staging import STAGED
@@ -98,6 +98,27 @@ query("w15_state_tags")(lambda t: states.state_tags(t.feed, match_data(t).spine)
 
 query("x01_observations")(lambda t: identity.observations(identity.lineup_keys(t["ev_lineups"]), identity.lineup_keys(t["xg_lineups"])))
 query("x02_vote")(lambda t: identity.vote(identity.observations(identity.lineup_keys(t["ev_lineups"]), identity.lineup_keys(t["xg_lineups"]))))
+@query("x06_counted_vote")
+def _x06(t: Tables) -> DataFrame:
+    """Winners from stored counts after three loads: matches with wrong provider ids, other matches, and the first ones again as they are."""
+    store, ev, xg, even = _store(t), t["ev_lineups"], t["xg_lineups"], F.regexp_extract("combo_id", r"(\d)$", 1).cast("int") % 2 == 0
+    wrong = xg.withColumn("player_id", F.col("player_id") + 1)
+    for lineups, cond in ((wrong, even), (xg, ~even), (xg, even)):
+        here = {"ev": ev.filter(cond), "xg": lineups.filter(cond)}
+        votes.count_matches(store, here["ev"], votes.match_pairs(here))
+        store.compact_due()
+    store.commit()
+    return identity.winners(Store(t.spark, store.root).read(votes.COUNTS).filter("votes > 0"))
+
+
+@query("x08_player_alias")
+def _x08(t: Tables) -> DataFrame:
+    """Overrides: every seventh anchor player is another one's double."""
+    ids = t["ev_lineups"].select(F.col("player_id").alias("bad_id")).distinct().filter("bad_id % 7 = 3")
+    alias = ids.select("bad_id", (F.col("bad_id") - 1).alias("canonical_id"))
+    return identity.player_crosswalk(t["ev_lineups"], t["rd_lineups"], t["rd_players"], t["xg_lineups"], alias)
+
+
 query("x03_player_xwalk")(lambda t: player_xwalk(t))
 query("x04_team_xwalk")(lambda t: team_xwalk(t))
 query("x05_coach_xwalk")(lambda t: identity.coach_crosswalk(t["xg_match"], t["rd_matches"]))

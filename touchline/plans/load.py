@@ -13,7 +13,7 @@ from ..sinks.layers import Layer, namespace
 from ..sinks.shared import job_tables, written
 from ..sinks.store import Store, reading
 from ..sources import documents, dynamic, event_docs, odds_docs, rd_docs, xg_docs
-from . import manifest
+from . import manifest, votes
 from .event_tables import EVENT_TABLES, MatchData, with_names
 from .marts import MARTS, Marts
 from .quality import NOT_NULL, drifted, key_failures, table
@@ -122,6 +122,8 @@ def load_texts(texts: DataFrame, base: str, only: list[str] | None = None) -> Da
         store = raw_store(spark, base)
         for name, df in ({} if nothing else staged).items():
             _append(store, name, df.join(good, "combo_id", "left_semi"))
+        if not nothing and "ev_lineups" in staged:
+            votes.count_load(store, good)
         store.compact_due()
         store.commit()
         last = spark.read.parquet(audit_path(base)).agg(F.max("batch")).first()[0] if _exists(spark, audit_path(base)) else None
@@ -195,7 +197,8 @@ def build(spark: SparkSession, base: str, min_minutes: int = 450, only: list[str
     def keep(df: DataFrame, name: str) -> DataFrame:
         return staging.write(name, df, must.get(name, [])) if name.endswith("_xwalk") else written(df, name)
 
-    marts = Marts(reading(raw_store(spark, base)), player_alias, team_alias, min_minutes, keep)
+    store = raw_store(spark, base)
+    marts = Marts(reading(store), player_alias, team_alias, min_minutes, keep, store.read(votes.COUNTS) if votes.COUNTS in store.layouts else None)
     with job_tables(spark):
         wanted = list(only or MARTS)
         for name in wanted:

@@ -26,7 +26,8 @@ class Marts:
 
     def __init__(self, raw: Callable[[str], DataFrame], player_alias: DataFrame | None = None,
                  team_alias: DataFrame | None = None, min_minutes: int = 450,
-                 keep: Callable[[DataFrame, str], DataFrame] = written):
+                 keep: Callable[[DataFrame, str], DataFrame] = written, player_votes: DataFrame | None = None):
+        self._player_votes = player_votes
         self.raw, self.min_minutes, self._keep = raw, min_minutes, keep
         self._player_alias, self._team_alias = player_alias, team_alias
         self._staged: dict[str, DataFrame] = {}
@@ -37,7 +38,7 @@ class Marts:
     def player_xwalk(self) -> DataFrame:
         return self._keep(identity.player_crosswalk(
             self.raw("ev_lineups"), self.raw("rd_lineups"), self.raw("rd_players"), self.raw("xg_lineups"),
-            self._player_alias), "player_xwalk")
+            self._player_alias, self._player_votes), "player_xwalk")
 
     @cached_property
     def team_xwalk(self) -> DataFrame:
