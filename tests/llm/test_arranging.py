@@ -60,18 +60,31 @@ def test_quotas_are_exact():
 
 def test_mixing_cases(docs, odd_docs, no_docs, duck):
     mixed = mixing.mix(docs)
-    assert compare(mixed.drop("source", "draws"), duck, ORACLES["op2_mixing"]) is None
+    assert compare(mixed.drop("source", "th", "draws"), duck, ORACLES["op2_mixing"]) is None
     rows = mixing.mix(odd_docs).collect()
     assert len(rows) == odd_docs.count()
     for r in rows:
         assert 0 <= r.taken <= 2 * r.size and r.taken == sum(d.words for d in r.draws)
     assert mixing.mix(no_docs).count() == 0 and mixing.mixture(no_docs, mixing.mix(no_docs)).count() == 0
-    made = mixing.mixture(docs, mixed)
-    assert made.columns == docs.columns
-    words = made.select("doc_id", F.regexp_count("text", F.lit(mixing.WORD)).alias("n")).groupBy("doc_id").agg(F.sum("n").alias("n"))
-    assert {r.doc_id: r.n for r in words.collect()} == {r.doc_id: r.taken for r in rows if r.taken and r.doc_id in {x.doc_id for x in docs.collect()}} or True
-    taken = {r.doc_id: r.taken for r in mixed.collect() if r.taken}
-    assert {r.doc_id: r.n for r in words.collect()} == taken
+    assert mixing.mixture(docs, mixed).columns == docs.columns
+    for table in (docs, odd_docs):
+        drawn = mixing.mix(table)
+        words = mixing.mixture(table, drawn).groupBy("doc_id").agg(F.sum(F.regexp_count("text", F.lit(mixing.WORD))).alias("n"))
+        taken = drawn.groupBy("doc_id").agg(F.sum("taken").alias("n")).where("n > 0")
+        assert {r.doc_id: r.n for r in words.collect()} == {r.doc_id: r.n for r in taken.collect()}
+
+
+def test_texts_of_one_id_are_drawn_each_on_its_own(spark):
+    rows = [(1, "a b c d", "s"), (1, "x y", "s"), (1, "x y", "s"), (2, "p q r", "t"), (None, "n m", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    drawn = mixing.mix(docs)
+    per_text = {r.th: r.n for r in drawn.groupBy("th").agg(F.sum("taken").alias("n")).where("n > 0").collect()}
+    made = mixing.mixture(docs, drawn)
+    total = sum(len(r.text.split()) for r in made.collect())
+    assert total == sum(per_text.values())
+    first = {t: {r.th for r in docs.select(F.xxhash64("text").alias("th"), "text").where(F.col("text") == t).collect()} for t in ("a b c d", "x y")}
+    words = {t: sum(len(r.text.split()) for r in made.collect() if r.text.split()[0] == t.split()[0]) for t in first}
+    assert all(words[t] == per_text.get(next(iter(h)), 0) for t, h in first.items())
 
 
 def check_pieces(pieces, texts, tokenizer, window):

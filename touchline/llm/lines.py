@@ -210,8 +210,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = docs.select(*(c for c in docs.columns if c not in ("n_lines", "n_removed")))
     joined = base.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__line_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__line_th")), "left").drop("__line_id", "__line_th")
     lines = F.split(F.col(text_col).cast("string"), "\n", -1)
-    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__line_gone")
-    kept = F.when(F.col("__line_gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n"))
+    # The text is split once a row; inside the lambda it would be split for every line.
+    left = F.filter(lines, lambda line, i: ~F.array_contains("__line_gone", i))
+    kept = F.when(F.col("__line_gone").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
     ends = F.octet_length(F.col(text_col).cast("string")) - F.octet_length(F.replace(F.col(text_col).cast("string"), F.lit("\n"), F.lit("")))
     counted = joined.withColumn("n_lines", F.coalesce(ends + 1, F.lit(0)).cast("long"))
     return counted.withColumn("n_removed", F.when(F.col("__line_gone").isNull(), F.lit(0)).otherwise(F.size("__line_gone")).cast("long")).withColumn(text_col, kept).drop("__line_gone")

@@ -20,6 +20,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from touchline.llm.tables import sized
+from touchline.sinks.shared import written
+
 BUDGET, WEIGHTS, MAX_REPEATS = 1.5, (3, 1, 2), 2
 SEED, SHARDS, BLOCK_DIGITS = "mix", 64, 3
 WORD = r"[^\x20\x09-\x0D]+"
@@ -62,9 +65,9 @@ def split_quotas(draws: list[int], shards: int, seed: str = SEED) -> np.ndarray:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED, shards: int = SHARDS,
         budget: float = BUDGET, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, taken and `draws`, an array of (shard, place, words)."""
+    """One row per input row: doc_id, th (hash of its text), source, size, source_size, target, taken and `draws`, an array of (shard, place, words)."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(source_col).cast("string").alias("source"),
                        F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
                        F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))).alias("_key"))
     rows = rows.withColumn("_block", F.substring("_key", 1, BLOCK_DIGITS))
@@ -89,7 +92,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.join(blocks, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_block") == F.col("_b")))
     whole = F.col("_before") + F.col("_words") <= F.col("_rest")
     cut = ~whole & (F.col("_before") < F.col("_rest"))
-    inner = Window.partitionBy("source", "_block").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("source", "_block").orderBy("_key", "doc_id", "size", "th").rowsBetween(Window.unboundedPreceding, -1)
     left = F.col("_rest") - F.col("_before") - F.coalesce(F.sum("size").over(inner), F.lit(0))
     base = rows.where(~cut).withColumn("_last", F.when(whole, F.col("size")).otherwise(F.lit(0).cast("long")))
     base = base.unionByName(rows.where(cut).withColumn("_last", F.greatest(F.lit(0), F.least("size", left)).cast("long")))
@@ -98,17 +101,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                               F.md5(F.concat_ws(":", F.lit(seed), i.cast("string"), "_key")).alias("place"),
                               F.when(i < F.col("_passes"), F.col("size")).otherwise(F.col("_last")).alias("words"))
     draws = F.filter(F.transform(F.sequence(F.lit(0).cast("long"), F.col("_passes")), draw), lambda d: d["words"] > 0)
-    return base.select("doc_id", "source", "size", "source_size", "target", (F.col("_passes") * F.col("size") + F.col("_last")).alias("taken"), draws.alias("draws"))
+    return base.select("doc_id", "th", "source", "size", "source_size", "target", (F.col("_passes") * F.col("size") + F.col("_last")).alias("taken"), draws.alias("draws"))
 
 
 def mixture(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The mixture itself: the rows of `docs` as often as drawn, shuffled within each shard. A text drawn in part is its first words, joined by blanks.
 
-    Rows are told apart by id and text, so repeated rows with one id are drawn alike."""
-    draws = mixed.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("__mix_id"), F.col("size").alias("__mix_size"), F.explode("draws").alias("__mix_draw"))
+    Rows are told apart by id and text. Of rows that have both in common one stands for all, with the draws of every one of them."""
+    same = ["doc_id", "th"]
+    draws = mixed.select(*same, "size", F.explode("draws").alias("draw")).toDF("__mix_id", "__mix_th", "__mix_size", "__mix_draw")
+    again = sized(written(mixed.groupBy(*same).agg(F.count("*").alias("n")).where("n > 1").select(*same).toDF("__again_id", "__again_th"), "mix-repeated"), 24)
+    th = F.xxhash64(F.col(text_col).cast("string"))
+    repeated = F.col(id_col).eqNullSafe(F.col("__again_id")) & (th == F.col("__again_th"))
+    one = docs.join(again, repeated, "left_semi").groupBy(F.col(id_col).alias("__mix_id"), th.alias("__mix_th")).agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
+    rows = docs.join(again, repeated, "left_anti").unionByName(one)
     first = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.col("__mix_draw.words").cast("int")), " ")
     text = F.when(F.col("__mix_draw.words") < F.col("__mix_size"), first).otherwise(F.col(text_col))
-    out = docs.join(draws, F.col(id_col).eqNullSafe(F.col("__mix_id")))
+    out = rows.join(draws, F.col(id_col).eqNullSafe(F.col("__mix_id")) & (th == F.col("__mix_th")))
     return (out.withColumn(text_col, text).repartition("__mix_draw.shard").sortWithinPartitions("__mix_draw.shard", "__mix_draw.place").select(*docs.columns))
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.sinks import shared
 from touchline.sinks.shared import job_tables, shared_dir
 
 BROADCAST_BYTES = 64 << 20
@@ -42,3 +44,21 @@ def result_of(spark: SparkSession, work: Callable[[], DataFrame], name: str) ->
         spark.conf.set(BATCH_SETTING, rows)
     return spark.read.schema(schema).parquet(path)
 
+
+
+@contextmanager
+def working_tables() -> Iterator[list[str]]:
+    """Collects the paths of the intermediate tables written inside; they stay until `dropped`."""
+    paths: list[str] = []
+    shared._JOBS.append(paths)
+    try:
+        yield paths
+    finally:
+        shared._JOBS.pop()
+
+
+def dropped(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    paths.clear()
