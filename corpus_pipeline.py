@@ -11,16 +11,24 @@ input is a table that can be read several times.
 | mixing | documents are drawn to their source's target: not at all, once or twice, one per source in part |
 | packing | windows of 2048 token ids |
 
-Null texts and empty tables pass through all stages without a failure and end with no rows for them.
+Null texts and empty tables pass through all stages without a failure and end with no rows for them. Columns besides those
+of `documents` are dropped by the first stage. Texts of any length are worked on whole. Different texts of one id are
+different documents everywhere; rows that have id and text in common are copies, of which the third stage keeps one. Of
+equally good candidates the one with the smaller id stays, rows of repeated or missing ids before all others.
+
+The working tables of a stage go when the next one begins, as its result has been written by then.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import functools
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import jaccard, langid, lines, mixing, packing
-from touchline.llm.tables import sized
+from touchline.llm.tables import dropped, sized, working_tables
 from touchline.sinks.shared import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -43,17 +51,30 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_length(done.where(F.col("text").rlike(mixing.WORD)))
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """Adds `uid`, the id where only one row has it; rows of a repeated or missing id get one for each different text, below all ids."""
+    counts = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
+    again = written(counts.select(F.col("doc_id").alias("_id")), "repeated-ids")
+    if again.isEmpty():
+        return docs.withColumn("uid", F.col("doc_id").cast("long"))
+    digest = F.sha2(F.coalesce(F.concat(F.lit("t"), "text"), F.lit("")), 256)
+    twice = docs.join(sized(again, 16), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(F.col("doc_id").alias("_id"), digest.alias("_text")).distinct()
+    least = min(0, docs.agg(F.min("doc_id")).first()[0] or 0)
+    names = sized(written(twice.withColumn("_uid", F.lit(least - 1).cast("long") - F.monotonically_increasing_id()), "names"), 96)
+    named = docs.join(names, F.col("doc_id").eqNullSafe(F.col("_id")) & (digest == F.col("_text")), "left")
+    return named.select(*COLUMNS, F.coalesce("_uid", F.col("doc_id").cast("long")).alias("uid"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = docs.select(*COLUMNS)
-    found = jaccard.jaccard_components(docs, size=DUPLICATE_WORDS, pct=DUPLICATE_PCT)
+    named = _named(docs.select(*COLUMNS))
+    found = jaccard.jaccard_components(named, id_col="uid", size=DUPLICATE_WORDS, pct=DUPLICATE_PCT)
     per_id = written(found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")), "groups")
     gone = written(per_id.where("component_id < doc_id").select(F.col("doc_id").alias("_id")), "group-members")
-    again = written(per_id.where("n > 1 and doc_id is not null").select(F.col("doc_id").alias("_id")), "repeated-ids")
-    same = F.col("doc_id") == F.col("_id")
-    left = docs.join(sized(gone, 16), same, "left_anti")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "source", "lang")
-    repeated = left.join(sized(again, 16), same, "left_semi").withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
-    return left.join(sized(again, 16), same, "left_anti").unionByName(repeated)
+    copies = written(per_id.where("n > 1").select(F.col("doc_id").alias("_id")), "copied-rows")
+    same = F.col("uid") == F.col("_id")
+    left = named.join(sized(gone, 16), same, "left_anti")
+    one = left.join(sized(copies, 16), same, "left_semi").groupBy("uid").agg(F.min(F.struct(*COLUMNS)).alias("r"))
+    return left.join(sized(copies, 16), same, "left_anti").select(*COLUMNS).unionByName(one.select("r.*"))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,14 +86,36 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.packed(docs, with_ids=False)
 
 
-STAGES = [("language", language), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("mixing", mixed_sources), ("packing", packed_sequences)]
+#: Working tables of the last stage that was called.
+_WORKING: list[str] = []
+
+
+def _alone(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, after the working tables of the one before it have been deleted."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        dropped(spark, _WORKING)
+        with working_tables() as paths:
+            out = stage(spark, docs, sf_dir)
+        _WORKING.extend(paths)
+        return out
+
+    return run_stage
+
+
+STAGES = [(name, _alone(stage)) for name, stage in (("language", language), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
+                                                    ("mixing", mixed_sources), ("packing", packed_sequences))]
 
 #: The language model, edit distances and retrieval have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with working_tables() as paths:
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        dropped(spark, last)
+        last = paths
     return STAGES[-1][1](spark, docs, sf_dir)
