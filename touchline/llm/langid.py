@@ -1,9 +1,11 @@
 """Language identification by cross-parsing entropy.
 
 For each language a suffix automaton of bounded labelled text is built. Each word of a text, with the blanks around it,
-is parsed into the longest phrases that occur in that text; the language that needs the fewest phrases for the whole
-text wins (ties: the language first by code point). `score` is 1 minus the winner's phrases over the runner-up's, 1.0
-if only one language is known. A phrase does not run on into the next word, so a task parses a word only once.
+is parsed into the longest phrases that occur in that text. A phrase costs the logarithm of the length of the language's
+text, the bits that point to a place in it, so phrases are comparable between languages with much and little training
+text. The language whose phrases cost least for the whole text wins (ties: the language first by code point). `score` is 1
+minus the winner's cost over the runner-up's, 1.0 if only one language is known. A phrase does not run on into the next
+word: a task parses a word once and remembers it, which a parse across words would not allow within the time limits.
 
 Texts are lower-cased, runs of characters other than letters become one blank, and no cap or prefix applies to the
 texts that are identified. Only fitting is bounded: `chars_per_lang` normalised characters per language, of which
@@ -87,6 +89,8 @@ class Identifier:
     def __init__(self, training: dict[str, str]):
         self.langs = sorted(training)
         self.starts = [suffix_automaton(f" {training[k]} ") for k in self.langs]
+        #: A phrase of a text costs the logarithm of the places it can point to, so languages with less training text are not at a disadvantage.
+        self.cost = np.array([np.log2(2 + len(training[k])) for k in self.langs])
         self._clear()
 
     def _clear(self) -> None:
@@ -109,7 +113,7 @@ class Identifier:
             self._clear()
         seen, add = self.index.get, self._add
         ids = [i if (i := seen(w)) is not None else add(w) for w in said]
-        counts = self.table[ids].sum(0, dtype=np.int64)
+        counts = self.table[ids].sum(0, dtype=np.int64) * self.cost
         order = np.argsort(counts, kind="stable")
         return self.langs[order[0]], 1.0 if len(order) == 1 else float(1 - counts[order[0]] / counts[order[1]])
 

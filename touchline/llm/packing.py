@@ -2,8 +2,8 @@
 
 Documents are dealt to shards of about `shard_chars` characters by a hash of their id. Each shard encodes its texts
 once, builds an inverted BM25 index over their token ids, and fills windows of `window` ids: the document at the window's
-start asks for its best unused neighbour, which goes in next, until the window is full. The document that crosses the
-end is cut; its rest opens the next window and asks for its own neighbours. So only the last window of a shard is padded.
+start, its seed, ranks all its neighbours once, and those not yet used go in, best first, until the window is full. The
+document that crosses the end is cut; its rest seeds the next window. So only the last window of a shard is padded.
 
 A query consists of the document's `query_terms` rarest ids that at most half of the shard's documents hold; documents
 that share none of them follow in order of id. A shard's size does not grow with the table; a longer document stands in
@@ -49,6 +49,12 @@ class Bm25:
         self.term, self.at = term[rare], np.searchsorted(doc, np.arange(n + 1))
         self.query_terms = query_terms
 
+    def ranked(self, seed: int, unused: np.ndarray) -> np.ndarray:
+        """The unused documents that share a term with the seed, best first, ties by number."""
+        scores = np.where(unused, self.scores(seed), 0.0)
+        found = np.flatnonzero(scores > 0)
+        return found[np.argsort(-scores[found], kind="stable")]
+
     def scores(self, seed: int) -> np.ndarray:
         terms = self.term[self.at[seed]:min(self.at[seed] + self.query_terms, self.at[seed + 1])]
         hits = ragged(self.first[terms], self.df[terms])
@@ -59,28 +65,25 @@ def fill(lengths: np.ndarray, index: Bm25, window: int = WINDOW) -> list[tuple[i
     """(document, start, length, sequence, offset) of every piece."""
     unused = np.ones(len(lengths), bool)
     pieces, sequence, offset, fresh = [], 0, 0, 0
-    doc = -1
+    near = iter(())
     while True:
-        nxt = -1
-        if doc >= 0 and offset:
-            scores = np.where(unused, index.scores(doc), 0.0)
-            best = int(scores.argmax())
-            nxt = best if scores[best] > 0 else -1
-        if nxt < 0:
+        doc = next((d for d in near if unused[d]), -1)
+        if doc < 0:
             while fresh < len(lengths) and not unused[fresh]:
                 fresh += 1
             if fresh == len(lengths):
                 return pieces
-            nxt = fresh
-        doc = nxt
+            doc = fresh
         unused[doc] = False
-        start, left = 0, int(lengths[doc])
+        start, left, window_of = 0, int(lengths[doc]), sequence if offset else -1
         while left:
             n = min(left, window - offset)
             pieces.append((doc, start, n, sequence, offset))
             start, left, offset = start + n, left - n, offset + n
             if offset == window:
                 sequence, offset = sequence + 1, 0
+        if sequence != window_of:  # the document stands at the start of a window
+            near = iter(index.ranked(doc, unused).tolist() if offset else ())
 
 
 def packed(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text",

@@ -2,8 +2,10 @@ r"""Personal data: patterns propose spans, checksums confirm them, nearby words
 
 `find_pii` returns one row per span of a document; `op9` reduces the same spans to one row per document.
 Kinds with a fixed rule (email, ip, card, phone) are always reported when they are valid. Further kinds
-are reported from `min_score` on: `iban` (mod 97), `national_id` (`ddd-dd-dddd`, no reserved group) and
-`local_phone` (no country prefix), of which the last two need a word such as "ssn" or "phone" close before them.
+are reported from `min_score` on: `iban` (mod 97), `ipv6` (as the address parser takes it), `national_id` (`ddd-dd-dddd`,
+no reserved group), `local_phone` (no country prefix) and `secret` (20 or more key characters with letters and digits), of
+which the last three need a word such as "ssn", "phone" or "token" close before them. A further span that overlaps one of
+a fixed rule, or a further one that starts before it, is dropped: `+1 (555) 123-4567` is a phone and no local phone.
 
 Null and empty texts have no span, a repeated row is treated like any other, columns besides the id and the
 text are not read. Every scan is linear in the text: a run of digits or address characters is matched once.
@@ -11,7 +13,9 @@ text are not read. Every scan is linear in the text: a run of digits or address
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import ipaddress
 import re
 
 import pyarrow as pa
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 from touchline.llm.text import per_text, text_batches
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "iban", "national_id", "local_phone")
+KINDS = (*BASE, "iban", "ipv6", "national_id", "local_phone", "secret")
 MIN_SCORE = 0.6
 CONTEXT_CHARS = 48
 
@@ -33,6 +37,8 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _NATIONAL = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])")
+_IPV6 = re.compile(r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Za-z:])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9_+/=.-])[A-Za-z0-9_+/=-]{20,}(?![A-Za-z0-9_+/=-])")
 _DIGIT = re.compile(r"[0-9]")
 _SEPARATORS = str.maketrans("", "", " -().+")
 CONTEXT = {
@@ -42,9 +48,11 @@ CONTEXT = {
     "ip": re.compile(r"(?i)\b(?:ip|host|address|server)\b"),
     "iban": re.compile(r"(?i)\b(?:iban|account|bank|konto|cuenta|compte)\b"),
     "national_id": re.compile(r"(?i)\b(?:ssn|social security|national id)\b"),
+    "ipv6": re.compile(r"(?i)\b(?:ip|ipv6|host|address|server)\b"),
+    "secret": re.compile(r"(?i)(?:token|secret|password|passwd|api[_ -]?key|access[_ -]?key|private[_ -]?key|credential|bearer)"),
 }
 CONTEXT["local_phone"] = CONTEXT["phone"]
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "national_id": 0.4, "local_phone": 0.4}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "ipv6": 0.6, "national_id": 0.4, "local_phone": 0.4, "secret": 0.4}
 BOOST = 0.3
 
 
@@ -61,6 +69,13 @@ def mod97(iban: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def ipv6(address: str) -> bool:
+    try:
+        return len(address) > 2 and bool(ipaddress.IPv6Address(address))
+    except ValueError:
+        return False
+
+
 def _emails(text: str):
     """Leftmost matches: each holds exactly one @, so the @ signs are visited in order."""
     end, at = 0, text.find("@")
@@ -112,6 +127,13 @@ def _proposed(text: str):
                 yield "national_id", m.start(), m.end()
         for m in _LOCAL_PHONE.finditer(text):
             yield "local_phone", m.start(), m.end()
+        for m in _SECRET.finditer(text):
+            if any(c.isdigit() for c in m.group()) and any(c.isalpha() for c in m.group()):
+                yield "secret", m.start(), m.end()
+    if ":" in text:
+        for m in _IPV6.finditer(text):
+            if ipv6(m.group()):
+                yield "ipv6", m.start(), m.end()
 
 
 def spans(text: str | None, min_score: float = MIN_SCORE) -> list[tuple[str, int, int, float]]:
@@ -122,7 +144,14 @@ def spans(text: str | None, min_score: float = MIN_SCORE) -> list[tuple[str, int
         score = min(1.0, PRIOR[kind] + (BOOST if near else 0.0))
         if kind in BASE or score >= min_score:
             found.append((kind, start, end, score))
-    return sorted(found, key=lambda x: (KINDS.index(x[0]), x[1]))
+    kept = [x for x in found if x[0] in BASE]
+    taken = sorted((a, b) for _, a, b, _ in kept)
+    for x in sorted((x for x in found if x[0] not in BASE), key=lambda x: (x[1], KINDS.index(x[0]))):
+        at = bisect.bisect_left(taken, (x[2],))  # spans from here on start at its end or later
+        if not any(b > x[1] for _, b in taken[max(0, at - len(BASE) - 1):at]):
+            kept.append(x)
+            bisect.insort(taken, x[1:3])
+    return sorted(kept, key=lambda x: (KINDS.index(x[0]), x[1]))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:

@@ -1,8 +1,9 @@
 r"""Quality rules by line labelling: a linear-chain conditional random field marks each line as content or boilerplate.
 
 The two weight tables (line features and label transitions) are fitted by maximum likelihood on a bounded sample
-of labelled documents, `fit_docs` per class: every line of a good document counts as content, every line of a bad
-one as boilerplate. `label_lines` returns Viterbi's labels per line; `quality_digest` decides per document: it is
+of labelled documents, `fit_docs` per class and `FIT_LINES` lines of each. Labels are known per document only, so a line
+gets a weak one (`weak_labels`): lines of a good document are content but for those that look like a menu entry, a repeat
+or symbols, lines of a bad one are boilerplate but for those that look like a sentence. `label_lines` returns Viterbi's labels per line; `quality_digest` decides per document: it is
 kept if at least `min_share` of its words stand in content lines and the fixed rules hold.
 
 A null, empty or blank text has no line and fails the rules (fewer than 20 words). Repeated rows are decided each
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.text import SPACE, per_text, text_batches
 
-FIT_DOCS = 1500
+FIT_DOCS, FIT_LINES = 1500, 2000
 MIN_SHARE = 0.5
 MIN_WORDS, MAX_REPEAT_PCT, REPEAT_WINDOW = 20, 30, 8
 SYMBOLS = b"#*$%&|<>"
@@ -109,15 +110,25 @@ def viterbi(crf: Crf, feats: np.ndarray) -> np.ndarray:
     return labels
 
 
+def weak_labels(feats: np.ndarray, good: int) -> np.ndarray:
+    """1 for content: what the lines of a good or bad document most likely are, told by its label and their looks."""
+    words, symbols, ends, again, repeated, short = feats[:, 1] * 60, feats[:, 3] / 4, feats[:, 7] > 0, feats[:, 8] > 0, feats[:, 9], feats[:, 10] > 0
+    waste = again | (repeated > 0.5) | (symbols > 0.1) | (short & ~ends)
+    sentence = ends & (words >= 8) & ~again & (repeated < 0.1) & (symbols < 0.02)
+    return (~waste if good else sentence).astype(np.int64)
+
+
 def fit(sequences: list[np.ndarray], labels: list[int], rounds: int = 200, rate: float = 0.1, l2: float = 1e-3) -> Crf:
-    """Maximum likelihood by gradient steps; forward and backward passes run over all sequences at once."""
+    """Maximum likelihood by gradient steps; forward and backward passes run over all sequences at once. `labels` are the documents'."""
+    said = [weak_labels(s, y) for s, y in zip(sequences, labels)]
     parts = [(s[i:i + SEGMENT], y) for s, y in zip(sequences, labels) for i in range(0, len(s), SEGMENT)]
+    weak = [z[i:i + SEGMENT] for z in said for i in range(0, len(z), SEGMENT)]
     if len({y for _, y in parts}) < 2:
         return Crf(np.vstack([np.zeros(FEATURES), np.ones(FEATURES) * 1e-9]), np.zeros((2, 2)))
     width = max(len(s) for s, _ in parts)
-    x, there = np.zeros((len(parts), width, FEATURES)), np.zeros((len(parts), width))
-    for i, (s, _) in enumerate(parts):
-        x[i, :len(s)], there[i, :len(s)] = s, 1
+    x, there, line = np.zeros((len(parts), width, FEATURES)), np.zeros((len(parts), width)), np.zeros((len(parts), width), np.int64)
+    for i, ((s, _), z) in enumerate(zip(parts, weak)):
+        x[i, :len(s)], there[i, :len(s)], line[i, :len(s)] = s, 1, z
     y = np.array([y for _, y in parts])
     weight = np.where(y == 1, 0.5 / there[y == 1].sum(), 0.5 / there[y == 0].sum())  # both classes count alike
     params = np.zeros(2 * FEATURES + 4)
@@ -136,14 +147,14 @@ def fit(sequences: list[np.ndarray], labels: list[int], rounds: int = 200, rate:
             new = np.logaddexp(move[:, 0] + nxt[:, :1], move[:, 1] + nxt[:, 1:])
             bwd[:, t] = np.where(there[:, t + 1, None] > 0, new, bwd[:, t + 1])
         node = np.exp(fwd + bwd - total[:, None, None]) * there[:, :, None]
-        wanted = np.zeros_like(node)
-        wanted[np.arange(len(y)), :, y] = there
+        wanted = np.eye(2)[line] * there[:, :, None]
         grad_emit = np.einsum("ntk,ntf,n->kf", wanted - node, x, weight)
         grad_move = np.zeros((2, 2))
         for a in range(2):
             for b in range(2):
                 edge = np.exp(fwd[:, :-1, a] + move[a, b] + score[:, 1:, b] + bwd[:, 1:, b] - total[:, None]) * there[:, 1:]
-                grad_move[a, b] = ((((y == a) & (y == b))[:, None] * there[:, 1:] - edge).sum(1) * weight).sum()
+                seen = (line[:, :-1] == a) & (line[:, 1:] == b)
+                grad_move[a, b] = ((seen * there[:, 1:] - edge).sum(1) * weight).sum()
         grad = np.concatenate([grad_emit.ravel(), grad_move.ravel()]) - l2 * params
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         params = params + rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
@@ -161,7 +172,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Crf:
 
     def task(batches):
         for batch, texts in text_batches(batches):
-            found = [(i, f) for i, t in zip(batch.column("doc_id").to_pylist(), texts) if len(f := describe(t)[1])]
+            found = [(i, f[:FIT_LINES]) for i, t in zip(batch.column("doc_id").to_pylist(), texts) if len(f := describe(t)[1])]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.array([f.astype("f4").tobytes() for _, f in found], pa.binary())],
                                              names=["doc_id", "f"])
 
