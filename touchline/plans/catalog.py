@@ -17,8 +17,9 @@ from ..sinks.shared import shared_dir, written
 from ..sinks.store import Store
 from ..sources import documents, dynamic, event_docs, odds_docs, rd_docs, sample_docs, xg_docs
 from ..sources.adapter import Tables
-from . import manifest, quality, votes
+from . import manifest, quality, season, votes
 from .event_tables import EVENT_TABLES, MatchData
+from .load_keys import ENTITY_TABLES
 from .marts import MARTS, Marts
 from .staging import STAGED
 
@@ -167,6 +168,21 @@ for _i, _name in enumerate(MARTS, 1):
     query(f"m{_i:02d}_{_name}")(lambda t, _name=_name: getattr(marts(t), _name)())
 
 
+@query("a26_refreshed_season")
+def _a26(t: Tables) -> DataFrame:
+    """Season totals and ranks after the matches ending in 7 have been loaded on top of the others."""
+    new = F.col("combo_id").endswith("7")
+
+    def raw(name: str) -> DataFrame:
+        df = raw_table(t, name)
+        return df if name in ENTITY_TABLES or "combo_id" not in df.columns else df.filter(~new)
+
+    before, now = Marts(raw, min_minutes=QUERY_MINUTES), marts(t)
+    known = {"player_xwalk": before.player_xwalk, "team_xwalk": before.team_xwalk, "dim_player": written(before.dim_player(), "dim_player"), "dim_match": before.dim_match()}
+    seasons = written(season.touched_seasons(now, t["ev_match_meta"].filter(new), known), "seasons")
+    return season.refreshed(now, "agg_player_season", written(before.agg_player_season(), "before"), seasons)
+
+
 # -- checks --------------------------------------------------------------------------
 
 @query("t01_not_null")

@@ -13,28 +13,13 @@ from ..sinks.layers import Layer, namespace
 from ..sinks.shared import job_tables, written
 from ..sinks.store import Store, reading
 from ..sources import documents, dynamic, event_docs, odds_docs, rd_docs, xg_docs
-from . import manifest, votes
+from . import manifest, season, votes
+from .load_keys import ENTITY_KEYS, match_keys
 from .event_tables import EVENT_TABLES, MatchData, with_names
 from .marts import MARTS, Marts
 from .quality import NOT_NULL, drifted, key_failures, table
 from .staging import STAGED
 
-# Tables with a natural key of their own are upserted; all others are replaced by match.
-ENTITY_KEYS = {"rd_tournaments": ["tournament_id"], "rd_seasons": ["season_id"], "rd_teams": ["team_id"], "rd_players": ["player_id"],
-               "rd_referees": ["referee_id"], "rd_managers": ["manager_id"]}
-
-
-def _keyed(name: str) -> list[str] | None:
-    """Natural key of a table whose rows are upserted one by one; None where the rows of a match are replaced as a whole."""
-    if name == "ev_pass_network":
-        return ["combo_id", "passer_id", "receiver_id"]
-    if name.startswith("ev_team_") and name not in ("ev_team_states", "ev_team_state_agg"):
-        return ["combo_id", "team_id"]
-    if name.startswith("ev_player_") or name == "ev_lineups":
-        return ["combo_id", "player_id"]
-    return None
-
-
 def event_data(texts: DataFrame) -> MatchData:
     """Event documents, parsed once: the feed and its side tables are written as columns,
     so that each metric table reads only the columns it needs instead of the JSON."""
@@ -134,7 +119,7 @@ def load_texts(texts: DataFrame, base: str, only: list[str] | None = None) -> Da
 
 def _append(store: Store, name: str, df: DataFrame) -> None:
     if name not in ENTITY_KEYS:
-        keys = _keyed(name)
+        keys = match_keys(name)
         store.append(name, df, keys or ["combo_id"], whole=keys is None)
         return
     keys = ENTITY_KEYS[name]
@@ -187,7 +172,8 @@ def build(spark: SparkSession, base: str, min_minutes: int = 450, only: list[str
     """Writes crosswalks and marts from the raw tables and publishes them together, unless a check of severity `error` fails.
 
     Returns the failed checks, a table of their own. Nulls of key columns are counted while the tables are written;
-    crosswalks are tables of the staging layer, staged tables are views of the session, marts are tables of theirs.
+    crosswalks are tables of the staging layer, staged tables are views of the session, marts are tables of theirs. Season
+    aggregates that a build has published before are brought up to date: only the seasons touched since are ranked again.
     """
     staging, marts_layer = Layer(spark, base, "staging"), Layer(spark, base, "marts")
     must = {}
@@ -198,17 +184,30 @@ def build(spark: SparkSession, base: str, min_minutes: int = 450, only: list[str
         return staging.write(name, df, must.get(name, [])) if name.endswith("_xwalk") else written(df, name)
 
     store = raw_store(spark, base)
+    loaded = spark.read.schema(AUDIT + ", batch bigint").parquet(audit_path(base)) if _exists(spark, audit_path(base)) else None
+    now = {"batch": loaded.agg(F.max("batch")).first()[0] if loaded is not None else None, "min_minutes": min_minutes}
     marts = Marts(reading(store), player_alias, team_alias, min_minutes, keep, store.read(votes.COUNTS) if votes.COUNTS in store.layouts else None)
     with job_tables(spark):
-        wanted = list(only or MARTS)
+        wanted = sorted(only or MARTS, key=MARTS.index)
+        seasons = None
         for name in wanted:
-            marts_layer.write(name, getattr(marts, name)(), must.get(name, []))
-
-        def made(name: str) -> DataFrame:
+            last = marts_layer.current.get(name, {}).get("note") if name.startswith("agg_") and player_alias is None and team_alias is None else None
+            if last and last["min_minutes"] == min_minutes and now["batch"] is not None and _published(staging, marts_layer):
+                if seasons is None:
+                    published = Layer(spark, base, "staging"), Layer(spark, base, "marts")
+                    before = {t: published["dim_" in t].read(t) for t in ("player_xwalk", "team_xwalk", "dim_player", "dim_match")}
+                    new = loaded.filter(F.col("batch") > last["batch"]).select("combo_id").distinct()
+                    seasons = written(season.touched_seasons(marts, new, before), "seasons")
+                made = season.refreshed(marts, name, published[1].read(name), seasons)
+            else:
+                made = getattr(marts, name)()
+            marts_layer.write(name, made, must.get(name, []), now if player_alias is None and team_alias is None else None)
+
+        def result(name: str) -> DataFrame:
             return marts_layer.read(name) if name in wanted else table(marts, name)
 
         counted = [(t, c) for t, c in NOT_NULL if t in wanted or t.endswith("_xwalk")]
-        keys = key_failures(made, [x for x in NOT_NULL if x not in counted])
+        keys = key_failures(result, [x for x in NOT_NULL if x not in counted])
         nulls = [(f"not_null:{t}.{c}", "error", None, n) for t, c in counted
                  if (n := (staging if t.endswith("_xwalk") else marts_layer).counts(t)[f"null:{c}"])]
         keys = keys.unionByName(drifted(marts)).unionByName(spark.createDataFrame(nulls, "check string, severity string, key string, n bigint"))
@@ -223,6 +222,11 @@ def build(spark: SparkSession, base: str, min_minutes: int = 450, only: list[str
     return failures
 
 
+def _published(staging: Layer, marts: Layer) -> bool:
+    """Whether a build before this one has published what a refresh of season aggregates compares with."""
+    return {"player_xwalk", "team_xwalk"} <= set(staging.current) and {"dim_player", "dim_match"} <= set(marts.current)
+
+
 def attach(spark: SparkSession, base: str, marts: Marts | None = None) -> None:
     """Declares a warehouse in this session: the published layers as tables, staged tables as views `staging_<name>`, season
     aggregates also as views of their name."""

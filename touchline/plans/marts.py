@@ -28,7 +28,7 @@ class Marts:
                  team_alias: DataFrame | None = None, min_minutes: int = 450,
                  keep: Callable[[DataFrame, str], DataFrame] = written, player_votes: DataFrame | None = None):
         self._player_votes = player_votes
-        self.raw, self.min_minutes, self._keep = raw, min_minutes, keep
+        self.raw, self.min_minutes, self.keep = raw, min_minutes, keep
         self._player_alias, self._team_alias = player_alias, team_alias
         self._staged: dict[str, DataFrame] = {}
 
@@ -36,13 +36,13 @@ class Marts:
 
     @cached_property
     def player_xwalk(self) -> DataFrame:
-        return self._keep(identity.player_crosswalk(
+        return self.keep(identity.player_crosswalk(
             self.raw("ev_lineups"), self.raw("rd_lineups"), self.raw("rd_players"), self.raw("xg_lineups"),
             self._player_alias, self._player_votes), "player_xwalk")
 
     @cached_property
     def team_xwalk(self) -> DataFrame:
-        return self._keep(identity.team_crosswalk(
+        return self.keep(identity.team_crosswalk(
             self.raw("ev_lineups"), self.raw("rd_lineups"), self.raw("xg_lineups"), self._team_alias), "team_xwalk")
 
     def staged(self, name: str) -> DataFrame:
@@ -137,6 +137,9 @@ class Marts:
         return (self.staged("ev_match_meta").select("combo_id").join(rd, "combo_id", "left")
                 .join(self.staged("xg_match").select("combo_id", "match_date"), "combo_id", "left"))
 
+    def season_of_match(self) -> DataFrame:
+        return self._dates().select("combo_id", "season_uid", "competition_uid")
+
     def _dated(self, df: DataFrame) -> DataFrame:
         return df.join(self._dates(), "combo_id", "left")
 
@@ -238,7 +241,7 @@ class Marts:
                  .withColumn("n90", F.nullif(F.col("minutes"), F.lit(0)) / F.lit(90.0)))
         for m in ("goals", "shots", "xg", "touches", "dribbles"):
             per90 = per90.withColumn(f"{m}_p90", ratio(F.col(m), F.col("n90")))
-        return percent_ranks(self._keep(per90, "player_season"), key, ["season_uid", "competition_uid", "position"],
+        return percent_ranks(self.keep(per90, "player_season"), key, ["season_uid", "competition_uid", "position"],
                              ["goals_p90", "xg_p90", "touches_p90", "dribbles_p90"])
 
     def agg_team_season(self) -> DataFrame:
@@ -247,7 +250,7 @@ class Marts:
             F.count("*").alias("matches"), F.sum(F.coalesce("goals", F.lit(0))).alias("goals"),
             F.sum(F.coalesce("total_shots", F.lit(0))).alias("shots"))
         base = base.withColumn("goals_per_match", ratio(F.col("goals"), F.col("matches")))
-        return percent_ranks(self._keep(base, "team_season"), key, ["season_uid", "competition_uid"], ["goals", "shots"])
+        return percent_ranks(self.keep(base, "team_season"), key, ["season_uid", "competition_uid"], ["goals", "shots"])
 
 
 MARTS = [

@@ -1095,6 +1095,7 @@ SELECT combo_id, concat('/data/', combo_id, '/events/events_', mno + 700000, '.j
 FROM matches
 """)
 oracle("s02_incremental", "matches", "SELECT combo_id, mno + 700000 AS ev_id FROM matches WHERE mno % 2 <> 0")
+ORACLES["a26_refreshed_season"] = ORACLES["m25_agg_player_season"]
 ORACLES["x06_counted_vote"] = ORACLES["x02_vote"]
 oracle("x08_player_alias", "x03_player_xwalk", "SELECT CASE WHEN ev_player_id % 7 = 3 THEN ev_player_id - 1 ELSE ev_player_id END AS player_uid, * EXCLUDE (player_uid) FROM x03_player_xwalk")
 oracle("s02_manifest", "matches", """

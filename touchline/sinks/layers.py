@@ -42,12 +42,12 @@ class Layer:
     def _registry(self) -> str:
         return f"{self.root}/_published"
 
-    def write(self, name: str, df: DataFrame, not_null: list[str] = ()) -> DataFrame:
-        """Writes a table aside and returns it; its row and null counts are in `counts`."""
+    def write(self, name: str, df: DataFrame, not_null: list[str] = (), note: dict | None = None) -> DataFrame:
+        """Writes a table aside and returns it; its row and null counts are in `counts`, `note` is kept with it."""
         path = f"{self.root}/{name}/v-{uuid.uuid4().hex[:12]}"
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"null:{c}") for c in not_null]).write.parquet(path)
-        self._written[name] = {"path": path, "columns": {f.name: f.dataType.simpleString() for f in df.schema.fields}, "counts": seen.get}
+        self._written[name] = {"path": path, "columns": {f.name: f.dataType.simpleString() for f in df.schema.fields}, "counts": seen.get, "note": note}
         return self.read(name)
 
     def counts(self, name: str) -> dict[str, int]:
