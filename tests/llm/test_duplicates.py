@@ -62,6 +62,17 @@ def test_passages_cases_against_sql(docs, duck):
     assert compare(found, duck, ORACLES["op6_substring_dedup"]) is None
 
 
+def test_texts_of_one_id_link_each_on_its_own(spark):
+    """Components of rows, named by their smallest id, against plain sets."""
+    base = [f"w{i}" for i in range(60)]
+    other = [f"v{i}" for i in range(60)]
+    rows = [(7, base), (7, other), (3, [*other, "x"]), (9, [*base, "y"]), (9, base), (9, base), (12, ["alone"]), (None, base), (7, None), (20, [*other, "z"])]
+    docs = spark.createDataFrame([(i, None if t is None else " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs).collect()), key=str)
+    expected = [(7, 58, 7), (7, 58, 3), (3, 59, 3), (9, 59, 7), (9, 58, 7), (9, 58, 7), (12, 1, 12), (None, 58, None), (7, 0, 7), (20, 59, 3)]
+    assert got == sorted(expected, key=str)
+
+
 def test_passages_odd_rows(odd_docs, no_docs):
     rows = passages.without_repeats(odd_docs).collect()
     assert len(rows) == odd_docs.count() and all(r.n_removed <= r.n_words for r in rows)

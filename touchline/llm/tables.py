@@ -29,6 +29,22 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(BATCH_SETTING, rows)
 
 
+def one_id_a_text(docs: DataFrame, id_col: str, text_col: str, name: str, missing: bool) -> tuple[DataFrame, bool]:
+    """Adds `name`, the id where only one row has it; rows of a repeated id get one id for each different text, below all others.
+    So do rows without an id, if `missing`; else they have none. Tells whether there were such rows."""
+    key, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    again = docs.groupBy(key.alias("__id")).agg(F.count("*").alias("n")).where("(n > 1 and __id is not null)" + (" or __id is null" if missing else ""))
+    again = shared.written(again.select("__id"), "repeated-ids")
+    if again.isEmpty():
+        return docs.withColumn(name, key), False
+    digest = F.sha2(F.coalesce(F.concat(F.lit("t"), text), F.lit("")), 256)
+    twice = docs.join(sized(again, 16), key.eqNullSafe(F.col("__id")), "left_semi").select(key.alias("__id"), digest.alias("__text")).distinct()
+    least = min(0, docs.agg(F.min(key)).first()[0] or 0)
+    names = sized(shared.written(twice.withColumn("__uid", F.lit(least - 1).cast("long") - F.monotonically_increasing_id()), "names"), 96)
+    named = docs.join(names, key.eqNullSafe(F.col("__id")) & (digest == F.col("__text")), "left")
+    return named.withColumn(name, F.coalesce("__uid", key)).drop("__id", "__text", "__uid"), True
+
+
 def result_of(spark: SparkSession, work: Callable[[], DataFrame], name: str) -> DataFrame:
     """Writes the rows of `work` and deletes the intermediate tables it made; returns the written table.
 
