@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import jaccard, langid, lines, mixing, packing
-from touchline.llm.tables import dropped, sized, working_tables
+from touchline.llm.tables import dropped, one_id_a_text, sized, working_tables
 from touchline.sinks.shared import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -51,22 +51,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_length(done.where(F.col("text").rlike(mixing.WORD)))
 
 
-def _named(docs: DataFrame) -> DataFrame:
-    """Adds `uid`, the id where only one row has it; rows of a repeated or missing id get one for each different text, below all ids."""
-    counts = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
-    again = written(counts.select(F.col("doc_id").alias("_id")), "repeated-ids")
-    if again.isEmpty():
-        return docs.withColumn("uid", F.col("doc_id").cast("long"))
-    digest = F.sha2(F.coalesce(F.concat(F.lit("t"), "text"), F.lit("")), 256)
-    twice = docs.join(sized(again, 16), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(F.col("doc_id").alias("_id"), digest.alias("_text")).distinct()
-    least = min(0, docs.agg(F.min("doc_id")).first()[0] or 0)
-    names = sized(written(twice.withColumn("_uid", F.lit(least - 1).cast("long") - F.monotonically_increasing_id()), "names"), 96)
-    named = docs.join(names, F.col("doc_id").eqNullSafe(F.col("_id")) & (digest == F.col("_text")), "left")
-    return named.select(*COLUMNS, F.coalesce("_uid", F.col("doc_id").cast("long")).alias("uid"))
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    named = _named(docs.select(*COLUMNS))
+    named, _ = one_id_a_text(docs.select(*COLUMNS), "doc_id", "text", "uid", missing=True)
     found = jaccard.jaccard_components(named, id_col="uid", size=DUPLICATE_WORDS, pct=DUPLICATE_PCT)
     per_id = written(found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")), "groups")
     gone = written(per_id.where("component_id < doc_id").select(F.col("doc_id").alias("_id")), "group-members")
