@@ -25,16 +25,16 @@ def collected(spark, name):
 # -- op5 ---------------------------------------------------------------------------
 
 def plain_phrases(spaced, known):
-    """Greedy longest phrases by plain substring search. The character that ends a phrase begins the next one; an unseen one is a phrase of its own."""
+    """Greedy longest phrases by plain substring search; an unseen character is a phrase of its own."""
     n, at = 0, 0
     while True:
         k = at
         while k < len(spaced) and spaced[at:k + 1] in known:
             k += 1
+        n += 1
         if k == len(spaced):
             return n
-        n += 1
-        at = k if spaced[k] in known else k + 1
+        at = max(k, at + 1)
 
 
 def test_op5_against_substring_search(spark, texts):
