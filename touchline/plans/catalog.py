@@ -13,6 +13,7 @@ from ..operators import (
 from ..functions import expr
 from ..operators import reshape
 from ..sinks import tables
+from ..sinks.layers import Layer, namespace
 from ..sinks.shared import shared_dir, written
 from ..sinks.store import Store
 from ..sources import documents, dynamic, event_docs, odds_docs, rd_docs, sample_docs, xg_docs
@@ -482,6 +483,16 @@ query("s16_normalize")(lambda t: tables.normalized(t["events"].select(
     F.col("event_id").alias("Event_ID"), F.col("ts").alias("TS"), F.when(F.col("event_id") % 7 != 0, F.col("value")).otherwise(F.lit("NaN").cast("double")).alias("Value"),
     F.array("event_id", "user_id").alias("Ids"))))
 query("s17_natural_id")(lambda t: tables.natural_id(t["rd_referees"].withColumnRenamed("referee_id", "id"), "rd_referees"))
+@query("s30_published")
+def _s30(t: Tables) -> DataFrame:
+    """A crosswalk published as a table of its layer, read through the catalog."""
+    layer = Layer(t.spark, f"{shared_dir(t.spark)}/touchline/warehouse-{uuid.uuid4().hex}", "staging")
+    layer.write("team_xwalk", team_xwalk(t), ["team_uid"])
+    layer.publish()
+    return t.spark.table(f"{namespace('staging')}.team_xwalk")
+
+
+query("k04_preview")(lambda t: tables.preview(t["xg_shots"].select("combo_id", "row_id", "player_id", "xg").orderBy("combo_id", "row_id")))
 query("s32_of_match")(lambda t: tables.of_match(t["xg_shots"], "M00001").select("combo_id", "row_id", "player_id", "xg"))
 
 # -- scalar functions ------------------------------------------------------------------

@@ -1277,6 +1277,8 @@ oracle("s16_normalize", "events", """
 SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts, CASE WHEN event_id % 7 <> 0 THEN value END AS value, concat('[', event_id, ',', user_id, ']') AS ids FROM events
 """)
 oracle("s17_natural_id", "rd_referees", "SELECT * FROM rd_referees")
+ORACLES["s30_published"] = ORACLES["x04_team_xwalk"]
+oracle("k04_preview", "xg_shots", "SELECT combo_id, row_id, player_id, xg FROM xg_shots ORDER BY combo_id, row_id LIMIT 10")
 oracle("s32_of_match", "xg_shots", "SELECT combo_id, row_id, player_id, xg FROM xg_shots WHERE combo_id = 'M00001'")
 
 # -- scalar functions --------------------------------------------------------------------
