@@ -14,10 +14,13 @@ whole sequence; no words: empty, linked with nothing). Two documents link when 1
 4. Each set is first compared with one leader only, the set that most of its lists name first. Its links are derived from
    that answer: a set linked to its leader is in the leader's component and meets no other set of it. Between two
    components, d(x, y) >= d(leader x, leader y) - d(x, leader x) - d(y, leader y) (Jaccard distance is a metric) rules
-   pairs out without reading their sets; only the pairs left are compared.
+   pairs out without reading their sets; only the pairs left are compared. Where links are counted, pairs within a
+   component are compared like all others.
 5. Links make components by label propagation over written tables.
 
-So a large group of near copies gives about one comparison a member, and every link between different texts counts.
+So a large group of near copies gives about one comparison a member, and no two components that a link joins stay apart.
+Counting links (`links`) takes a comparison for every pair of different sets that may link, which grows with the square of
+such a group; equal sets are counted by their number, without pairs.
 Frequent elements (`hot`) only steer the order: those in more than max(`HOT_LEAST`, postings / `HOT_MOST`) lists, hence at
 most `HOT_MOST` hashes reach the driver and are broadcast. Shingles are compared by 64-bit hash.
 
@@ -184,22 +187,22 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, pct: int = PCT) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, pct: int = PCT, links: bool = True) -> DataFrame:
     """One row per input row: doc_id, n_shingles, n_links, component_id.
 
-    `n_links` counts the links that were compared; members of one component are not all compared with each other."""
+    `n_links` is the number of other documents that link with the row's; without `links` the column and its work are left out."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     named, repeated = one_id_a_text(rows, "doc_id", "text", "uid", False)
-    found = _components_of(named.select(F.col("uid").alias("doc_id"), "text"), size, pct)
+    found = _components_of(named.select(F.col("uid").alias("doc_id"), "text"), size, pct, links)
     if not repeated:
         return found
     ids = written(named.where("uid is not null").select(F.col("uid").alias("_uid"), F.col("doc_id").alias("_id")).distinct(), "ids")
-    found = written(found.join(ids, F.col("doc_id") == F.col("_uid"), "left").select(F.col("_id").alias("doc_id"), "n_shingles", "n_links", "component_id"), "components")
+    found = written(found.join(ids, F.col("doc_id") == F.col("_uid"), "left").select(F.col("_id").alias("doc_id"), *found.columns[1:]), "components")
     least = found.where("component_id is not null").groupBy(F.col("component_id").alias("_component")).agg(F.min("doc_id").alias("_least"))
-    return found.join(least, F.col("component_id") == F.col("_component"), "left").select("doc_id", "n_shingles", "n_links", F.col("_least").alias("component_id"))
+    return found.join(least, F.col("component_id") == F.col("_component"), "left").select(*found.columns[:-1], F.col("_least").alias("component_id"))
 
 
-def _components_of(docs: DataFrame, size: int, pct: int) -> DataFrame:
+def _components_of(docs: DataFrame, size: int, pct: int, count: bool) -> DataFrame:
     """`jaccard_components` of (doc_id, text) rows of which those with one id have one text."""
     small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
@@ -250,7 +253,8 @@ def _components_of(docs: DataFrame, size: int, pct: int) -> DataFrame:
         return (rows.join(place.toDF(key, f"{key}_component"), key, "left")
                 .join(odd.toDF(key, *(f"{key}_odd{i}" for i in range(PARITIES))), key, "left"))
 
-    apart = F.coalesce("x_component", "x") != F.coalesce("y_component", "y")
+    # two sets known to be in one component need no comparison, unless their links are counted
+    apart = F.lit(True) if count else F.coalesce("x_component", "x") != F.coalesce("y_component", "y")
     # a class that is odd in one set alone has an element of the difference, whose size a link bounds
     differ = sum((F.bit_count(F.col(f"x_odd{i}").bitwiseXOR(F.col(f"y_odd{i}"))) for i in range(PARITIES)), F.lit(0))
     open_ = (put(probes, "x").join(put(index, "y"), ["token", "class"]).where(fits & apart & (differ <= F.col("n") + F.col("m") - 2 * overlap))
@@ -267,15 +271,20 @@ def _components_of(docs: DataFrame, size: int, pct: int) -> DataFrame:
     more = written(_overlaps(left, _sets(rows, ids(left), size)).where(linked).select("x", "y"), "links")
     links = links.union(more)
 
-    n_links = links.select("x").union(links.select("y")).groupBy(F.col("x").alias("rep")).agg(F.count("*").alias("n_links"))
-    node = (member.join(n_links, "rep", "left").join(components(links).toDF("rep", "component"), "rep", "left")
-            .select(F.col("doc_id").alias("_id"), "n_links", F.coalesce("component", "rep").alias("_component")))
-    return (prints.join(node, F.col("doc_id") == F.col("_id"), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("_component", "doc_id").alias("component_id")))
+    node = (member.join(components(links).toDF("rep", "component"), "rep", "left")
+            .select(F.col("doc_id").alias("_id"), "rep", F.coalesce("component", "rep").alias("_component")))
+    out = [F.col("n").alias("n_shingles")]
+    if count:
+        equal = member.groupBy("rep").agg(F.count("*").alias("equal"))
+        ways = links.select("x", "y").union(links.select("y", "x")).toDF("rep", "_other")
+        near = ways.join(equal.toDF("_other", "_n"), "_other").groupBy("rep").agg(F.sum("_n").alias("near"))
+        node = node.join(equal, "rep").join(near, "rep", "left").withColumn("_links", F.col("equal") - 1 + F.coalesce("near", F.lit(0))).drop("equal", "near")
+        out.append(F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"))
+    return prints.join(node, F.col("doc_id") == F.col("_id"), "left").select("doc_id", *out, F.coalesce("_component", "doc_id").alias("component_id"))
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
+    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), links=False).select("doc_id", "n_shingles", "component_id")
 
 
 OP1_SQL = r"""
