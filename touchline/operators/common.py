@@ -7,6 +7,16 @@ from pyspark.sql.window import Window
 
 TEAM = ["combo_id", "team_id"]
 PLAYER = ["combo_id", "team_id", "player_id"]
+LEAST_ROWS, MOST_ROWS = 5_000, 100_000
+
+
+def by_match(rows: DataFrame, n_rows: int) -> DataFrame:
+    """`rows` dealt by match into so many tasks that one gets about `MOST_ROWS` of `n_rows` events, however many there are.
+
+    A number that is asked for is not merged by AQE, whose target is bytes of compressed shuffle: a chain of windows holds a
+    task's rows once for each of its sorts."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(1, min(cores, -(-n_rows // LEAST_ROWS)), -(-n_rows // MOST_ROWS)), "combo_id")
 
 
 def own_teams(feed: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from ..functions import fixed as K
 from ..functions.expr import (
     count_where as C, exact_sum, goal_distance_m, has, in_penalty_area, is_base_pass, is_restart, pct, ratio, rnd,
 )
-from .common import TEAM, own_teams, spine
+from .common import TEAM, by_match, own_teams, spine
 from .possession import field_tilt_possession, possession_share, ppda_possession
 
 _SEQ = ["combo_id", "seq_id"]
@@ -28,7 +28,7 @@ def sequence_events(feed: DataFrame) -> DataFrame:
     et, team = F.col("etype"), F.col("team_id")
     stop = et.isin(*K.STOP_TYPES)
     own_goal = (et == "Goal") & has("OwnGoal")
-    kept = feed.filter(stop | (~et.isin(*K.SKIPPED_TYPES) & team.isNotNull()))
+    kept = by_match(feed.filter(stop | (~et.isin(*K.SKIPPED_TYPES) & team.isNotNull())), feed.count())
 
     def one(cond: Column) -> Column:
         return F.when(cond, 1).otherwise(0)
