@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import fixed as K
 from ..functions.expr import constant_map, with_flags
+from ..operators.common import by_match
 from ..sinks.shared import input_state, written
 
 INPUTS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -357,11 +358,11 @@ class Tables:
                 deps, sql = TABLES[name]
                 df = self.spark.sql(sql, **{d: self[d] for d in deps})
                 if name == "squad":
-                    df = self._once(name, df)
+                    df = self.once(name, by_match(df, self._stored.count()))
             self._made[name] = df
         return self._made[name]
 
-    def _once(self, name: str, df: DataFrame) -> DataFrame:
+    def once(self, name: str, df: DataFrame) -> DataFrame:
         """Writes a table that others are derived from once per application and input directory."""
         key = (*self.version, name)
         if key not in _STORED:
