@@ -258,7 +258,9 @@ query("x07_bad_sides")(lambda t: identity.bad_sides(t["ev_lineups"]))
 # The documents are made from the adapter tables and read back by the provider readers.
 
 def _paths(t: Tables) -> DataFrame:
-    return sample_docs.all_texts(t).select(F.concat_ws("/", F.lit("/data"), "combo_id", "provider", F.concat("file", F.lit(".json"))).alias("path"))
+    """The paths of the sample documents: a table, as a query may list them several times."""
+    paths = sample_docs.all_texts(t).select(F.concat_ws("/", F.lit("/data"), "combo_id", "provider", F.concat("file", F.lit(".json"))).alias("path"))
+    return t.once("paths", paths)
 
 
 def _events(t: Tables) -> DataFrame:
