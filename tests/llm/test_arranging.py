@@ -39,6 +39,18 @@ def test_words_encode_like_whole_texts(tokenizer):
     assert encoder.encode(["again", None])[1].tolist() == [1, 0]
 
 
+def test_closing_marks_do_not_make_new_words(tokenizer):
+    """One word under many closing marks is learned once; its ids are those of the whole text."""
+    rng, encoder = random.Random(2), WordEncoder()
+    marks = [*".,;:!?#$%&*+=@~()[]{}\"/-", "...", "!?", ".###", "-'", "'s", "'ll.", "`", "<", "|>", "…", "é.", "1,", "x̸", "≠"]
+    texts = [" ".join("word" + "".join(rng.choices(marks, k=rng.randint(0, 4))) for _ in range(20)) for _ in range(300)]
+    ids, n = encoder.encode(texts, 1)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [plain_ids(tokenizer, t, 1) for t in texts]
+    encoder._clear()
+    encoder.encode([f"word{m}" for m in "$#%&*"])
+    assert len(encoder.index) == 6
+
+
 @pytest.mark.parametrize("name", ["op2_mixing", "op3_top_k"])
 def test_registered_against_sql(spark, name):
     assert compare(QUERIES[name](spark, SF), connect(SF), ORACLES[name]) is None

@@ -1,8 +1,10 @@
 """Token ids of whole texts, with a task-wide memory of words.
 
 The vocabulary's normaliser and pre-tokeniser never look across ASCII white space, so the ids of a text are those of
-its words one after the other. Case of A-Z does not matter to it, and it cuts a point or comma off the letter before it.
-Words not yet known are encoded together in one call and told apart by the closing ids or by their offsets. This holds
+its words one after the other. Case of A-Z does not matter to it, and it cuts closing punctuation off the letter before it; so words are
+remembered without the marks that follow them. Apostrophes and the signs of special tokens stay where they are.
+A word of lower-case ASCII letters passes normaliser and pre-tokeniser as it is and goes to the model at once. Other words
+not yet known are encoded together in one call and told apart by the closing ids or by their offsets. This holds
 for vocabularies of that kind, which `word_bpe_49k.json` is; the tests compare it with the encoding of whole texts.
 """
 
@@ -18,7 +20,8 @@ from touchline.llm.text import ragged
 
 KNOWN_WORDS = 800_000
 JOINED_WORDS = 2_000
-_CLOSING = re.compile(rb"[.,](?<=[a-z][.,])(?=\s|\Z)")
+_MARKS = rb"[.,;:!?#$%&*+=@~()\[\]{}\"/-]"
+_CLOSING = re.compile(rb"%b(?<=[a-z]%b)%b*+(?=\s|\Z)" % (_MARKS, _MARKS, _MARKS))
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -73,9 +76,14 @@ class WordEncoder:
         while len(self.index) > len(self.first):
             self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
         said = [w.decode() for w in new]
+        letters = np.fromiter((w.isalpha() and w.islower() for w in new), bool, len(new))
+        at = np.flatnonzero(letters)
+        tokenize = self.tokenizer.model.tokenize
+        ids = [[t.id for t in tokenize(said[i])] for i in at.tolist()]
+        self._keep(base + at, np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
         plain = np.fromiter(map(str.isalpha, said), bool, len(said))
         for one_piece in (True, False):
-            places = np.flatnonzero(plain == one_piece)
+            places = np.flatnonzero((plain == one_piece) & ~letters)
             for lo in range(0, len(places), JOINED_WORDS):
                 at = places[lo:lo + JOINED_WORDS]
                 text = [said[i] for i in at.tolist()]
