@@ -24,3 +24,26 @@ def test_every_link_of_a_document_is_counted(spark):
     plain = jaccard.jaccard_components(docs, links=False)
     assert plain.columns == ["doc_id", "n_shingles", "component_id"]
     assert sorted(map(tuple, plain.collect())) == sorted((r.doc_id, r.n_shingles, r.component_id) for r in got)
+
+
+def test_a_crowd_of_near_copies_is_not_paired_in_full(spark, monkeypatch):
+    """Sets with other edits of one text meet in the same lists: few pairs are compared, components are those of all pairs."""
+    rng, rows, compared = random.Random(12), [], []
+    base = [f"w{i}" for i in range(400)]
+    for _ in range(120):
+        ws = list(base)
+        for at in rng.sample(range(400), rng.choice([2, 4, 6, 8, 16])):
+            ws[at] = f"x{rng.randrange(10**6)}"
+        rows.append(" ".join(ws))
+    sets = [{tuple(ws[i:i + 3]) for i in range(len(ws) - 2)} for ws in map(str.split, rows)]
+    root = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 90 * len(a | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    plain = jaccard._overlaps
+    monkeypatch.setattr(jaccard, "_overlaps", lambda pairs, sets: compared.append(pairs.count()) or plain(pairs, sets))
+    got = jaccard.jaccard_components(cases.documents(spark, rows=rows), links=False).collect()
+    assert {r.doc_id: r.component_id for r in got} == {3 * i: 3 * r for i, r in enumerate(root)}
+    assert len(set(root)) < 80 and sum(compared) < 1000

@@ -10,9 +10,10 @@ whole sequence; no words: empty, linked with nothing). Two documents link when 1
 3. A list is laid out in blocks by size class and position. A set probes the two size classes that can hold its
    partners, and skips every block whose position leaves too few elements for the overlap that a link needs.
    The elements of each class of hashes are counted once a set; pairs whose counts leave too few in common go too, first
-   those told by the parities of the counts, within the probe.
+   those told by the parities of the counts, within the probe; by more of them where `MANY` sets meet in a list.
 4. Each set is first compared with one leader only, the set that most of its lists name first. Its links are derived from
-   that answer: a set linked to its leader is in the leader's component and meets no other set of it. Between two
+   that answer: a set linked to its leader is in the leader's component and meets no other set of it. In `ROUNDS` further
+   rounds each set of a list of `MANY` is compared with one of the list's largest component, unless it is in it. Between two
    components, d(x, y) >= d(leader x, leader y) - d(x, leader x) - d(y, leader y) (Jaccard distance is a metric) rules
    pairs out without reading their sets; only the pairs left are compared. Where links are counted, pairs within a
    component are compared like all others.
@@ -34,7 +35,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.tables import one_id_a_text, sized, small_batches
@@ -43,7 +44,8 @@ from touchline.sinks.shared import written
 
 SIZE, PCT = 3, 90
 CLASSES = 64
-PARITIES = 2
+PARITIES, FINE = 2, 8
+MANY, ROUNDS = 8, 2
 HOT_LEAST, HOT_MOST = 32, 1 << 17
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -88,9 +90,9 @@ def class_counts(s: np.ndarray) -> bytes:
 
 
 def parities(s: np.ndarray) -> list[int]:
-    """`PARITIES` times 64 bits: whether a class of hashes holds an odd number of the set's elements."""
-    odd = np.bincount(s >> 6 & (64 * PARITIES - 1), minlength=64 * PARITIES) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+    """Whether a class of hashes holds an odd number of the set's elements: of `PARITIES` times 64 classes, then of `FINE` times 64."""
+    odd = [np.bincount(s >> 6 & (64 * k - 1), minlength=64 * k) & 1 for k in (PARITIES, FINE)]
+    return np.packbits(np.concatenate(odd).astype(np.uint8)).view(np.int64).tolist()
 
 
 def _prints(rows: DataFrame, size: int, pct: int) -> DataFrame:
@@ -129,8 +131,12 @@ def _postings(rows: DataFrame, size: int, pct: int, hot: np.ndarray) -> DataFram
     return rows.mapInArrow(task, "token long, doc_id long, n int, pos int")
 
 
+def _ids(pairs: DataFrame) -> DataFrame:
+    return written(pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct(), "wanted")
+
+
 def _possible(pairs: DataFrame, counts: DataFrame, pct: int) -> DataFrame:
-    """The rows of (x, y, ...) pairs that may link: two sets have no more than min(a, b) common elements of a class of hashes."""
+    """The rows of (x, y, ...) pairs, a written table, that may link: two sets have no more than min(a, b) common elements of a class of hashes."""
     names = pairs.columns
 
     def table(column):
@@ -147,7 +153,8 @@ def _possible(pairs: DataFrame, counts: DataFrame, pct: int) -> DataFrame:
                 stays[told] = 100 * most >= pct * (a.sum(1, dtype=np.int64) + b.sum(1, dtype=np.int64) - most)
             yield batch.filter(pa.array(stays)).select(names)
 
-    both = pairs.join(sized(counts, 128).toDF("x", "_a"), "x").join(sized(counts, 128).toDF("y", "_b"), "y")
+    counts = sized(written(counts.join(sized(_ids(pairs), 16), F.col("doc_id") == F.col("id"), "left_semi"), "wanted-counts"), 128)
+    both = pairs.join(counts.toDF("x", "_a"), "x").join(counts.toDF("y", "_b"), "y")
     return both.select(*names, "_a", "_b").mapInArrow(task, pairs.schema)
 
 
@@ -215,60 +222,89 @@ def _components_of(docs: DataFrame, size: int, pct: int, count: bool) -> DataFra
 
     # the sets that stand for all equal ones, once each
     chosen = prints.join(sized(member.where("doc_id = rep").select("doc_id", "th"), 24), ["doc_id", "th"], "left_semi")
-    traits = written(chosen.select("doc_id", "classes", *(F.col("odd")[i].alias(f"odd{i}") for i in range(PARITIES))).dropDuplicates(["doc_id"]), "set-traits")
+    traits = written(chosen.select("doc_id", "classes", *(F.col("odd")[i].alias(f"odd{i}") for i in range(PARITIES + FINE))).dropDuplicates(["doc_id"]), "set-traits")
     plain = chosen.select(F.explode("prefix").alias("token")).groupBy("token").count()
     plain = written(plain.where(F.col("count") > HOT_LEAST), "frequent")
     total = prints.agg(F.sum(F.col("n") - F.ceil(F.col("n") * pct / 100) + 1)).first()[0] or 0
     hot = np.array([r.token for r in plain.where(F.col("count") > max(HOT_LEAST, total // HOT_MOST)).select("token").collect()], np.int64)
 
-    by_token = Window.partitionBy("token")
-    lists = (_postings(rows, size, pct, hot).withColumn("lo", F.min("doc_id").over(by_token)).withColumn("hi", F.max("doc_id").over(by_token))
-             .where("lo <> hi").drop("lo", "hi"))
+    # a row of a list stays if another set of its size class or a neighbouring one is in the list
+    near = Window.partitionBy("token").orderBy("class").rangeBetween(-1, 1)
     size_class = F.floor(F.log("n") / -np.log(pct / 100)).cast("int")
-    lists = written(lists.withColumn("class", size_class), "lists")
+    lists = (_postings(rows, size, pct, hot).withColumn("class", size_class)
+             .withColumns({"lo": F.min("doc_id").over(near), "hi": F.max("doc_id").over(near), "many": F.count("*").over(near) >= MANY})
+             .where("lo <> hi").drop("lo", "hi"))
+    lists = written(lists, "lists")
     # of two sets the larger (ties: the one with the larger id) probes, the other is indexed by its shorter index prefix
     index_length = F.col("n") - F.ceil(2 * pct * F.col("n") / (100 + pct)) + 1
-    index = lists.where(F.col("pos") < index_length).select("token", "class", F.col("doc_id").alias("y"), F.col("n").alias("m"), F.col("pos").alias("j"))
-    probes = lists.select("token", F.explode(F.array("class", F.col("class") - 1)).alias("class"), F.col("doc_id").alias("x"), "n", F.col("pos").alias("i"))
+
+    def indexed(lists: DataFrame, *more: Column) -> DataFrame:
+        return lists.where(F.col("pos") < index_length).select("token", "class", F.col("doc_id").alias("y"), F.col("n").alias("m"), F.col("pos").alias("j"), *more)
+
+    def probing(lists: DataFrame, *more: Column) -> DataFrame:
+        return lists.select("token", F.explode(F.array("class", F.col("class") - 1)).alias("class"), F.col("doc_id").alias("x"), "n", F.col("pos").alias("i"), *more)
+
+    index, probes = indexed(lists), probing(lists)
     overlap = F.ceil(pct * (F.col("n") + F.col("m")) / (100 + pct))
     fits = ((F.struct("m", "y") < F.struct("n", "x")) & (100 * F.col("m") >= pct * F.col("n")) & (F.col("x") != F.col("y"))
             & (F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= overlap))
 
-    first = index.groupBy("token", "class").agg(F.min(F.struct("y", "m", "j")).alias("b")).select("token", "class", "b.*")
-    named = probes.join(first, ["token", "class"]).where(fits).groupBy("x", "y").count()
-    best = written(named.groupBy("x").agg(F.max(F.struct("count", (-F.col("y")).alias("y"))).alias("b")).select("x", (-F.col("b.y")).alias("y")), "leader-pairs")
-    ids = lambda p: written(p.select(F.col("x").alias("id")).union(p.select("y")).distinct(), "wanted")
     linked = 100 * F.col("inter") >= pct * (F.col("nx") + F.col("ny") - F.col("inter"))
     distance = (1 - F.col("inter") / (F.col("nx") + F.col("ny") - F.col("inter")))
-    answers = written(_overlaps(best, _sets(rows, ids(best), size)).withColumn("linked", linked).withColumn("d", distance), "leader-answers")
+
+    def asked(named: DataFrame) -> DataFrame:
+        """Each set's answer from the set that most of its lists name."""
+        best = named.groupBy("x", "y").count().groupBy("x").agg(F.max(F.struct("count", (-F.col("y")).alias("y"))).alias("b")).select("x", (-F.col("b.y")).alias("y"))
+        best = written(_possible(written(best, "named-pairs"), traits.select("doc_id", "classes"), pct), "leader-pairs")
+        return written(_overlaps(best, _sets(rows, _ids(best), size)).withColumn("linked", linked).withColumn("d", distance), "leader-answers")
+
+    first = index.groupBy("token", "class").agg(F.min(F.struct("y", "m", "j")).alias("b")).select("token", "class", "b.*")
+    answers = asked(probes.join(first, ["token", "class"]).where(fits))
+    for turn in range(ROUNDS):
+        found = components(answers.where("linked").select("x", "y"))
+        place = found.join(found.groupBy("component").agg(F.count("*").alias("members")), "component")
+        place = sized(written(place.select("id", "component", "members"), "placed"), 40)
+        crowd = probing(lists.where("many")).join(place.toDF("x", "x_component", "_n"), "x", "left").withColumn("x_component", F.coalesce("x_component", "x")).drop("_n")
+        large = indexed(lists.where("many")).join(place.toDF("y", "y_component", "members"), "y", "left").withColumn("y_component", F.coalesce("y_component", "y"))
+        chance = [F.xxhash64(c, F.lit(turn)) for c in ("y_component", "y")]
+        large = (large.groupBy("token", "class").agg(F.max(F.struct(F.coalesce("members", F.lit(1)), *chance, "y_component", "y", "m", "j")).alias("b"))
+                 .select("token", "class", "b.y_component", "b.y", "b.m", "b.j"))
+        more = asked(crowd.join(large, ["token", "class"]).where(fits & (F.col("x_component") != F.col("y_component"))).join(answers.select("x", "y"), ["x", "y"], "left_anti"))
+        if more.where("linked").isEmpty():
+            break
+        answers = answers.union(more)
 
     links = answers.where("linked").select("x", "y")
     found = components(links)
-    led = written(answers.where("linked").select(F.col("x").alias("id"), F.col("y").alias("leader"), "d").join(found, "id", "outer")
-                  .select("id", F.coalesce("leader", "id").alias("leader"), F.coalesce("d", F.lit(0.0)).alias("d"), "component"), "led")
+    nearest = answers.where("linked").groupBy("x").agg(F.min(F.struct("d", "y")).alias("b")).select(F.col("x").alias("id"), F.col("b.y").alias("leader"), "b.d")
+    led = written(nearest.join(found, "id", "outer").select("id", F.coalesce("leader", "id").alias("leader"), F.coalesce("d", F.lit(0.0)).alias("d"), "component"), "led")
     place = sized(led.select("id", "component"), 32)
-    odd = sized(traits.drop("classes"), 48)
+    bits = range(PARITIES + FINE)
+    odd = sized(traits.drop("classes"), 16 + 8 * len(bits))
+
+    laid = lists.join(place.withColumnRenamed("id", "doc_id"), "doc_id", "left").join(odd, "doc_id", "left")
+    laid = laid.withColumns({f"odd{i}": F.when(F.col("many"), F.col(f"odd{i}")) for i in bits[PARITIES:]})
 
-    def put(rows: DataFrame, key: str) -> DataFrame:
-        return (rows.join(place.toDF(key, f"{key}_component"), key, "left")
-                .join(odd.toDF(key, *(f"{key}_odd{i}" for i in range(PARITIES))), key, "left"))
+    def put(key: str) -> list[Column]:
+        return [F.col(c).alias(f"{key}_{c}") for c in ("component", *(f"odd{i}" for i in bits))]
 
     # two sets known to be in one component need no comparison, unless their links are counted
     apart = F.lit(True) if count else F.coalesce("x_component", "x") != F.coalesce("y_component", "y")
     # a class that is odd in one set alone has an element of the difference, whose size a link bounds
-    differ = sum((F.bit_count(F.col(f"x_odd{i}").bitwiseXOR(F.col(f"y_odd{i}"))) for i in range(PARITIES)), F.lit(0))
-    open_ = (put(probes, "x").join(put(index, "y"), ["token", "class"]).where(fits & apart & (differ <= F.col("n") + F.col("m") - 2 * overlap))
-             .select("x", "y").distinct().join(best, ["x", "y"], "left_anti"))
+    unlike = [F.bit_count(F.col(f"x_odd{i}").bitwiseXOR(F.col(f"y_odd{i}"))) for i in bits]
+    differ = F.greatest(sum(unlike[:PARITIES], F.lit(0)), sum(unlike[PARITIES:], F.lit(0)))  # nulls, of short lists, are skipped
+    open_ = (probing(laid, *put("x")).join(indexed(laid, *put("y")), ["token", "class"]).where(fits & apart & (differ <= F.col("n") + F.col("m") - 2 * overlap))
+             .select("x", "y").distinct().join(answers.select("x", "y"), ["x", "y"], "left_anti"))
     for s in ("x", "y"):
         named = sized(led.drop("component"), 40).toDF(s, f"_l{s}", f"_d{s}")
         open_ = open_.join(named, s, "left").withColumns({f"l{s}": F.coalesce(f"_l{s}", s), f"d{s}": F.coalesce(f"_d{s}", F.lit(0.0))}).drop(f"_l{s}", f"_d{s}")
-    open_ = written(_possible(open_.select("x", "y", "lx", "ly", "dx", "dy"), traits.select("doc_id", "classes"), pct), "open-pairs")
+    open_ = written(_possible(written(open_.select("x", "y", "lx", "ly", "dx", "dy"), "likely-pairs"), traits.select("doc_id", "classes"), pct), "open-pairs")
     leaders = written(open_.where("dx + dy > 0").select(F.least("lx", "ly").alias("x"), F.greatest("lx", "ly").alias("y")).where("x <> y").distinct(), "leader-pairs")
-    between = _overlaps(leaders, _sets(rows, ids(leaders), size)).select(F.col("x").alias("a"), F.col("y").alias("b"), distance.alias("between"))
+    between = _overlaps(leaders, _sets(rows, _ids(leaders), size)).select(F.col("x").alias("a"), F.col("y").alias("b"), distance.alias("between"))
     left = (open_.join(between, (F.least("lx", "ly") == F.col("a")) & (F.greatest("lx", "ly") == F.col("b")), "left")
             .where(F.col("between").isNull() | (F.col("between") - F.col("dx") - F.col("dy") <= 1 - pct / 100 + 1e-9)).select("x", "y"))
     left = written(left, "pairs-left")
-    more = written(_overlaps(left, _sets(rows, ids(left), size)).where(linked).select("x", "y"), "links")
+    more = written(_overlaps(left, _sets(rows, _ids(left), size)).where(linked).select("x", "y"), "links")
     links = links.union(more)
 
     node = (member.join(components(links).toDF("rep", "component"), "rep", "left")
