@@ -4,6 +4,7 @@ import corpus_pipeline as P
 import pytest
 
 from cases import SF, docs, duck, no_docs, odd_docs  # noqa: F401
+from touchline.llm import orc_tokens, text
 from touchline.sinks.shared import written
 
 
@@ -91,3 +92,12 @@ def test_registered():
     queries = entry.queries()
     assert "pipeline" in queries and sum(k.startswith("op") and k[2].isdigit() for k in queries) == 13
     assert {k for k in entry.oracle_sql() if k[:2] == "op" and k[2].isdigit()} == {"op1_jaccard_join", "op2_mixing", "op3_top_k", "op6_substring_dedup", "op11_prefix_trie", "op12_vector_codes"}
+
+
+def test_a_worker_keeps_the_memory_of_one_operator():
+    """Words learned by one stage go when a task of another stage begins in the same worker."""
+    said = text.word_hashes()
+    assert text.word_hashes() is said
+    words = orc_tokens.encoder(None)
+    assert orc_tokens.encoder(None) is words and list(text._MEMORY.values()) == [words]
+    assert text.word_hashes() is not said and len(text._MEMORY) == 1

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.tables import small_batches
-from touchline.llm.text import text_batches
+from touchline.llm.text import remembered, text_batches
 
 CHARS_PER_LANG = 40_000
 DOCS_PER_LANG = 60
@@ -84,7 +84,7 @@ def phrases(start: dict, text: str) -> int:
 
 
 class Identifier:
-    """Parses each word, with the blanks around it, once per task and remembers its phrase counts in all languages."""
+    """Parses each word, with the blanks around it, once per worker and remembers its phrase counts in all languages."""
 
     def __init__(self, training: dict[str, str]):
         self.langs = sorted(training)
@@ -144,7 +144,7 @@ def identified(docs: DataFrame, training: dict[str, str], text_col: str = "text"
     rows = docs.select(*names, F.col(text_col).cast("string").alias("__lang_said"))
 
     def task(batches):
-        model = Identifier(shared.value)
+        model = remembered(("languages", *shared.value.items()), lambda: Identifier(shared.value))
         for batch, texts in text_batches(batches, "__lang_said"):
             found = [model.identify(t) for t in texts]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],

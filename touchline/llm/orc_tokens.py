@@ -13,7 +13,6 @@ id and text are not read. Only one row per file meets in one task.
 
 from __future__ import annotations
 
-import functools
 import uuid
 import zlib
 
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.text import text_batches
+from touchline.llm.text import remembered, text_batches
 from touchline.llm.tokens import WordEncoder
 from touchline.sinks.shared import shared_dir
 
@@ -30,10 +29,9 @@ SCHEMA = "doc_id long, pos long, n_tokens long, ids array<int>"
 STRIPE_BYTES, ROWS_PER_INDEX, FALSE_POSITIVES = 32 << 20, 10_000, 0.01
 
 
-@functools.lru_cache(maxsize=1)
 def encoder(path: str | None) -> WordEncoder:
     """One per Python worker, so that words learned in a task serve the next."""
-    return WordEncoder(path)
+    return remembered(("encoder", path), lambda: WordEncoder(path))
 
 
 def write_tokens(docs: DataFrame, path: str, end_id: int, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
