@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import cases
+import numpy as np
 import pytest
 
 from cases import SF, docs, duck, no_docs, odd_docs  # noqa: F401
@@ -49,6 +50,59 @@ def test_jaccard_other_parameters(spark):
     assert found == {3 * i: 3 * find(i) for i in range(len(rows))}
 
 
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for n, m, k in ((1, 1, 0), (1, 1, 1), (70, 60, 30), (500, 450, 0), (500, 450, 449), (5000, 4100, 10), (5000, 4100, 3500)):
+        own = rng.integers(-(1 << 63), (1 << 63) - 1, n + m - k)
+        a, b = own[:n], own[n - k:]
+        found = jaccard.unlike(jaccard.sketch(a), jaccard.sketch(b))
+        assert found == jaccard.unlike(jaccard.sketch(b), jaccard.sketch(a)) <= n + m - 2 * k
+        assert found > 0 or n + m == 2 * k or n + m < 3
+        assert n < 500 or k > 10 or found > 0.2 * (n + m)  # a link at 80 percent has 0.112 at most
+
+
+def test_long_texts_with_one_phrase_in_common_are_not_read(spark, monkeypatch):
+    """Each two of 40 texts share one phrase of their own; the pairs are told before sets are read, links are found."""
+    rng = random.Random(8)
+    said = [[f"a{g}x{rng.randrange(10 ** 9)}" for _ in range(4000)] for g in range(40)]
+    for g in range(40):
+        for h in range(g):
+            phrase = [f"p{g}x{h}x{i}" for i in range(5)]
+            for ws, at in ((said[g], h), (said[h], g)):
+                ws[20 * at:20 * at + 5] = phrase
+    near = list(said[7])
+    near[3900] = "changed"
+    read, real = [], jaccard._overlaps
+    monkeypatch.setattr(jaccard, "_overlaps", lambda pairs, sets: (read.append(pairs), real(pairs, sets))[1])
+    found = jaccard.jaccard_components(cases.documents(spark, rows=[*map(" ".join, said), " ".join(near)]), size=5, pct=80)
+    assert {r.doc_id: r.component_id for r in found.collect()} == {**{3 * i: 3 * i for i in range(40)}, 120: 21}
+    assert {(r.x, r.y) for pairs in read for r in pairs.select("x", "y").collect()} <= {(21, 120), (120, 21)}
+
+
+@pytest.mark.parametrize("words, size, pct", [(90, 1, 3), (230, 3, 90)])
+def test_links_of_sets_at_the_border(spark, words, size, pct):
+    """Texts that share more and more words from their start or end, against all pairs."""
+    rng = random.Random(words + pct)
+    base = [f"b{i}" for i in range(words)]
+    rows = [base]
+    for k in range(0, words + 1, 4):
+        new = [f"n{k}x{i}x{rng.randrange(10 ** 9)}" for i in range(words - k)]
+        rows += [base[:k] + new, new[:len(new) // 2] + base[words - k:]]
+    sets = [{tuple(r[i:i + size]) for i in range(len(r) - size + 1)} or {tuple(r)} for r in rows]
+    links = [[j for j in range(len(rows)) if j != i and 100 * len(sets[i] & sets[j]) >= pct * len(sets[i] | sets[j])] for i in range(len(rows))]
+    found = jaccard.jaccard_components(cases.documents(spark, rows=[" ".join(r) for r in rows]), size=size, pct=pct).collect()
+    assert {r.doc_id: r.n_links for r in found} == {3 * i: len(links[i]) for i in range(len(rows))}
+    seen: dict[int, int] = {}
+    for i in range(len(rows)):
+        todo = [i] if i not in seen else []
+        while todo:
+            at = todo.pop()
+            if at not in seen:
+                seen[at] = i
+                todo += links[at]
+    assert {r.doc_id: r.component_id for r in found} == {3 * i: 3 * c for i, c in seen.items()}
+
+
 def test_jaccard_odd_rows(odd_docs, no_docs):
     rows = jaccard.jaccard_components(odd_docs).collect()
     assert len(rows) == odd_docs.count()

@@ -9,8 +9,11 @@ whole sequence; no words: empty, linked with nothing). Two documents link when 1
    or more sets are kept.
 3. A list is laid out in blocks by size class and position. A set probes the two size classes that can hold its
    partners, and skips every block whose position leaves too few elements for the overlap that a link needs.
+   Prefixes of sets of `SHARE_EVERY` elements or more are so much longer that linked sets share up to `SHARE` elements of
+   them; pairs that share fewer, like most that have one phrase in common by chance, go.
    The elements of each class of hashes are counted once a set; pairs whose counts leave too few in common go too, first
-   those told by the parities of the counts, within the probe; by more of them where `MANY` sets meet in a list.
+   those told by the parities of the counts, within the probe; by more of them where `MANY` sets meet in a list. Before
+   sets are read, the pairs left are told by parities of as many classes as a set has elements.
 4. Each set is first compared with one leader only, the set that most of its lists name first. Its links are derived from
    that answer: a set linked to its leader is in the leader's component and meets no other set of it. In `ROUNDS` further
    rounds each set of a list of `MANY` is compared with one of the list's largest component, unless it is in it. Between two
@@ -46,6 +49,7 @@ SIZE, PCT = 3, 90
 CLASSES = 64
 PARITIES, FINE = 2, 8
 MANY, ROUNDS = 8, 2
+SHARE, SHARE_EVERY = 4, 64
 HOT_LEAST, HOT_MOST = 32, 1 << 17
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -62,6 +66,11 @@ def need(n, pct: int):
     return -(-pct * n // 100)
 
 
+def shared(n: int) -> int:
+    """Common elements that the prefixes of two linked sets hold at least, if n is the size of the smaller one and its overlap is not less."""
+    return min(SHARE, 1 + n // SHARE_EVERY)
+
+
 def ordered_prefix(sorted_set: np.ndarray, hot: np.ndarray, length: int) -> np.ndarray:
     """The first elements in the global order. `sorted_set` is in unsigned order; only the part that is needed is looked up in `hot`."""
 
@@ -95,8 +104,24 @@ def parities(s: np.ndarray) -> list[int]:
     return np.packbits(np.concatenate(odd).astype(np.uint8)).view(np.int64).tolist()
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Whether a class of hashes holds an odd number of the set's elements, a bit each; classes: its size or up to twice as many, a power of two."""
+    classes = 1 << max(6, (len(s) - 1).bit_length())
+    return np.packbits((np.bincount(s >> 6 & (classes - 1), minlength=classes) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def unlike(a: bytes, b: bytes) -> int:
+    """Elements that at least are in one of two sets alone, by their sketches."""
+    p, q = (np.frombuffer(x, np.uint8) for x in (a, b))
+    while len(p) > len(q):
+        p = p[:len(p) // 2] ^ p[len(p) // 2:]
+    while len(q) > len(p):
+        q = q[:len(q) // 2] ^ q[len(q) // 2:]
+    return int(np.bitwise_count(p ^ q).sum())
+
+
 def _prints(rows: DataFrame, size: int, pct: int) -> DataFrame:
-    """Size, digest, class counts and parities of each row's set, and the prefix it has in the order by hash alone."""
+    """Size, digest, class counts, parities and sketch of each row's set, and the prefix it has in the order by hash alone."""
 
     def task(batches):
         for batch, texts in text_batches(batches):
@@ -105,15 +130,15 @@ def _prints(rows: DataFrame, size: int, pct: int) -> DataFrame:
             prefix = [s[:len(s) - need(len(s), pct) + 1] if len(s) else s for s in sets]
             ends = pa.array(np.cumsum([0, *map(len, prefix)]).astype("i4"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()),
-                                              pa.array(map(class_counts, sets), pa.binary()), pa.array(map(parities, sets), pa.list_(pa.int64())), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(prefix)))],
-                                             names=["doc_id", "th", "n", "digest", "classes", "odd", "prefix"])
+                                              pa.array(map(class_counts, sets), pa.binary()), pa.array(map(parities, sets), pa.list_(pa.int64())), pa.array(map(sketch, sets), pa.binary()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(prefix)))],
+                                             names=["doc_id", "th", "n", "digest", "classes", "odd", "sketch", "prefix"])
 
-    return rows.mapInArrow(task, "doc_id long, th long, n long, digest binary, classes binary, odd array<long>, prefix array<long>")
+    return rows.mapInArrow(task, "doc_id long, th long, n long, digest binary, classes binary, odd array<long>, sketch binary, prefix array<long>")
 
 
 def _postings(rows: DataFrame, size: int, pct: int, hot: np.ndarray) -> DataFrame:
     """(token, doc_id, n, pos) of each set's prefix in the global order."""
-    shared = rows.sparkSession.sparkContext.broadcast(np.sort(hot))
+    known = rows.sparkSession.sparkContext.broadcast(np.sort(hot))
 
     def task(batches):
         for batch, texts in text_batches(batches):
@@ -121,7 +146,7 @@ def _postings(rows: DataFrame, size: int, pct: int, hot: np.ndarray) -> DataFram
             for t in texts:
                 s = shingles(t, size)
                 sizes.append(len(s))
-                parts.append(ordered_prefix(s, shared.value, len(s) - need(len(s), pct) + 1) if len(s) else s)
+                parts.append(ordered_prefix(s, known.value, len(s) - need(len(s), pct) + shared(len(s))) if len(s) else s)
             n = np.array([len(p) for p in parts])
             at = np.repeat(np.arange(len(n)), n)
             pos = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
@@ -135,8 +160,16 @@ def _ids(pairs: DataFrame) -> DataFrame:
     return written(pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct(), "wanted")
 
 
-def _possible(pairs: DataFrame, counts: DataFrame, pct: int) -> DataFrame:
-    """The rows of (x, y, ...) pairs, a written table, that may link: two sets have no more than min(a, b) common elements of a class of hashes."""
+def _of_both(pairs: DataFrame, traits: DataFrame, name: str, row_bytes: Column | int) -> DataFrame:
+    """The (x, y, ...) pairs, a written table, with `_a` and `_b`, the second column of `traits` (doc_id, ...) for x and y."""
+    known = sized(written(traits.join(sized(_ids(pairs), 16), F.col("doc_id") == F.col("id"), "left_semi"), name), row_bytes)
+    both = pairs.join(known.toDF("x", "_a"), "x").join(known.toDF("y", "_b"), "y")
+    return both.select(*pairs.columns, "_a", "_b")
+
+
+def _possible(pairs: DataFrame, traits: DataFrame, pct: int) -> DataFrame:
+    """The rows of (x, y, ...) pairs, a written table, that may link: two sets have no more than min(a, b) common elements of a class of hashes,
+    and no fewer different ones than classes that are odd in one set alone."""
     names = pairs.columns
 
     def table(column):
@@ -153,9 +186,17 @@ def _possible(pairs: DataFrame, counts: DataFrame, pct: int) -> DataFrame:
                 stays[told] = 100 * most >= pct * (a.sum(1, dtype=np.int64) + b.sum(1, dtype=np.int64) - most)
             yield batch.filter(pa.array(stays)).select(names)
 
-    counts = sized(written(counts.join(sized(_ids(pairs), 16), F.col("doc_id") == F.col("id"), "left_semi"), "wanted-counts"), 128)
-    both = pairs.join(counts.toDF("x", "_a"), "x").join(counts.toDF("y", "_b"), "y")
-    return both.select(*names, "_a", "_b").mapInArrow(task, pairs.schema)
+    def told_by_sketches(batches):
+        for batch in batches:
+            stays = []
+            for a, b in zip(batch.column("_a").to_pylist(), batch.column("_b").to_pylist()):
+                both = a["n"] + b["n"]
+                stays.append(unlike(a["sketch"], b["sketch"]) <= both - 2 * -(-pct * both // (100 + pct)))
+            yield batch.filter(pa.array(stays, pa.bool_())).select(names)
+
+    left = written(_of_both(pairs, traits.select("doc_id", "classes"), "wanted-counts", 128).mapInArrow(task, pairs.schema), "counted-pairs")
+    sketches = traits.select("doc_id", F.struct("n", "sketch").alias("_s"))
+    return _of_both(left, sketches, "wanted-sketches", 64 + F.octet_length("_s.sketch")).mapInArrow(told_by_sketches, pairs.schema)
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -222,7 +263,7 @@ def _components_of(docs: DataFrame, size: int, pct: int, count: bool) -> DataFra
 
     # the sets that stand for all equal ones, once each
     chosen = prints.join(sized(member.where("doc_id = rep").select("doc_id", "th"), 24), ["doc_id", "th"], "left_semi")
-    traits = written(chosen.select("doc_id", "classes", *(F.col("odd")[i].alias(f"odd{i}") for i in range(PARITIES + FINE))).dropDuplicates(["doc_id"]), "set-traits")
+    traits = written(chosen.select("doc_id", "n", "classes", "sketch", *(F.col("odd")[i].alias(f"odd{i}") for i in range(PARITIES + FINE))).dropDuplicates(["doc_id"]), "set-traits")
     plain = chosen.select(F.explode("prefix").alias("token")).groupBy("token").count()
     plain = written(plain.where(F.col("count") > HOT_LEAST), "frequent")
     total = prints.agg(F.sum(F.col("n") - F.ceil(F.col("n") * pct / 100) + 1)).first()[0] or 0
@@ -236,7 +277,8 @@ def _components_of(docs: DataFrame, size: int, pct: int, count: bool) -> DataFra
              .where("lo <> hi").drop("lo", "hi"))
     lists = written(lists, "lists")
     # of two sets the larger (ties: the one with the larger id) probes, the other is indexed by its shorter index prefix
-    index_length = F.col("n") - F.ceil(2 * pct * F.col("n") / (100 + pct)) + 1
+    least_shared = lambda n: F.least(F.lit(SHARE), 1 + F.floor(F.col(n) / SHARE_EVERY))
+    index_length = F.col("n") - F.ceil(2 * pct * F.col("n") / (100 + pct)) + least_shared("n")
 
     def indexed(lists: DataFrame, *more: Column) -> DataFrame:
         return lists.where(F.col("pos") < index_length).select("token", "class", F.col("doc_id").alias("y"), F.col("n").alias("m"), F.col("pos").alias("j"), *more)
@@ -246,8 +288,9 @@ def _components_of(docs: DataFrame, size: int, pct: int, count: bool) -> DataFra
 
     index, probes = indexed(lists), probing(lists)
     overlap = F.ceil(pct * (F.col("n") + F.col("m")) / (100 + pct))
+    hits = F.least(least_shared("m"), overlap)
     fits = ((F.struct("m", "y") < F.struct("n", "x")) & (100 * F.col("m") >= pct * F.col("n")) & (F.col("x") != F.col("y"))
-            & (F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= overlap))
+            & (F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) > overlap - hits))
 
     linked = 100 * F.col("inter") >= pct * (F.col("nx") + F.col("ny") - F.col("inter"))
     distance = (1 - F.col("inter") / (F.col("nx") + F.col("ny") - F.col("inter")))
@@ -255,7 +298,7 @@ def _components_of(docs: DataFrame, size: int, pct: int, count: bool) -> DataFra
     def asked(named: DataFrame) -> DataFrame:
         """Each set's answer from the set that most of its lists name."""
         best = named.groupBy("x", "y").count().groupBy("x").agg(F.max(F.struct("count", (-F.col("y")).alias("y"))).alias("b")).select("x", (-F.col("b.y")).alias("y"))
-        best = written(_possible(written(best, "named-pairs"), traits.select("doc_id", "classes"), pct), "leader-pairs")
+        best = written(_possible(written(best, "named-pairs"), traits, pct), "leader-pairs")
         return written(_overlaps(best, _sets(rows, _ids(best), size)).withColumn("linked", linked).withColumn("d", distance), "leader-answers")
 
     first = index.groupBy("token", "class").agg(F.min(F.struct("y", "m", "j")).alias("b")).select("token", "class", "b.*")
@@ -280,7 +323,7 @@ def _components_of(docs: DataFrame, size: int, pct: int, count: bool) -> DataFra
     led = written(nearest.join(found, "id", "outer").select("id", F.coalesce("leader", "id").alias("leader"), F.coalesce("d", F.lit(0.0)).alias("d"), "component"), "led")
     place = sized(led.select("id", "component"), 32)
     bits = range(PARITIES + FINE)
-    odd = sized(traits.drop("classes"), 16 + 8 * len(bits))
+    odd = sized(traits.drop("n", "classes", "sketch"), 16 + 8 * len(bits))
 
     laid = lists.join(place.withColumnRenamed("id", "doc_id"), "doc_id", "left").join(odd, "doc_id", "left")
     laid = laid.withColumns({f"odd{i}": F.when(F.col("many"), F.col(f"odd{i}")) for i in bits[PARITIES:]})
@@ -294,11 +337,11 @@ def _components_of(docs: DataFrame, size: int, pct: int, count: bool) -> DataFra
     unlike = [F.bit_count(F.col(f"x_odd{i}").bitwiseXOR(F.col(f"y_odd{i}"))) for i in bits]
     differ = F.greatest(sum(unlike[:PARITIES], F.lit(0)), sum(unlike[PARITIES:], F.lit(0)))  # nulls, of short lists, are skipped
     open_ = (probing(laid, *put("x")).join(indexed(laid, *put("y")), ["token", "class"]).where(fits & apart & (differ <= F.col("n") + F.col("m") - 2 * overlap))
-             .select("x", "y").distinct().join(answers.select("x", "y"), ["x", "y"], "left_anti"))
+             .groupBy("x", "y").agg(F.count("*").alias("found"), F.min(hits).alias("hits")).where("found >= hits").select("x", "y").join(answers.select("x", "y"), ["x", "y"], "left_anti"))
     for s in ("x", "y"):
         named = sized(led.drop("component"), 40).toDF(s, f"_l{s}", f"_d{s}")
         open_ = open_.join(named, s, "left").withColumns({f"l{s}": F.coalesce(f"_l{s}", s), f"d{s}": F.coalesce(f"_d{s}", F.lit(0.0))}).drop(f"_l{s}", f"_d{s}")
-    open_ = written(_possible(written(open_.select("x", "y", "lx", "ly", "dx", "dy"), "likely-pairs"), traits.select("doc_id", "classes"), pct), "open-pairs")
+    open_ = written(_possible(written(open_.select("x", "y", "lx", "ly", "dx", "dy"), "likely-pairs"), traits, pct), "open-pairs")
     leaders = written(open_.where("dx + dy > 0").select(F.least("lx", "ly").alias("x"), F.greatest("lx", "ly").alias("y")).where("x <> y").distinct(), "leader-pairs")
     between = _overlaps(leaders, _sets(rows, _ids(leaders), size)).select(F.col("x").alias("a"), F.col("y").alias("b"), distance.alias("between"))
     left = (open_.join(between, (F.least("lx", "ly") == F.col("a")) & (F.greatest("lx", "ly") == F.col("b")), "left")
