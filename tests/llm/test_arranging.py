@@ -99,6 +99,22 @@ def test_texts_of_one_id_are_drawn_each_on_its_own(spark):
     assert all(words[t] == per_text.get(next(iter(h)), 0) for t, h in first.items())
 
 
+def test_only_cut_and_repeated_rows_are_joined_with_their_draws(spark, odd_docs, monkeypatch):
+    """The mixture in one shuffle of its texts is the mixture of `mix`, places included."""
+    rows = [(i, f"w{i} " * (1 + i % 7), "stu"[i % 3]) for i in range(3000)] + [(5, "w5 " * 6, "s"), (5, "w5 " * 6, None), (7, "another", "t"), (None, "n m", "t"), (None, None, "u")]
+    some = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    joined, real = [], mixing._taken
+    for docs in (some, odd_docs, some.limit(0)):
+        whole = mixing.mixture(docs, mixing.mix(docs))
+        monkeypatch.setattr(mixing, "_taken", lambda docs, *more: (joined.append(docs), real(docs, *more))[1])
+        direct = mixing.mixed_documents(docs)
+        monkeypatch.setattr(mixing, "_taken", real)
+        assert direct.columns == docs.columns
+        assert sorted(map(repr, direct.collect())) == sorted(map(repr, whole.collect()))
+    assert {(r.doc_id, r.text) for r in joined[0].collect()} >= {(5, "w5 " * 6)}
+    assert joined[0].count() < 30
+
+
 def check_pieces(pieces, texts, tokenizer, window):
     """Every id of every document in exactly one piece, sequences gapless and within the window."""
     want = {i: plain_ids(tokenizer, t, 1) for i, t in texts.items()}

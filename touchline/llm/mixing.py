@@ -9,7 +9,7 @@ divides the quotas of all sources exactly among `shards` output shards: at every
 says how many of each source's blocks go left. Each shard then takes its own interval of the source's permuted draws, so
 no draw is used twice, and rows are shuffled within their shard. Reruns agree: everything follows from the seed.
 
-Only one row per source reaches the driver. All other work is grouped by (source, block), so a hot source is spread.
+Only one row per source reaches the driver; the plan of the blocks is broadcast if it is small. All other work is grouped by (source, block), so a hot source is spread.
 A null or empty text has size 0 and is taken with 0 words; repeated rows are mixed each on its own; a source without
 words has target 0. Columns besides id, text and source are not read.
 """
@@ -17,7 +17,7 @@ words has target 0. Columns besides id, text and source are not read.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.tables import sized
@@ -63,15 +63,17 @@ def split_quotas(draws: list[int], shards: int, seed: str = SEED) -> np.ndarray:
     return out
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED, shards: int = SHARDS,
-        budget: float = BUDGET, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """One row per input row: doc_id, th (hash of its text), source, size, source_size, target, taken and `draws`, an array of (shard, place, words)."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(source_col).cast("string").alias("source"),
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str, *more: Column) -> DataFrame:
+    rows = docs.select(*more, F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(source_col).cast("string").alias("source"),
                        F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
                        F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))).alias("_key"))
-    rows = rows.withColumn("_block", F.substring("_key", 1, BLOCK_DIGITS))
-    blocks = rows.groupBy("source", "_block").agg(F.sum("size").alias("_words"))
+    return rows.withColumn("_block", F.substring("_key", 1, BLOCK_DIGITS))
+
+
+def _planned(rows: DataFrame, seed: str, shards: int, budget: float, weights: tuple[int, ...], max_repeats: int) -> tuple[DataFrame, DataFrame]:
+    """What is drawn of each block, and where the draws of each source end in each shard."""
+    spark = rows.sparkSession
+    blocks = written(rows.groupBy("source", "_block").agg(F.sum("size").alias("_words")), "mix-blocks")
     found = blocks.groupBy("source").agg(F.sum("_words").alias("s"), F.count("*").alias("n")).orderBy(F.col("source").asc_nulls_last()).collect()
     sizes = [r.s for r in found]
     wanted = targets(sizes, budget, weights, max_repeats)
@@ -86,31 +88,54 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
               .withColumn("_n", F.count("*").over(Window.partitionBy("source"))))
     drawn = {r.source: r.d for r in blocks.groupBy("source").agg(F.sum(F.col("_passes") + (F.col("_before") < F.col("_rest")).cast("long")).alias("d")).collect()}
     quotas = split_quotas([drawn[r.source] for r in found], shards, seed)
-    ends = spark.createDataFrame([(r.source, np.cumsum(q).tolist()) for r, q in zip(found, quotas)], "_source string, _ends array<long>")
-    blocks = blocks.join(ends, F.col("source").eqNullSafe(F.col("_source"))).select(F.col("source").alias("_source"), F.col("_block").alias("_b"), "source_size",
-                                                                                   "target", "_passes", "_rest", "_before", "_nth", "_n", "_words", "_ends")
-    rows = rows.join(blocks, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_block") == F.col("_b")))
+    ends = spark.createDataFrame([(r.source, np.cumsum(q).tolist()) for r, q in zip(found, quotas)], "_of string, _ends array<long>")
     whole = F.col("_before") + F.col("_words") <= F.col("_rest")
-    cut = ~whole & (F.col("_before") < F.col("_rest"))
-    inner = Window.partitionBy("source", "_block").orderBy("_key", "doc_id", "size", "th").rowsBetween(Window.unboundedPreceding, -1)
-    left = F.col("_rest") - F.col("_before") - F.coalesce(F.sum("size").over(inner), F.lit(0))
-    base = rows.where(~cut).withColumn("_last", F.when(whole, F.col("size")).otherwise(F.lit(0).cast("long")))
-    base = base.unionByName(rows.where(cut).withColumn("_last", F.greatest(F.lit(0), F.least("size", left)).cast("long")))
+    blocks = blocks.select(F.col("source").alias("_source"), F.col("_block").alias("_b"), "source_size", "target", "_passes", "_rest", "_before", "_nth", "_n",
+                           whole.alias("_whole"), (~whole & (F.col("_before") < F.col("_rest"))).alias("_cut"))
+    return sized(written(blocks, "mix-plan"), 160), ends
+
+
+def _placed(rows: DataFrame, blocks: DataFrame, ends: DataFrame) -> DataFrame:
+    rows = rows.join(blocks, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_block") == F.col("_b")))
+    return rows.join(ends, F.col("source").eqNullSafe(F.col("_of")))
+
+
+def _uncut(placed: DataFrame) -> DataFrame:
+    """The rows of blocks whose rest is drawn as a whole or not at all, with the words of their last draw."""
+    return placed.where(~F.col("_cut")).withColumn("_last", F.when(F.col("_whole"), F.col("size")).otherwise(F.lit(0).cast("long")))
+
+
+def _draws(seed: str) -> Column:
     shard = lambda nth: F.size(F.filter("_ends", lambda e: e < nth))
     draw = lambda i: F.struct(shard(i * F.col("_n") + F.col("_nth")).alias("shard"),
                               F.md5(F.concat_ws(":", F.lit(seed), i.cast("string"), "_key")).alias("place"),
                               F.when(i < F.col("_passes"), F.col("size")).otherwise(F.col("_last")).alias("words"))
-    draws = F.filter(F.transform(F.sequence(F.lit(0).cast("long"), F.col("_passes")), draw), lambda d: d["words"] > 0)
-    return base.select("doc_id", "th", "source", "size", "source_size", "target", (F.col("_passes") * F.col("size") + F.col("_last")).alias("taken"), draws.alias("draws"))
+    return F.filter(F.transform(F.sequence(F.lit(0).cast("long"), F.col("_passes")), draw), lambda d: d["words"] > 0)
 
 
-def mixture(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The mixture itself: the rows of `docs` as often as drawn, shuffled within each shard. A text drawn in part is its first words, joined by blanks.
+def _mixed(placed: DataFrame, seed: str) -> DataFrame:
+    inner = Window.partitionBy("source", "_block").orderBy("_key", "doc_id", "size", "th").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("_rest") - F.col("_before") - F.coalesce(F.sum("size").over(inner), F.lit(0))
+    base = _uncut(placed).unionByName(placed.where("_cut").withColumn("_last", F.greatest(F.lit(0), F.least("size", left)).cast("long")))
+    return base.select("doc_id", "th", "source", "size", "source_size", "target", (F.col("_passes") * F.col("size") + F.col("_last")).alias("taken"), _draws(seed).alias("draws"), "_cut")
 
-    Rows are told apart by id and text. Of rows that have both in common one stands for all, with the draws of every one of them."""
-    same = ["doc_id", "th"]
-    draws = mixed.select(*same, "size", F.explode("draws").alias("draw")).toDF("__mix_id", "__mix_th", "__mix_size", "__mix_draw")
-    again = sized(written(mixed.groupBy(*same).agg(F.count("*").alias("n")).where("n > 1").select(*same).toDF("__again_id", "__again_th"), "mix-repeated"), 24)
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED, shards: int = SHARDS,
+        budget: float = BUDGET, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """One row per input row: doc_id, th (hash of its text), source, size, source_size, target, taken and `draws`, an array of (shard, place, words)."""
+    rows = written(_keyed(docs, id_col, text_col, source_col, seed), "mix-rows")
+    return _mixed(_placed(rows, *_planned(rows, seed, shards, budget, weights, max_repeats)), seed).drop("_cut")
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Id and text hash that several rows have in common."""
+    again = rows.groupBy("doc_id", "th").agg(F.count("*").alias("n")).where("n > 1")
+    return sized(written(again.select(F.col("doc_id").alias("__again_id"), F.col("th").alias("__again_th")), "mix-repeated"), 24)
+
+
+def _taken(docs: DataFrame, mixed: DataFrame, again: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of `docs` once a draw, whole or cut, with the draw."""
+    draws = mixed.select("doc_id", "th", "size", F.explode("draws").alias("draw")).toDF("__mix_id", "__mix_th", "__mix_size", "__mix_draw")
     th = F.xxhash64(F.col(text_col).cast("string"))
     repeated = F.col(id_col).eqNullSafe(F.col("__again_id")) & (th == F.col("__again_th"))
     one = docs.join(again, repeated, "left_semi").groupBy(F.col(id_col).alias("__mix_id"), th.alias("__mix_th")).agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
@@ -118,7 +143,38 @@ def mixture(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col:
     first = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.col("__mix_draw.words").cast("int")), " ")
     text = F.when(F.col("__mix_draw.words") < F.col("__mix_size"), first).otherwise(F.col(text_col))
     out = rows.join(draws, F.col(id_col).eqNullSafe(F.col("__mix_id")) & (th == F.col("__mix_th")))
-    return (out.withColumn(text_col, text).repartition("__mix_draw.shard").sortWithinPartitions("__mix_draw.shard", "__mix_draw.place").select(*docs.columns))
+    return out.withColumn(text_col, text).select(*docs.columns, "__mix_draw")
+
+
+def _dealt(taken: DataFrame) -> DataFrame:
+    return taken.repartition("__mix_draw.shard").sortWithinPartitions("__mix_draw.shard", "__mix_draw.place").drop("__mix_draw")
+
+
+def mixture(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The mixture itself: the rows of `docs` as often as drawn, shuffled within each shard. A text drawn in part is its first words, joined by blanks.
+
+    Rows are told apart by id and text. Of rows that have both in common one stands for all, with the draws of every one of them."""
+    return _dealt(_taken(docs, mixed, _repeated(mixed), id_col, text_col))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED, shards: int = SHARDS,
+                    budget: float = BUDGET, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The `mixture` of `mix`, with one shuffle of the texts: a row learns its draws from its block's plan, where it is read.
+
+    Only the rows of blocks that are drawn in part and rows that have id and text in common are joined with their draws."""
+    rows = written(_keyed(docs, id_col, text_col, source_col, seed), "mix-rows")
+    plan = _planned(rows, seed, shards, budget, weights, max_repeats)
+    again = _repeated(rows)
+    repeated = F.col("doc_id").eqNullSafe(F.col("__again_id")) & (F.col("th") == F.col("__again_th"))
+    placed = _placed(_keyed(docs, id_col, text_col, source_col, seed, F.struct(*docs.columns).alias("_row")), *plan).join(again, repeated, "left_anti")
+    alone = _uncut(placed).select("_row", F.explode(_draws(seed)).alias("__mix_draw")).select("_row.*", "__mix_draw")
+
+    mixed = _mixed(_placed(rows, *plan), seed)
+    mixed = mixed.join(again, repeated, "left_semi").unionByName(mixed.where("_cut").join(again, repeated, "left_anti"))
+    key, th = F.col(id_col), F.xxhash64(F.col(text_col).cast("string"))
+    apart = sized(written(mixed.select(F.col("doc_id").alias("__apart_id"), F.col("th").alias("__apart_th")).distinct(), "mix-apart"), 24)
+    joined = docs.join(apart, key.eqNullSafe(F.col("__apart_id")) & (th == F.col("__apart_th")), "left_semi")
+    return _dealt(alone.unionByName(_taken(joined, mixed, again, id_col, text_col)))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
